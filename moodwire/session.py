@@ -61,6 +61,22 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the session's checkpoint dir.
+
+    On a cluster the dir must be named (``spark.checkpoint.dir``); only a
+    local-mode session without one gets a fresh scratch folder.
+    """
+    spark = df.sparkSession
+    if checkpoint_dir(spark) is None:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this job")
+        import tempfile
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="moodwire-ckpt-", dir="/tmp"))
+    return df.checkpoint(eager=True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Set ``fallback`` as checkpoint dir only when the session names none (tests)."""
     d = checkpoint_dir(spark)
