@@ -39,3 +39,70 @@ FROM (SELECT m.*, {score} AS sentiment_score FROM ({MESSAGES_SQL}) m
 
 DENSE_SQL = sentiments_sql(DEFAULT_LEXICON, "lexicon")
 SPARSE_SQL = sentiments_sql(SPARSE_LEXICON, "lexicon_sparse")
+
+
+SEP_SQL = "' \\n '"  # the four characters space, backslash, n, space
+
+
+def pattern_sql(sentiments: str, threshold: float = -5.0) -> str:
+    """Row-pattern matches as a recursive fold over row_number() per key."""
+    thr = repr(float(threshold))
+    start = f"(x IS NOT NULL AND x > {thr})"
+    return f"""
+WITH RECURSIVE r AS (
+  SELECT customer_id, customer_name, sentiment_score AS x, message_text AS txt,
+         message_timestamp AS ts,
+         row_number() OVER (PARTITION BY customer_id, customer_name
+                            ORDER BY message_timestamp, source_partition, source_offset) AS rn
+  FROM ({sentiments}) src
+),
+f AS (
+  SELECT customer_id, customer_name, rn,
+         CASE WHEN {start} THEN x ELSE 0.0 END AS st_sum,
+         CASE WHEN {start} THEN 1 ELSE 0 END AS st_n,
+         CASE WHEN {start} THEN txt END AS st_txt,
+         CAST(NULL AS DOUBLE) AS e_total, CAST(NULL AS BIGINT) AS e_n,
+         CAST(NULL AS VARCHAR) AS e_txt, CAST(NULL AS BIGINT) AS e_ts
+  FROM r WHERE rn = 1
+  UNION ALL
+  SELECT r.customer_id, r.customer_name, r.rn,
+         CASE WHEN f.st_n = 0 THEN (CASE WHEN r.x IS NOT NULL AND r.x > {thr} THEN r.x ELSE 0.0 END)
+              WHEN r.x IS NOT NULL AND f.st_sum + r.x <= {thr} THEN 0.0
+              ELSE f.st_sum + coalesce(r.x, 0.0) END,
+         CASE WHEN f.st_n = 0 THEN (CASE WHEN r.x IS NOT NULL AND r.x > {thr} THEN 1 ELSE 0 END)
+              WHEN r.x IS NOT NULL AND f.st_sum + r.x <= {thr} THEN 0
+              ELSE f.st_n + 1 END,
+         CASE WHEN f.st_n = 0 THEN (CASE WHEN r.x IS NOT NULL AND r.x > {thr} THEN r.txt END)
+              WHEN r.x IS NOT NULL AND f.st_sum + r.x <= {thr} THEN NULL
+              WHEN f.st_txt IS NULL THEN r.txt
+              WHEN r.txt IS NULL THEN f.st_txt
+              ELSE f.st_txt || {SEP_SQL} || r.txt END,
+         CASE WHEN f.st_n > 0 AND r.x IS NOT NULL AND f.st_sum + r.x <= {thr} THEN f.st_sum + r.x END,
+         CASE WHEN f.st_n > 0 AND r.x IS NOT NULL AND f.st_sum + r.x <= {thr} THEN f.st_n + 1 END,
+         CASE WHEN f.st_n > 0 AND r.x IS NOT NULL AND f.st_sum + r.x <= {thr}
+              THEN f.st_txt || {SEP_SQL} || r.txt END,
+         CASE WHEN f.st_n > 0 AND r.x IS NOT NULL AND f.st_sum + r.x <= {thr} THEN r.ts END
+  FROM f JOIN r ON r.customer_id IS NOT DISTINCT FROM f.customer_id
+               AND r.customer_name IS NOT DISTINCT FROM f.customer_name AND r.rn = f.rn + 1
+)
+SELECT customer_id, customer_name, e_total AS karen_score_total, e_n AS trigger_message_count,
+       e_txt AS recent_messages, e_ts AS trigger_order
+FROM f WHERE e_total IS NOT NULL
+"""
+
+
+def response_prompt_sql(name: str, total: str, messages: str) -> str:
+    from moodwire.functions.text import RESPONSE_PROMPT_MESSAGE_CHARS as n, RESPONSE_PROMPT_PARTS as p
+    q = [x.replace("'", "''") for x in p]
+    return (f"'{q[0]}' || {name} || '{q[1]}' || CAST({total} AS VARCHAR) || '{q[2]}' || "
+            f"substring({messages}, 1, {n}) || '{q[3]}' || '{q[4]}'")
+
+
+def responses_sql(sentiments: str, model: str = "gpt-4o") -> str:
+    from moodwire.functions.generation import OTHER_FAILURE_TEXT
+    return f"""
+SELECT customer_id, customer_name, karen_score_total,
+       '{OTHER_FAILURE_TEXT}' AS rebuttal_text, '{model}' AS rebuttal_model,
+       trigger_order AS generated_timestamp, trigger_message_count, recent_messages
+FROM ({pattern_sql(sentiments)}) m
+"""

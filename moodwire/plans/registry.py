@@ -78,5 +78,406 @@ def q_worst_customers(spark, sf_dir):
     return serving.q_worst_customers(sentiments(spark, sf_dir), digits=DIGITS)
 
 
+
+# ------------------------------------------------------------- derived inputs
+
+def doc_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cut at every '.', as message-like texts (some empty, some
+    whitespace-only: the cases the blank rules disagree on)."""
+    d = fixtures.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.select("doc_id", F.posexplode(F.split("text", r"\.")).alias("pos0", "piece")).select(
+        "doc_id", (F.col("pos0") + 1).alias("pos"), "piece")
+
+
+DOC_PIECES_SQL = """
+SELECT doc_id, unnest(generate_series(1, len(arr))) AS pos, unnest(arr) AS piece
+FROM (SELECT doc_id, string_split(text, '.') AS arr FROM documents) d
+"""
+
+
+def _k(col="props"):
+    return F.regexp_extract(col, r"([0-9]+)", 1).cast("int")
+
+
+K_SQL = "CAST(regexp_extract(props, '[0-9]+') AS INTEGER)"
+
+
+def escalation_matches(spark, sf_dir, sparse=False, **kw):
+    from moodwire.plans.escalation import escalations
+    return escalations(sentiments(spark, sf_dir, sparse), **kw)
+
+
+def responses(spark, sf_dir, sparse=False):
+    from moodwire.plans.escalation import respond
+    return respond(escalation_matches(spark, sf_dir, sparse), generated_at="event")
+
+
+SP = _cte("s", fx.SPARSE_SQL)
+M_SQL = fx.pattern_sql(fx.DENSE_SQL)
+M_SPARSE_SQL = fx.pattern_sql(fx.SPARSE_SQL)
+R = _cte("r", fx.responses_sql(fx.DENSE_SQL))
+BOTH_SQL = f"({fx.DENSE_SQL}) UNION ALL ({fx.SPARSE_SQL})"
+
+# ------------------------------------------------------- projections, filters
+
+
+@query("flt_non_blank", f"""
+SELECT doc_id, pos, length(piece) AS n_chars FROM ({DOC_PIECES_SQL}) p
+WHERE piece IS NOT NULL AND length(trim(piece)) > 0""")
+def flt_non_blank(spark, sf_dir):
+    return sentiment.filter_non_blank(doc_pieces(spark, sf_dir), "piece").select(
+        "doc_id", "pos", F.length("piece").alias("n_chars"))
+
+
+@query("prj_nested_field", f"SELECT message_id, ip_country FROM ({fixtures.MESSAGES_SQL}) m")
+def prj_nested_field(spark, sf_dir):
+    return fixtures.messages(spark, sf_dir).select("message_id", F.col("metadata.ip_country").alias("ip_country"))
+
+
+@query("prj_computed_ts", f"""
+SELECT message_id,
+       strftime(make_timestamp(message_timestamp * 1000), '%Y-%m-%d %H:%M:%S.%g') AS message_ts,
+       strftime(make_timestamp(message_timestamp * 1000) - INTERVAL 5 SECOND, '%Y-%m-%d %H:%M:%S.%g') AS watermark_ts
+FROM ({fixtures.MESSAGES_SQL}) m""")
+def prj_computed_ts(spark, sf_dir):
+    ts = F.timestamp_millis("message_timestamp")
+    fmt = "yyyy-MM-dd HH:mm:ss.SSS"
+    return fixtures.messages(spark, sf_dir).select(
+        "message_id", F.date_format(ts, fmt).alias("message_ts"),
+        F.date_format(ts - F.expr("INTERVAL 5 SECONDS"), fmt).alias("watermark_ts"))
+
+
+@query("prj_enriched", S + """
+SELECT message_id, customer_id, customer_name, message_timestamp, message_text, ip_country,
+       sentiment_score, sentiment_category, model_used,
+       CAST(processing_timestamp AS VARCHAR) AS processing_timestamp, source_partition, source_offset
+FROM s""")
+def prj_enriched(spark, sf_dir):
+    return sentiments(spark, sf_dir).withColumn(
+        "processing_timestamp", F.col("processing_timestamp").cast("string"))
+
+
+@query("lexicon_score", S + "SELECT message_id, sentiment_score, sentiment_category FROM s")
+def lexicon_score(spark, sf_dir):
+    return sentiments(spark, sf_dir).select("message_id", "sentiment_score", "sentiment_category")
+
+
+@query("dq_required_fields", f"""
+SELECT COUNT(*) AS total,
+       COUNT(*) FILTER (WHERE message_id IS NULL OR message_id = '') AS missing_message_id,
+       COUNT(*) FILTER (WHERE customer_name IS NULL OR customer_name = '') AS missing_customer_name
+FROM ({fixtures.MESSAGES_SQL}) m""")
+def dq_required_fields(spark, sf_dir):
+    from moodwire.operators.quality import required_field_report
+    return required_field_report(fixtures.messages(spark, sf_dir))
+
+
+@query("fn_json_roundtrip", S + """
+SELECT message_id, customer_id, customer_name, message_timestamp, message_text, ip_country,
+       sentiment_score, sentiment_category, model_used,
+       strftime(processing_timestamp, '%Y-%m-%dT%H:%M:%S.%g') AS processing_timestamp,
+       source_partition, source_offset
+FROM s""")
+def fn_json_roundtrip(spark, sf_dir):
+    from moodwire.sources.codec import decode_sentiments, encode_json
+    back = decode_sentiments(encode_json(sentiments(spark, sf_dir)), strict=True)
+    return back.withColumn("processing_timestamp",
+                           F.date_format("processing_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+
+
+# ------------------------------------------------------------------ scalar UDFs
+
+
+@query("udf_category", f"""
+SELECT event_id, score, {fx.category_sql('score')} AS sentiment_category
+FROM (SELECT event_id, CAST({K_SQL} % 21 - 10 AS DOUBLE) / 10.0::DOUBLE AS score FROM events) e""")
+def udf_category(spark, sf_dir):
+    from moodwire.functions.text import category
+    e = fixtures.table(spark, sf_dir, "events").select(
+        "event_id", ((_k() % 21 - 10).cast("double") / F.lit(10.0)).alias("score"))
+    return e.select("event_id", "score", category(F.col("score")).alias("sentiment_category"))
+
+
+@query("udf_class_to_score", f"""
+SELECT event_id, idx, coalesce(([-0.8, -0.4, 0.0, 0.4, 0.8]::DOUBLE[])[idx + 1], 0.0)::DOUBLE AS score
+FROM (SELECT event_id, {K_SQL} % 7 - 1 AS idx FROM events) e""")
+def udf_class_to_score(spark, sf_dir):
+    from moodwire.functions.text import class_to_score
+    e = fixtures.table(spark, sf_dir, "events").select("event_id", (_k() % 7 - 1).alias("idx"))
+    return e.select("event_id", "idx", class_to_score(F.col("idx")).alias("score"))
+
+
+def _reply_col():
+    k = _k().cast("string")
+    return (F.when(F.col("event_type") == "error", F.concat(F.lit("-0."), k))
+            .when(F.col("event_type") == "view", F.concat(F.lit(" "), k, F.lit("e-2 ")))
+            .when(F.col("event_type") == "purchase", F.concat(F.lit("+"), k))
+            .when(F.col("event_type") == "signup",
+                  F.when(_k() % 3 == 0, F.lit("NaN")).when(_k() % 3 == 1, F.lit("-Infinity"))
+                  .otherwise(F.concat(F.lit("1_"), k)))
+            .otherwise(F.col("props")))
+
+
+def _parse_sql(r: str) -> str:
+    from moodwire.functions.text import PY_SPACE_CLASS as sp
+    t = f"regexp_replace({r}, '^[{sp}]+|[{sp}]+$', '', 'g')"
+    num = r"^[+-]?(([0-9]+(_[0-9]+)*)(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+(_[0-9]+)*)?$"
+    special = "^(?i)[+-]?(nan|inf|infinity)$"
+    return f"""CASE WHEN regexp_matches({t}, '{special}')
+                THEN CASE WHEN starts_with(lower({t}), '-') AND NOT contains(lower({t}), 'nan') THEN -1.0 ELSE 1.0 END
+            WHEN regexp_matches({t}, '{num}')
+                THEN coalesce(greatest(-1.0, least(1.0, TRY_CAST(replace({t}, '_', '') AS DOUBLE))), 0.0)
+            ELSE 0.0 END::DOUBLE"""
+
+
+_REPLY_SQL = f"""CASE event_type WHEN 'error' THEN '-0.' || CAST({K_SQL} AS VARCHAR)
+    WHEN 'view' THEN ' ' || CAST({K_SQL} AS VARCHAR) || 'e-2 '
+    WHEN 'purchase' THEN '+' || CAST({K_SQL} AS VARCHAR)
+    WHEN 'signup' THEN CASE {K_SQL} % 3 WHEN 0 THEN 'NaN' WHEN 1 THEN '-Infinity'
+                       ELSE '1_' || CAST({K_SQL} AS VARCHAR) END
+    ELSE props END"""
+
+
+@query("udf_parse_score", f"""
+SELECT event_id, reply, {_parse_sql('reply')} AS score
+FROM (SELECT event_id, {_REPLY_SQL} AS reply FROM events) e""")
+def udf_parse_score(spark, sf_dir):
+    from moodwire.functions.text import parse_score
+    e = fixtures.table(spark, sf_dir, "events").select("event_id", _reply_col().alias("reply"))
+    return e.select("event_id", "reply", parse_score(F.col("reply")).alias("score"))
+
+
+def _blank_sql(c: str) -> str:
+    from moodwire.functions.text import NON_BLANK_RE
+    return f"({c} IS NULL OR NOT regexp_matches({c}, '{NON_BLANK_RE}'))"
+
+
+@query("udf_blank_neutral", f"""
+SELECT doc_id, pos, {_blank_sql('piece')} AS is_blank,
+       CASE WHEN {_blank_sql('piece')} THEN 0.0::DOUBLE ELSE {fx.lexicon_sql('piece', DEFAULT_LEXICON)} END AS score
+FROM ({DOC_PIECES_SQL}) p""")
+def udf_blank_neutral(spark, sf_dir):
+    from moodwire.functions.text import is_blank_py
+    p = doc_pieces(spark, sf_dir)
+    return p.select("doc_id", "pos", is_blank_py(F.col("piece")).alias("is_blank"),
+                    dense_scorer().score(F.col("piece")).alias("score"))
+
+
+@query("udf_sentiment_prompt", f"""
+SELECT conv_id, turn, {"'" + __import__('moodwire.functions.text', fromlist=['x']).SENTIMENT_PROMPT_HEAD.replace("'", "''") + "'"}
+       || text || {"'" + __import__('moodwire.functions.text', fromlist=['x']).SENTIMENT_PROMPT_TAIL.replace("'", "''") + "'"} AS prompt
+FROM conversations WHERE role = 'user'""")
+def udf_sentiment_prompt(spark, sf_dir):
+    from moodwire.functions.text import sentiment_prompt
+    c = fixtures.table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    return c.select("conv_id", "turn", sentiment_prompt(F.col("text")).alias("prompt"))
+
+
+# -------------------------------------------------------------- escalations
+
+
+@query("st_pattern_dense", f"SELECT * FROM ({M_SQL}) m")
+def st_pattern_dense(spark, sf_dir):
+    return escalation_matches(spark, sf_dir)
+
+
+@query("st_pattern_sparse", f"SELECT * FROM ({M_SPARSE_SQL}) m")
+def st_pattern_sparse(spark, sf_dir):
+    return escalation_matches(spark, sf_dir, sparse=True)
+
+
+@query("udf_response_prompt", f"""
+SELECT customer_id, trigger_order,
+       {fx.response_prompt_sql('customer_name', 'karen_score_total', 'recent_messages')} AS prompt
+FROM ({M_SQL}) m""")
+def udf_response_prompt(spark, sf_dir):
+    from moodwire.functions.text import response_prompt
+    m = escalation_matches(spark, sf_dir)
+    return m.select("customer_id", "trigger_order",
+                    response_prompt(F.col("customer_name"), F.col("karen_score_total"),
+                                    F.col("recent_messages")).alias("prompt"))
+
+
+@query("escalation_responses", R + "SELECT * FROM r")
+def escalation_responses(spark, sf_dir):
+    return responses(spark, sf_dir)
+
+
+# ------------------------------------------------------------------- metrics
+
+_SM = serving.SENTIMENT_METRICS
+_SM_SQL = f"""COUNT(*) AS count, round(AVG(sentiment_score), {DIGITS}) AS avg_sentiment,
+  MIN(sentiment_score) AS min_sentiment, MAX(sentiment_score) AS max_sentiment,
+  COUNT(CASE WHEN sentiment_score < -0.5 THEN 1 END) AS karen_count,
+  COUNT(CASE WHEN sentiment_score > 0.1 THEN 1 END) AS positive_count,
+  COUNT(CASE WHEN sentiment_score < -0.1 THEN 1 END) AS negative_count,
+  COUNT(DISTINCT customer_id) AS unique_customers,
+  round(COUNT(CASE WHEN sentiment_score < -0.5 THEN 1 END) * 100.0::DOUBLE / COUNT(*), {DIGITS}) AS karen_percentage"""
+
+
+@query("m_sentiments_all", S + f"SELECT {_SM_SQL} FROM s")
+def m_sentiments_all(spark, sf_dir):
+    return serving.metrics(sentiments(spark, sf_dir), _SM, digits=DIGITS)
+
+
+@query("m_sentiments_by_country", S + f"SELECT ip_country, {_SM_SQL} FROM s GROUP BY ip_country")
+def m_sentiments_by_country(spark, sf_dir):
+    return serving.metrics(sentiments(spark, sf_dir), _SM, by=["ip_country"], digits=DIGITS)
+
+
+_RM_SQL = f"""COUNT(*) AS rebuttal_count, round(AVG(karen_score_total), {DIGITS}) AS avg_karen_score,
+  round(MAX(karen_score_total), {DIGITS}) AS max_karen_score, round(MIN(karen_score_total), {DIGITS}) AS min_karen_score,
+  round(AVG(trigger_message_count), {DIGITS}) AS avg_trigger_count, MAX(trigger_message_count) AS max_trigger_count,
+  COUNT(DISTINCT customer_id) AS unique_karen_customers,
+  COUNT(CASE WHEN rebuttal_model = 'gpt-4.1-mini' THEN 1 END) AS gpt4_rebuttals,
+  COUNT(CASE WHEN trigger_message_count >= 8 THEN 1 END) AS extreme_karen_count,
+  round(CASE WHEN (extract(hour FROM make_timestamp(MAX(generated_timestamp) * 1000))
+             - extract(hour FROM make_timestamp(MIN(generated_timestamp) * 1000)) + 1) = 0 THEN NULL
+        ELSE COUNT(*)::DOUBLE / (extract(hour FROM make_timestamp(MAX(generated_timestamp) * 1000))
+             - extract(hour FROM make_timestamp(MIN(generated_timestamp) * 1000)) + 1) END, {DIGITS}) AS rebuttals_per_hour,
+  round(COUNT(*)::DOUBLE / (floor((MAX(generated_timestamp) - MIN(generated_timestamp)) / 3600000) + 1), {DIGITS})
+      AS rebuttals_per_elapsed_hour"""
+
+
+@query("m_responses_all", R + f"SELECT {_RM_SQL} FROM r")
+def m_responses_all(spark, sf_dir):
+    return serving.metrics(responses(spark, sf_dir), serving.RESPONSE_METRICS, digits=DIGITS)
+
+
+@query("m_responses_by_model", R + f"SELECT rebuttal_model, {_RM_SQL} FROM r GROUP BY rebuttal_model")
+def m_responses_by_model(spark, sf_dir):
+    return serving.metrics(responses(spark, sf_dir), serving.RESPONSE_METRICS, by=["rebuttal_model"],
+                           digits=DIGITS)
+
+
+@query("q_recent_responses", R + """
+SELECT customer_name, customer_id, rebuttal_text, generated_timestamp FROM r
+ORDER BY generated_timestamp DESC, customer_id ASC, customer_name ASC NULLS FIRST LIMIT 5""")
+def q_recent_responses(spark, sf_dir):
+    return serving.q_recent_responses(responses(spark, sf_dir))
+
+
+@query("q_top_escalators", R + f"""
+SELECT customer_name, COUNT(*) AS rebuttal_count, round(AVG(karen_score_total), {DIGITS}) AS avg_karen_score
+FROM r GROUP BY customer_name ORDER BY rebuttal_count DESC, customer_name ASC NULLS FIRST LIMIT 10""")
+def q_top_escalators(spark, sf_dir):
+    return serving.q_top_escalators(responses(spark, sf_dir), digits=DIGITS)
+
+
+@query("q_effectiveness", R + f"""
+SELECT rebuttal_model, COUNT(*) AS total_rebuttals, round(AVG(trigger_message_count), {DIGITS}) AS avg_trigger_count
+FROM r GROUP BY rebuttal_model""")
+def q_effectiveness(spark, sf_dir):
+    return serving.q_effectiveness(responses(spark, sf_dir), digits=DIGITS)
+
+
+# -------------------------------------------------------------------- panels
+
+HOUR = 3_600_000
+DAY = 24 * HOUR
+
+
+@query("ts_sentiment_trend", S + f"""
+SELECT message_timestamp - (message_timestamp % {HOUR}) AS bucket_start_ms,
+       round(AVG(sentiment_score), {DIGITS}) AS avg_sentiment, COUNT(*) AS msgs
+FROM s GROUP BY 1""")
+def ts_sentiment_trend(spark, sf_dir):
+    return serving.ts_sentiment_trend(sentiments(spark, sf_dir), HOUR, digits=DIGITS)
+
+
+@query("ts_category_distribution", S + f"""
+SELECT sentiment_category, msgs, round(msgs * 100.0::DOUBLE / SUM(msgs) OVER (), {DIGITS}) AS share_pct
+FROM (SELECT sentiment_category, COUNT(*) AS msgs FROM s GROUP BY 1) c""")
+def ts_category_distribution(spark, sf_dir):
+    return serving.ts_category_distribution(sentiments(spark, sf_dir), digits=DIGITS)
+
+
+@query("ts_message_volume", S + f"""
+SELECT message_timestamp - (message_timestamp % {HOUR}) AS bucket_start_ms, COUNT(*) AS msgs,
+       round(COUNT(*) / {HOUR / 1000.0}, {DIGITS}) AS msgs_per_sec
+FROM s GROUP BY 1""")
+def ts_message_volume(spark, sf_dir):
+    return serving.ts_message_volume(sentiments(spark, sf_dir), HOUR, digits=DIGITS)
+
+
+@query("ts_responses", R + f"""
+SELECT generated_timestamp - (generated_timestamp % {DAY}) AS bucket_start_ms, COUNT(*) AS responses,
+       round(AVG(karen_score_total), {DIGITS}) AS avg_karen_score,
+       CAST(SUM(trigger_message_count) AS BIGINT) AS trigger_messages
+FROM r GROUP BY 1""")
+def ts_responses(spark, sf_dir):
+    return serving.ts_responses(responses(spark, sf_dir), DAY, digits=DIGITS)
+
+
+@query("ts_model_comparison", _cte("s", BOTH_SQL) + f"SELECT model_used, {_SM_SQL} FROM s GROUP BY model_used")
+def ts_model_comparison(spark, sf_dir):
+    both = sentiments(spark, sf_dir).unionByName(sentiments(spark, sf_dir, sparse=True))
+    return serving.ts_model_comparison(both, digits=DIGITS)
+
+
+@query("mdl_union", _cte("s", BOTH_SQL) + """
+SELECT model_used, sentiment_category, COUNT(*) AS msgs FROM s GROUP BY 1, 2""")
+def mdl_union(spark, sf_dir):
+    from moodwire.operators.compare import union_models
+    u = union_models([sentiments(spark, sf_dir), sentiments(spark, sf_dir, sparse=True)])
+    return u.groupBy("model_used", "sentiment_category").agg(F.count(F.lit(1)).alias("msgs"))
+
+
+@query("jn_model_compare", f"""
+SELECT a.sentiment_category AS category_a, COUNT(*) AS msgs,
+       COUNT(*) FILTER (WHERE a.sentiment_category = b.sentiment_category) AS agree,
+       round(AVG(abs(a.sentiment_score - b.sentiment_score)), {DIGITS}) AS mean_abs_diff
+FROM ({fx.DENSE_SQL}) a JOIN ({fx.SPARSE_SQL}) b ON a.message_id = b.message_id
+GROUP BY 1""")
+def jn_model_compare(spark, sf_dir):
+    from moodwire.operators.compare import compare_models
+    return compare_models(sentiments(spark, sf_dir), sentiments(spark, sf_dir, sparse=True), digits=DIGITS)
+
+
+# ----------------------------------------------------------------- w_burst_rule
+
+BURST_K, BURST_WINDOW_MS = 5, 7 * DAY
+
+
+@query("w_burst_rule", S + f"""
+SELECT customer_id, customer_name, message_id, message_timestamp, burst_count FROM (
+  SELECT customer_id, customer_name, message_id, message_timestamp,
+         COUNT(*) OVER (PARTITION BY customer_id ORDER BY message_timestamp
+                        RANGE BETWEEN {BURST_WINDOW_MS} PRECEDING AND CURRENT ROW) AS burst_count
+  FROM s WHERE sentiment_category = 'F - Very Negative') w
+WHERE burst_count >= {BURST_K}""")
+def w_burst_rule(spark, sf_dir):
+    from moodwire.operators.burst import burst_rule
+    return burst_rule(sentiments(spark, sf_dir), k=BURST_K, window_ms=BURST_WINDOW_MS)
+
+
+# --------------------------------------------------------------- user lookup
+
+
+@query("jn_user_lookup", f"""
+WITH pool AS (
+  SELECT 'cust_' || lpad(CAST(c.c_custkey AS VARCHAR), 5, '0') AS customer_id, c.c_name AS name,
+         n.n_name AS country, c.c_acctbal < 0 AS is_karen,
+         CASE WHEN c.c_acctbal < 0 THEN 'karen,mildly_negative' ELSE 'normal,mildly_positive,funny' END AS types
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE c.c_mktsegment = 'BUILDING')
+SELECT m.message_id, m.customer_id,
+       coalesce(p.name, 'Customer_' || right(m.customer_id, 5)) AS name,
+       coalesce(p.country, 'US') AS country,
+       coalesce(p.is_karen, false) AS is_karen,
+       coalesce(p.types, 'normal') AS sentiment_types
+FROM ({fixtures.MESSAGES_SQL}) m LEFT JOIN pool p ON m.customer_id = p.customer_id""")
+def jn_user_lookup(spark, sf_dir):
+    from moodwire.operators.lookup import user_lookup
+    from moodwire.sources.pools import user_pool_from_customers
+    pool = user_pool_from_customers(spark, sf_dir, segment="BUILDING")
+    out = user_lookup(fixtures.messages(spark, sf_dir), pool)
+    return out.select("message_id", "customer_id", "name", "country", "is_karen",
+                      F.array_join("sentiment_types", ",").alias("sentiment_types"))
+
+
+# -------------------------------------------------------------------- flagship
+
+
 def flagship(spark, sf_dir):
-    return serving.q_geographic(sentiments(spark, sf_dir), digits=DIGITS)
+    """Score -> categorise -> match escalations -> respond, over whole tables."""
+    return responses(spark, sf_dir)
