@@ -121,6 +121,52 @@ def _frame(cols: dict) -> pd.DataFrame:
     return pd.DataFrame({k: pd.Series(v, dtype="object") for k, v in cols.items()})
 
 
+def _chunks(batches: Iterator[pd.DataFrame], keycols: list[str]) -> Iterator[pd.DataFrame]:
+    """Split a partition's sorted batch stream into whole chunks (runs of equal
+    ``keycols``). A chunk cut by a batch boundary is carried over; chunks are
+    bounded by ``chunk_rows``, so the carry is too."""
+    carry: list[pd.DataFrame] = []
+    for pdf in batches:
+        if len(pdf) == 0:
+            continue
+        h = pd.util.hash_pandas_object(pdf[keycols], index=False).to_numpy()
+        cuts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        if carry:
+            ch = pd.util.hash_pandas_object(carry[-1][keycols].iloc[:1], index=False).to_numpy()[0]
+            if ch != h[0]:
+                yield pd.concat(carry, ignore_index=True)
+                carry = []
+        bounds = list(cuts) + [len(pdf)]
+        for a, b in zip(bounds[:-2], bounds[1:-1]):
+            if carry:
+                carry.append(pdf.iloc[a:b])
+                yield pd.concat(carry, ignore_index=True)
+                carry = []
+            else:
+                yield pdf.iloc[a:b]
+        carry.append(pdf.iloc[bounds[-2]:])
+    if carry:
+        yield pd.concat(carry, ignore_index=True)
+
+
+def _per_chunk_stream(keycols: list[str], fn, flush_rows: int = 4096):
+    """mapInPandas driver: apply ``fn(chunk) -> DataFrame`` to each chunk and
+    emit the results in batches."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out, n = [], 0
+        for chunk in _chunks(batches, keycols):
+            r = fn(chunk)
+            if len(r):
+                out.append(r)
+                n += len(r)
+            if n >= flush_rows:
+                yield pd.concat(out, ignore_index=True)
+                out, n = [], 0
+        if out:
+            yield pd.concat(out, ignore_index=True)
+    return run
+
+
 def _summary_fn(keys: Sequence[str], threshold: float):
     def summarize(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_gid", kind="stable")
@@ -200,7 +246,7 @@ def _emit_fn(keys: Sequence[str], threshold: float, sep: str):
         vals = [t for t in texts if t is not None and t is not pd.NA and not (isinstance(t, float) and np.isnan(t))]
         return sep.join(vals) if vals else None
 
-    def emit(rows: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+    def emit(rows: pd.DataFrame) -> pd.DataFrame:
         cols = {c: [] for c in list(keys) + ["match_gid", "_cb", "frag_count", "frag_texts", "frag_scores",
                                            "is_close", "t_text", "t_order"]}
         if len(rows) == 0:
@@ -229,9 +275,10 @@ def _emit_fn(keys: Sequence[str], threshold: float, sep: str):
             cols["t_order"].append(order0[hi] if close else None)
 
         p = 0
-        if len(state) and int(state["in_kind"].iloc[0]) == _OPEN:
-            s_in = float(state["in_sum"].iloc[0])
-            start = int(state["in_start"].iloc[0])
+        kind0 = rows["in_kind"].iloc[0]
+        if kind0 is not None and not pd.isna(kind0) and int(kind0) == _OPEN:
+            s_in = float(rows["in_sum"].iloc[0])
+            start = int(rows["in_start"].iloc[0])
             k = ch.close_in(s_in)
             if k >= m:
                 frag(start, 0, m, False)
@@ -299,8 +346,12 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
         T.StructField("rl_sum", T.ArrayType(T.DoubleType())), T.StructField("rl_cnt", T.ArrayType(T.LongType())),
         T.StructField("rl_start", T.ArrayType(T.LongType())),
     ])
+    chunk_cols = [*keys, "_cb"]
+    # Every chunk lies inside one range partition, already in order: the
+    # summaries need no shuffle.
     summaries = (tagged.select(*keys, "_cb", "_gid", "_score")
-                 .groupBy(*keys, "_cb").applyInPandas(_summary_fn(keys, threshold), summary_schema))
+                 .sortWithinPartitions(*keys, "_cb", "_gid")
+                 .mapInPandas(_per_chunk_stream(chunk_cols, _summary_fn(keys, threshold)), summary_schema))
 
     state_schema = T.StructType(kfields + [
         T.StructField("_cb", T.LongType()), T.StructField("in_kind", T.IntegerType()),
@@ -316,10 +367,16 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
         T.StructField("frag_scores", T.ArrayType(T.DoubleType())), T.StructField("is_close", T.BooleanType()),
         T.StructField("t_text", T.StringType()), T.StructField("t_order", order0_type),
     ])
+    # One state row per chunk joins its rows (null-safe on the keys). AQE
+    # broadcasts the state side only when its measured size is small;
+    # otherwise both sides shuffle on the chunk id, which keeps chunks whole.
+    st = resolved.select(*[F.col(c).alias(f"_s_{c}") for c in chunk_cols],
+                         "in_kind", "in_sum", "in_start")
+    cond = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in chunk_cols]
     frags = (tagged.select(*keys, "_cb", "_gid", "_score", "_text", "_order0")
-             .groupBy(*keys, "_cb")
-             .cogroup(resolved.groupBy(*keys, "_cb"))
-             .applyInPandas(_emit_fn(keys, threshold, separator), frag_schema))
+             .join(st, cond, "left").drop(*[f"_s_{c}" for c in chunk_cols])
+             .sortWithinPartitions(*keys, "_cb", "_gid")
+             .mapInPandas(_per_chunk_stream(chunk_cols, _emit_fn(keys, threshold, separator)), frag_schema))
 
     matches = (frags.groupBy(*keys, "match_gid").agg(
         F.array_sort(F.collect_list(F.struct("_cb", "frag_texts", "frag_scores"))).alias("_f"),
