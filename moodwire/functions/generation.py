@@ -96,3 +96,12 @@ class ChatModelGenerator(Generator):
 
     def generate(self, prompt: Column, model: Column | None = None) -> Column:
         return self._udf()(prompt, model if model is not None else F.lit(None).cast("string"))
+
+
+class EchoChatClient:
+    """Dry-run chat client: answers ``"<model>: "`` plus the first 40 prompt
+    characters. Deterministic; lets the batched call path run without a
+    network model."""
+
+    def complete(self, system, user, model=None, **kw):
+        return f"{model}: {user[:40]}"

@@ -481,3 +481,76 @@ def jn_user_lookup(spark, sf_dir):
 def flagship(spark, sf_dir):
     """Score -> categorise -> match escalations -> respond, over whole tables."""
     return responses(spark, sf_dir)
+
+
+# ------------------------------------------------------ model adapters (batched)
+
+
+@query("udf_score_classifier", """
+SELECT conv_id, turn, CASE length(text) % 5 WHEN 0 THEN -0.8 WHEN 1 THEN -0.4 WHEN 2 THEN 0.0
+                      WHEN 3 THEN 0.4 ELSE 0.8 END::DOUBLE AS score
+FROM conversations WHERE role = 'user'""")
+def udf_score_classifier(spark, sf_dir):
+    from moodwire.functions.scoring import ClassifierScorer, LengthClassifier
+    sc = ClassifierScorer(LengthClassifier, model_name="length-classifier", cache_key="registry:length")
+    c = fixtures.table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    return c.select("conv_id", "turn", sc.score(F.col("text")).alias("score"))
+
+
+@query("udf_generate", f"""
+SELECT customer_id, trigger_order,
+       'gpt-4o: ' || substring({fx.response_prompt_sql('customer_name', 'karen_score_total', 'recent_messages')}, 1, 40)
+         AS rebuttal_text
+FROM ({M_SQL}) m""")
+def udf_generate(spark, sf_dir):
+    from moodwire.functions.generation import ChatModelGenerator, EchoChatClient
+    from moodwire.functions.text import response_prompt
+    gen = ChatModelGenerator(EchoChatClient, cache_key="registry:echo")
+    m = escalation_matches(spark, sf_dir)
+    prompt = response_prompt(F.col("customer_name"), F.col("karen_score_total"), F.col("recent_messages"))
+    return m.select("customer_id", "trigger_order", gen.generate(prompt, F.lit("gpt-4o")).alias("rebuttal_text"))
+
+
+# ----------------------------------------------------------- data preparation (rows-only)
+
+
+def _pool(spark, sf_dir):
+    from moodwire.sources.pools import user_pool_from_customers
+    return user_pool_from_customers(spark, sf_dir)
+
+
+@query("dp_expand")
+def dp_expand(spark, sf_dir):
+    from moodwire.plans.dataprep import expand_users
+    return expand_users(_pool(spark, sf_dir)).select("customer_id", "is_karen", "n_messages", "seq")
+
+
+@query("dp_pick_template")
+def dp_pick_template(spark, sf_dir):
+    from moodwire.plans.dataprep import expand_users, pick_templates
+    from moodwire.sources.pools import templates_from_conversations
+    rows = expand_users(_pool(spark, sf_dir))
+    return pick_templates(rows, templates_from_conversations(spark, sf_dir)).select(
+        "customer_id", "seq", "type", "template")
+
+
+@query("dp_build_message")
+def dp_build_message(spark, sf_dir):
+    from moodwire.plans.dataprep import generate_messages
+    from moodwire.sources.pools import templates_from_conversations
+    return generate_messages(_pool(spark, sf_dir), templates_from_conversations(spark, sf_dir),
+                             at_ms=F.lit(1_704_067_200_000))
+
+
+@query("dp_upsample")
+def dp_upsample(spark, sf_dir):
+    from moodwire.plans.dataprep import upsample
+    m = fixtures.messages(spark, sf_dir).drop("kafka_timestamp", "kafka_partition", "kafka_offset")
+    return upsample(m, target=2 * m.count() + 7)
+
+
+@query("dp_replay")
+def dp_replay(spark, sf_dir):
+    from moodwire.plans.dataprep import keyed_records, replay, shuffle_order
+    m = fixtures.messages(spark, sf_dir).drop("kafka_timestamp", "kafka_partition", "kafka_offset")
+    return keyed_records(replay(shuffle_order(m), loops=2, at_ms=F.lit(1_704_067_200_000)))
