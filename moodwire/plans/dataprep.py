@@ -94,7 +94,7 @@ def build_messages(rows: DataFrame, seed: int = 42, at_ms: Column | None = None)
         hash_uuid(rid, F.lit("message")).alias("message_id"),
         "customer_id",
         F.col("name").alias("customer_name"),
-        ts.alias("message_timestamp"),
+        ts.cast("long").alias("message_timestamp"),
         F.col("template").alias("message_text"),
         F.struct(
             F.concat(F.lit("sess_"), F.substring(F.sha2(F.concat(rid, F.lit("session")), 256), 1, 8)).alias("session_id"),
@@ -129,8 +129,8 @@ def upsample(messages: DataFrame, target: int, seed: int = 42) -> DataFrame:
 
 def restamp(messages: DataFrame, at_ms: Column | None = None) -> DataFrame:
     """Replace ``message_timestamp`` by the replay time in epoch ms."""
-    return messages.withColumn("message_timestamp", at_ms if at_ms is not None
-                               else F.unix_millis(F.current_timestamp()))
+    ts = at_ms if at_ms is not None else F.unix_millis(F.current_timestamp())
+    return messages.withColumn("message_timestamp", ts.cast("long"))
 
 
 def shuffle_order(messages: DataFrame, seed: int = 42) -> DataFrame:

@@ -29,28 +29,27 @@ def decode(df: DataFrame, schema: T.StructType, col: str = "value", strict: bool
     """Parse JSON text in ``col`` with a declared schema.
 
     ``strict``: FAILFAST — the query fails on a malformed record.
-    Otherwise PERMISSIVE with a corrupt-record column; malformed rows are
-    dropped and rows with merely missing fields are kept.
+    Otherwise tolerant: a record that is not a JSON object is dropped; in a
+    parsed record a missing or wrongly typed field becomes NULL and the rest
+    of the record is kept.
     """
     keep = keep or []
     if strict:
         parsed = F.from_json(F.col(col), schema, {**JSON_READ_OPTS, "mode": "FAILFAST"})
         return df.select(*keep, parsed.alias("_r")).select(*keep, "_r.*")
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(F.col(col), with_corrupt,
-                         {**JSON_READ_OPTS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    out = df.select(*keep, parsed.alias("_r"))
-    return out.filter(F.col(f"_r.{CORRUPT}").isNull()).select(
-        *keep, *[F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields])
+    parsed = F.from_json(F.col(col), schema, {**JSON_READ_OPTS, "mode": "PERMISSIVE"})
+    out = df.filter(is_json_object(F.col(col))).select(*keep, parsed.alias("_r"))
+    return out.select(*keep, *[F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields])
+
+
+def is_json_object(c):
+    """True when ``c`` parses as one JSON object."""
+    return F.get_json_object(c, "$").isNotNull() & F.trim(c).startswith("{")
 
 
 def quarantine(df: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:
-    """The records :func:`decode` drops, with their raw text."""
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(F.col(col), with_corrupt,
-                         {**JSON_READ_OPTS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return df.select(F.col(col).alias("raw"), parsed.alias("_r")).filter(
-        F.col(f"_r.{CORRUPT}").isNotNull()).select("raw")
+    """The records tolerant :func:`decode` drops, with their raw text."""
+    return df.filter(~F.coalesce(is_json_object(F.col(col)), F.lit(False))).select(F.col(col).alias("raw"))
 
 
 def decode_messages(df: DataFrame, col: str = "value", keep=None) -> DataFrame:
