@@ -97,12 +97,19 @@ def is_blank_py(text) -> Column:
 
 
 def category(score) -> Column:
-    """Bucket a score into its letter category; NULL stays NULL."""
-    s = _c(score)
-    expr = F.when(s.isNull(), F.lit(None).cast("string"))
-    for bound, label in CATEGORY_BOUNDS:
-        expr = expr.when(s <= F.lit(bound), F.lit(label))
-    return expr.otherwise(F.lit(CATEGORY_TOP))
+    """Bucket a score into its letter category; NULL stays NULL.
+
+    The score is bound once as a lambda variable, so when a filter on the
+    category is pushed below the projection the scorer still runs once.
+    """
+    bounds = F.array(*[F.lit(float(b)) for b, _ in CATEGORY_BOUNDS])
+    labels = F.array(*[F.lit(lab) for _, lab in CATEGORY_BOUNDS], F.lit(CATEGORY_TOP))
+
+    def label(s: Column) -> Column:
+        below = F.size(F.filter(bounds, lambda b: b < s))
+        return F.when(s.isNull(), F.lit(None).cast("string")).otherwise(F.element_at(labels, below + 1))
+
+    return F.element_at(F.transform(F.array(_c(score).cast("double")), label), 1)
 
 
 def class_to_score(idx) -> Column:

@@ -22,13 +22,14 @@ def burst_rule(sentiments: DataFrame, k: int = 5, window_ms: int = 5 * 60_000,
     at which the customer has ``>= k`` rows of ``category`` within the last
     ``window_ms`` (both ends inclusive)."""
     width = max(int(bucket_ms or window_ms), int(window_ms))
+    b = F.floor(F.col("message_timestamp") / F.lit(width))
+    copies = F.array(F.struct(b.alias("_b"), F.lit(True).alias("_own")),
+                     F.struct((b + 1).alias("_b"), F.lit(False).alias("_own")))
     base = (sentiments.filter(F.col("sentiment_category") == category)
-            .select(key, "customer_name", "message_id", "message_timestamp")
-            .withColumn("_b", F.floor(F.col("message_timestamp") / F.lit(width))))
-    own = base.withColumn("_own", F.lit(True))
-    halo = base.withColumn("_b", F.col("_b") + 1).withColumn("_own", F.lit(False))
+            .select(key, "customer_name", "message_id", "message_timestamp", F.explode(copies).alias("_c"))
+            .select(key, "customer_name", "message_id", "message_timestamp", "_c._b", "_c._own"))
     w = (Window.partitionBy(key, "_b").orderBy("message_timestamp")
          .rangeBetween(-int(window_ms), Window.currentRow))
-    counted = own.unionByName(halo).withColumn("burst_count", F.count(F.lit(1)).over(w))
+    counted = base.withColumn("burst_count", F.count(F.lit(1)).over(w))
     return counted.filter(F.col("_own") & (F.col("burst_count") >= k)).select(
         key, "customer_name", "message_id", "message_timestamp", "burst_count")
