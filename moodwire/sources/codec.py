@@ -58,3 +58,20 @@ def decode_messages(df: DataFrame, col: str = "value", keep=None) -> DataFrame:
 
 def decode_sentiments(df: DataFrame, col: str = "value", strict: bool = True, keep=None) -> DataFrame:
     return decode(df, schemas.MESSAGE_SENTIMENTS, col, strict=strict, keep=keep)
+
+
+def read_jsonl(spark, path: str, schema=None):
+    """JSON-lines file(s) -> (rows, quarantine).
+
+    Lines are stripped and blank lines skipped; lines that do not parse go to
+    the quarantine frame with their file and raw text (a line number is not
+    stable in a distributed read). A missing path fails the read.
+    """
+    schema = schema or schemas.MESSAGE_PAYLOAD
+    raw = (spark.read.text(path).select(F.trim(F.col("value")).alias("value"),
+                                        F.input_file_name().alias("file"))
+           .filter(F.length("value") > 0))
+    good = decode(raw, schema)
+    bad = raw.filter(~F.coalesce(is_json_object(F.col("value")), F.lit(False))).select(
+        "file", F.col("value").alias("raw"))
+    return good, bad

@@ -8,7 +8,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from moodwire.plans import registry
-from moodwire.sources import codec
+from moodwire.sources import codec, fixtures
 from moodwire.streaming import jobs
 
 SF = "/root/testdata/sf0.001"
@@ -111,3 +111,38 @@ def test_kafka_options_are_plain_dicts():
     assert o["subscribe"] == "customer_messages" and o["startingOffsets"] == "latest"
     assert o["kafka.request.timeout.ms"] == "60000"
     assert jobs.kafka_sink_options("b:9092", "t")["topic"] == "t"
+
+
+def test_chained_streams_j1_to_j2(spark):
+    """J1 writes scored messages as JSON to a path; J2 reads that path as its
+    source (the topic between them), giving the batch escalations."""
+    base = tempfile.mkdtemp(prefix="mw-chain-", dir="/tmp")
+    src, mid, out = (os.path.join(base, x) for x in ("src", "mid", "out"))
+    os.makedirs(src)
+    m = fixtures.messages(spark, SF)
+    payload = m.select(*[c for c in m.columns if c != "kafka_timestamp"])
+    lines = [r.value for r in codec.encode_json(payload.orderBy("message_timestamp")).collect()]
+    _write(src, 0, lines)
+    q1 = jobs.start(jobs.sentiment_stream(jobs.read_message_stream(spark, "text", src)), "text",
+                    os.path.join(base, "c1"), "j1_chain", path=mid, trigger=None, json_value=True)
+    q1.processAllAvailable()
+    q1.stop()
+    q2 = jobs.start(jobs.escalation_stream(jobs.read_sentiment_stream(spark, "text", mid)), "parquet",
+                    os.path.join(base, "c2"), "j2_chain", path=out, trigger=None)
+    q2.processAllAvailable()
+    q2.stop()
+    got = sorted((r.customer_id, r.trigger_message_count, round(r.karen_score_total, 9))
+                 for r in spark.read.parquet(out).collect())
+    exp = sorted((r.customer_id, r.trigger_message_count, round(r.karen_score_total, 9))
+                 for r in registry.escalation_matches(spark, SF).collect())
+    assert got == exp and len(got) == 36
+
+
+def test_read_jsonl_quarantine(spark):
+    d = tempfile.mkdtemp(prefix="mw-jsonl-in-", dir="/tmp")
+    p = os.path.join(d, "chats.jsonl")
+    with open(p, "w") as f:
+        f.write(json.dumps({"message_id": "a", "customer_name": "X"}) + "\n\n   \n{oops\n")
+    good, bad = codec.read_jsonl(spark, p)
+    assert [r.message_id for r in good.collect()] == ["a"]
+    assert [r.raw for r in bad.collect()] == ["{oops"]
