@@ -164,6 +164,20 @@ def response_prompt(name, total, messages) -> Column:
     )
 
 
+EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def epoch_ms_to_utc(ms) -> Column:
+    """Epoch milliseconds -> zone-less UTC wall time (independent of the
+    session time zone)."""
+    return F.timestamp_add("MILLISECOND", _c(ms), F.expr(EPOCH_NTZ))
+
+
+def utc_ntz_to_epoch_ms(ts) -> Column:
+    """Zone-less UTC wall time -> epoch milliseconds (truncating microseconds)."""
+    return F.floor(F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), _c(ts)) / F.lit(1000)).cast("long")
+
+
 def session_id_from_uuid() -> Column:
     """``"sess_"`` followed by 8 hex characters of a fresh UUID."""
     return F.concat(F.lit("sess_"), F.substring(F.regexp_replace(F.expr("uuid()"), "-", ""), 1, 8))

@@ -140,7 +140,8 @@ SELECT message_id,
        strftime(make_timestamp(message_timestamp * 1000) - INTERVAL 5 SECOND, '%Y-%m-%d %H:%M:%S.%g') AS watermark_ts
 FROM ({fixtures.MESSAGES_SQL}) m""")
 def prj_computed_ts(spark, sf_dir):
-    ts = F.timestamp_millis("message_timestamp")
+    from moodwire.functions.text import epoch_ms_to_utc
+    ts = epoch_ms_to_utc(F.col("message_timestamp"))
     fmt = "yyyy-MM-dd HH:mm:ss.SSS"
     return fixtures.messages(spark, sf_dir).select(
         "message_id", F.date_format(ts, fmt).alias("message_ts"),

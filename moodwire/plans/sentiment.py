@@ -29,7 +29,7 @@ def filter_non_blank(df: DataFrame, col: str = "message_text") -> DataFrame:
 def processing_time(at: dt.datetime | None = None) -> Column:
     """Processing timestamp (ms precision, zone-less); fixed when ``at`` is given."""
     if at is not None:
-        return F.lit(at).cast("timestamp_ntz")
+        return F.lit(at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     return F.date_trunc("millisecond", F.current_timestamp()).cast("timestamp_ntz")
 
 
@@ -60,4 +60,4 @@ def to_serving(sentiments: DataFrame) -> DataFrame:
     return sentiments.withColumn(
         "processing_timestamp",
         F.date_format("processing_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSS"),
-    ).withColumn("message_date", F.to_date(F.timestamp_millis("message_timestamp")))
+    ).withColumn("message_date", F.to_date(tx.epoch_ms_to_utc(F.col("message_timestamp"))))

@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from moodwire.functions.text import epoch_ms_to_utc
+
 # --- fixed values that must equal the reference's -------------------------
 VERY_NEGATIVE_BELOW = -0.5      # karen_count / karen_percentage
 POSITIVE_ABOVE = 0.1            # positive_count
@@ -49,8 +51,8 @@ SENTIMENT_METRICS: dict[str, Callable[[], Column]] = {
 def _rate_per_hour_of_day() -> Column:
     """COUNT / (hour-of-day(max) - hour-of-day(min) + 1), as written in the
     reference: negative or undefined across midnight (then NULL here)."""
-    hi = F.hour(F.timestamp_millis(F.max("generated_timestamp")))
-    lo = F.hour(F.timestamp_millis(F.min("generated_timestamp")))
+    hi = F.hour(epoch_ms_to_utc(F.max("generated_timestamp")))
+    lo = F.hour(epoch_ms_to_utc(F.min("generated_timestamp")))
     return F.try_divide(F.count(F.lit(1)).cast("double"), (hi - lo + 1).cast("double"))
 
 

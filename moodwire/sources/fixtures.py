@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moodwire.functions.text import EPOCH_NTZ
+
 TOPIC_PARTITIONS = 4
 
 
@@ -43,7 +45,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("string").alias("message_id"),
         F.concat(F.lit("cust_"), F.lpad(F.col("user_id").cast("string"), 5, "0")).alias("customer_id"),
         F.col("c_name").alias("customer_name"),
-        F.expr("unix_micros(cast(ts as timestamp)) div 1000").alias("message_timestamp"),
+        F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, ts) div 1000").alias("message_timestamp"),
         F.concat_ws(" ", F.col("event_type"), F.col("props")).alias("message_text"),
         F.struct(
             F.concat(F.lit("sess_"), F.col("user_id").cast("string")).alias("session_id"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moodwire.functions.text import epoch_ms_to_utc
 from moodwire.sources.codec import JSON_WRITE_OPTS
 
 # Day column used to partition serving tables (prunes by date on read).
@@ -25,7 +26,7 @@ def publish_keyed(df: DataFrame, options: dict) -> None:
 
 
 def with_date(df: DataFrame, ts_ms_col: str) -> DataFrame:
-    return df.withColumn(DATE_COL, F.to_date(F.timestamp_millis(F.col(ts_ms_col))))
+    return df.withColumn(DATE_COL, F.to_date(epoch_ms_to_utc(F.col(ts_ms_col))))
 
 
 def write_serving(df: DataFrame, path: str, ts_ms_col: str, mode: str = "append") -> None:

@@ -77,3 +77,17 @@ def test_blank_rule_agrees_with_python_isspace(spark):
     vals = spaces + [c * 2 for c in spaces] + others
     got = _eval(spark, vals, T.StringType(), tx.is_blank_py)
     assert got == [not v.strip() for v in vals]
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    import __spark_entry__ as ent
+    names = ["prj_computed_ts", "prj_enriched", "m_responses_all", "fn_json_roundtrip", "ts_sentiment_trend"]
+    q = ent.queries()
+    base = {n: sorted(map(tuple, q[n](spark, "/root/testdata/sf0.001").collect())) for n in names}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        for n in names:
+            assert sorted(map(tuple, q[n](spark, "/root/testdata/sf0.001").collect())) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
