@@ -146,3 +146,43 @@ def test_read_jsonl_quarantine(spark):
     good, bad = codec.read_jsonl(spark, p)
     assert [r.message_id for r in good.collect()] == ["a"]
     assert [r.raw for r in bad.collect()] == ["{oops"]
+
+
+def test_trend_stream_equals_batch_after_sentinel(spark):
+    """Append-mode windows close when the watermark passes; a far-future
+    sentinel row closes the last ones, then the stream equals the batch panel."""
+    from moodwire.plans import serving
+    base = tempfile.mkdtemp(prefix="mw-trend-", dir="/tmp")
+    src, ckpt = os.path.join(base, "src"), os.path.join(base, "ckpt")
+    os.makedirs(src)
+    s, parts = _slices(spark, src, 3)
+    for i, p in enumerate(parts):
+        _write(src, i, p)
+    sentinel = json.loads(parts[-1][-1])
+    sentinel.update(message_id="sentinel", message_timestamp=4_102_444_800_000, sentiment_score=0.0)
+    _write(src, len(parts), [json.dumps(sentinel)])
+    hour = 3_600_000
+    st = jobs.trend_stream(jobs.read_sentiment_stream(spark, "text", src, {"maxFilesPerTrigger": "1"}), "1 hour")
+    q = st.writeStream.format("memory").queryName("trend_mem").outputMode("append") \
+        .option("checkpointLocation", ckpt).start()
+    q.processAllAvailable()
+    q.stop()
+    got = sorted((r.bucket_start_ms, r.msgs, round(r.avg_sentiment, 9))
+                 for r in spark.sql("SELECT * FROM trend_mem").collect())
+    exp = sorted((r.bucket_start_ms, r.msgs, round(r.avg_sentiment, 9))
+                 for r in serving.ts_sentiment_trend(s, hour).collect())
+    assert got == exp
+
+
+def test_dedup_stream_drops_repeats(spark):
+    base = tempfile.mkdtemp(prefix="mw-dedup-", dir="/tmp")
+    src, ckpt = os.path.join(base, "src"), os.path.join(base, "ckpt")
+    os.makedirs(src)
+    s, parts = _slices(spark, src, 2)
+    _write(src, 0, parts[0])
+    _write(src, 1, parts[0][:50] + parts[1])     # at-least-once repeats
+    st = jobs.dedup_stream(jobs.read_sentiment_stream(spark, "text", src, {"maxFilesPerTrigger": "1"}))
+    q = st.writeStream.format("memory").queryName("dedup_mem").option("checkpointLocation", ckpt).start()
+    q.processAllAvailable()
+    q.stop()
+    assert spark.sql("SELECT count(*) FROM dedup_mem").first()[0] == s.count()
