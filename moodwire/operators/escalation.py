@@ -35,6 +35,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -326,6 +327,9 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
     rows = df.select(*keys, *order, F.col(score).cast("double").alias("_score"),
                      F.col(text).cast("string").alias("_text"))
     rows = rows.withColumn("_score", F.when(F.isnan("_score"), F.lit(None)).otherwise(F.col("_score")))
+    # The range exchange samples its input in a separate job: keep the input
+    # so the upstream (possibly a paid model scorer) is evaluated once.
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     tagged = (rows.repartitionByRange(partitions, *keys, *order)
               .sortWithinPartitions(*keys, *order)
               .withColumn("_gid", F.monotonically_increasing_id())
@@ -335,6 +339,7 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
     # once so row numbers agree (range bounds are sampled per shuffle) and the
     # upstream scorer never runs twice.
     tagged = materialize(tagged)
+    rows.unpersist()
 
     kfields = [T.StructField(f.name, f.dataType) for f in key_fields]
     summary_schema = T.StructType(kfields + [
