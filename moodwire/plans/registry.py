@@ -555,3 +555,35 @@ def dp_replay(spark, sf_dir):
     from moodwire.plans.dataprep import keyed_records, replay, shuffle_order
     m = fixtures.messages(spark, sf_dir).drop("kafka_timestamp", "kafka_partition", "kafka_offset")
     return keyed_records(replay(shuffle_order(m), loops=2, at_ms=F.lit(1_704_067_200_000)))
+
+
+# ------------------------------------------- streaming jobs over a replayed table
+
+
+@query("j1_stream", S + "SELECT message_id, sentiment_score, sentiment_category, model_used, source_partition, "
+                        "source_offset FROM s")
+def j1_stream(spark, sf_dir):
+    from moodwire.streaming import jobs, replay
+    msgs = fixtures.messages(spark, sf_dir)
+    out = replay.replay(msgs, lambda st: jobs.sentiment_stream(st, dense_scorer()), "j1_stream")
+    return out.select("message_id", "sentiment_score", "sentiment_category", "model_used",
+                      "source_partition", "source_offset")
+
+
+@query("st_pattern_stream", f"SELECT * FROM ({M_SQL}) m")
+def st_pattern_stream(spark, sf_dir):
+    from moodwire.streaming import replay
+    from moodwire.streaming.state import MATCH_OUTPUT, EscalationProcessor
+
+    def build(st):
+        return (st.groupBy("customer_id", "customer_name")
+                .transformWithStateInPandas(EscalationProcessor(), MATCH_OUTPUT, "Append", "None"))
+    return replay.replay(sentiments(spark, sf_dir), build, "st_pattern_stream",
+                         key_cols=("customer_id", "customer_name"))
+
+
+@query("w_burst_stream", ORACLE["w_burst_rule"])
+def w_burst_stream(spark, sf_dir):
+    from moodwire.streaming import jobs, replay
+    return replay.replay(sentiments(spark, sf_dir),
+                         lambda st: jobs.burst_stream(st, k=BURST_K, window_ms=BURST_WINDOW_MS), "w_burst_stream")
