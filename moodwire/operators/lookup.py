@@ -21,9 +21,12 @@ def user_lookup(messages: DataFrame, pool: DataFrame, key: str = "customer_id")
     broadcast is forced: the planner broadcasts it only below its size
     threshold and otherwise shuffles both sides on the key.
     """
-    p = pool.dropDuplicates([key]).select(
-        F.col(key), F.col("name").alias("_name"), F.col("country").alias("_country"),
-        F.col("sentiment_types").alias("_types"), F.col("is_karen").alias("_karen"))
+    # First pool row per id wins, in scan order (file order for a JSONL pool).
+    fields = F.struct(F.col("name").alias("_name"), F.col("country").alias("_country"),
+                      F.col("sentiment_types").alias("_types"), F.col("is_karen").alias("_karen"))
+    p = (pool.withColumn("_pos", F.monotonically_increasing_id())
+         .groupBy(key).agg(F.min_by(fields, F.col("_pos")).alias("_u"))
+         .select(key, "_u.*"))
     j = messages.join(p, key, "left")
     default_types = F.array(*[F.lit(t) for t in DEFAULT_TYPES])
     return j.select(

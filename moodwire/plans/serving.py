@@ -81,17 +81,26 @@ def response_metrics(counted_model: str = COUNTED_RESPONSE_MODEL) -> dict[str, C
 RESPONSE_METRICS = response_metrics()
 
 
+APPROX_DISTINCT = {"unique_customers": "customer_id", "unique_karen_customers": "customer_id"}
+
+
 def metrics(df: DataFrame, registry: dict[str, Callable[[], Column]], names=None,
-            by: list[str] | None = None, digits: int | None = None) -> DataFrame:
+            by: list[str] | None = None, digits: int | None = None,
+            approx_distinct: bool = False, rsd: float = 0.01) -> DataFrame:
     """Apply named metrics to ``df``, grouped by ``by`` (or over all rows).
 
     ``digits`` rounds double-valued metrics (float sums depend on the order in
     which partial aggregates meet, so comparisons use a fixed precision).
+    ``approx_distinct`` swaps the distinct counts for HyperLogLog++ sketches
+    (mergeable partial states; the form streaming aggregations need).
     """
     names = list(names or registry)
     cols = []
     for n in names:
-        c = registry[n]()
+        if approx_distinct and n in APPROX_DISTINCT:
+            c = F.approx_count_distinct(APPROX_DISTINCT[n], rsd)
+        else:
+            c = registry[n]()
         cols.append(c.alias(n))
     out = df.groupBy(*(by or [])).agg(*cols)
     if digits is not None:

@@ -48,3 +48,5 @@ def recreate_table(spark: SparkSession, name: str, path: str, recreate: bool = F
     if recreate:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    if DATE_COL in spark.table(name).columns:
+        spark.sql(f"MSCK REPAIR TABLE {name}")  # register existing day partitions

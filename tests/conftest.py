@@ -19,7 +19,8 @@ def spark():
     from pyspark.sql import SparkSession
     from moodwire.session import BASE_CONF
     b = SparkSession.builder.master("local[*]").appName("moodwire-tests").config(
-        "spark.sql.shuffle.partitions", "8")
+        "spark.sql.shuffle.partitions", "8").config(
+        "spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="moodwire-test-wh-", dir="/tmp"))
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()

@@ -91,3 +91,25 @@ def test_jsonl_sink_roundtrip(spark):
     write_jsonl(m, os.path.join(d, "out"))
     back = spark.read.schema(m.schema).json(os.path.join(d, "out"))
     assert back.count() == m.count()
+
+
+def test_serving_table_partitioned_and_pruned(spark):
+    from moodwire.plans import registry, serving
+    from moodwire.plans.sentiment import to_serving
+    from moodwire.sources.sinks import DATE_COL, recreate_table, write_serving
+    d = tempfile.mkdtemp(prefix="mw-serving-", dir="/tmp")
+    path = os.path.join(d, "sentiments_rt")
+    s = to_serving(registry.sentiments(spark, SF)).drop("message_date")
+    write_serving(s, path, "message_timestamp", mode="overwrite")
+    recreate_table(spark, "sentiments_rt_test", path, recreate=True)
+    recreate_table(spark, "sentiments_rt_test", path)          # already there: not an error
+    t = spark.table("sentiments_rt_test")
+    assert t.count() == s.count()
+    day = t.filter(F.col(DATE_COL) == "2024-01-02")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and day.count() > 0
+    exact = serving.metrics(t, serving.SENTIMENT_METRICS, by=["ip_country"]).orderBy("ip_country").collect()
+    approx = serving.metrics(t, serving.SENTIMENT_METRICS, by=["ip_country"], approx_distinct=True) \
+        .orderBy("ip_country").collect()
+    for a, b in zip(exact, approx):
+        assert abs(a.unique_customers - b.unique_customers) <= max(1, 0.05 * a.unique_customers)
