@@ -21,9 +21,11 @@ Execution is built for one key holding a large share of all rows:
 3. Per key, chunk summaries are folded in order by a streaming
    ``mapInPandas`` pass (only summaries are sequential, not rows), yielding
    the state each chunk starts in.
-4. Chunks are cogrouped with their start state and emit match fragments;
-   fragments of one match (one per chunk it spans) are assembled with an
-   ordered concatenation and an ordered fold of the scores.
+4. Chunks are joined with their start state and emit match fragments; a
+   match that never closes emits nothing, so an endless run of one hot key
+   never reaches a group. Fragments of one match (one per chunk it spans)
+   are assembled with an ordered concatenation and an ordered fold of the
+   scores.
 
 Close decisions compare chunk-local prefix sums; the reported total is the
 strict left-to-right double sum of the match's scores.
@@ -204,25 +206,39 @@ def _summary_fn(keys: Sequence[str], threshold: float):
 
 
 def _resolve_fn(keys: Sequence[str], threshold: float):
-    """Streaming fold over chunk summaries sorted by (keys, _cb)."""
+    """Streaming fold over chunk summaries sorted by (keys, _cb).
+
+    Per chunk: the state it starts in, whether an incoming open match closes
+    inside it (``in_hit``), and ``out_start``, the start of the match left
+    open at its end as seen by the key's next chunk (-1 when none). The last
+    needs one chunk of lookahead, so each row is held until the next arrives.
+    """
+    out_cols = list(keys) + ["_cb", "in_kind", "in_sum", "in_cnt", "in_start", "in_hit", "out_start"]
 
     def resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cur_key = object()
         kind, s, n, start = _RESET, 0.0, 0, -1
+        held: list | None = None
         for pdf in batches:
-            out = {c: [] for c in list(keys) + ["_cb", "in_kind", "in_sum", "in_cnt", "in_start"]}
+            out = {c: [] for c in out_cols}
+
+            def flush(row, out_start):
+                for c, v in zip(out_cols, row + [out_start]):
+                    out[c].append(v)
+
             kcols = [pdf[c].tolist() for c in keys]
             for i in range(len(pdf)):
                 k = tuple(col[i] for col in kcols)
                 if k != cur_key:
+                    if held is not None:
+                        flush(held, -1)
+                        held = None
                     cur_key, kind, s, n, start = k, _RESET, 0.0, 0, -1
-                for c, v in zip(keys, k):
-                    out[c].append(v)
-                out["_cb"].append(int(pdf["_cb"].iat[i]))
-                out["in_kind"].append(kind)
-                out["in_sum"].append(float(s))
-                out["in_cnt"].append(int(n))
-                out["in_start"].append(int(start))
+                elif held is not None:
+                    flush(held, int(start) if kind == _OPEN else -1)
+                    held = None
+                row = list(k) + [int(pdf["_cb"].iat[i]), kind, float(s), int(n), int(start)]
+                hit_here = False
                 if kind == _RESET:
                     kind, s, n, start = (int(pdf["f_kind"].iat[i]), float(pdf["f_sum"].iat[i]),
                                          int(pdf["f_cnt"].iat[i]), int(pdf["f_start"].iat[i]))
@@ -232,11 +248,18 @@ def _resolve_fn(keys: Sequence[str], threshold: float):
                     if len(hit) == 0:
                         s, n = s + float(pdf["psum"].iat[i]), n + int(pdf["m"].iat[i])
                     else:
+                        hit_here = True
                         h = int(hit[0])
                         kind = int(pdf["rl_kind"].iat[i][h])
                         s = float(pdf["rl_sum"].iat[i][h])
                         n = int(pdf["rl_cnt"].iat[i][h])
                         start = int(pdf["rl_start"].iat[i][h])
+                held = row + [hit_here]
+            yield _frame(out)
+        if held is not None:
+            out = {c: [] for c in out_cols}
+            for c, v in zip(out_cols, held + [-1]):
+                out[c].append(v)
             yield _frame(out)
 
     return resolve
@@ -275,6 +298,11 @@ def _emit_fn(keys: Sequence[str], threshold: float, sep: str):
             cols["t_text"].append(texts[hi] if close else None)
             cols["t_order"].append(order0[hi] if close else None)
 
+        # The match left open at the chunk end (pass-through or trailing) is
+        # emitted only when a later chunk closes it: a run that never reaches
+        # the threshold builds no texts and reaches no per-match group.
+        oc = rows["out_closes"].iloc[0]
+        keep_open = oc is not None and not pd.isna(oc) and bool(oc)
         p = 0
         kind0 = rows["in_kind"].iloc[0]
         if kind0 is not None and not pd.isna(kind0) and int(kind0) == _OPEN:
@@ -282,7 +310,8 @@ def _emit_fn(keys: Sequence[str], threshold: float, sep: str):
             start = int(rows["in_start"].iloc[0])
             k = ch.close_in(s_in)
             if k >= m:
-                frag(start, 0, m, False)
+                if keep_open:
+                    frag(start, 0, m, False)
                 p = m
             else:
                 frag(start, 0, k, True)
@@ -293,7 +322,8 @@ def _emit_fn(keys: Sequence[str], threshold: float, sep: str):
                 break
             e = int(ch.end[s])
             if e >= m:
-                frag(gid[s], s, m, False)
+                if keep_open:
+                    frag(gid[s], s, m, False)
                 break
             frag(gid[s], s, e, True)
             p = e + 1
@@ -361,10 +391,16 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
     state_schema = T.StructType(kfields + [
         T.StructField("_cb", T.LongType()), T.StructField("in_kind", T.IntegerType()),
         T.StructField("in_sum", T.DoubleType()), T.StructField("in_cnt", T.LongType()),
-        T.StructField("in_start", T.LongType()),
+        T.StructField("in_start", T.LongType()), T.StructField("in_hit", T.BooleanType()),
+        T.StructField("out_start", T.LongType()),
     ])
     resolved = (summaries.repartition(partitions, *keys).sortWithinPartitions(*keys, "_cb")
                 .mapInPandas(_resolve_fn(keys, threshold), state_schema))
+    # Matches that close in a later chunk than the one they start in, by start
+    # row id (unique): at most one per chunk, so this side stays small.
+    closing = resolved.filter(F.col("in_hit")).select(F.col("in_start").alias("_closing_start"))
+    resolved = (resolved.join(closing, F.col("out_start") == F.col("_closing_start"), "left")
+                .withColumn("out_closes", F.col("_closing_start").isNotNull()).drop("_closing_start"))
 
     frag_schema = T.StructType(kfields + [
         T.StructField("match_gid", T.LongType()), T.StructField("_cb", T.LongType()),
@@ -376,13 +412,14 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
     # broadcasts the state side only when its measured size is small;
     # otherwise both sides shuffle on the chunk id, which keeps chunks whole.
     st = resolved.select(*[F.col(c).alias(f"_s_{c}") for c in chunk_cols],
-                         "in_kind", "in_sum", "in_start")
+                         "in_kind", "in_sum", "in_start", "out_closes")
     cond = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in chunk_cols]
     frags = (tagged.select(*keys, "_cb", "_gid", "_score", "_text", "_order0")
              .join(st, cond, "left").drop(*[f"_s_{c}" for c in chunk_cols])
              .sortWithinPartitions(*keys, "_cb", "_gid")
              .mapInPandas(_per_chunk_stream(chunk_cols, _emit_fn(keys, threshold, separator)), frag_schema))
 
+    # Only fragments of closing matches remain, so each group is one output row.
     matches = (frags.groupBy(*keys, "match_gid").agg(
         F.array_sort(F.collect_list(F.struct("_cb", "frag_texts", "frag_scores"))).alias("_f"),
         F.sum("frag_count").alias("trigger_message_count"),
