@@ -124,52 +124,137 @@ def _frame(cols: dict) -> pd.DataFrame:
     return pd.DataFrame({k: pd.Series(v, dtype="object") for k, v in cols.items()})
 
 
-def _chunks(batches: Iterator[pd.DataFrame], keycols: list[str]) -> Iterator[pd.DataFrame]:
-    """Split a partition's sorted batch stream into whole chunks (runs of equal
-    ``keycols``). A chunk cut by a batch boundary is carried over; chunks are
-    bounded by ``chunk_rows``, so the carry is too."""
+class _Seq:
+    """Pure-Python twin of :class:`_Chunk` for short chunks (most keys).
+
+    The same sequential prefix sums and the same comparisons, so both paths
+    make identical close decisions; it only avoids numpy's fixed per-call
+    cost, which dominates when a chunk holds a handful of rows.
+    """
+
+    def __init__(self, scores: list, threshold: float):
+        self.m = m = len(scores)
+        self.thr = threshold
+        self.z = z = [0.0 if x != x else x for x in scores]   # NULL arrives as NaN
+        q, acc = [], 0.0
+        for i, v in enumerate(z):
+            acc = v if i == 0 else acc + v
+            q.append(acc)
+        self.q, self.p = q, [0.0] + q
+        nv, nxt = [m] * (m + 1), m
+        for i in range(m - 1, -1, -1):
+            x = scores[i]
+            if x == x and x > threshold:
+                nxt = i
+            nv[i] = nxt
+        self.nv = nv
+        self._end: dict[int, int] = {}
+
+    def end(self, s: int) -> int:
+        """First j > s closing a match started at s (m if none)."""
+        e = self._end.get(s)
+        if e is None:
+            lim, q, e = self.p[s] + self.thr, self.q, self.m
+            for j in range(s + 1, self.m):
+                if q[j] <= lim:
+                    e = j
+                    break
+            self._end[s] = e
+        return e
+
+    def open_start(self, p: int) -> int:
+        """After a fresh start at p: start of the match open at the chunk end, or m."""
+        m = self.m
+        while True:
+            s = self.nv[p]
+            if s >= m:
+                return m
+            e = self.end(s)
+            if e >= m:
+                return s
+            p = e + 1
+
+    def close_in(self, s_in: float) -> int:
+        lim = self.thr - s_in
+        for j, v in enumerate(self.q):
+            if v <= lim:
+                return j
+        return self.m
+
+
+SMALL_CHUNK = 128
+
+
+def _chunk_frames(batches: Iterator[pd.DataFrame], keycols: list[str]):
+    """Regroup a partition's sorted batch stream into frames of whole chunks
+    (runs of equal ``keycols``). Yields ``(frame, bounds)``: chunk start
+    offsets followed by the frame length. A chunk cut by a batch boundary is
+    carried over; chunks are bounded by ``chunk_rows``, so the carry is too."""
     carry: list[pd.DataFrame] = []
+    carry_hash = None
     for pdf in batches:
         if len(pdf) == 0:
             continue
+        pdf = pdf.reset_index(drop=True)
         h = pd.util.hash_pandas_object(pdf[keycols], index=False).to_numpy()
         cuts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
         if carry:
-            ch = pd.util.hash_pandas_object(carry[-1][keycols].iloc[:1], index=False).to_numpy()[0]
-            if ch != h[0]:
-                yield pd.concat(carry, ignore_index=True)
-                carry = []
-        bounds = list(cuts) + [len(pdf)]
-        for a, b in zip(bounds[:-2], bounds[1:-1]):
-            if carry:
-                carry.append(pdf.iloc[a:b])
-                yield pd.concat(carry, ignore_index=True)
-                carry = []
-            else:
-                yield pdf.iloc[a:b]
-        carry.append(pdf.iloc[bounds[-2]:])
+            if h[0] == carry_hash:
+                if len(cuts) == 1:
+                    carry.append(pdf)
+                    continue
+                c1 = int(cuts[1])
+                carry.append(pdf.iloc[:c1])
+                pdf, h, cuts = pdf.iloc[c1:].reset_index(drop=True), h[c1:], cuts[1:] - c1
+            done = pd.concat(carry, ignore_index=True)
+            yield done, np.array([0, len(done)])
+            carry = []
+        last = int(cuts[-1])
+        if last > 0:
+            yield pdf.iloc[:last], np.r_[cuts[:-1], last]
+        carry, carry_hash = [pdf.iloc[last:]], h[last]
     if carry:
-        yield pd.concat(carry, ignore_index=True)
+        done = pd.concat(carry, ignore_index=True)
+        yield done, np.array([0, len(done)])
 
 
-def _per_chunk_stream(keycols: list[str], fn, flush_rows: int = 4096):
-    """mapInPandas driver: apply ``fn(chunk) -> DataFrame`` to each chunk and
-    emit the results in batches."""
+def _per_chunk_stream(keycols: list[str], big_fn, small_fn, in_cols: list[str], out_cols: list[str],
+                      flush_rows: int = 4096, small_rows: int = SMALL_CHUNK):
+    """mapInPandas driver. Chunks of at most ``small_rows`` rows go through
+    ``small_fn(cols, a, b, out)`` on plain column lists of the whole batch;
+    larger ones through the vectorised ``big_fn(chunk) -> DataFrame``."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out, n = [], 0
-        for chunk in _chunks(batches, keycols):
-            r = fn(chunk)
-            if len(r):
-                out.append(r)
-                n += len(r)
+        out = {c: [] for c in out_cols}
+        frames, n = [], 0
+
+        def flush():
+            parts = ([_frame(out)] if out[out_cols[0]] else []) + frames
+            return pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
+
+        for pdf, bounds in _chunk_frames(batches, keycols):
+            cols = None
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                if b - a <= small_rows:
+                    if cols is None:
+                        cols = {c: pdf[c].tolist() for c in in_cols}
+                    n += small_fn(cols, a, b, out)
+                else:
+                    r = big_fn(pdf.iloc[a:b])
+                    if len(r):
+                        frames.append(r[out_cols])
+                        n += len(r)
             if n >= flush_rows:
-                yield pd.concat(out, ignore_index=True)
-                out, n = [], 0
-        if out:
-            yield pd.concat(out, ignore_index=True)
+                yield flush()
+                out, frames, n = {c: [] for c in out_cols}, [], 0
+        if n:
+            yield flush()
     return run
 
 
+def _is_set(v) -> bool:
+    return v is not None and not (isinstance(v, float) and v != v) and v is not pd.NA
+
+
 def _summary_fn(keys: Sequence[str], threshold: float):
     def summarize(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_gid", kind="stable")
@@ -205,6 +290,99 @@ def _summary_fn(keys: Sequence[str], threshold: float):
     return summarize
 
 
+SUMMARY_COLS = ["_cb", "m", "psum", "f_kind", "f_sum", "f_cnt", "f_start",
+                "rl_q", "rl_kind", "rl_sum", "rl_cnt", "rl_start"]
+
+
+def _summary_small_fn(keys: Sequence[str], threshold: float):
+    """Row-list twin of :func:`_summary_fn` for short chunks."""
+    keys = list(keys)
+
+    def summarize(cols: dict, a: int, b: int, out: dict) -> int:
+        gid = cols["_gid"][a:b]
+        sq = _Seq(cols["_score"][a:b], threshold)
+        m, pm = sq.m, sq.p[sq.m]
+
+        def state(os_):
+            if os_ < m:
+                return _OPEN, pm - sq.p[os_], m - os_, gid[os_]
+            return _RESET, 0.0, 0, -1
+
+        f = state(sq.open_start(0))
+        rl_q, rl = [], []
+        low = float("inf")
+        for j, v in enumerate(sq.q):
+            if v < low and v < 0:
+                rl_q.append(v)
+                rl.append(state(sq.open_start(j + 1)))
+            low = min(low, v)
+        for c in keys:
+            out[c].append(cols[c][a])
+        for c, v in zip(SUMMARY_COLS, [cols["_cb"][a], m, pm, *f, rl_q, [r[0] for r in rl],
+                                       [r[1] for r in rl], [r[2] for r in rl], [r[3] for r in rl]]):
+            out[c].append(v)
+        return 1
+
+    return summarize
+
+
+FRAG_COLS = ["match_gid", "_cb", "frag_count", "frag_texts", "frag_scores", "is_close", "t_text", "t_order"]
+
+
+def _join_texts(texts, sep: str) -> str | None:
+    vals = [t for t in texts if _is_set(t)]
+    return sep.join(vals) if vals else None
+
+
+def _emit_small_fn(keys: Sequence[str], threshold: float, sep: str):
+    """Row-list twin of :func:`_emit_fn` for short chunks."""
+    keys = list(keys)
+
+    def emit(cols: dict, a: int, b: int, out: dict) -> int:
+        gid, texts, order0 = cols["_gid"][a:b], cols["_text"][a:b], cols["_order0"][a:b]
+        sq = _Seq(cols["_score"][a:b], threshold)
+        m, kvals, cb = sq.m, [cols[c][a] for c in keys], cols["_cb"][a]
+        keep_open = _is_set(cols["out_closes"][a]) and bool(cols["out_closes"][a])
+        n = 0
+
+        def frag(match_gid, lo, hi, close):
+            for c, v in zip(keys, kvals):
+                out[c].append(v)
+            last = hi + 1 if close else hi
+            for c, v in zip(FRAG_COLS, [match_gid, cb, last - lo, _join_texts(texts[lo:hi], sep),
+                                        sq.z[lo:last], close, texts[hi] if close else None,
+                                        order0[hi] if close else None]):
+                out[c].append(v)
+            return 1
+
+        p = 0
+        kind0 = cols["in_kind"][a]
+        if _is_set(kind0) and int(kind0) == _OPEN:
+            start = int(cols["in_start"][a])
+            k = sq.close_in(float(cols["in_sum"][a]))
+            if k >= m:
+                if keep_open:
+                    n += frag(start, 0, m, False)
+                p = m
+            else:
+                n += frag(start, 0, k, True)
+                p = k + 1
+        while p < m:
+            s = sq.nv[p]
+            if s >= m:
+                break
+            e = sq.end(s)
+            if e >= m:
+                if keep_open:
+                    n += frag(gid[s], s, m, False)
+                break
+            n += frag(gid[s], s, e, True)
+            p = e + 1
+        return n
+
+    return emit
+
+
 def _resolve_fn(keys: Sequence[str], threshold: float):
     """Streaming fold over chunk summaries sorted by (keys, _cb).
 
@@ -266,10 +444,6 @@ def _resolve_fn(keys: Sequence[str], threshold: float):
 
 
 def _emit_fn(keys: Sequence[str], threshold: float, sep: str):
-    def join_texts(texts) -> str | None:
-        vals = [t for t in texts if t is not None and t is not pd.NA and not (isinstance(t, float) and np.isnan(t))]
-        return sep.join(vals) if vals else None
-
     def emit(rows: pd.DataFrame) -> pd.DataFrame:
         cols = {c: [] for c in list(keys) + ["match_gid", "_cb", "frag_count", "frag_texts", "frag_scores",
                                            "is_close", "t_text", "t_order"]}
@@ -292,7 +466,7 @@ def _emit_fn(keys: Sequence[str], threshold: float, sep: str):
             cols["_cb"].append(cb)
             last = hi + 1 if close else hi
             cols["frag_count"].append(int(last - lo))
-            cols["frag_texts"].append(join_texts(texts[lo:hi]))
+            cols["frag_texts"].append(_join_texts(texts[lo:hi], sep))
             cols["frag_scores"].append(ch.z[lo:last].tolist())
             cols["is_close"].append(bool(close))
             cols["t_text"].append(texts[hi] if close else None)
@@ -338,12 +512,14 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
                       order: Sequence[str] = ("message_timestamp", "source_partition", "source_offset"),
                       score: str = "sentiment_score", text: str = "message_text",
                       threshold: float = DEFAULT_THRESHOLD, separator: str = MESSAGE_SEPARATOR,
-                      chunk_rows: int = DEFAULT_CHUNK_ROWS, partitions: int | None = None) -> DataFrame:
+                      chunk_rows: int = DEFAULT_CHUNK_ROWS, partitions: int | None = None,
+                      small_chunk: int = SMALL_CHUNK) -> DataFrame:
     """One row per match: keys, karen_score_total, trigger_message_count,
     recent_messages, trigger_order (value of ``order[0]`` on the closing row).
 
     ``order`` must be unique within a key (the default Kafka position is);
-    ``chunk_rows`` bounds the rows any single pandas call sees.
+    ``chunk_rows`` bounds the rows any single pandas call sees; chunks of at
+    most ``small_chunk`` rows are folded on plain lists instead of numpy.
     """
     keys, order = list(keys), list(order)
     spark = df.sparkSession
@@ -386,7 +562,11 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
     # summaries need no shuffle.
     summaries = (tagged.select(*keys, "_cb", "_gid", "_score")
                  .sortWithinPartitions(*keys, "_cb", "_gid")
-                 .mapInPandas(_per_chunk_stream(chunk_cols, _summary_fn(keys, threshold)), summary_schema))
+                 .mapInPandas(_per_chunk_stream(chunk_cols, _summary_fn(keys, threshold),
+                                                _summary_small_fn(keys, threshold),
+                                                [*keys, "_cb", "_gid", "_score"], [*keys, *SUMMARY_COLS],
+                                                small_rows=small_chunk),
+                              summary_schema))
 
     state_schema = T.StructType(kfields + [
         T.StructField("_cb", T.LongType()), T.StructField("in_kind", T.IntegerType()),
@@ -417,7 +597,12 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
     frags = (tagged.select(*keys, "_cb", "_gid", "_score", "_text", "_order0")
              .join(st, cond, "left").drop(*[f"_s_{c}" for c in chunk_cols])
              .sortWithinPartitions(*keys, "_cb", "_gid")
-             .mapInPandas(_per_chunk_stream(chunk_cols, _emit_fn(keys, threshold, separator)), frag_schema))
+             .mapInPandas(_per_chunk_stream(chunk_cols, _emit_fn(keys, threshold, separator),
+                                            _emit_small_fn(keys, threshold, separator),
+                                            [*keys, "_cb", "_gid", "_score", "_text", "_order0",
+                                             "in_kind", "in_sum", "in_start", "out_closes"],
+                                            [*keys, *FRAG_COLS], small_rows=small_chunk),
+                          frag_schema))
 
     # Only fragments of closing matches remain, so each group is one output row.
     matches = (frags.groupBy(*keys, "match_gid").agg(

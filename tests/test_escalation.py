@@ -90,10 +90,10 @@ scores = st.lists(st.one_of(st.none(), st.sampled_from([-1.0, -0.75, -0.5, -0.25
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(scores, min_size=1, max_size=6), st.sampled_from([1, 2, 3, 8, 1 << 10]))
-def test_property_equals_sequential_fold(spark, seqs, chunk_rows):
+@given(st.lists(scores, min_size=1, max_size=6), st.sampled_from([1, 2, 3, 8, 1 << 10]), st.sampled_from([0, 128]))
+def test_property_equals_sequential_fold(spark, seqs, chunk_rows, small_chunk):
     data = {(f"c{i}", "n"): s for i, s in enumerate(seqs)}
-    got = _run(spark, data, chunk_rows=chunk_rows, partitions=3)
+    got = _run(spark, data, chunk_rows=chunk_rows, partitions=3, small_chunk=small_chunk)
     exp = _expected(data)
     assert got == exp
     for cid, _, total, n, _ in got:
@@ -122,3 +122,32 @@ def test_hot_key_is_split_and_exact(spark):
     parts = (df.repartitionByRange(8, "customer_id", "customer_name", "message_timestamp")
              .filter(F.col("customer_id") == "hot").select(F.spark_partition_id().alias("p")).distinct().count())
     assert parts >= 6
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.floats(-3.0, 2.0, allow_nan=False)), min_size=1, max_size=80),
+       st.floats(-4.0, 4.0, allow_nan=False))
+def test_list_and_numpy_chunk_paths_decide_alike(xs, s_in):
+    """The short-chunk list path and the numpy path agree on every start, close
+    and trajectory, including for arbitrary (non-grid) doubles."""
+    import numpy as np
+    from moodwire.operators.escalation import _Chunk, _Seq
+    arr = np.array([np.nan if x is None else x for x in xs], dtype="float64")
+    ch, sq = _Chunk(arr, -5.0), _Seq(arr.tolist(), -5.0)
+    assert list(ch.nv) == sq.nv
+    assert [int(e) for e in ch.end] == [sq.end(s) for s in range(len(xs))]
+    assert [int(t) for t in ch.trajectories()] == [sq.open_start(p) for p in range(len(xs) + 1)]
+    assert ch.close_in(s_in) == sq.close_in(s_in)
+    assert ch.p.tolist() == sq.p
+
+
+def test_hot_key_numpy_and_list_paths_agree(spark):
+    import random
+    rnd = random.Random(11)
+    vals = [-1.0, -0.5, -0.25, 0.0, 0.25, 0.5, 0.8, None]
+    seqs = {("hot", "H"): [rnd.choice(vals) for _ in range(3_000)]}
+    for i in range(30):
+        seqs[(f"c{i:02d}", "n")] = [rnd.choice(vals) for _ in range(rnd.randint(1, 300))]
+    exp = _expected(seqs)
+    for small in (0, 128, 1 << 20):
+        assert _run(spark, seqs, chunk_rows=512, partitions=4, small_chunk=small) == exp
