@@ -8,8 +8,11 @@ offset) order; batches are taken in arrival order.
 
 from __future__ import annotations
 
+import bisect
+from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -18,6 +21,18 @@ from moodwire.functions.text import MESSAGE_SEPARATOR
 
 ORDER = ["message_timestamp", "source_partition", "source_offset"]
 
+
+def _ordered(rows: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
+    """A key's rows of this micro-batch in (timestamp, partition, offset) order."""
+    frames = [f for f in rows if len(f)]
+    if not frames:
+        return None
+    pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    if len(pdf) > 1:
+        idx = np.lexsort([pdf[c].to_numpy() for c in reversed(ORDER)])
+        pdf = pdf.iloc[idx]
+    return pdf
+
 MATCH_OUTPUT = T.StructType([
     T.StructField("customer_id", T.StringType()),
     T.StructField("customer_name", T.StringType()),
@@ -46,32 +61,34 @@ class EscalationProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         thr = self.threshold
-        if self.acc.exists():
-            s, n = self.acc.get()
-        else:
-            s, n = 0.0, 0
+        pdf = _ordered(rows)
+        if pdf is None:
+            return
+        # State calls are round trips to the state store: one read, then writes
+        # only for what changed. ``stored`` says whether the list state holds
+        # texts of the open match.
+        acc = self.acc.get()
+        s, n = (float(acc[0]), int(acc[1])) if acc is not None else (0.0, 0)
+        stored = n > 0
         pending: list[str] = []
         out = []
-        frames = [r for r in rows]
-        pdf = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
-        if len(pdf):
-            pdf = pdf.sort_values(ORDER, kind="stable")
-        for x, txt, ts in zip(pdf.get("sentiment_score", []), pdf.get("message_text", []),
-                              pdf.get("message_timestamp", [])):
-            x = None if x is None or pd.isna(x) else float(x)
-            txt = None if txt is None or (not isinstance(txt, str) and pd.isna(txt)) else txt
+        for x, txt, ts in zip(pdf["sentiment_score"].tolist(), pdf["message_text"].tolist(),
+                              pdf["message_timestamp"].tolist()):
+            x = None if x is None or x != x else float(x)
+            txt = txt if isinstance(txt, str) else None
             if n == 0:
                 if x is not None and x > thr:
                     s, n = x, 1
-                    self.texts.clear()
                     pending = [txt] if txt is not None else []
                 continue
             if x is not None and s + x <= thr:
-                pre = [r[0] for r in self.texts.get()] + pending
+                pre = ([r[0] for r in self.texts.get()] if stored else []) + pending
                 recent = (self.sep.join(pre) + self.sep + txt) if (pre and txt is not None) else None
                 out.append((key[0], key[1], s + x, n + 1, recent, int(ts)))
+                if stored:
+                    self.texts.clear()
+                    stored = False
                 s, n, pending = 0.0, 0, []
-                self.texts.clear()
             else:
                 s, n = s + (x or 0.0), n + 1
                 if txt is not None:
@@ -80,9 +97,8 @@ class EscalationProcessor(StatefulProcessor):
             self.acc.update((s, n))
             if pending:
                 self.texts.appendList([(t,) for t in pending])
-        else:
+        elif acc is not None:
             self.acc.clear()
-            self.texts.clear()
         if out:
             yield pd.DataFrame(out, columns=[f.name for f in MATCH_OUTPUT.fields])
 
@@ -114,20 +130,23 @@ class BurstProcessor(StatefulProcessor):
         self.times = handle.getListState("times", "ts long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frames = [r for r in rows]
-        if not frames:
+        pdf = _ordered(rows)
+        if pdf is None:
             return
-        pdf = pd.concat(frames, ignore_index=True).sort_values(ORDER, kind="stable")
-        held = [int(r[0]) for r in self.times.get()]
+        held = deque(int(r[0]) for r in self.times.get())
         out = []
-        for mid, name, ts in zip(pdf["message_id"], pdf["customer_name"], pdf["message_timestamp"]):
+        for mid, name, ts in zip(pdf["message_id"].tolist(), pdf["customer_name"].tolist(),
+                                 pdf["message_timestamp"].tolist()):
             ts = int(ts)
-            held = [t for t in held if t >= ts - self.window_ms] + [ts]
+            if held and ts < held[-1]:
+                bisect.insort(held, ts)  # a late row: keep the held times ordered
+            else:
+                held.append(ts)
+            while held[0] < ts - self.window_ms:
+                held.popleft()
             if len(held) >= self.k:
                 out.append((key[0], name, mid, ts, len(held)))
-        self.times.clear()
-        if held:
-            self.times.put([(t,) for t in held])
+        self.times.put([(t,) for t in held])
         if out:
             yield pd.DataFrame(out, columns=[f.name for f in BURST_OUTPUT.fields])
 
