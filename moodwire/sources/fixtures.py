@@ -20,8 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodwire.functions.text import EPOCH_NTZ
+from moodwire.operators.joins import broadcast_if_bounded
 
 TOPIC_PARTITIONS = 4
+# Bound checked before broadcasting the nation dimension (25 rows by schema).
+NATION_MAX_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,15 +34,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer messages derived from events ⋈ customer ⋈ nation.
 
-    ``nation`` has 25 rows at every scale (fixed by the schema), so it is
-    broadcast; ``customer`` grows with the scale factor, so the planner picks
-    the strategy from its size statistics (broadcast under the threshold, a
-    shuffle join with AQE skew splitting above it).
+    ``nation`` has 25 rows at every scale (fixed by the schema); it is
+    broadcast once a bounded count confirms that. ``customer`` grows with the
+    scale factor, so the planner picks the strategy from its size statistics
+    (broadcast under the threshold, a shuffle join with AQE skew splitting
+    above it).
     """
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     na = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    cust = cu.join(F.broadcast(na), cu.c_nationkey == na.n_nationkey, "left")
+    cust = cu.join(broadcast_if_bounded(na, NATION_MAX_ROWS), cu.c_nationkey == na.n_nationkey, "left")
     j = ev.join(cust, ev.user_id == cust.c_custkey, "left")
     return j.select(
         F.col("event_id").cast("string").alias("message_id"),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodwire import schemas
+from moodwire.operators.joins import broadcast_if_bounded
 from moodwire.sources import fixtures
 
 # --- fixed values that must equal the reference's -------------------------
@@ -35,7 +36,7 @@ def user_pool_from_customers(spark: SparkSession, sf_dir: str, segment: str | No
     if segment is not None:
         cu = cu.filter(F.col("c_mktsegment") == segment)
     na = fixtures.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = cu.join(F.broadcast(na), cu.c_nationkey == na.n_nationkey, "left")
+    j = cu.join(broadcast_if_bounded(na, fixtures.NATION_MAX_ROWS), cu.c_nationkey == na.n_nationkey, "left")
     karen = F.col("c_acctbal") < 0
     return j.select(
         F.concat(F.lit("cust_"), F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("customer_id"),

@@ -35,11 +35,13 @@ def write_serving(df: DataFrame, path: str, ts_ms_col: str, mode: str = "append"
 
 
 def stream_serving(df: DataFrame, path: str, ts_ms_col: str, checkpoint: str, name: str,
-                   trigger: str = "10 seconds"):
-    """Continuous ingestion into a serving table: exactly-once file sink."""
-    return (with_date(df, ts_ms_col).writeStream.format("parquet").outputMode("append")
-            .partitionBy(DATE_COL).option("checkpointLocation", checkpoint).queryName(name)
-            .trigger(processingTime=trigger).start(path))
+                   trigger: str | None = "10 seconds"):
+    """Continuous ingestion into a serving table: exactly-once file sink.
+    ``trigger=None`` drains what is available and stops (backfills, tests)."""
+    w = (with_date(df, ts_ms_col).writeStream.format("parquet").outputMode("append")
+         .partitionBy(DATE_COL).option("checkpointLocation", checkpoint).queryName(name))
+    w = w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)
+    return w.start(path)
 
 
 def recreate_table(spark: SparkSession, name: str, path: str, recreate: bool = False) -> None:

@@ -113,3 +113,57 @@ def test_serving_table_partitioned_and_pruned(spark):
         .orderBy("ip_country").collect()
     for a, b in zip(exact, approx):
         assert abs(a.unique_customers - b.unique_customers) <= max(1, 0.05 * a.unique_customers)
+
+
+def test_broadcast_only_after_bounded_count(spark):
+    from moodwire.operators.joins import broadcast_if_bounded
+    na = fixtures.table(spark, SF, "nation")
+    hinted = broadcast_if_bounded(na, 1000)
+    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
+    ev = fixtures.table(spark, SF, "events")
+    plain = broadcast_if_bounded(ev, 100)
+    assert "broadcast" not in plain._jdf.queryExecution().logical().toString().lower()
+    m = fixtures.messages(spark, SF)
+    assert "BroadcastHashJoin" in m._jdf.queryExecution().executedPlan().toString()
+
+
+def test_read_user_pool_and_templates(spark, scratch):
+    from moodwire.sources.pools import TEMPLATE_TYPES, read_templates, read_user_pool
+    pool = os.path.join(scratch, "user_pool.jsonl")
+    with open(pool, "w", encoding="utf-8") as f:
+        f.write('{"customer_id": "cust_1", "name": "Zoë", "country": "DEU", '
+                '"sentiment_types": ["karen", "normal"], "is_karen": true}\n\n')
+        f.write('{"customer_id": "cust_2", "name": "Bo", "country": "USA", '
+                '"sentiment_types": ["funny"], "is_karen": false}\n')
+    rows = sorted(read_user_pool(spark, pool).collect())
+    assert [(r.customer_id, r.name, r.sentiment_types, r.is_karen) for r in rows] == [
+        ("cust_1", "Zoë", ["karen", "normal"], True), ("cust_2", "Bo", ["funny"], False)]
+    tpl = os.path.join(scratch, "templates.json")
+    with open(tpl, "w", encoding="utf-8") as f:
+        f.write(json.dumps({t: [f"{t} one", f"{t} two"] for t in TEMPLATE_TYPES}, indent=2))
+    got = read_templates(spark, tpl).groupBy("type").count().collect()
+    assert {r["type"]: r["count"] for r in got} == {t: 2 for t in TEMPLATE_TYPES}
+
+
+def test_serving_ingest_stream_from_earliest(spark, scratch):
+    """Scored rows arriving as a JSON file stream are ingested from the start
+    into the date-partitioned serving table; a restart adds only new files."""
+    from moodwire import schemas
+    from moodwire.plans import registry
+    from moodwire.sources.codec import encode_json
+    from moodwire.sources.sinks import DATE_COL, recreate_table, stream_serving
+    from moodwire.streaming.jobs import read_sentiment_stream
+    src, out, ck = (os.path.join(scratch, d) for d in ("topic", "sentiments_rt", "ckpt"))
+    s = registry.sentiments(spark, SF)
+    first, second = s.filter(F.col("source_partition") < 2), s.filter(F.col("source_partition") >= 2)
+    encode_json(first).select("value").write.text(os.path.join(src, "a"))
+    stream = read_sentiment_stream(spark, "text", os.path.join(src, "*"))
+    stream_serving(stream, out, "message_timestamp", ck, "ingest_a", trigger=None).awaitTermination()
+    encode_json(second).select("value").write.text(os.path.join(src, "b"))
+    stream = read_sentiment_stream(spark, "text", os.path.join(src, "*"))
+    stream_serving(stream, out, "message_timestamp", ck, "ingest_b", trigger=None).awaitTermination()
+    recreate_table(spark, "sentiments_rt_ingest", out, recreate=True)
+    t = spark.table("sentiments_rt_ingest")
+    assert DATE_COL in t.columns and set(schemas.MESSAGE_SENTIMENTS.names) <= set(t.columns)
+    assert t.count() == s.count()
+    assert t.select("message_id").distinct().count() == s.count()
