@@ -11,8 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from moodwire.operators.joins import broadcast_if_bounded
 from moodwire.session import materialize
 
+# Row bounds under which a lookup side is broadcast (checked before use).
+TEMPLATE_BROADCAST_ROWS = 100_000
+UPSAMPLE_BROADCAST_ROWS = 100_000
+
 # --- fixed values that must equal the reference's -------------------------
 KAREN_MESSAGES = (30, 40)      # messages per escalation-prone user (inclusive)
 REGULAR_MESSAGES = (5, 12)     # messages per other user (inclusive)
@@ -73,7 +78,11 @@ def pick_templates(rows: DataFrame, templates: DataFrame, seed: int = 42) -> Dat
     rid = F.concat_ws(":", F.col("customer_id"), F.col("seq").cast("string"))
     chosen = rows.withColumn("type", F.element_at(types, (draw(F.size(types), seed, rid, F.lit("t")) + 1).cast("int")))
     idx = index_within(templates.select("type", "template"), "type")
-    sizes = idx.select("type", "group_size").distinct()
+    # Both lookups are keyed by template type, a handful of hot values on the
+    # generated side: broadcast them when a bounded count confirms they are
+    # small, else the planner shuffles (AQE splits skewed partitions).
+    sizes = broadcast_if_bounded(idx.select("type", "group_size").distinct(), TEMPLATE_BROADCAST_ROWS)
+    lookup = broadcast_if_bounded(idx.select("type", "idx", "template"), TEMPLATE_BROADCAST_ROWS)
     with_size = chosen.join(sizes, "type", "left")
     checked = with_size.withColumn(
         "group_size",
@@ -82,7 +91,7 @@ def pick_templates(rows: DataFrame, templates: DataFrame, seed: int = 42) -> Dat
                                       F.coalesce(F.col("type"), F.lit("NULL")))))
         .otherwise(F.col("group_size")))
     picked = checked.withColumn("idx", draw(F.col("group_size"), seed, rid, F.lit("m")))
-    return picked.join(idx.select("type", "idx", "template"), ["type", "idx"]).drop("idx", "group_size")
+    return picked.join(lookup, ["type", "idx"]).drop("idx", "group_size")
 
 
 def build_messages(rows: DataFrame, seed: int = 42, at_ms: Column | None = None) -> DataFrame:
@@ -119,6 +128,11 @@ def upsample(messages: DataFrame, target: int, seed: int = 42) -> DataFrame:
     idx = index_within(messages.withColumn("_all", F.lit(0)), "_all", "_row").drop("_all", "group_size")
     picks = (messages.sparkSession.range(extra).withColumnRenamed("id", "_copy")
              .withColumn("_row", draw(F.lit(n), seed, F.col("_copy"))))
+    # With few source rows each row is drawn many times (a hot join key): the
+    # counted set is then small enough to broadcast; otherwise draws spread
+    # uniformly over many keys and a shuffle join is balanced.
+    if n <= UPSAMPLE_BROADCAST_ROWS:
+        idx = F.broadcast(idx)
     dup = picks.join(idx, "_row")
     rid = F.concat_ws(":", F.lit(str(seed)), F.col("_copy").cast("string"))
     dup = dup.withColumn("message_id", hash_uuid(rid, F.lit("copy"))).withColumn(
