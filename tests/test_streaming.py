@@ -5,6 +5,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from moodwire.plans import registry
@@ -186,3 +187,47 @@ def test_dedup_stream_drops_repeats(spark):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("SELECT count(*) FROM dedup_mem").first()[0] == s.count()
+
+
+def _burst_brute(rows, k, w):
+    """Plain definition: per row, rows of its customer with ts in [t - w, t]."""
+    out = []
+    for c, name, mid, t in rows:
+        n = sum(1 for c2, _, _, t2 in rows if c2 == c and t - w <= t2 <= t)
+        if n >= k:
+            out.append((c, name, mid, t, n))
+    return sorted(out, key=_nulls_first)
+
+
+def _nulls_first(row):
+    return tuple((x is not None, x if x is not None else 0) for x in row)
+
+
+@pytest.mark.parametrize("method", ["ranks", "buckets"])
+def test_burst_rule_equals_brute_force_with_hot_key_ties_and_duplicates(spark, method):
+    import random
+    from moodwire.operators.burst import VERY_NEGATIVE, burst_rule
+    rnd = random.Random(5)
+    rows = []
+    for i in range(3000):                                   # one hot customer, dense in time
+        rows.append(("hot", "H", f"h{i}", 1_000 + rnd.randint(0, 4000)))
+    for c in range(40):
+        for i in range(rnd.randint(1, 30)):
+            rows.append((f"c{c}", f"N{c}", f"c{c}m{i}", rnd.randint(0, 50_000)))
+    rows += rows[:5]                                        # exact duplicates
+    rows.append((None, "nobody", "x1", 10))                 # NULL key is one customer
+    rows.append((None, "nobody", "x2", 12))
+    df = spark.createDataFrame([(c, n, m, t, VERY_NEGATIVE) for c, n, m, t in rows],
+                               "customer_id string, customer_name string, message_id string, "
+                               "message_timestamp long, sentiment_category string")
+    got = sorted((tuple(r) for r in burst_rule(df, k=2, window_ms=300, method=method, partitions=8).collect()),
+                 key=_nulls_first)
+    assert got == _burst_brute(rows, 2, 300)
+
+
+def test_burst_ranks_split_a_hot_customer(spark):
+    from pyspark.sql import functions as F
+    from moodwire.operators.burst import VERY_NEGATIVE
+    df = spark.range(20_000).select(F.lit("hot").alias("_c"), F.col("id").alias("_ts"), F.lit(1).alias("_k"))
+    parts = df.repartitionByRange(8, "_c", "_ts", "_k").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts >= 6 and VERY_NEGATIVE
