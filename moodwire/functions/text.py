@@ -90,6 +90,11 @@ def non_blank(text) -> Column:
     return t.isNotNull() & (F.length(F.trim(t)) > 0)
 
 
+def py_strip(text) -> Column:
+    """Python ``str.strip()``: leading and trailing whitespace of every kind."""
+    return F.regexp_replace(_c(text), f"^[{PY_SPACE_CLASS}]+|[{PY_SPACE_CLASS}]+$", "")
+
+
 def is_blank_py(text) -> Column:
     """True when Python's ``not text or not text.strip()`` holds."""
     t = _c(text)
@@ -134,7 +139,7 @@ def parse_score(reply) -> Column:
     Follows Python ``float`` then ``max(-1, min(1, x))``: NaN ends at 1.0
     (min keeps its first argument), +inf at 1.0 and -inf at -1.0.
     """
-    r = F.regexp_replace(_c(reply), f"^[{PY_SPACE_CLASS}]+|[{PY_SPACE_CLASS}]+$", "")
+    r = py_strip(reply)
     special = F.lower(F.regexp_replace(r, "^[+]", ""))
     as_double = F.regexp_replace(r, "_", "").try_cast("double")
     clamped = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), as_double))

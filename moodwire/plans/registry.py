@@ -557,6 +557,74 @@ def dp_replay(spark, sf_dir):
     return keyed_records(replay(shuffle_order(m), loops=2, at_ms=F.lit(1_704_067_200_000)))
 
 
+# ------------------------------------------------- sources and sinks, round trip
+
+def _jsonl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages as JSON lines, the way a producer file looks: 'error' events
+    are cut short (malformed), 'view' lines are padded with whitespace and a
+    whitespace-only line follows every 'click' line."""
+    from moodwire import schemas
+    from moodwire.sources.codec import JSON_WRITE_OPTS
+    m = fixtures.messages(spark, sf_dir)
+    js = F.to_json(F.struct(*[m[c] for c in schemas.MESSAGE_PAYLOAD.names]), JSON_WRITE_OPTS)
+
+    def starts(word):
+        return F.coalesce(F.col("message_text").startswith(word), F.lit(False))
+
+    line = (F.when(starts("error"), F.expr("substring(_js, 1, length(_js) - 1)"))
+            .when(starts("view"), F.concat(F.lit("  "), F.col("_js"), F.lit("\t")))
+            .otherwise(F.col("_js")))
+    lines = F.when(starts("click"), F.array(line, F.lit(" \t"))).otherwise(F.array(line))
+    return m.withColumn("_js", js).select(F.explode(lines).alias("value"))
+
+
+def _read_back_jsonl(spark: SparkSession, sf_dir: str):
+    from moodwire.sources.codec import read_jsonl
+    from moodwire.streaming.replay import scratch_path
+    path = scratch_path(spark, "jsonl")
+    _jsonl_lines(spark, sf_dir).write.text(path)
+    return read_jsonl(spark, path)
+
+
+_NOT_ERROR = "NOT coalesce(starts_with(message_text, 'error'), false)"
+
+
+@query("src_jsonl", f"""
+SELECT message_id, customer_id, customer_name, message_timestamp, message_text, ip_country
+FROM ({fixtures.MESSAGES_SQL}) m WHERE {_NOT_ERROR}""")
+def src_jsonl(spark, sf_dir):
+    good, _ = _read_back_jsonl(spark, sf_dir)
+    return good.select("message_id", "customer_id", "customer_name", "message_timestamp", "message_text",
+                       F.col("metadata.ip_country").alias("ip_country"))
+
+
+@query("src_jsonl_quarantine", f"""
+SELECT COUNT(*) AS quarantined FROM ({fixtures.MESSAGES_SQL}) m WHERE NOT ({_NOT_ERROR})""")
+def src_jsonl_quarantine(spark, sf_dir):
+    _, bad = _read_back_jsonl(spark, sf_dir)
+    return bad.agg(F.count(F.lit(1)).alias("quarantined"))
+
+
+SERVING_TABLE = "moodwire_sentiments_rt"
+
+
+@query("snk_serving_table", S + f"""
+SELECT CAST(make_timestamp(message_timestamp * 1000) AS DATE) AS event_date, COUNT(*) AS msgs,
+       round(AVG(sentiment_score), {DIGITS}) AS avg_sentiment
+FROM s GROUP BY 1""")
+def snk_serving_table(spark, sf_dir):
+    """Scored rows appended to a date-partitioned serving table, the table
+    (re-)registered, then queried per day from the catalog."""
+    from moodwire.plans.sentiment import to_serving
+    from moodwire.sources.sinks import DATE_COL, recreate_table, write_serving
+    from moodwire.streaming.replay import scratch_path
+    path = scratch_path(spark, "serving")
+    write_serving(to_serving(sentiments(spark, sf_dir)).drop("message_date"), path, "message_timestamp")
+    recreate_table(spark, SERVING_TABLE, path, recreate=True)
+    return spark.table(SERVING_TABLE).groupBy(DATE_COL).agg(
+        F.count(F.lit(1)).alias("msgs"), F.round(F.avg("sentiment_score"), DIGITS).alias("avg_sentiment"))
+
+
 # ------------------------------------------- streaming jobs over a replayed table
 
 

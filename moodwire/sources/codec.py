@@ -63,12 +63,14 @@ def decode_sentiments(df: DataFrame, col: str = "value", strict: bool = True, ke
 def read_jsonl(spark, path: str, schema=None):
     """JSON-lines file(s) -> (rows, quarantine).
 
-    Lines are stripped and blank lines skipped; lines that do not parse go to
-    the quarantine frame with their file and raw text (a line number is not
-    stable in a distributed read). A missing path fails the read.
+    Lines are stripped (Python rules, every kind of whitespace) and blank
+    lines skipped; lines that do not parse go to the quarantine frame with
+    their file and raw text (a line number is not stable in a distributed
+    read). A missing path fails the read.
     """
+    from moodwire.functions.text import py_strip
     schema = schema or schemas.MESSAGE_PAYLOAD
-    raw = (spark.read.text(path).select(F.trim(F.col("value")).alias("value"),
+    raw = (spark.read.text(path).select(py_strip(F.col("value")).alias("value"),
                                         F.input_file_name().alias("file"))
            .filter(F.length("value") > 0))
     good = decode(raw, schema)

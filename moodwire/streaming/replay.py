@@ -20,11 +20,13 @@ from pyspark.sql import functions as F
 from moodwire.session import checkpoint_dir, materialize
 
 
-def _scratch(spark) -> str:
+def scratch_path(spark, kind: str = "replay") -> str:
+    """A fresh folder under the session's checkpoint folder (shared storage on
+    a cluster; never a machine-local temporary folder there)."""
     if checkpoint_dir(spark) is None:
         materialize(spark.range(1))  # sets the local-mode fallback folder
     base = checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/moodwire-replay-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/moodwire-{kind}-{uuid.uuid4().hex}"
 
 
 def write_slices(df: DataFrame, path: str, time_col: str, key_cols: list[str], slices: int = 4,
@@ -55,7 +57,7 @@ def replay(df: DataFrame, build, name: str, time_col: str = "message_timestamp",
            key_cols: tuple[str, ...] = ("customer_id",), slices: int = 4) -> DataFrame:
     """Replay ``df`` as a file stream, apply ``build(stream_df)``, return the result."""
     spark = df.sparkSession
-    base = _scratch(spark)
+    base = scratch_path(spark)
     src = f"{base}/src"
     write_slices(df, src, time_col, list(key_cols), slices)
     # About one slice per micro-batch: bounded batches, never a key's whole history at once.

@@ -143,7 +143,7 @@ def test_read_jsonl_quarantine(spark):
     d = tempfile.mkdtemp(prefix="mw-jsonl-in-", dir="/tmp")
     p = os.path.join(d, "chats.jsonl")
     with open(p, "w") as f:
-        f.write(json.dumps({"message_id": "a", "customer_name": "X"}) + "\n\n   \n{oops\n")
+        f.write(json.dumps({"message_id": "a", "customer_name": "X"}) + "\t\n\n   \n\t \u3000\n{oops\n")
     good, bad = codec.read_jsonl(spark, p)
     assert [r.message_id for r in good.collect()] == ["a"]
     assert [r.raw for r in bad.collect()] == ["{oops"]
