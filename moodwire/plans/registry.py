@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodwire.functions.scoring import DEFAULT_LEXICON, SPARSE_LEXICON, LexiconScorer
+from moodwire.functions.text import SENTIMENT_PROMPT_HEAD, SENTIMENT_PROMPT_TAIL
 from moodwire.plans import fixture_sql as fx
 from moodwire.plans import sentiment, serving
 from moodwire.sources import fixtures
@@ -264,9 +265,12 @@ def udf_blank_neutral(spark, sf_dir):
                     dense_scorer().score(F.col("piece")).alias("score"))
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
 @query("udf_sentiment_prompt", f"""
-SELECT conv_id, turn, {"'" + __import__('moodwire.functions.text', fromlist=['x']).SENTIMENT_PROMPT_HEAD.replace("'", "''") + "'"}
-       || text || {"'" + __import__('moodwire.functions.text', fromlist=['x']).SENTIMENT_PROMPT_TAIL.replace("'", "''") + "'"} AS prompt
+SELECT conv_id, turn, {_sql_str(SENTIMENT_PROMPT_HEAD)} || text || {_sql_str(SENTIMENT_PROMPT_TAIL)} AS prompt
 FROM conversations WHERE role = 'user'""")
 def udf_sentiment_prompt(spark, sf_dir):
     from moodwire.functions.text import sentiment_prompt
