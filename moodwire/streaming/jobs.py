@@ -20,21 +20,33 @@ from moodwire.streaming.state import BURST_OUTPUT, MATCH_OUTPUT, BurstProcessor,
 WATERMARK_DELAY = "5 seconds"
 CHECKPOINT_TRIGGER = "10 seconds"
 
+# --- fixed values that must equal the reference's -------------------------
+TOPIC_MESSAGES = "customer_messages"
+TOPIC_SENTIMENTS = "message_sentiments"
+TOPIC_RESPONSES = "karen_rebuttals"
+CONSUMER_CLIENT = {"request.timeout.ms": 60000, "metadata.max.age.ms": 30000, "connections.max.idle.ms": 300000}
+PRODUCER_CLIENT = {"acks": "all", "retries": 3, "batch.size": 16384, "linger.ms": 10, "compression.type": "snappy"}
+SENTIMENT_SINK_PARALLELISM = 4
+# --------------------------------------------------------------------------
+
 
 # --------------------------------------------------------------------- sources
 
 def kafka_source_options(bootstrap: str, topic: str, starting: str = "latest",
                          client: dict | None = None) -> dict:
-    """Options for ``readStream.format("kafka")``; client settings pass through
-    with the ``kafka.`` prefix."""
+    """Options for ``readStream.format("kafka")``; client settings (default:
+    the jobs' consumer timeouts) pass through with the ``kafka.`` prefix.
+    Offsets live in the query checkpoint, so no consumer group is needed."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting,
             "failOnDataLoss": "false"}
-    for k, v in (client or {}).items():
+    for k, v in (CONSUMER_CLIENT if client is None else client).items():
         opts[f"kafka.{k}"] = str(v)
     return opts
 
 
 def kafka_sink_options(bootstrap: str, topic: str, client: dict | None = None) -> dict:
+    """Options for a Kafka sink; ``client=PRODUCER_CLIENT`` gives the keyed
+    publisher's delivery settings (all replicas acknowledge, snappy, retries)."""
     opts = {"kafka.bootstrap.servers": bootstrap, "topic": topic}
     for k, v in (client or {}).items():
         opts[f"kafka.{k}"] = str(v)
@@ -87,7 +99,8 @@ def with_event_time(messages: DataFrame, delay: str = WATERMARK_DELAY) -> DataFr
             .withWatermark("message_ts_ltz", delay))
 
 
-def sentiment_stream(messages: DataFrame, scorer: Scorer | None = None, sink_partitions: int = 4) -> DataFrame:
+def sentiment_stream(messages: DataFrame, scorer: Scorer | None = None,
+                     sink_partitions: int = SENTIMENT_SINK_PARALLELISM) -> DataFrame:
     """J1 on a stream: stateless, so no shuffle except the round-robin spread
     of the sink (4 writers, as the reference's sink parallelism)."""
     return sentiment.score_messages(messages, scorer).repartition(sink_partitions)

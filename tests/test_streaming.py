@@ -112,6 +112,10 @@ def test_kafka_options_are_plain_dicts():
     assert o["subscribe"] == "customer_messages" and o["startingOffsets"] == "latest"
     assert o["kafka.request.timeout.ms"] == "60000"
     assert jobs.kafka_sink_options("b:9092", "t")["topic"] == "t"
+    d = jobs.kafka_source_options("b:9092", jobs.TOPIC_SENTIMENTS, starting="earliest")
+    assert d["kafka.metadata.max.age.ms"] == "30000" and d["startingOffsets"] == "earliest"
+    p = jobs.kafka_sink_options("b:9092", jobs.TOPIC_MESSAGES, client=jobs.PRODUCER_CLIENT)
+    assert p["kafka.acks"] == "all" and p["kafka.compression.type"] == "snappy" and p["kafka.retries"] == "3"
 
 
 def test_chained_streams_j1_to_j2(spark):
