@@ -91,6 +91,14 @@ def read_sentiment_stream(spark: SparkSession, fmt: str, path: str | None = None
     return codec.decode_sentiments(raw, strict=True)
 
 
+def read_response_stream(spark: SparkSession, fmt: str, path: str | None = None,
+                         options: dict | None = None) -> DataFrame:
+    """Escalation responses, strict JSON."""
+    r = spark.readStream.format(fmt).options(**(options or {}))
+    raw = r.load().select(F.col("value").cast("string").alias("value")) if fmt == "kafka" else r.load(path)
+    return codec.decode(raw, schemas.ESCALATION_RESPONSES, strict=True)
+
+
 # ------------------------------------------------------------------------ jobs
 
 def with_event_time(messages: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:

@@ -235,3 +235,31 @@ def test_burst_ranks_split_a_hot_customer(spark):
     df = spark.range(20_000).select(F.lit("hot").alias("_c"), F.col("id").alias("_ts"), F.lit(1).alias("_k"))
     parts = df.repartitionByRange(8, "_c", "_ts", "_k").select(F.spark_partition_id().alias("p")).distinct().count()
     assert parts >= 6 and VERY_NEGATIVE
+
+
+def test_launch_three_jobs_over_folder_topics(spark, scratch):
+    """J1 -> J2 -> J3 started by topic name over folder topics; the serving
+    tables then answer the dashboard queries like the batch plan."""
+    from moodwire.plans import serving
+    from moodwire.streaming import launch
+    topics = launch.Topics(root=os.path.join(scratch, "topics"))
+    m = fixtures.messages(spark, SF)
+    payload = m.select(*[c for c in m.columns if c != "kafka_timestamp"])
+    lines = [r.value for r in codec.encode_json(payload.orderBy("message_timestamp")).collect()]
+    os.makedirs(os.path.join(scratch, "topics", jobs.TOPIC_MESSAGES))
+    _write(os.path.join(scratch, "topics", jobs.TOPIC_MESSAGES), 0, lines)
+    for start, ck in ((launch.start_sentiment_job, "c1"), (launch.start_escalation_job, "c2")):
+        q = start(spark, topics, os.path.join(scratch, ck), trigger=None)
+        q.processAllAvailable()
+        q.stop()
+    tables = os.path.join(scratch, "tables")
+    for q in launch.start_serving_ingest(spark, topics, tables, os.path.join(scratch, "c3"), trigger=None):
+        q.awaitTermination()
+    launch.register_serving_tables(spark, tables, recreate=True)
+    s, r = spark.table("sentiments_rt"), spark.table("karen_rebuttals_rt")
+    batch = registry.sentiments(spark, SF)
+    assert s.count() == batch.count() and r.count() == 36
+    got = sorted(tuple(x) for x in serving.q_geographic(s, digits=6).collect())
+    exp = sorted(tuple(x) for x in serving.q_geographic(batch, digits=6).collect())
+    assert got == exp
+    assert serving.q_top_escalators(r, digits=6).count() == 10
