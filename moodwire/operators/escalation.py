@@ -27,8 +27,14 @@ Execution is built for one key holding a large share of all rows:
    are assembled with an ordered concatenation and an ordered fold of the
    scores.
 
-Close decisions compare chunk-local prefix sums; the reported total is the
-strict left-to-right double sum of the match's scores.
+Decisions (can a row start a match, does it close one) compare sums of the
+scores rounded to ``SCORE_DECIMALS`` decimals, held as integers. Integer sums
+are exact and associative, so chunk-local prefix sums give the same answer as
+a row-by-row fold wherever chunks or partitions begin: the result does not
+depend on the plan. (Double sums do: near a tie such as ``-0.7 * 5 - 0.3 * 5``
+the rounding of a re-associated sum can flip a decision, and every later
+match of that key shifts.) The reported total is the strict left-to-right
+double sum of the match's scores.
 """
 
 from __future__ import annotations
@@ -49,6 +55,32 @@ DEFAULT_THRESHOLD = -5.0
 DEFAULT_CHUNK_ROWS = 1 << 18
 _RESET, _OPEN = 0, 1
 
+# Decision arithmetic: scores in units of 10^-SCORE_DECIMALS, rounded half to
+# even, as int64. One row is clipped to +-2^44 units (about +-17,592 score
+# units), so a chunk of up to 2^18 rows sums without overflow.
+SCORE_DECIMALS = 9
+SCORE_SCALE = 10 ** SCORE_DECIMALS
+ROW_LIMIT_UNITS = 1 << 44
+_SUM_LIMIT = 1 << 62
+
+
+def quantize(x: np.ndarray) -> np.ndarray:
+    """Scores -> integer decision units (NaN, i.e. NULL, -> 0)."""
+    x = np.asarray(x, dtype="float64")
+    v = np.clip(np.rint(np.where(np.isnan(x), 0.0, x) * SCORE_SCALE), -ROW_LIMIT_UNITS, ROW_LIMIT_UNITS)
+    return v.astype(np.int64)
+
+
+def quantize_one(x: float) -> int:
+    """Scalar twin of :func:`quantize` (Python ``round`` is half to even too)."""
+    return max(-ROW_LIMIT_UNITS, min(ROW_LIMIT_UNITS, round(x * SCORE_SCALE)))
+
+
+def clamp_units(v: int) -> int:
+    """Bound an exact (Python int) sum for int64 comparisons; a sum beyond the
+    bound cannot reach the threshold inside one chunk either way."""
+    return max(-_SUM_LIMIT, min(_SUM_LIMIT, v))
+
 
 # ----------------------------------------------------------------- numpy core
 
@@ -83,18 +115,19 @@ class _Chunk:
         x = np.asarray(x, dtype="float64")
         self.m = m = len(x)
         self.null = np.isnan(x)
-        self.z = np.where(self.null, 0.0, x)
-        self.valid = ~self.null & (self.z > threshold)
-        self.p = np.concatenate([[0.0], np.cumsum(self.z)])  # p[i] = sum z[:i]
-        self.q = self.p[1:]                                   # q[j] = sum z[:j+1]
-        self.thr = threshold
+        self.z = np.where(self.null, 0.0, x)                  # doubles, for the reported totals
+        zq = quantize(x)                                      # integer decision units
+        self.thr = thr = quantize_one(threshold)
+        self.valid = ~self.null & (zq > thr)
+        self.p = np.concatenate([[0], np.cumsum(zq)]).astype(np.int64)  # p[i] = sum zq[:i]
+        self.q = self.p[1:]                                   # q[j] = sum zq[:j+1]
         nv = np.full(m + 1, m, dtype=np.int64)
         idx = np.where(self.valid, np.arange(m), m)
         nv[:m] = np.minimum.accumulate(idx[::-1])[::-1]
         self.nv = nv                                          # next valid >= p
         starts = np.arange(m, dtype=np.int64)
         # end[s]: first j > s closing a match started at s (m if none)
-        self.end = _first_leq(self.q, starts + 1, self.p[:m] + threshold)
+        self.end = _first_leq(self.q, starts + 1, self.p[:m] + thr)
 
     def trajectories(self):
         """For every restart position p in [0, m]: the start of the match left
@@ -111,9 +144,10 @@ class _Chunk:
         t = jump
         return np.where(self.nv[t] < m, self.nv[t], m)
 
-    def close_in(self, s_in: float) -> int:
-        """First j where an incoming open sum ``s_in`` reaches the threshold."""
-        hit = np.nonzero(self.q <= self.thr - s_in)[0]
+    def close_in(self, s_in: int) -> int:
+        """First j where an incoming open sum ``s_in`` (decision units) reaches
+        the threshold."""
+        hit = np.nonzero(self.q <= clamp_units(self.thr - int(s_in)))[0]
         return int(hit[0]) if len(hit) else self.m
 
 
@@ -134,17 +168,17 @@ class _Seq:
 
     def __init__(self, scores: list, threshold: float):
         self.m = m = len(scores)
-        self.thr = threshold
-        self.z = z = [0.0 if x != x else x for x in scores]   # NULL arrives as NaN
-        q, acc = [], 0.0
-        for i, v in enumerate(z):
-            acc = v if i == 0 else acc + v
+        self.thr = thr = quantize_one(threshold)
+        self.z = [0.0 if x != x else x for x in scores]       # NULL arrives as NaN
+        zq = [0 if x != x else quantize_one(x) for x in scores]
+        q, acc = [], 0
+        for v in zq:
+            acc += v
             q.append(acc)
-        self.q, self.p = q, [0.0] + q
+        self.q, self.p = q, [0] + q
         nv, nxt = [m] * (m + 1), m
         for i in range(m - 1, -1, -1):
-            x = scores[i]
-            if x == x and x > threshold:
+            if scores[i] == scores[i] and zq[i] > thr:
                 nxt = i
             nv[i] = nxt
         self.nv = nv
@@ -174,8 +208,8 @@ class _Seq:
                 return s
             p = e + 1
 
-    def close_in(self, s_in: float) -> int:
-        lim = self.thr - s_in
+    def close_in(self, s_in: int) -> int:
+        lim = self.thr - int(s_in)
         for j, v in enumerate(self.q):
             if v <= lim:
                 return j
@@ -264,14 +298,14 @@ def _summary_fn(keys: Sequence[str], threshold: float):
         open_start = ch.trajectories()              # per restart position
         # record lows of q below 0: the only places an incoming open match can close
         run_min = np.minimum.accumulate(ch.q)
-        prev_min = np.concatenate([[np.inf], run_min[:-1]])
+        prev_min = np.concatenate([[np.iinfo(np.int64).max], run_min[:-1]])
         rl = np.nonzero((ch.q < prev_min) & (ch.q < 0))[0]
         after = open_start[rl + 1]
 
         def state(os_):
             is_open = os_ < m
             kind = np.where(is_open, _OPEN, _RESET)
-            sm = np.where(is_open, ch.p[m] - ch.p[np.minimum(os_, m)], 0.0)
+            sm = np.where(is_open, ch.p[m] - ch.p[np.minimum(os_, m)], 0)
             cnt = np.where(is_open, m - os_, 0)
             st = np.where(is_open, gid[np.minimum(os_, m - 1)], -1)
             return kind, sm, cnt, st
@@ -280,9 +314,9 @@ def _summary_fn(keys: Sequence[str], threshold: float):
         rk, rs, rc, rst = state(after)
         row = {c: [pdf[c].iloc[0]] for c in keys}
         row.update({
-            "_cb": [int(pdf["_cb"].iloc[0])], "m": [m], "psum": [float(ch.p[m])],
-            "f_kind": [int(k0[0])], "f_sum": [float(s0[0])], "f_cnt": [int(c0[0])], "f_start": [int(st0[0])],
-            "rl_q": [ch.q[rl].tolist()], "rl_kind": [rk.tolist()], "rl_sum": [rs.tolist()],
+            "_cb": [int(pdf["_cb"].iloc[0])], "m": [m], "psum": [int(ch.p[m])],
+            "f_kind": [int(k0[0])], "f_sum": [int(s0[0])], "f_cnt": [int(c0[0])], "f_start": [int(st0[0])],
+            "rl_q": [ch.q[rl].tolist()], "rl_kind": [rk.tolist()], "rl_sum": [rs.astype("int64").tolist()],
             "rl_cnt": [rc.astype("int64").tolist()], "rl_start": [rst.astype("int64").tolist()],
         })
         return pd.DataFrame(row)
@@ -306,7 +340,7 @@ def _summary_small_fn(keys: Sequence[str], threshold: float):
         def state(os_):
             if os_ < m:
                 return _OPEN, pm - sq.p[os_], m - os_, gid[os_]
-            return _RESET, 0.0, 0, -1
+            return _RESET, 0, 0, -1
 
         f = state(sq.open_start(0))
         rl_q, rl = [], []
@@ -359,7 +393,7 @@ def _emit_small_fn(keys: Sequence[str], threshold: float, sep: str):
         kind0 = cols["in_kind"][a]
         if _is_set(kind0) and int(kind0) == _OPEN:
             start = int(cols["in_start"][a])
-            k = sq.close_in(float(cols["in_sum"][a]))
+            k = sq.close_in(int(cols["in_sum"][a]))
             if k >= m:
                 if keep_open:
                     n += frag(start, 0, m, False)
@@ -395,7 +429,8 @@ def _resolve_fn(keys: Sequence[str], threshold: float):
 
     def resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cur_key = object()
-        kind, s, n, start = _RESET, 0.0, 0, -1
+        kind, s, n, start = _RESET, 0, 0, -1     # s: exact sum in decision units
+        thr = quantize_one(threshold)
         held: list | None = None
         for pdf in batches:
             out = {c: [] for c in out_cols}
@@ -411,25 +446,25 @@ def _resolve_fn(keys: Sequence[str], threshold: float):
                     if held is not None:
                         flush(held, -1)
                         held = None
-                    cur_key, kind, s, n, start = k, _RESET, 0.0, 0, -1
+                    cur_key, kind, s, n, start = k, _RESET, 0, 0, -1
                 elif held is not None:
                     flush(held, int(start) if kind == _OPEN else -1)
                     held = None
-                row = list(k) + [int(pdf["_cb"].iat[i]), kind, float(s), int(n), int(start)]
+                row = list(k) + [int(pdf["_cb"].iat[i]), kind, clamp_units(s), int(n), int(start)]
                 hit_here = False
                 if kind == _RESET:
-                    kind, s, n, start = (int(pdf["f_kind"].iat[i]), float(pdf["f_sum"].iat[i]),
+                    kind, s, n, start = (int(pdf["f_kind"].iat[i]), int(pdf["f_sum"].iat[i]),
                                          int(pdf["f_cnt"].iat[i]), int(pdf["f_start"].iat[i]))
                 else:
-                    rlq = np.asarray(pdf["rl_q"].iat[i], dtype="float64")
-                    hit = np.nonzero(rlq <= threshold - s)[0]
+                    rlq = np.asarray(pdf["rl_q"].iat[i], dtype="int64")
+                    hit = np.nonzero(rlq <= clamp_units(thr - s))[0]
                     if len(hit) == 0:
-                        s, n = s + float(pdf["psum"].iat[i]), n + int(pdf["m"].iat[i])
+                        s, n = s + int(pdf["psum"].iat[i]), n + int(pdf["m"].iat[i])
                     else:
                         hit_here = True
                         h = int(hit[0])
                         kind = int(pdf["rl_kind"].iat[i][h])
-                        s = float(pdf["rl_sum"].iat[i][h])
+                        s = int(pdf["rl_sum"].iat[i][h])
                         n = int(pdf["rl_cnt"].iat[i][h])
                         start = int(pdf["rl_start"].iat[i][h])
                 held = row + [hit_here]
@@ -480,7 +515,7 @@ def _emit_fn(keys: Sequence[str], threshold: float, sep: str):
         p = 0
         kind0 = rows["in_kind"].iloc[0]
         if kind0 is not None and not pd.isna(kind0) and int(kind0) == _OPEN:
-            s_in = float(rows["in_sum"].iloc[0])
+            s_in = int(rows["in_sum"].iloc[0])
             start = int(rows["in_start"].iloc[0])
             k = ch.close_in(s_in)
             if k >= m:
@@ -550,11 +585,11 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
     kfields = [T.StructField(f.name, f.dataType) for f in key_fields]
     summary_schema = T.StructType(kfields + [
         T.StructField("_cb", T.LongType()), T.StructField("m", T.LongType()),
-        T.StructField("psum", T.DoubleType()), T.StructField("f_kind", T.IntegerType()),
-        T.StructField("f_sum", T.DoubleType()), T.StructField("f_cnt", T.LongType()),
+        T.StructField("psum", T.LongType()), T.StructField("f_kind", T.IntegerType()),
+        T.StructField("f_sum", T.LongType()), T.StructField("f_cnt", T.LongType()),
         T.StructField("f_start", T.LongType()),
-        T.StructField("rl_q", T.ArrayType(T.DoubleType())), T.StructField("rl_kind", T.ArrayType(T.IntegerType())),
-        T.StructField("rl_sum", T.ArrayType(T.DoubleType())), T.StructField("rl_cnt", T.ArrayType(T.LongType())),
+        T.StructField("rl_q", T.ArrayType(T.LongType())), T.StructField("rl_kind", T.ArrayType(T.IntegerType())),
+        T.StructField("rl_sum", T.ArrayType(T.LongType())), T.StructField("rl_cnt", T.ArrayType(T.LongType())),
         T.StructField("rl_start", T.ArrayType(T.LongType())),
     ])
     chunk_cols = [*keys, "_cb"]
@@ -570,7 +605,7 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
 
     state_schema = T.StructType(kfields + [
         T.StructField("_cb", T.LongType()), T.StructField("in_kind", T.IntegerType()),
-        T.StructField("in_sum", T.DoubleType()), T.StructField("in_cnt", T.LongType()),
+        T.StructField("in_sum", T.LongType()), T.StructField("in_cnt", T.LongType()),
         T.StructField("in_start", T.LongType()), T.StructField("in_hit", T.BooleanType()),
         T.StructField("out_start", T.LongType()),
     ])
@@ -623,22 +658,25 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
 
 
 def fold_reference(scores: Sequence[float | None], threshold: float = DEFAULT_THRESHOLD):
-    """Plain sequential fold, used by tests as the brute-force definition.
+    """Plain sequential fold, used by tests as the brute-force definition:
+    decisions on integer decision units, totals as in-order double sums.
 
     Returns a list of (first_index, last_index, total, count).
     """
-    out, s, n, st = [], 0.0, 0, -1
+    thr = quantize_one(threshold)
+    out, s, sq, n, st = [], 0.0, 0, 0, -1
     for i, x in enumerate(scores):
         if x is not None and np.isnan(x):
             x = None
+        xq = 0 if x is None else quantize_one(x)
         if n == 0:
-            if x is not None and x > threshold:
-                s, n, st = x, 1, i
+            if x is not None and xq > thr:
+                s, sq, n, st = x, xq, 1, i
             continue
         v = 0.0 if x is None else x
-        if x is not None and s + v <= threshold:
+        if x is not None and sq + xq <= thr:
             out.append((st, i, s + v, n + 1))
-            s, n, st = 0.0, 0, -1
+            s, sq, n, st = 0.0, 0, 0, -1
         else:
-            s, n = s + v, n + 1
+            s, sq, n = s + v, sq + xq, n + 1
     return out

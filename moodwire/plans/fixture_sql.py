@@ -45,12 +45,21 @@ SEP_SQL = "' \\n '"  # the four characters space, backslash, n, space
 
 
 def pattern_sql(sentiments: str, threshold: float = -5.0) -> str:
-    """Row-pattern matches as a recursive fold over row_number() per key."""
-    thr = repr(float(threshold))
-    start = f"(x IS NOT NULL AND x > {thr})"
+    """Row-pattern matches as a recursive fold over row_number() per key.
+
+    Decisions use scores rounded half-to-even to 9 decimals as BIGINT units
+    (the matcher's decision arithmetic); totals are in-order DOUBLE sums."""
+    from moodwire.operators.escalation import ROW_LIMIT_UNITS, SCORE_SCALE, quantize_one
+    thr = quantize_one(threshold)
+    # least/greatest skip NULLs, so a NULL score is kept NULL explicitly.
+    units = (f"CASE WHEN sentiment_score IS NULL THEN NULL ELSE CAST(greatest(-{ROW_LIMIT_UNITS}, "
+             f"least({ROW_LIMIT_UNITS}, round_even(sentiment_score * {float(SCORE_SCALE)!r}, 0))) AS BIGINT) END")
+    start = f"(x IS NOT NULL AND xq > {thr})"
+    r_start = f"(r.x IS NOT NULL AND r.xq > {thr})"
+    close = f"(f.st_n > 0 AND r.x IS NOT NULL AND f.st_q + r.xq <= {thr})"
     return f"""
 WITH RECURSIVE r AS (
-  SELECT customer_id, customer_name, sentiment_score AS x, message_text AS txt,
+  SELECT customer_id, customer_name, sentiment_score AS x, {units} AS xq, message_text AS txt,
          message_timestamp AS ts,
          row_number() OVER (PARTITION BY customer_id, customer_name
                             ORDER BY message_timestamp, source_partition, source_offset) AS rn
@@ -59,6 +68,7 @@ WITH RECURSIVE r AS (
 f AS (
   SELECT customer_id, customer_name, rn,
          CASE WHEN {start} THEN x ELSE 0.0 END AS st_sum,
+         CASE WHEN {start} THEN xq ELSE 0 END AS st_q,
          CASE WHEN {start} THEN 1 ELSE 0 END AS st_n,
          CASE WHEN {start} THEN txt END AS st_txt,
          CAST(NULL AS DOUBLE) AS e_total, CAST(NULL AS BIGINT) AS e_n,
@@ -66,22 +76,24 @@ f AS (
   FROM r WHERE rn = 1
   UNION ALL
   SELECT r.customer_id, r.customer_name, r.rn,
-         CASE WHEN f.st_n = 0 THEN (CASE WHEN r.x IS NOT NULL AND r.x > {thr} THEN r.x ELSE 0.0 END)
-              WHEN r.x IS NOT NULL AND f.st_sum + r.x <= {thr} THEN 0.0
+         CASE WHEN f.st_n = 0 THEN (CASE WHEN {r_start} THEN r.x ELSE 0.0 END)
+              WHEN {close} THEN 0.0
               ELSE f.st_sum + coalesce(r.x, 0.0) END,
-         CASE WHEN f.st_n = 0 THEN (CASE WHEN r.x IS NOT NULL AND r.x > {thr} THEN 1 ELSE 0 END)
-              WHEN r.x IS NOT NULL AND f.st_sum + r.x <= {thr} THEN 0
+         CASE WHEN f.st_n = 0 THEN (CASE WHEN {r_start} THEN r.xq ELSE 0 END)
+              WHEN {close} THEN 0
+              ELSE f.st_q + coalesce(r.xq, 0) END,
+         CASE WHEN f.st_n = 0 THEN (CASE WHEN {r_start} THEN 1 ELSE 0 END)
+              WHEN {close} THEN 0
               ELSE f.st_n + 1 END,
-         CASE WHEN f.st_n = 0 THEN (CASE WHEN r.x IS NOT NULL AND r.x > {thr} THEN r.txt END)
-              WHEN r.x IS NOT NULL AND f.st_sum + r.x <= {thr} THEN NULL
+         CASE WHEN f.st_n = 0 THEN (CASE WHEN {r_start} THEN r.txt END)
+              WHEN {close} THEN NULL
               WHEN f.st_txt IS NULL THEN r.txt
               WHEN r.txt IS NULL THEN f.st_txt
               ELSE f.st_txt || {SEP_SQL} || r.txt END,
-         CASE WHEN f.st_n > 0 AND r.x IS NOT NULL AND f.st_sum + r.x <= {thr} THEN f.st_sum + r.x END,
-         CASE WHEN f.st_n > 0 AND r.x IS NOT NULL AND f.st_sum + r.x <= {thr} THEN f.st_n + 1 END,
-         CASE WHEN f.st_n > 0 AND r.x IS NOT NULL AND f.st_sum + r.x <= {thr}
-              THEN f.st_txt || {SEP_SQL} || r.txt END,
-         CASE WHEN f.st_n > 0 AND r.x IS NOT NULL AND f.st_sum + r.x <= {thr} THEN r.ts END
+         CASE WHEN {close} THEN f.st_sum + r.x END,
+         CASE WHEN {close} THEN f.st_n + 1 END,
+         CASE WHEN {close} THEN f.st_txt || {SEP_SQL} || r.txt END,
+         CASE WHEN {close} THEN r.ts END
   FROM f JOIN r ON r.customer_id IS NOT DISTINCT FROM f.customer_id
                AND r.customer_name IS NOT DISTINCT FROM f.customer_name AND r.rn = f.rn + 1
 )

@@ -151,3 +151,34 @@ def test_hot_key_numpy_and_list_paths_agree(spark):
     exp = _expected(seqs)
     for small in (0, 128, 1 << 20):
         assert _run(spark, seqs, chunk_rows=512, partitions=4, small_chunk=small) == exp
+
+
+def test_decimal_ties_decide_the_same_at_any_chunking(spark):
+    """Scores with one decimal reach the threshold exactly and often (e.g.
+    -0.7 * 5 - 0.3 * 5). Decisions are made on exact integer sums, so every
+    chunking, both chunk paths, the reference fold and the SQL twin agree."""
+    import random
+
+    import duckdb
+    import pandas as pd
+
+    from moodwire.plans.fixture_sql import pattern_sql
+    rnd = random.Random(3)
+    vals = [-0.7, -0.3, -0.5, -0.1, 0.1, 0.3, 0.8, -1.0, None]
+    seqs = {("hot", "H"): [rnd.choice(vals) for _ in range(4000)]}
+    for i in range(12):
+        seqs[(f"c{i:02d}", "n")] = [rnd.choice(vals) for _ in range(rnd.randint(1, 400))]
+    exp = _expected(seqs)
+    assert len(exp) > 100
+    for chunk_rows, small in ((1 << 18, 128), (97, 128), (97, 0), (5, 128), (1, 0)):
+        assert _run(spark, seqs, chunk_rows=chunk_rows, partitions=5, small_chunk=small) == exp
+    rows = [(cid, name, 1_000 + i, 0, i, x, f"{cid}-{i}")
+            for (cid, name), xs in seqs.items() for i, x in enumerate(xs)]
+    src = pd.DataFrame(rows, columns=["customer_id", "customer_name", "message_timestamp", "source_partition",
+                                      "source_offset", "sentiment_score", "message_text"])
+    src["sentiment_score"] = src["sentiment_score"].astype("Float64")   # None -> SQL NULL, not NaN
+    con = duckdb.connect()
+    con.register("src", src)
+    got = con.execute(f"SELECT customer_id, customer_name, karen_score_total, trigger_message_count, "
+                      f"recent_messages FROM ({pattern_sql('SELECT * FROM src')}) m").fetchall()
+    assert sorted(got) == exp
