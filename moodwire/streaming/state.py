@@ -139,17 +139,24 @@ class BurstProcessor(StatefulProcessor):
             return
         held = deque(int(r[0]) for r in self.times.get())
         out = []
-        for mid, name, ts in zip(pdf["message_id"].tolist(), pdf["customer_name"].tolist(),
-                                 pdf["message_timestamp"].tolist()):
-            ts = int(ts)
-            if held and ts < held[-1]:
-                bisect.insort(held, ts)  # a late row: keep the held times ordered
-            else:
-                held.append(ts)
+        rows_ = list(zip(pdf["message_id"].tolist(), pdf["customer_name"].tolist(),
+                         [int(t) for t in pdf["message_timestamp"].tolist()]))
+        i = 0
+        while i < len(rows_):
+            # Rows sharing a timestamp are peers: each one's window includes all
+            # of them, as the batch frame's CURRENT ROW does.
+            ts, j = rows_[i][2], i
+            while j < len(rows_) and rows_[j][2] == ts:
+                if held and ts < held[-1]:
+                    bisect.insort(held, ts)  # a late row: keep the held times ordered
+                else:
+                    held.append(ts)
+                j += 1
             while held[0] < ts - self.window_ms:
                 held.popleft()
             if len(held) >= self.k:
-                out.append((key[0], name, mid, ts, len(held)))
+                out.extend((key[0], name, mid, ts, len(held)) for mid, name, _ in rows_[i:j])
+            i = j
         self.times.put([(t,) for t in held])
         if out:
             yield pd.DataFrame(out, columns=[f.name for f in BURST_OUTPUT.fields])

@@ -263,3 +263,19 @@ def test_launch_three_jobs_over_folder_topics(spark, scratch):
     exp = sorted(tuple(x) for x in serving.q_geographic(batch, digits=6).collect())
     assert got == exp
     assert serving.q_top_escalators(r, digits=6).count() == 10
+
+
+def test_burst_stream_counts_peers_like_the_batch_frame(spark):
+    """Rows sharing a timestamp are peers: the stream counts them together,
+    as the batch RANGE frame does (here all within one micro-batch)."""
+    from moodwire.operators.burst import VERY_NEGATIVE, burst_rule
+    from moodwire.streaming import replay
+    rows = [("c1", "A", f"m{i}", t, VERY_NEGATIVE, 0, i) for i, t in enumerate([100, 100, 100, 150, 400, 400, 900])]
+    rows += [("c2", "B", f"n{i}", t, VERY_NEGATIVE, 1, i) for i, t in enumerate([10, 20, 20, 20])]
+    df = spark.createDataFrame(rows, "customer_id string, customer_name string, message_id string, "
+                                     "message_timestamp long, sentiment_category string, source_partition int, "
+                                     "source_offset long")
+    batch = sorted(tuple(r) for r in burst_rule(df, k=3, window_ms=300).collect())
+    stream = replay.replay(df, lambda st: jobs.burst_stream(st, k=3, window_ms=300), "burst_peers", slices=1)
+    assert sorted(tuple(r) for r in stream.collect()) == batch
+    assert len(batch) == 9
