@@ -17,7 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodwire.functions.scoring import CALL_TIMEOUT_S, _worker_model, retry_call
+from moodwire.functions.scoring import CALL_TIMEOUT_S, _worker_model, call_all, retry_call
 
 # --- fixed values that must equal the reference's -------------------------
 RESPONSE_MODEL_DEFAULT = "gpt-4o"
@@ -61,17 +61,21 @@ class ChatModelGenerator(Generator):
 
     Blank prompt -> ``No prompt provided``; NULL/empty model -> the default
     model; each call is retried, then the call-failure text is returned.
+    ``concurrency`` bounds the calls in flight per Python worker.
     """
 
     def __init__(self, factory: Callable[[], object], default_model: str = RESPONSE_MODEL_DEFAULT,
-                 sleep: Callable[[float], None] = time.sleep, cache_key: str | None = None):
+                 sleep: Callable[[float], None] = time.sleep, cache_key: str | None = None,
+                 concurrency: int = 1):
         self.factory = factory
         self.default_model = default_model
         self.sleep = sleep
         self.cache_key = cache_key or f"gen:{default_model}:{id(factory)}"
+        self.concurrency = concurrency
 
     def _udf(self):
         factory, default, sleep, key = self.factory, self.default_model, self.sleep, self.cache_key
+        concurrency = self.concurrency
 
         def one(client, prompt, model) -> str:
             if not prompt or not str(prompt).strip():
@@ -89,8 +93,8 @@ class ChatModelGenerator(Generator):
         def gen(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
             client = _worker_model(key, factory)
             for prompts, models in it:
-                yield pd.Series([one(client, p, m) for p, m in zip(prompts, models)], index=prompts.index,
-                                dtype="object")
+                vals = call_all(lambda pm: one(client, *pm), list(zip(prompts, models)), concurrency, key)
+                yield pd.Series(vals, index=prompts.index, dtype="object")
 
         return gen.asNondeterministic()
 

@@ -131,6 +131,17 @@ def _worker_model(key: str, factory: Callable[[], object]):
     return m
 
 
+def call_all(fn: Callable, items: list, concurrency: int, key: str) -> list:
+    """``[fn(x) for x in items]``, with up to ``concurrency`` calls in flight
+    (remote model calls wait on the network). Results keep the input order;
+    the thread pool is made once per Python worker."""
+    if concurrency <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    pool = _worker_model(f"{key}:pool:{concurrency}", lambda: ThreadPoolExecutor(concurrency))
+    return list(pool.map(fn, items))
+
+
 class ClassifierScorer(Scorer):
     """Batched 5-class classifier.
 
@@ -186,18 +197,22 @@ class ChatModelScorer(Scorer):
     """Chat-model scorer; ``factory()`` returns ``complete(system, user, **kw) -> str``.
 
     Each non-blank text becomes one prompt; the reply is parsed and clamped.
-    Calls are retried; a final error scores 0.0.
+    Calls are retried; a final error scores 0.0. ``concurrency`` bounds the
+    calls in flight per Python worker (1 = one at a time).
     """
 
     def __init__(self, factory: Callable[[], object], model_name: str = CHAT_MODEL_DEFAULT,
-                 sleep: Callable[[float], None] = time.sleep, cache_key: str | None = None):
+                 sleep: Callable[[float], None] = time.sleep, cache_key: str | None = None,
+                 concurrency: int = 1):
         self.factory = factory
         self.model_name = model_name
         self.sleep = sleep
         self.cache_key = cache_key or f"chat:{model_name}:{id(factory)}"
+        self.concurrency = concurrency
 
     def _udf(self):
         factory, model, sleep, key = self.factory, self.model_name, self.sleep, self.cache_key
+        concurrency = self.concurrency
         head, tail, system = tx.SENTIMENT_PROMPT_HEAD, tx.SENTIMENT_PROMPT_TAIL, tx.SENTIMENT_SYSTEM_PROMPT
 
         def one(client, t: str) -> float:
@@ -215,7 +230,8 @@ class ChatModelScorer(Scorer):
         def score_batches(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
             client = _worker_model(key, factory)
             for texts in it:
-                yield pd.Series([one(client, t) for t in texts], index=texts.index, dtype="float64")
+                vals = call_all(lambda t: one(client, t), texts.tolist(), concurrency, key)
+                yield pd.Series(vals, index=texts.index, dtype="float64")
 
         return score_batches.asNondeterministic()
 

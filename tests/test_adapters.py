@@ -85,3 +85,29 @@ def test_generator_defaults_and_fallbacks(spark):
     assert got == [G.CALL_FAILED_TEXT, G.NO_PROMPT_TEXT, G.CALL_FAILED_TEXT]
     fixed = [r[0] for r in df.select(G.FixedTextGenerator().generate(F.col("p"))).collect()]
     assert fixed == [G.OTHER_FAILURE_TEXT, G.NO_PROMPT_TEXT, G.OTHER_FAILURE_TEXT]
+
+
+class SlowChat:
+    """Each call waits, and answers with the prompt and the most calls this
+    worker has seen in flight at once."""
+    import threading
+    lock, active, peak = threading.Lock(), 0, 0
+
+    def complete(self, system, user, model=None, **kw):
+        import time
+        with SlowChat.lock:
+            SlowChat.active += 1
+            SlowChat.peak = max(SlowChat.peak, SlowChat.active)
+        time.sleep(0.05)
+        with SlowChat.lock:
+            SlowChat.active -= 1
+            return f"{user}|{SlowChat.peak}"
+
+
+def test_generator_calls_overlap_and_keep_order(spark):
+    prompts = [(f"p{i}",) for i in range(24)]
+    df = spark.createDataFrame(prompts, "p string").coalesce(1)
+    gen = G.ChatModelGenerator(SlowChat, sleep=lambda s: None, cache_key="t-slow", concurrency=6)
+    got = [r[0] for r in df.select(gen.generate(F.col("p"))).collect()]
+    assert [g.split("|")[0] for g in got] == [p for (p,) in prompts]
+    assert max(int(g.split("|")[1]) for g in got) > 1
