@@ -279,3 +279,29 @@ def test_burst_stream_counts_peers_like_the_batch_frame(spark):
     stream = replay.replay(df, lambda st: jobs.burst_stream(st, k=3, window_ms=300), "burst_peers", slices=1)
     assert sorted(tuple(r) for r in stream.collect()) == batch
     assert len(batch) == 9
+
+
+def test_escalation_stream_decides_decimal_ties_like_the_fold(spark):
+    """One-decimal scores hit the threshold exactly and often; the stream
+    processor uses the batch matcher's exact decision sums, across batches."""
+    import random
+
+    from moodwire.operators.escalation import fold_reference
+    from moodwire.streaming import replay
+    from moodwire.streaming.state import MATCH_OUTPUT, EscalationProcessor
+    rnd = random.Random(9)
+    vals = [-0.7, -0.3, -0.5, -0.1, 0.1, 0.3, 0.8, -1.0]
+    seqs = {f"c{i}": [rnd.choice(vals) for _ in range(rnd.randint(20, 300))] for i in range(6)}
+    rows = [(c, "N", 1_000 + 10 * i, 0, i, x, f"{c}-{i}") for c, xs in seqs.items() for i, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, "customer_id string, customer_name string, message_timestamp long, "
+                                     "source_partition int, source_offset long, sentiment_score double, "
+                                     "message_text string")
+
+    def build(st):
+        return (st.groupBy("customer_id", "customer_name")
+                .transformWithStateInPandas(EscalationProcessor(), MATCH_OUTPUT, "Append", "None"))
+    out = replay.replay(df, build, "ties_stream", key_cols=("customer_id", "customer_name"), slices=3)
+    got = sorted((r.customer_id, r.trigger_order, r.trigger_message_count, r.karen_score_total)
+                 for r in out.collect())
+    exp = sorted((c, 1_000 + 10 * b, n, t) for c, xs in seqs.items() for _, b, t, n in fold_reference(xs))
+    assert got == exp and len(exp) > 20
