@@ -108,10 +108,14 @@ def with_event_time(messages: DataFrame, delay: str = WATERMARK_DELAY) -> DataFr
 
 
 def sentiment_stream(messages: DataFrame, scorer: Scorer | None = None,
-                     sink_partitions: int = SENTIMENT_SINK_PARALLELISM) -> DataFrame:
-    """J1 on a stream: stateless, so no shuffle except the round-robin spread
-    of the sink (4 writers, as the reference's sink parallelism)."""
-    return sentiment.score_messages(messages, scorer).repartition(sink_partitions)
+                     sink_partitions: int | None = None) -> DataFrame:
+    """J1 on a stream: stateless, no shuffle. Each input partition writes its
+    own rows, so the sink scales with the source; a topic sink spreads
+    key-less records over its partitions by itself. ``sink_partitions``
+    (e.g. ``SENTIMENT_SINK_PARALLELISM``, the original deployment's 4 writers)
+    adds a round-robin spread to exactly that many writers."""
+    scored = sentiment.score_messages(messages, scorer)
+    return scored.repartition(sink_partitions) if sink_partitions else scored
 
 
 def escalation_stream(sentiments: DataFrame, generator: Generator | None = None,

@@ -56,11 +56,11 @@ class Topics:
 
 
 def start_sentiment_job(spark: SparkSession, topics: Topics, checkpoint: str, scorer: Scorer | None = None,
-                        trigger: str | None = jobs.CHECKPOINT_TRIGGER):
-    """J1 for one scorer."""
+                        trigger: str | None = jobs.CHECKPOINT_TRIGGER, sink_partitions: int | None = None):
+    """J1 for one scorer (``sink_partitions``: see :func:`jobs.sentiment_stream`)."""
     scorer = scorer or LexiconScorer()
     fmt, path, opts = topics.source(jobs.TOPIC_MESSAGES)
-    scored = jobs.sentiment_stream(jobs.read_message_stream(spark, fmt, path, opts), scorer)
+    scored = jobs.sentiment_stream(jobs.read_message_stream(spark, fmt, path, opts), scorer, sink_partitions)
     fmt, path, opts = topics.sink(jobs.TOPIC_SENTIMENTS)
     return jobs.start(scored, fmt, checkpoint, f"sentiment-{scorer.model_name}", path=path, options=opts,
                       trigger=trigger, json_value=True)
