@@ -23,16 +23,21 @@ from moodwire.operators.escalation import clamp_units, quantize_one
 ORDER = ["message_timestamp", "source_partition", "source_offset"]
 
 
-def _ordered(rows: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
-    """A key's rows of this micro-batch in (timestamp, partition, offset) order."""
+def _ordered(rows: Iterator[pd.DataFrame], cols: list[str]) -> list[list] | None:
+    """A key's rows of this micro-batch as column lists (``cols``), in
+    (timestamp, partition, offset) order. Rows usually arrive in time order;
+    the full three-key sort runs only when timestamps do not strictly rise."""
     frames = [f for f in rows if len(f)]
     if not frames:
         return None
     pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-    if len(pdf) > 1:
+    arrays = {c: pdf[c].to_numpy() for c in dict.fromkeys(cols + ORDER[:1])}
+    ts = arrays[ORDER[0]]
+    if len(ts) > 1 and not (ts[1:] > ts[:-1]).all():
         idx = np.lexsort([pdf[c].to_numpy() for c in reversed(ORDER)])
-        pdf = pdf.iloc[idx]
-    return pdf
+        return [arrays[c][idx].tolist() for c in cols]
+    return [arrays[c].tolist() for c in cols]
+
 
 MATCH_OUTPUT = T.StructType([
     T.StructField("customer_id", T.StringType()),
@@ -64,8 +69,8 @@ class EscalationProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         thr = quantize_one(self.threshold)
-        pdf = _ordered(rows)
-        if pdf is None:
+        cols = _ordered(rows, ["sentiment_score", "message_text", "message_timestamp"])
+        if cols is None:
             return
         # State calls are round trips to the state store: one read, then writes
         # only for what changed. ``stored`` says whether the list state holds
@@ -75,8 +80,7 @@ class EscalationProcessor(StatefulProcessor):
         stored = n > 0
         pending: list[str] = []
         out = []
-        for x, txt, ts in zip(pdf["sentiment_score"].tolist(), pdf["message_text"].tolist(),
-                              pdf["message_timestamp"].tolist()):
+        for x, txt, ts in zip(*cols):
             x = None if x is None or x != x else float(x)
             xq = 0 if x is None else quantize_one(x)
             txt = txt if isinstance(txt, str) else None
@@ -134,13 +138,12 @@ class BurstProcessor(StatefulProcessor):
         self.times = handle.getListState("times", "ts long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _ordered(rows)
-        if pdf is None:
+        cols = _ordered(rows, ["message_id", "customer_name", "message_timestamp"])
+        if cols is None:
             return
         held = deque(int(r[0]) for r in self.times.get())
         out = []
-        rows_ = list(zip(pdf["message_id"].tolist(), pdf["customer_name"].tolist(),
-                         [int(t) for t in pdf["message_timestamp"].tolist()]))
+        rows_ = list(zip(cols[0], cols[1], [int(t) for t in cols[2]]))
         i = 0
         while i < len(rows_):
             # Rows sharing a timestamp are peers: each one's window includes all
