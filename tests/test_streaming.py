@@ -305,3 +305,12 @@ def test_escalation_stream_decides_decimal_ties_like_the_fold(spark):
                  for r in out.collect())
     exp = sorted((c, 1_000 + 10 * b, n, t) for c, xs in seqs.items() for _, b, t, n in fold_reference(xs))
     assert got == exp and len(exp) > 20
+
+
+def test_j1_has_no_sink_shuffle_unless_asked(spark):
+    m = fixtures.messages(spark, SF)
+    plain = jobs.sentiment_stream(m)
+    assert "RoundRobinPartitioning" not in plain._jdf.queryExecution().executedPlan().toString()
+    spread = jobs.sentiment_stream(m, sink_partitions=jobs.SENTIMENT_SINK_PARALLELISM)
+    assert spread.rdd.getNumPartitions() == 4
+    assert sorted(r.message_id for r in spread.collect()) == sorted(r.message_id for r in plain.collect())
