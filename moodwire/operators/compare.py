@@ -16,9 +16,14 @@ def union_models(frames: list[DataFrame]) -> DataFrame:
 def compare_models(a: DataFrame, b: DataFrame, key: str = "message_id", digits: int | None = None) -> DataFrame:
     """Per category of scorer ``a``: rows, category agreements with ``b``, mean
     absolute score difference. An equi-join on the message key; both sides
-    are projected to three columns before the shuffle."""
-    left = a.select(key, F.col("sentiment_category").alias("category_a"), F.col("sentiment_score").alias("score_a"))
-    right = b.select(key, F.col("sentiment_category").alias("category_b"), F.col("sentiment_score").alias("score_b"))
+    are projected to three columns before the shuffle. A message repeated by
+    an at-least-once sink counts once per side, so the join never pairs up
+    copies; the repeat removal is partially aggregated and its hash
+    partitioning on the key is the one the join uses."""
+    left = (a.select(key, F.col("sentiment_category").alias("category_a"), F.col("sentiment_score").alias("score_a"))
+            .dropDuplicates([key]))
+    right = (b.select(key, F.col("sentiment_category").alias("category_b"), F.col("sentiment_score").alias("score_b"))
+             .dropDuplicates([key]))
     j = left.join(right, key)
     diff = F.avg(F.abs(F.col("score_a") - F.col("score_b")))
     if digits is not None:

@@ -432,7 +432,8 @@ def mdl_union(spark, sf_dir):
 SELECT a.sentiment_category AS category_a, COUNT(*) AS msgs,
        COUNT(*) FILTER (WHERE a.sentiment_category = b.sentiment_category) AS agree,
        round(AVG(abs(a.sentiment_score - b.sentiment_score)), {DIGITS}) AS mean_abs_diff
-FROM ({fx.DENSE_SQL}) a JOIN ({fx.SPARSE_SQL}) b ON a.message_id = b.message_id
+FROM (SELECT DISTINCT ON (message_id) * FROM ({fx.DENSE_SQL}) d) a
+JOIN (SELECT DISTINCT ON (message_id) * FROM ({fx.SPARSE_SQL}) e) b ON a.message_id = b.message_id
 GROUP BY 1""")
 def jn_model_compare(spark, sf_dir):
     from moodwire.operators.compare import compare_models

@@ -167,3 +167,12 @@ def test_serving_ingest_stream_from_earliest(spark, scratch):
     assert DATE_COL in t.columns and set(schemas.MESSAGE_SENTIMENTS.names) <= set(t.columns)
     assert t.count() == s.count()
     assert t.select("message_id").distinct().count() == s.count()
+
+
+def test_model_compare_counts_repeated_messages_once(spark):
+    from moodwire.operators.compare import compare_models
+    cols = "message_id string, sentiment_category string, sentiment_score double"
+    a = spark.createDataFrame([("m1", "F", -0.8)] * 3 + [("m2", "C", 0.0)], cols)
+    b = spark.createDataFrame([("m1", "F", -0.7)] * 2 + [("m2", "B", 0.4)], cols)
+    got = {r.category_a: (r.msgs, r.agree, round(r.mean_abs_diff, 9)) for r in compare_models(a, b).collect()}
+    assert got == {"F": (1, 1, 0.1), "C": (1, 0, 0.4)}
