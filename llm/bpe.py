@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from llm.common import read_table, slabs, staged
 
 CHUNK_CHARS = 20_000_000
-BUCKETS = 512
+BUCKETS = 128
 #: Words that a task remembers of a bucket; beyond that it forgets them and merges a word again.
 MEMO_WORDS = 2_000_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -96,10 +96,10 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:end[i]]] for i in range(n) if alive[i]]
 
 
-def _squeeze(*arrays: np.ndarray | bytes) -> bytes:
+def _squeeze(*arrays: np.ndarray | bytes, level: int = 3) -> bytes:
     """Arrays as byte planes, compressed: planes of small numbers are nearly free."""
     import zstandard
-    z, out = zstandard.ZstdCompressor(level=3), []
+    z, out = zstandard.ZstdCompressor(level=level), []
     for a in arrays:
         raw = a if isinstance(a, bytes) else a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes()
         packed = z.compress(raw)
@@ -152,12 +152,16 @@ def _cut_maker(pattern: str, text_col: str, buckets: int, chunk_chars: int):
         def flush():
             chunk = part << 32 | next(serial)
             flat = np.concatenate([*codes, np.empty(0, np.uint32)]).astype(np.uint32)
-            order = np.argsort(-np.bincount(flat, minlength=len(number)), kind="stable")  # frequent words: small numbers
+            # Frequent words get small numbers; among equals, those of a bucket stand together and sorted, so that
+            # codes, bucket numbers and words all compress well.
+            texts = [w.encode("utf-8") for w in number]
+            bucket_of = np.fromiter((zlib.crc32(w) % buckets for w in texts), np.uint32, len(texts))
+            lexical = np.empty(len(texts), np.int64)
+            lexical[sorted(range(len(texts)), key=texts.__getitem__)] = np.arange(len(texts))
+            order = np.lexsort((lexical, bucket_of, -np.bincount(flat, minlength=len(number))))
             rank = np.empty(len(number), np.uint32)
             rank[order] = np.arange(len(number), dtype=np.uint32)
-            words = list(number)
-            words = [words[i].encode("utf-8") for i in order]
-            where = np.fromiter((zlib.crc32(w) % buckets for w in words), np.uint32, len(words))
+            words, where = [texts[i] for i in order], bucket_of[order]
             by_bucket = np.argsort(where, kind="stable")
             cuts = np.searchsorted(where[by_bucket], np.arange(buckets + 1))
             rows = []
@@ -168,7 +172,7 @@ def _cut_maker(pattern: str, text_col: str, buckets: int, chunk_chars: int):
             with pa.ipc.new_stream(sink, held[0].schema) as out:
                 for b in held:
                     out.write_batch(b)
-            rows.append((-1, _squeeze(where, np.array([len(c) for c in codes], np.uint64), rank[flat], sink.getvalue().to_pybytes())))
+            rows.append((-1, _squeeze(where, np.array([len(c) for c in codes], np.uint64), rank[flat], sink.getvalue().to_pybytes(), level=9)))
             return pa.RecordBatch.from_arrays([pa.array([chunk] * len(rows), pa.int64()), pa.array([k for k, _ in rows], pa.int32()),
                                                pa.array([x for _, x in rows], pa.binary())], names=["chunk", "bucket", "blob"])
 
