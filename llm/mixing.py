@@ -149,8 +149,7 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "source", "text")
     docs = docs.select("doc_id", "source", words("text").alias("size"))
     out = mix(docs).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("_copy")
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"),
-                      F.transform("draws", lambda x: x["shard"]).alias("shards"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str | None = None) -> DataFrame:

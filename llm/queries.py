@@ -1,12 +1,20 @@
-"""Registered queries of the training-data operators and their SQL twins."""
+"""Registered queries of the training-data operators and their SQL twins (none where SQL cannot express the operator)."""
 
 from __future__ import annotations
 
-from llm import bpe, near_dup
+from llm import ann, bpe, fingerprint, langid, mixing, near_dup, pii, quality, urls, warc
 
 QUERIES = {
+    "op1_mix": mixing.op1_mix,
     "op2_byte_bpe": bpe.op2_byte_bpe,
+    "op3_pii": pii.op3_pii,
+    "op4_fingerprints": fingerprint.op4_fingerprints,
+    "op5_language_id": langid.op5_language_id,
+    "op6_warc": warc.op6_warc,
+    "op7_quality": quality.op7_quality,
+    "op8_multi_index": ann.op8_multi_index,
+    "op9_url_templates": urls.op9_url_templates,
     "op10_minhash_near_dup": near_dup.op10_minhash_near_dup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_mix": mixing.ORACLE_SQL, "op6_warc": warc.ORACLE_SQL}
