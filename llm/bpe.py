@@ -7,7 +7,8 @@
    and sends the ids back to the chunks that hold the word.
 3. Chunk by chunk the ids are joined to the words and put back by position.
 
-Packed rows are zstd-compressed arrays, so what is shuffled stays well below the text. A chunk is about
+Packed rows are zstd-compressed arrays, so what is shuffled stays well below the text. The chunk rows are written once, bucketed
+by chunk, so documents are not shuffled at all: words and ids travel, texts stay. A chunk is about
 CHUNK_CHARS of text (a longer document is a chunk of its own); a task holds one chunk or one bucket's words.
 
 Null or empty text: no ids. Ties and repeated rows are encoded row by row. Input columns other than the text are
@@ -19,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import uuid
 import zlib
 from itertools import count
 
@@ -29,9 +31,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import read_table, slabs, staged
+from llm.common import read_table, slabs
+from moodwire.streaming.replay import scratch_path
 
-CHUNK_CHARS = 20_000_000
+CHUNK_CHARS = 10_000_000
 BUCKETS = 128
 #: Words that a task remembers of a bucket; beyond that it forgets them and merges a word again.
 MEMO_WORDS = 2_000_000
@@ -230,24 +233,17 @@ def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray, pick: np.ndar
 
 
 def _rejoin_maker(names: list[str], out_col: str):
-    """Rows sorted by chunk and bucket descending (ids first, documents last) to documents with ids."""
+    """A chunk's documents and its blobs of ids to documents with ids."""
     def run(batches):
-        current, blobs = None, []
         for b in batches:
-            for chunk, bucket, blob in zip(*(b.column(c).to_pylist() for c in ("chunk", "bucket", "blob"))):
-                if chunk != current:
-                    current, blobs = chunk, []
-                if bucket >= 0:
-                    blobs.append((bucket, blob))
-                    continue
-                where, sizes, codes, rest = _expand(blob, np.uint32, np.uint64, np.uint32, bytes)
+            for blob, parts in zip(b.column("blob"), b.column("parts")):
+                where, sizes, codes, rest = _expand(blob.as_py(), np.uint32, np.uint64, np.uint32, bytes)
                 sizes = sizes.astype(np.int64)
-                parts = [_expand(x, np.uint32, np.uint32) for _, x in sorted(blobs)]
-                blobs = []
+                got = [_expand(x["blob"], np.uint32, np.uint32) for x in sorted(parts.as_py() or [], key=lambda x: x["bucket"])]
                 order = np.argsort(where, kind="stable")
                 n_ids, start = np.empty(len(where), np.int64), np.empty(len(where), np.int64)
-                counts = np.concatenate([p[0] for p in parts] or [np.empty(0, np.uint32)]).astype(np.int64)
-                flat = np.concatenate([p[1] for p in parts] or [np.empty(0, np.uint32)])
+                counts = np.concatenate([p[0] for p in got] or [np.empty(0, np.uint32)]).astype(np.int64)
+                flat = np.concatenate([p[1] for p in got] or [np.empty(0, np.uint32)])
                 n_ids[order], start[order] = counts, np.cumsum(counts) - counts
                 offs = np.concatenate(([0], np.cumsum(sizes)))
                 table = pa.ipc.open_stream(rest).read_all().combine_chunks()
@@ -257,11 +253,18 @@ def _rejoin_maker(names: list[str], out_col: str):
                     ends = np.concatenate(([0], np.cumsum(n_ids[pick])))[offs[i:j + 1] - offs[i]]
                     col = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
                     some = table.slice(i, j - i)
-                    yield pa.RecordBatch.from_arrays([*(some.column(c).combine_chunks() if some.num_columns else None for c in names), col],
-                                                     names=[*names, out_col])
+                    yield pa.RecordBatch.from_arrays([*(some.column(c).combine_chunks() for c in names), col], names=[*names, out_col])
     return run
 
 
+def _bucketed(chunks: DataFrame) -> DataFrame:
+    """Chunk rows as a table bucketed by chunk in the shared folder: the documents' large rows are then joined where they lie."""
+    spark = chunks.sparkSession
+    name, n = f"llm_bpe_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (chunks.write.option("path", scratch_path(spark, "llm-bpe")).option("compression", "zstd").bucketBy(n, "chunk").saveAsTable(name))
+    return spark.table(name)
+
+
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", out_col: str = "token_ids",
            buckets: int = BUCKETS, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """``df`` without its text and with ``out_col`` array<int>: the ids that the rank file gives each whole text.
@@ -276,10 +279,11 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str =
     rest = [f for f in df.schema.fields if f.name != text_col] or [T.StructField("_row", T.IntegerType())]
     if "_row" in [f.name for f in rest] and len(df.columns) == 1:
         df = df.withColumn("_row", F.lit(0))
-    chunks = staged(df.mapInArrow(_cut_maker(pattern, text_col, buckets, chunk_chars), "chunk long, bucket int, blob binary"), "bpe")
+    chunks = _bucketed(df.mapInArrow(_cut_maker(pattern, text_col, buckets, chunk_chars), "chunk long, bucket int, blob binary"))
     words = chunks.where("bucket >= 0").repartition("bucket").sortWithinPartitions("bucket", "chunk")
     ids = words.mapInArrow(_merge_maker(spark.sparkContext.broadcast(ranks)), "chunk long, bucket int, blob binary")
-    back = ids.unionByName(chunks.where("bucket < 0")).repartition("chunk").sortWithinPartitions("chunk", F.desc("bucket"))
+    parts = ids.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "blob")).alias("parts"))  # at most ``buckets`` a chunk
+    back = chunks.where("bucket < 0").join(parts, "chunk", "left").select("blob", "parts")
     schema = T.StructType([*rest, T.StructField(out_col, T.ArrayType(T.IntegerType()))])
     return back.mapInArrow(_rejoin_maker([f.name for f in rest], out_col), schema)
 

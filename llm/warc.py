@@ -90,16 +90,18 @@ def _parse(data: bytes, at: int) -> tuple[dict, bytes, int]:
     return head, block, stop + 4
 
 
-def _inflate(data: bytes, at: int) -> tuple[bytes, int]:
-    z = zlib.decompressobj(31)
+def _inflate(data: bytes, at: int, window: int = 1 << 16) -> tuple[bytes, int]:
+    """The member at ``at`` and its end; fed in windows, so that what follows is not copied for each member."""
+    z, out, view = zlib.decompressobj(31), [], memoryview(data)
     try:
-        out = z.decompress(memoryview(data)[at:])
-        out += z.flush()
+        while at < len(data) and not z.eof:
+            out.append(z.decompress(view[at:at + window]))
+            at += window
     except zlib.error as e:
         raise ValueError("bad gzip member") from e
     if not z.eof:
         raise ValueError("gzip member cut short")
-    return out, len(data) - len(z.unused_data)
+    return b"".join(out), min(at, len(data)) - len(z.unused_data)
 
 
 def _step(data: bytes, at: int):
