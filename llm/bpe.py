@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from llm.common import read_table, slabs
 from moodwire.streaming.replay import scratch_path
 
-CHUNK_CHARS = 10_000_000
+CHUNK_CHARS = 6_000_000
 BUCKETS = 128
 #: Words that a task remembers of a bucket; beyond that it forgets them and merges a word again.
 MEMO_WORDS = 2_000_000
