@@ -9,7 +9,9 @@ Arrow-batched iterator ``pandas_udf`` (client made once per Python worker).
 
 from __future__ import annotations
 
+import hashlib
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -25,7 +27,7 @@ NO_PROMPT_TEXT = "No prompt provided"
 CALL_FAILED_TEXT = ("Thank you for your feedback. We appreciate your business and will review "
                     "your concerns promptly.")
 OTHER_FAILURE_TEXT = "Thank you for your feedback. We appreciate your business."
-RESPONSE_SYSTEM_PROMPT = """You are a witty, snarky, sarcastic, and slightly mean customer service response generator.
+RESPONSE_SYSTEM_PROMPT = """You are a witty, snarky, sarcastic, and slightly mean customer service response generator. 
                         You are aware that you are an AI customer service bot and you are not ashamed of that.
                         Keep responses concise, clever, and most importantly hilarious. 50 words max. """
 RESPONSE_MAX_TOKENS = 200
@@ -70,7 +72,7 @@ class ChatModelGenerator(Generator):
         self.factory = factory
         self.default_model = default_model
         self.sleep = sleep
-        self.cache_key = cache_key or f"gen:{default_model}:{id(factory)}"
+        self.cache_key = cache_key or f"gen:{default_model}:{uuid.uuid4().hex}"
         self.concurrency = concurrency
 
     def _udf(self):
@@ -103,9 +105,9 @@ class ChatModelGenerator(Generator):
 
 
 class EchoChatClient:
-    """Dry-run chat client: answers ``"<model>: "`` plus the first 40 prompt
-    characters. Deterministic; lets the batched call path run without a
+    """Dry-run chat client: answers ``"<model>: "`` plus the SHA-256 of the
+    whole prompt. Deterministic; lets the batched call path run without a
     network model."""
 
     def complete(self, system, user, model=None, **kw):
-        return f"{model}: {user[:40]}"
+        return f"{model}: {hashlib.sha256(user.encode('utf-8')).hexdigest()}"

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -155,7 +156,7 @@ class ClassifierScorer(Scorer):
         self.factory = factory
         self.model_name = model_name
         self.on_error = on_error
-        self.cache_key = cache_key or f"clf:{model_name}:{id(factory)}"
+        self.cache_key = cache_key or f"clf:{model_name}:{uuid.uuid4().hex}"
 
     def _udf(self):
         factory, on_error, key = self.factory, self.on_error, self.cache_key
@@ -207,7 +208,7 @@ class ChatModelScorer(Scorer):
         self.factory = factory
         self.model_name = model_name
         self.sleep = sleep
-        self.cache_key = cache_key or f"chat:{model_name}:{id(factory)}"
+        self.cache_key = cache_key or f"chat:{model_name}:{uuid.uuid4().hex}"
         self.concurrency = concurrency
 
     def _udf(self):

@@ -18,12 +18,16 @@ def compare_models(a: DataFrame, b: DataFrame, key: str = "message_id", digits:
     absolute score difference. An equi-join on the message key; both sides
     are projected to three columns before the shuffle. A message repeated by
     an at-least-once sink counts once per side, so the join never pairs up
-    copies; the repeat removal is partially aggregated and its hash
-    partitioning on the key is the one the join uses."""
-    left = (a.select(key, F.col("sentiment_category").alias("category_a"), F.col("sentiment_score").alias("score_a"))
-            .dropDuplicates([key]))
-    right = (b.select(key, F.col("sentiment_category").alias("category_b"), F.col("sentiment_score").alias("score_b"))
-             .dropDuplicates([key]))
+    copies; of repeats that differ the one with the lowest partition and offset
+    counts (then the lowest score). The repeat removal is partially aggregated
+    and its hash partitioning on the key is the one the join uses."""
+    def once(df: DataFrame, side: str) -> DataFrame:
+        order = [c for c in ("source_partition", "source_offset") if c in df.columns]
+        kept = F.min(F.struct(*order, F.col("sentiment_score").alias("score"), F.col("sentiment_category").alias("category")))
+        return df.groupBy(key).agg(kept.alias("k")).select(
+            key, F.col("k.category").alias(f"category_{side}"), F.col("k.score").alias(f"score_{side}"))
+
+    left, right = once(a, "a"), once(b, "b")
     j = left.join(right, key)
     diff = F.avg(F.abs(F.col("score_a") - F.col("score_b")))
     if digits is not None:

@@ -56,8 +56,9 @@ DEFAULT_CHUNK_ROWS = 1 << 18
 _RESET, _OPEN = 0, 1
 
 # Decision arithmetic: scores in units of 10^-SCORE_DECIMALS, rounded half to
-# even, as int64. One row is clipped to +-2^44 units (about +-17,592 score
-# units), so a chunk of up to 2^18 rows sums without overflow.
+# even, as int64. A row beyond +-2^44 units (about +-17,592 score units) or a
+# non-finite one fails the job, alike on every path, so a chunk of up to 2^18
+# rows sums without overflow and nothing is bent.
 SCORE_DECIMALS = 9
 SCORE_SCALE = 10 ** SCORE_DECIMALS
 ROW_LIMIT_UNITS = 1 << 44
@@ -67,13 +68,17 @@ _SUM_LIMIT = 1 << 62
 def quantize(x: np.ndarray) -> np.ndarray:
     """Scores -> integer decision units (NaN, i.e. NULL, -> 0)."""
     x = np.asarray(x, dtype="float64")
-    v = np.clip(np.rint(np.where(np.isnan(x), 0.0, x) * SCORE_SCALE), -ROW_LIMIT_UNITS, ROW_LIMIT_UNITS)
+    v = np.rint(np.where(np.isnan(x), 0.0, x) * SCORE_SCALE)
+    if (np.abs(v) > ROW_LIMIT_UNITS).any():
+        raise ValueError(f"score out of range: {x[np.abs(v) > ROW_LIMIT_UNITS][0]}")
     return v.astype(np.int64)
 
 
 def quantize_one(x: float) -> int:
     """Scalar twin of :func:`quantize` (Python ``round`` is half to even too)."""
-    return max(-ROW_LIMIT_UNITS, min(ROW_LIMIT_UNITS, round(x * SCORE_SCALE)))
+    if not abs(x) * SCORE_SCALE <= ROW_LIMIT_UNITS + 0.5:
+        raise ValueError(f"score out of range: {x}")
+    return round(x * SCORE_SCALE)
 
 
 def clamp_units(v: int) -> int:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from moodwire.sources.codec import JSON_WRITE_OPTS
 from moodwire.operators.joins import broadcast_if_bounded
 from moodwire.session import materialize
 
@@ -136,8 +137,9 @@ def upsample(messages: DataFrame, target: int, seed: int = 42) -> DataFrame:
     dup = picks.join(idx, "_row")
     rid = F.concat_ws(":", F.lit(str(seed)), F.col("_copy").cast("string"))
     dup = dup.withColumn("message_id", hash_uuid(rid, F.lit("copy"))).withColumn(
-        "metadata", F.col("metadata").withField(
-            "session_id", F.concat(F.lit("sess_"), F.substring(F.sha2(F.concat(rid, F.lit("s")), 256), 1, 8))))
+        "metadata", F.struct(  # absent metadata still gets a session
+            F.concat(F.lit("sess_"), F.substring(F.sha2(F.concat(rid, F.lit("s")), 256), 1, 8)).alias("session_id"),
+            *(F.col(f"metadata.{f.name}").alias(f.name) for f in messages.schema["metadata"].dataType.fields if f.name != "session_id")))
     return messages.unionByName(dup.select(*messages.columns))
 
 
@@ -160,6 +162,7 @@ def replay(messages: DataFrame, loops: int = 1, at_ms: Column | None = None) ->
 
 
 def keyed_records(messages: DataFrame) -> DataFrame:
-    """(key, value) pairs for a topic: key = message_id, value = UTF-8 JSON."""
+    """(key, value) pairs for a topic: key = message_id, value = UTF-8 JSON
+    (absent values stay as null keys)."""
     cols = [c for c in messages.columns if c != "key"]
-    return messages.select(F.col("message_id").alias("key"), F.to_json(F.struct(*cols)).alias("value"))
+    return messages.select(F.col("message_id").alias("key"), F.to_json(F.struct(*cols), JSON_WRITE_OPTS).alias("value"))

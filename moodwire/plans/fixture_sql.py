@@ -49,11 +49,9 @@ def pattern_sql(sentiments: str, threshold: float = -5.0) -> str:
 
     Decisions use scores rounded half-to-even to 9 decimals as BIGINT units
     (the matcher's decision arithmetic); totals are in-order DOUBLE sums."""
-    from moodwire.operators.escalation import ROW_LIMIT_UNITS, SCORE_SCALE, quantize_one
+    from moodwire.operators.escalation import SCORE_SCALE, quantize_one
     thr = quantize_one(threshold)
-    # least/greatest skip NULLs, so a NULL score is kept NULL explicitly.
-    units = (f"CASE WHEN sentiment_score IS NULL THEN NULL ELSE CAST(greatest(-{ROW_LIMIT_UNITS}, "
-             f"least({ROW_LIMIT_UNITS}, round_even(sentiment_score * {float(SCORE_SCALE)!r}, 0))) AS BIGINT) END")
+    units = f"CAST(round_even(sentiment_score * {float(SCORE_SCALE)!r}, 0) AS BIGINT)"
     start = f"(x IS NOT NULL AND xq > {thr})"
     r_start = f"(r.x IS NOT NULL AND r.xq > {thr})"
     close = f"(f.st_n > 0 AND r.x IS NOT NULL AND f.st_q + r.xq <= {thr})"

@@ -271,10 +271,10 @@ def _sql_str(v: str) -> str:
 
 @query("udf_sentiment_prompt", f"""
 SELECT conv_id, turn, {_sql_str(SENTIMENT_PROMPT_HEAD)} || text || {_sql_str(SENTIMENT_PROMPT_TAIL)} AS prompt
-FROM conversations WHERE role = 'user'""")
+FROM conversations""")
 def udf_sentiment_prompt(spark, sf_dir):
     from moodwire.functions.text import sentiment_prompt
-    c = fixtures.table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    c = fixtures.table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", sentiment_prompt(F.col("text")).alias("prompt"))
 
 
@@ -465,18 +465,21 @@ WITH pool AS (
   SELECT 'cust_' || lpad(CAST(c.c_custkey AS VARCHAR), 5, '0') AS customer_id, c.c_name AS name,
          n.n_name AS country, c.c_acctbal < 0 AS is_karen,
          CASE WHEN c.c_acctbal < 0 THEN 'karen,mildly_negative' ELSE 'normal,mildly_positive,funny' END AS types
-  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE c.c_mktsegment = 'BUILDING')
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)
 SELECT m.message_id, m.customer_id,
        coalesce(p.name, 'Customer_' || right(m.customer_id, 5)) AS name,
        coalesce(p.country, 'US') AS country,
        coalesce(p.is_karen, false) AS is_karen,
        coalesce(p.types, 'normal') AS sentiment_types
-FROM ({fixtures.MESSAGES_SQL}) m LEFT JOIN pool p ON m.customer_id = p.customer_id""")
+FROM (SELECT message_id, CASE WHEN message_timestamp % 10 = 0 THEN 'new_' || customer_id ELSE customer_id END AS customer_id
+      FROM ({fixtures.MESSAGES_SQL}) x) m LEFT JOIN pool p ON m.customer_id = p.customer_id""")
 def jn_user_lookup(spark, sf_dir):
     from moodwire.operators.lookup import user_lookup
     from moodwire.sources.pools import user_pool_from_customers
-    pool = user_pool_from_customers(spark, sf_dir, segment="BUILDING")
-    out = user_lookup(fixtures.messages(spark, sf_dir), pool)
+    pool = user_pool_from_customers(spark, sf_dir)
+    # Some messages get an id outside the pool, so the default record is met too.
+    unknown = F.when(F.col("message_timestamp") % 10 == 0, F.concat(F.lit("new_"), "customer_id")).otherwise(F.col("customer_id"))
+    out = user_lookup(fixtures.messages(spark, sf_dir).withColumn("customer_id", unknown), pool)
     return out.select("message_id", "customer_id", "name", "country", "is_karen",
                       F.array_join("sentiment_types", ",").alias("sentiment_types"))
 
@@ -495,17 +498,17 @@ def flagship(spark, sf_dir):
 @query("udf_score_classifier", """
 SELECT conv_id, turn, CASE length(text) % 5 WHEN 0 THEN -0.8 WHEN 1 THEN -0.4 WHEN 2 THEN 0.0
                       WHEN 3 THEN 0.4 ELSE 0.8 END::DOUBLE AS score
-FROM conversations WHERE role = 'user'""")
+FROM conversations""")
 def udf_score_classifier(spark, sf_dir):
     from moodwire.functions.scoring import ClassifierScorer, LengthClassifier
     sc = ClassifierScorer(LengthClassifier, model_name="length-classifier", cache_key="registry:length")
-    c = fixtures.table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    c = fixtures.table(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", sc.score(F.col("text")).alias("score"))
 
 
 @query("udf_generate", f"""
 SELECT customer_id, trigger_order,
-       'gpt-4o: ' || substring({fx.response_prompt_sql('customer_name', 'karen_score_total', 'recent_messages')}, 1, 40)
+       'gpt-4o: ' || sha256({fx.response_prompt_sql('customer_name', 'karen_score_total', 'recent_messages')})
          AS rebuttal_text
 FROM ({M_SQL}) m""")
 def udf_generate(spark, sf_dir):

@@ -45,6 +45,14 @@ def build_session(master: str | None = None, app_name: str = "moodwire",
     return spark
 
 
+def keyed_state(spark: SparkSession) -> None:
+    """Keyed stream processors keep several state variables, which the session's default
+    state store may not hold: choose RocksDB where a stream is built, in any session."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in (spark.conf.get(key, "") or ""):
+        spark.conf.set(key, BASE_CONF[key])
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, or None if unset.
 
@@ -76,11 +84,3 @@ def materialize(df):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="moodwire-ckpt-", dir="/tmp"))
     return df.checkpoint(eager=True)
 
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Set ``fallback`` as checkpoint dir only when the session names none (tests)."""
-    d = checkpoint_dir(spark)
-    if d is None:
-        spark.sparkContext.setCheckpointDir(fallback)
-        d = spark.sparkContext.getCheckpointDir()
-    return d

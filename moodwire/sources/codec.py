@@ -15,8 +15,7 @@ from moodwire import schemas
 
 ISO_MS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 JSON_WRITE_OPTS = {"timestampFormat": ISO_MS, "timestampNTZFormat": ISO_MS, "ignoreNullFields": "false"}
-JSON_READ_OPTS = {"timestampFormat": ISO_MS, "timestampNTZFormat": ISO_MS}
-CORRUPT = "_corrupt_record"
+JSON_READ_OPTS = {"timestampFormat": ISO_MS, "timestampNTZFormat": ISO_MS, "allowSingleQuotes": "false"}
 
 
 def encode_json(df: DataFrame, col: str = "value") -> DataFrame:
@@ -43,8 +42,12 @@ def decode(df: DataFrame, schema: T.StructType, col: str = "value", strict: bool
 
 
 def is_json_object(c):
-    """True when ``c`` parses as one JSON object."""
-    return F.get_json_object(c, "$").isNotNull() & F.trim(c).startswith("{")
+    """True when ``c`` is one JSON object and nothing else, double-quoted.
+
+    The text is read as the only element of an array, so trailing text and a
+    second object are seen; get_json_object would stop after the first."""
+    one = F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<string>", {"allowSingleQuotes": "false"})
+    return F.coalesce((F.size(one) == 1) & F.trim(c).startswith("{"), F.lit(False))
 
 
 def quarantine(df: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:

@@ -16,14 +16,16 @@ TEMPLATE_TYPES = ["karen", "funny", "normal", "positive", "mildly_negative", "mi
 
 
 def read_user_pool(spark: SparkSession, path: str) -> DataFrame:
-    """JSONL user pool with the declared schema (blank lines are skipped)."""
-    return spark.read.schema(schemas.USER_POOL).json(path)
+    """JSONL user pool with the declared schema (blank lines are skipped; a
+    malformed line fails the read)."""
+    return spark.read.schema(schemas.USER_POOL).option("mode", "FAILFAST").json(path)
 
 
 def read_templates(spark: SparkSession, path: str) -> DataFrame:
     """JSON object of arrays keyed by type -> rows (type, template)."""
-    raw = spark.read.option("multiLine", "true").json(path)
-    cols = [c for c in raw.columns if c in TEMPLATE_TYPES]
+    schema = ", ".join(f"{t} array<string>" for t in TEMPLATE_TYPES)
+    raw = spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
+    cols = TEMPLATE_TYPES
     stacked = raw.select(F.explode(F.map_from_arrays(
         F.array(*[F.lit(c) for c in cols]), F.array(*[F.col(c) for c in cols]))).alias("type", "templates"))
     return stacked.select("type", F.explode("templates").alias("template"))
@@ -47,9 +49,9 @@ def user_pool_from_customers(spark: SparkSession, sf_dir: str, segment: str | No
 
 
 def templates_from_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns of the conversations as templates; the type is assigned
+    """All turns of the conversations as templates; the type is assigned
     round-robin over the template types by conversation id."""
-    c = fixtures.table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    c = fixtures.table(spark, sf_dir, "conversations")
     types = F.array(*[F.lit(t) for t in TEMPLATE_TYPES])
     return c.select(F.element_at(types, (F.col("conv_id") % len(TEMPLATE_TYPES) + 1).cast("int")).alias("type"),
                     F.col("text").alias("template"))

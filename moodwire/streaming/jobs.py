@@ -14,6 +14,7 @@ from moodwire.functions.generation import RESPONSE_MODEL_DEFAULT, Generator
 from moodwire.functions.scoring import Scorer
 from moodwire.plans import sentiment
 from moodwire.plans.escalation import respond
+from moodwire.session import keyed_state
 from moodwire.sources import codec
 from moodwire.streaming.state import BURST_OUTPUT, MATCH_OUTPUT, BurstProcessor, EscalationProcessor
 
@@ -33,12 +34,15 @@ SENTIMENT_SINK_PARALLELISM = 4
 # --------------------------------------------------------------------- sources
 
 def kafka_source_options(bootstrap: str, topic: str, starting: str = "latest",
-                         client: dict | None = None) -> dict:
+                         client: dict | None = None, max_offsets_per_trigger: int | None = None) -> dict:
     """Options for ``readStream.format("kafka")``; client settings (default:
     the jobs' consumer timeouts) pass through with the ``kafka.`` prefix.
-    Offsets live in the query checkpoint, so no consumer group is needed."""
-    opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting,
-            "failOnDataLoss": "false"}
+    Offsets live in the query checkpoint, so no consumer group is needed. Lost
+    offsets fail the query (the source's default). ``max_offsets_per_trigger``
+    paces a backlog: rows wait for a later micro-batch, none is dropped."""
+    opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting}
+    if max_offsets_per_trigger is not None:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     for k, v in (CONSUMER_CLIENT if client is None else client).items():
         opts[f"kafka.{k}"] = str(v)
     return opts
@@ -122,6 +126,7 @@ def escalation_stream(sentiments: DataFrame, generator: Generator | None = None,
                       threshold: float = -5.0, model: str = RESPONSE_MODEL_DEFAULT,
                       model_filter: str | None = None) -> DataFrame:
     """J2 on a stream: one hash shuffle on the customer key into the stateful fold."""
+    keyed_state(sentiments.sparkSession)
     if model_filter is not None:
         sentiments = sentiments.filter(F.col("model_used") == model_filter)
     matches = (sentiments.select("customer_id", "customer_name", "message_timestamp", "source_partition",
@@ -132,12 +137,13 @@ def escalation_stream(sentiments: DataFrame, generator: Generator | None = None,
 
 
 def burst_stream(sentiments: DataFrame, k: int = 5, window_ms: int = 5 * 60_000,
-                 category: str = "F - Very Negative") -> DataFrame:
+                 category: str = "F - Very Negative", lateness_ms: int | None = None) -> DataFrame:
+    keyed_state(sentiments.sparkSession)
     return (sentiments.filter(F.col("sentiment_category") == category)
             .select("customer_id", "customer_name", "message_id", "message_timestamp", "source_partition",
                     "source_offset")
             .groupBy("customer_id")
-            .transformWithStateInPandas(BurstProcessor(k, window_ms), BURST_OUTPUT, "Append", "None"))
+            .transformWithStateInPandas(BurstProcessor(k, window_ms, lateness_ms), BURST_OUTPUT, "Append", "None"))
 
 
 def trend_stream(sentiments: DataFrame, grain: str = "1 minute", delay: str = WATERMARK_DELAY) -> DataFrame:

@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodwire.session import checkpoint_dir, materialize
+from moodwire.session import checkpoint_dir, keyed_state, materialize
 
 
 def scratch_path(spark, kind: str = "replay") -> str:
@@ -57,6 +57,7 @@ def replay(df: DataFrame, build, name: str, time_col: str = "message_timestamp",
            key_cols: tuple[str, ...] = ("customer_id",), slices: int = 4) -> DataFrame:
     """Replay ``df`` as a file stream, apply ``build(stream_df)``, return the result."""
     spark = df.sparkSession
+    keyed_state(spark)
     base = scratch_path(spark)
     src = f"{base}/src"
     write_slices(df, src, time_col, list(key_cols), slices)

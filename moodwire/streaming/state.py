@@ -9,7 +9,6 @@ offset) order; batches are taken in arrival order.
 from __future__ import annotations
 
 import bisect
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,13 +125,16 @@ BURST_OUTPUT = T.StructType([
 class BurstProcessor(StatefulProcessor):
     """k matching messages within ``window_ms`` per customer.
 
-    State is the list of timestamps still inside the window, so it is
-    bounded by the traffic of one window, never by history.
+    State is the sorted list of timestamps of the last window and the stated
+    lateness before it (default: one more window), so it is bounded by the
+    traffic of that span, never by history. A late row is tested against the
+    window that ends at its own time, not against rows after it.
     """
 
-    def __init__(self, k: int = 5, window_ms: int = 5 * 60_000):
+    def __init__(self, k: int = 5, window_ms: int = 5 * 60_000, lateness_ms: int | None = None):
         self.k = k
         self.window_ms = window_ms
+        self.lateness_ms = window_ms if lateness_ms is None else lateness_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.times = handle.getListState("times", "ts long")
@@ -141,7 +143,7 @@ class BurstProcessor(StatefulProcessor):
         cols = _ordered(rows, ["message_id", "customer_name", "message_timestamp"])
         if cols is None:
             return
-        held = deque(int(r[0]) for r in self.times.get())
+        held = [int(r[0]) for r in self.times.get()]
         out = []
         rows_ = list(zip(cols[0], cols[1], [int(t) for t in cols[2]]))
         i = 0
@@ -150,16 +152,13 @@ class BurstProcessor(StatefulProcessor):
             # of them, as the batch frame's CURRENT ROW does.
             ts, j = rows_[i][2], i
             while j < len(rows_) and rows_[j][2] == ts:
-                if held and ts < held[-1]:
-                    bisect.insort(held, ts)  # a late row: keep the held times ordered
-                else:
-                    held.append(ts)
+                bisect.insort(held, ts)
                 j += 1
-            while held[0] < ts - self.window_ms:
-                held.popleft()
-            if len(held) >= self.k:
-                out.extend((key[0], name, mid, ts, len(held)) for mid, name, _ in rows_[i:j])
+            count = bisect.bisect_right(held, ts) - bisect.bisect_left(held, ts - self.window_ms)
+            if count >= self.k:
+                out.extend((key[0], name, mid, ts, count) for mid, name, _ in rows_[i:j])
             i = j
+        del held[:bisect.bisect_left(held, held[-1] - self.window_ms - self.lateness_ms)]
         self.times.put([(t,) for t in held])
         if out:
             yield pd.DataFrame(out, columns=[f.name for f in BURST_OUTPUT.fields])

@@ -1,6 +1,7 @@
 """Model adapters with in-process fakes: one load per worker, one call per
 non-blank row, error policies, retries; generator defaults and fallbacks."""
 
+import hashlib
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,7 +80,8 @@ def test_generator_defaults_and_fallbacks(spark):
     df = spark.createDataFrame([("hello there", None), ("  ", "m1"), ("x", "")], "p string, m string")
     gen = G.ChatModelGenerator(G.EchoChatClient, sleep=lambda s: None, cache_key="t-echo")
     got = [r[0] for r in df.coalesce(1).select(gen.generate(F.col("p"), F.col("m"))).collect()]
-    assert got == ["gpt-4o: hello there", G.NO_PROMPT_TEXT, "gpt-4o: x"]
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == [f"gpt-4o: {sha('hello there')}", G.NO_PROMPT_TEXT, f"gpt-4o: {sha('x')}"]
     dead = G.ChatModelGenerator(DeadChat, sleep=lambda s: None, cache_key="t-gdead")
     got = [r[0] for r in df.coalesce(1).select(dead.generate(F.col("p"), F.col("m"))).collect()]
     assert got == [G.CALL_FAILED_TEXT, G.NO_PROMPT_TEXT, G.CALL_FAILED_TEXT]
