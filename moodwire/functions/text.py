@@ -1,7 +1,7 @@
 """Native (Catalyst) text and score expressions used by the jobs.
 
-Everything here returns a ``Column``; nothing calls Python per row, so all of
-it stays inside whole-stage codegen.
+Everything here returns a ``Column``; nothing calls Python per row. Lambdas over
+arrays (``category``) run interpreted, outside whole-stage codegen.
 """
 
 from __future__ import annotations

@@ -663,3 +663,82 @@ def w_burst_stream(spark, sf_dir):
     from moodwire.streaming import jobs, replay
     return replay.replay(sentiments(spark, sf_dir),
                          lambda st: jobs.burst_stream(st, k=BURST_K, window_ms=BURST_WINDOW_MS), "w_burst_stream")
+
+
+# ---------------------------------- data preparation: what must hold whatever the draws are
+
+
+_POOL_SQL = """SELECT 'cust_' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS customer_id, c_acctbal < 0 AS is_karen FROM customer"""
+
+
+@query("dp_expand_holds", f"""
+SELECT customer_id, is_karen, true AS count_in_range, true AS seq_dense FROM ({_POOL_SQL}) p""")
+def dp_expand_holds(spark, sf_dir):
+    """Per user: the number of messages is in the range of its kind, and seq counts 1..n."""
+    from moodwire.plans.dataprep import KAREN_MESSAGES, REGULAR_MESSAGES, expand_users
+    rows = expand_users(_pool(spark, sf_dir))
+    g = rows.groupBy("customer_id", "is_karen").agg(
+        F.max("n_messages").alias("n"), F.min("n_messages").alias("n0"), F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("seq").alias("seqs"), F.min("seq").alias("lo"), F.max("seq").alias("hi"))
+    in_range = F.when(F.col("is_karen"), F.col("n").between(*KAREN_MESSAGES)).otherwise(F.col("n").between(*REGULAR_MESSAGES))
+    dense = ((F.col("n") == F.col("n0")) & (F.col("rows") == F.col("n")) & (F.col("seqs") == F.col("n"))
+             & (F.col("lo") == 1) & (F.col("hi") == F.col("n")))
+    return g.select("customer_id", "is_karen", in_range.alias("count_in_range"), dense.alias("seq_dense"))
+
+
+@query("dp_pick_template_holds", f"""
+SELECT customer_id, true AS types_own, true AS templates_of_type FROM ({_POOL_SQL}) p""")
+def dp_pick_template_holds(spark, sf_dir):
+    """Per user: every type is one of the user's, every template one of that type."""
+    from moodwire.plans.dataprep import expand_users, pick_templates
+    from moodwire.sources.pools import templates_from_conversations
+    templates = templates_from_conversations(spark, sf_dir)
+    picked = pick_templates(expand_users(_pool(spark, sf_dir)), templates)
+    known = templates.select("type", "template").distinct().withColumn("known", F.lit(True))
+    j = picked.join(known, ["type", "template"], "left")
+    return j.groupBy("customer_id").agg(F.every(F.array_contains("sentiment_types", F.col("type"))).alias("types_own"),
+                                        F.every(F.coalesce("known", F.lit(False))).alias("templates_of_type"))
+
+
+@query("dp_build_message_holds", "SELECT true AS ids_distinct, true AS ids_shaped, true AS sessions_shaped, true AS agents_known, "
+       "(SELECT count(*) FROM customer) AS customers")
+def dp_build_message_holds(spark, sf_dir):
+    """All message ids differ and look like UUIDs, sessions and agents have the declared forms, every user has messages."""
+    from moodwire.plans.dataprep import USER_AGENTS, generate_messages
+    from moodwire.sources.pools import templates_from_conversations
+    m = generate_messages(_pool(spark, sf_dir), templates_from_conversations(spark, sf_dir), at_ms=F.lit(1_704_067_200_000))
+    return m.agg((F.count_distinct("message_id") == F.count(F.lit(1))).alias("ids_distinct"),
+                 F.every(F.col("message_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).alias("ids_shaped"),
+                 F.every(F.col("metadata.session_id").rlike("^sess_[0-9a-f]{8}$")).alias("sessions_shaped"),
+                 F.every(F.col("metadata.user_agent").isin(USER_AGENTS)).alias("agents_known"),
+                 F.count_distinct("customer_id").alias("customers"))
+
+
+@query("dp_upsample_holds", f"""
+SELECT 2 * count(*) + 7 AS total, 2 * count(*) + 7 AS ids, count(*) AS originals, 0::BIGINT AS strangers FROM ({fixtures.MESSAGES_SQL}) m""")
+def dp_upsample_holds(spark, sf_dir):
+    """Exactly the target size, all ids differ, originals stay, and each copy's other columns are those of a source row."""
+    from moodwire.plans.dataprep import upsample
+    m = fixtures.messages(spark, sf_dir).drop("kafka_timestamp", "kafka_partition", "kafka_offset")
+    out = upsample(m, target=2 * m.count() + 7)
+    same = ["customer_id", "customer_name", "message_timestamp", "message_text"]
+    source = m.select(*same, F.lit(True).alias("known")).distinct()
+    ids = m.select("message_id", F.lit(True).alias("original"))
+    eq = [out[c].eqNullSafe(source[c]) for c in same]
+    j = out.join(source, eq, "left").join(ids, "message_id", "left")
+    return j.agg(F.count(F.lit(1)).alias("total"), F.count_distinct("message_id").alias("ids"),
+                 F.count("original").alias("originals"), F.count_if(F.col("known").isNull()).alias("strangers"))
+
+
+@query("dp_replay_holds", f"""
+SELECT 2 * count(*) AS records, count(DISTINCT message_id) AS keys, 2 * count(*) AS decoded, 2 * count(*) AS stamped FROM ({fixtures.MESSAGES_SQL}) m""")
+def dp_replay_holds(spark, sf_dir):
+    """Two loops give two records a message; every value decodes with its key as id and the replay's time."""
+    from moodwire.plans.dataprep import keyed_records, replay
+    from moodwire.sources.codec import decode_messages
+    m = fixtures.messages(spark, sf_dir).drop("kafka_timestamp", "kafka_partition", "kafka_offset")
+    rec = keyed_records(replay(m, loops=2, at_ms=F.lit(1_704_067_200_000)))
+    d = decode_messages(rec, keep=["key"])
+    return d.agg(F.count(F.lit(1)).alias("records"), F.count_distinct("key").alias("keys"),
+                 F.count_if(F.col("message_id") == F.col("key")).alias("decoded"),
+                 F.count_if(F.col("message_timestamp") == 1_704_067_200_000).alias("stamped"))
