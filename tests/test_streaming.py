@@ -314,3 +314,20 @@ def test_j1_has_no_sink_shuffle_unless_asked(spark):
     spread = jobs.sentiment_stream(m, sink_partitions=jobs.SENTIMENT_SINK_PARALLELISM)
     assert spread.rdd.getNumPartitions() == 4
     assert sorted(r.message_id for r in spread.collect()) == sorted(r.message_id for r in plain.collect())
+
+
+def test_serving_ingest_removes_repeats_on_request(spark, scratch):
+    """A topic that repeats every record gives each message once when asked to."""
+    from moodwire.streaming import launch
+    topics = launch.Topics(root=os.path.join(scratch, "topics"))
+    batch = registry.sentiments(spark, SF).limit(200)
+    lines = [r.value for r in codec.encode_json(batch).collect()]
+    for topic, content in ((jobs.TOPIC_SENTIMENTS, lines + lines), (jobs.TOPIC_RESPONSES, [])):
+        os.makedirs(os.path.join(scratch, "topics", topic))
+        _write(os.path.join(scratch, "topics", topic), 0, content)
+    for name, delay, want in (("twice", None, 2 * len(lines)), ("once", "10 minutes", len(lines))):
+        tables = os.path.join(scratch, name)
+        for q in launch.start_serving_ingest(spark, topics, tables, os.path.join(scratch, f"c-{name}"), trigger=None, dedup_delay=delay):
+            q.awaitTermination()
+        launch.register_serving_tables(spark, tables, recreate=True)
+        assert spark.table("sentiments_rt").count() == want
