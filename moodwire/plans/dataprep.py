@@ -72,6 +72,20 @@ def index_within(df: DataFrame, group: str, index_col: str = "idx") -> DataFrame
             .drop("_gid", "_pid", "_local", "_off"))
 
 
+def dense_index(df: DataFrame, index_col: str = "idx") -> DataFrame:
+    """Dense 0-based index over all rows: a row's place in its partition plus
+    the rows of the partitions before it (one count a partition). No shuffle
+    on a constant key."""
+    t = materialize(df.withColumn("_gid", F.monotonically_increasing_id()))
+    t = t.withColumn("_pid", F.shiftright("_gid", 33))
+    counts = t.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("_pid", F.coalesce(before, F.lit(0)).alias("_off"))
+    place = F.col("_gid").bitwiseAND(F.lit((1 << 33) - 1))
+    return (t.join(offsets, "_pid").withColumn(index_col, (F.col("_off") + place).cast("long"))
+            .drop("_gid", "_pid", "_off"))
+
+
 def pick_templates(rows: DataFrame, templates: DataFrame, seed: int = 42) -> DataFrame:
     """For each row: a random type from its ``sentiment_types``, then a random
     template of that type. A type with no template fails the job."""
@@ -126,7 +140,7 @@ def upsample(messages: DataFrame, target: int, seed: int = 42) -> DataFrame:
     if target <= n or n == 0:
         return messages
     extra = target - n
-    idx = index_within(messages.withColumn("_all", F.lit(0)), "_all", "_row").drop("_all", "group_size")
+    idx = dense_index(messages, "_row")
     picks = (messages.sparkSession.range(extra).withColumnRenamed("id", "_copy")
              .withColumn("_row", draw(F.lit(n), seed, F.col("_copy"))))
     # With few source rows each row is drawn many times (a hot join key): the

@@ -176,3 +176,20 @@ def test_model_compare_counts_repeated_messages_once(spark):
     b = spark.createDataFrame([("m1", "F", -0.7)] * 2 + [("m2", "B", 0.4)], cols)
     got = {r.category_a: (r.msgs, r.agree, round(r.mean_abs_diff, 9)) for r in compare_models(a, b).collect()}
     assert got == {"F": (1, 1, 0.1), "C": (1, 0, 0.4)}
+
+
+def test_dense_index_counts_all_rows_without_a_constant_key(spark):
+    from moodwire.plans.dataprep import dense_index
+    df = spark.range(1000).repartition(7)
+    out = dense_index(df, "n")
+    assert sorted(r["n"] for r in out.collect()) == list(range(1000)) and out.columns == ["id", "n"]
+    assert dense_index(df.limit(0), "n").count() == 0
+
+
+def test_upsample_copies_without_metadata_get_a_session(spark):
+    from moodwire.plans.dataprep import upsample
+    df = spark.createDataFrame([("m1", "c", "n", 1, "t", None)], "message_id string, customer_id string, customer_name string, "
+                               "message_timestamp long, message_text string, metadata struct<session_id:string,user_agent:string,ip_country:string>")
+    rows = upsample(df, 3).collect()
+    assert len({r["message_id"] for r in rows}) == 3
+    assert sum(r["metadata"] is not None and r["metadata"]["session_id"].startswith("sess_") for r in rows) == 2
