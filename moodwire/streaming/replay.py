@@ -34,6 +34,9 @@ def write_slices(df: DataFrame, path: str, time_col: str, key_cols: list[str], s
     """Write ``df`` as ``slices`` time-ordered batches of Parquet files."""
     spark = df.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Written once, so that what stands above (scans, joins, scoring) runs once and not per slice.
+    df.write.parquet(f"{path}-all")
+    df = spark.read.schema(df.schema).parquet(f"{path}-all")
     lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()
     if lo is None:
         df.limit(0).write.mode("append").parquet(path)
