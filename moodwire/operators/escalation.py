@@ -20,21 +20,24 @@ Execution is built for one key holding a large share of all rows:
    match could close, the state that follows. That summary is small.
 3. Per key, chunk summaries are folded in order by a streaming
    ``mapInPandas`` pass (only summaries are sequential, not rows), yielding
-   the state each chunk starts in.
-4. Chunks are joined with their start state and emit match fragments; a
+   a first state each chunk starts in.
+4. These states are settled (:func:`settled`): the chunks of keys that span
+   several are folded row by row from them, and where what a chunk leaves
+   differs from what the next one started in, the next one is folded anew,
+   until all agree.
+5. Chunks are joined with their start state and emit match fragments; a
    match that never closes emits nothing, so an endless run of one hot key
    never reaches a group. Fragments of one match (one per chunk it spans)
    are assembled with an ordered concatenation and an ordered fold of the
    scores.
 
-Decisions (can a row start a match, does it close one) compare sums of the
-scores rounded to ``SCORE_DECIMALS`` decimals, held as integers. Integer sums
-are exact and associative, so chunk-local prefix sums give the same answer as
-a row-by-row fold wherever chunks or partitions begin: the result does not
-depend on the plan. (Double sums do: near a tie such as ``-0.7 * 5 - 0.3 * 5``
-the rounding of a re-associated sum can flip a decision, and every later
-match of that key shifts.) The reported total is the strict left-to-right
-double sum of the match's scores.
+Decisions (can a row start a match, does it close one) compare the strict
+left-to-right double sum of the match's scores with the threshold, and that
+sum is the reported total. Double sums depend on the order of additions: near
+a tie such as ``-0.7 * 5 - 0.3 * 5`` a re-associated sum decides otherwise, and
+every later match of that key shifts. So the summaries of steps 2 and 3, which
+use sums of integers (scores rounded to ``SCORE_DECIMALS`` decimals), only
+propose states; steps 4 and 5 decide.
 """
 
 from __future__ import annotations
@@ -44,7 +47,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,10 +56,12 @@ from moodwire.session import materialize
 
 DEFAULT_THRESHOLD = -5.0
 DEFAULT_CHUNK_ROWS = 1 << 18
+#: Fewest rows of a chunk that states are settled for and matches emitted from.
+SETTLE_ROWS = 1 << 12
 _RESET, _OPEN = 0, 1
 
-# Decision arithmetic: scores in units of 10^-SCORE_DECIMALS, rounded half to
-# even, as int64. A row beyond +-2^44 units (about +-17,592 score units) or a
+# Arithmetic of the summaries: scores in units of 10^-SCORE_DECIMALS, rounded
+# half to even, as int64. A row beyond +-2^44 units (about +-17,592 score units) or a
 # non-finite one fails the job, alike on every path, so a chunk of up to 2^18
 # rows sums without overflow and nothing is bent.
 SCORE_DECIMALS = 9
@@ -87,6 +92,39 @@ def clamp_units(v: int) -> int:
     return max(-_SUM_LIMIT, min(_SUM_LIMIT, v))
 
 
+def walk(scores: list, threshold: float, s: float = 0.0, n: int = 0) -> tuple[list[tuple[int, int]], tuple[int, float, int]]:
+    """The fold itself, in order and in doubles, from an open match of ``n`` rows with sum ``s`` (0 rows: none).
+
+    NaN stands for NULL. Returns the closed matches as (first, last) row, first -1 if it came in open, and what
+    stays open: (first row or -1, sum, rows).
+    """
+    closed, lo = [], -1
+    for i, x in enumerate(scores):
+        if n == 0:
+            if x > threshold:
+                s, n, lo = x, 1, i
+        elif x == x and s + x <= threshold:
+            closed.append((lo, i))
+            s, n, lo = 0.0, 0, -1
+        else:
+            s, n = (s + x if x == x else s), n + 1
+    return closed, (lo, s, n)
+
+
+def doubtful(scores: list, threshold: float, s: float, n: int, top: float) -> bool:
+    """Whether the match that came in open passes so near the threshold that ``s`` must be its very double sum.
+
+    ``s`` may differ from it by half a decision unit a row and by the rounding of ``n`` additions of at most ``top``.
+    """
+    for x in scores:
+        s, n = (s + x if x == x else s), n + 1
+        if abs(s - threshold) <= 1e-6 + n * (1.0 / SCORE_SCALE + 2.3e-16 * n * top):
+            return True
+        if s <= threshold:
+            return False
+    return False
+
+
 # ----------------------------------------------------------------- numpy core
 
 def _first_leq(q: np.ndarray, start: np.ndarray, thr: np.ndarray) -> np.ndarray:
@@ -365,7 +403,7 @@ def _summary_small_fn(keys: Sequence[str], threshold: float):
     return summarize
 
 
-FRAG_COLS = ["match_gid", "_cb", "frag_count", "frag_texts", "frag_scores", "is_close", "t_text", "t_order"]
+FRAG_COLS = ["match_gid", "_sb", "frag_count", "frag_texts", "frag_scores", "is_close", "t_text", "t_order"]
 
 
 def _join_texts(texts, sep: str) -> str | None:
@@ -373,51 +411,34 @@ def _join_texts(texts, sep: str) -> str | None:
     return sep.join(vals) if vals else None
 
 
-def _emit_small_fn(keys: Sequence[str], threshold: float, sep: str):
-    """Row-list twin of :func:`_emit_fn` for short chunks."""
+def _emit_fn(keys: Sequence[str], threshold: float, sep: str):
+    """Match fragments of one chunk, from its settled start state."""
     keys = list(keys)
 
     def emit(cols: dict, a: int, b: int, out: dict) -> int:
-        gid, texts, order0 = cols["_gid"][a:b], cols["_text"][a:b], cols["_order0"][a:b]
-        sq = _Seq(cols["_score"][a:b], threshold)
-        m, kvals, cb = sq.m, [cols[c][a] for c in keys], cols["_cb"][a]
-        keep_open = _is_set(cols["out_closes"][a]) and bool(cols["out_closes"][a])
-        n = 0
+        gid, texts, order0, scores = cols["_gid"][a:b], cols["_text"][a:b], cols["_order0"][a:b], cols["_score"][a:b]
+        kvals, sb, start = [cols[c][a] for c in keys], cols["_sb"][a], int(cols["in_start"][a])
 
-        def frag(match_gid, lo, hi, close):
+        def frag(first, hi, close):
+            """Rows from ``first`` (-1: the match came in open) to hi-1 are pre rows; row hi is the t row when close."""
+            lo, last = max(first, 0), hi + 1 if close else hi
             for c, v in zip(keys, kvals):
                 out[c].append(v)
-            last = hi + 1 if close else hi
-            for c, v in zip(FRAG_COLS, [match_gid, cb, last - lo, _join_texts(texts[lo:hi], sep),
-                                        sq.z[lo:last], close, texts[hi] if close else None,
-                                        order0[hi] if close else None]):
+            for c, v in zip(FRAG_COLS, [start if first < 0 else gid[first], sb, last - lo, _join_texts(texts[lo:hi], sep),
+                                        [x if x == x else 0.0 for x in scores[lo:last]], close,
+                                        texts[hi] if close else None, order0[hi] if close else None]):
                 out[c].append(v)
-            return 1
-
-        p = 0
-        kind0 = cols["in_kind"][a]
-        if _is_set(kind0) and int(kind0) == _OPEN:
-            start = int(cols["in_start"][a])
-            k = sq.close_in(int(cols["in_sum"][a]))
-            if k >= m:
-                if keep_open:
-                    n += frag(start, 0, m, False)
-                p = m
-            else:
-                n += frag(start, 0, k, True)
-                p = k + 1
-        while p < m:
-            s = sq.nv[p]
-            if s >= m:
-                break
-            e = sq.end(s)
-            if e >= m:
-                if keep_open:
-                    n += frag(gid[s], s, m, False)
-                break
-            n += frag(gid[s], s, e, True)
-            p = e + 1
-        return n
+
+        closed, (lo, _, rows) = walk(scores, threshold, float(cols["in_sum"][a]), int(cols["in_cnt"][a]))
+        for first, hi in closed:
+            frag(first, hi, True)
+        # The match left open at the chunk end is emitted only when a later
+        # chunk closes it: a run that never reaches the threshold builds no
+        # texts and reaches no per-match group.
+        left = bool(rows) and bool(cols["out_closes"][a])
+        if left:
+            frag(lo, len(scores), False)
+        return len(closed) + left
 
     return emit
 
@@ -483,67 +504,78 @@ def _resolve_fn(keys: Sequence[str], threshold: float):
     return resolve
 
 
-def _emit_fn(keys: Sequence[str], threshold: float, sep: str):
-    def emit(rows: pd.DataFrame) -> pd.DataFrame:
-        cols = {c: [] for c in list(keys) + ["match_gid", "_cb", "frag_count", "frag_texts", "frag_scores",
-                                           "is_close", "t_text", "t_order"]}
-        if len(rows) == 0:
-            return _frame(cols)
-        rows = rows.sort_values("_gid", kind="stable")
-        gid = rows["_gid"].to_numpy(dtype="int64")
-        texts = rows["_text"].tolist()
-        order0 = rows["_order0"].tolist()
-        ch = _Chunk(rows["_score"].to_numpy(dtype="float64", na_value=np.nan), threshold)
-        m = ch.m
-        kvals = [rows[c].iloc[0] for c in keys]
-        cb = int(rows["_cb"].iloc[0])
+STATE_COLS = ["seq", "in_start", "in_sum", "in_cnt"]
+LEFT_COLS = ["near", "in_hit", "o_start", "o_sum", "o_cnt"]
 
-        def frag(match_gid, lo, hi, close):
-            """Rows lo..hi-1 are pre rows; row hi is the t row when close."""
-            for c, v in zip(keys, kvals):
-                cols[c].append(v)
-            cols["match_gid"].append(int(match_gid))
-            cols["_cb"].append(cb)
-            last = hi + 1 if close else hi
-            cols["frag_count"].append(int(last - lo))
-            cols["frag_texts"].append(_join_texts(texts[lo:hi], sep))
-            cols["frag_scores"].append(ch.z[lo:last].tolist())
-            cols["is_close"].append(bool(close))
-            cols["t_text"].append(texts[hi] if close else None)
-            cols["t_order"].append(order0[hi] if close else None)
-
-        # The match left open at the chunk end (pass-through or trailing) is
-        # emitted only when a later chunk closes it: a run that never reaches
-        # the threshold builds no texts and reaches no per-match group.
-        oc = rows["out_closes"].iloc[0]
-        keep_open = oc is not None and not pd.isna(oc) and bool(oc)
-        p = 0
-        kind0 = rows["in_kind"].iloc[0]
-        if kind0 is not None and not pd.isna(kind0) and int(kind0) == _OPEN:
-            s_in = int(rows["in_sum"].iloc[0])
-            start = int(rows["in_start"].iloc[0])
-            k = ch.close_in(s_in)
-            if k >= m:
-                if keep_open:
-                    frag(start, 0, m, False)
-                p = m
-            else:
-                frag(start, 0, k, True)
-                p = k + 1
-        while p < m:
-            s = int(ch.nv[p])
-            if s >= m:
-                break
-            e = int(ch.end[s])
-            if e >= m:
-                if keep_open:
-                    frag(gid[s], s, m, False)
-                break
-            frag(gid[s], s, e, True)
-            p = e + 1
-        return _frame(cols)
 
-    return emit
+def _settle_fn(keys: Sequence[str], threshold: float, top: float):
+    """Fold of chunks in order of (keys, chain, seq), each from its given state; a chunk that goes on with the match of
+    the one before it (same chain, next ``seq``) starts in the very state that one left."""
+    keys = list(keys)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        who, seq, left = None, -1, (-1, 0.0, 0)
+        for pdf, bounds in _chunk_frames(batches, [*keys, "_sb"]):
+            cols = {c: pdf[c].tolist() for c in [*keys, "_sb", "chain", *STATE_COLS, "_gid", "_score"]}
+            out = {c: [] for c in [*keys, "_sb", *STATE_COLS, *LEFT_COLS]}
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                me, at = tuple(cols[c][a] for c in [*keys, "chain"]), cols["seq"][a]
+                state = (cols["in_start"][a], cols["in_sum"][a], cols["in_cnt"][a])
+                if me == who and at == seq + 1 and left[0] == state[0]:
+                    state = left
+                start, s, n = state
+                scores = cols["_score"][a:b]
+                closed, (lo, o_sum, rows) = walk(scores, threshold, s, n)
+                o_start = -1 if rows == 0 else start if lo < 0 else cols["_gid"][a + lo]
+                who, seq, left = me, at, (o_start, o_sum if rows else 0.0, rows)
+                near = n > 0 and doubtful(scores, threshold, s, n, top)
+                for c, v in zip(out, [*me[:-1], cols["_sb"][a], at, *state, near, bool(closed) and closed[0][0] < 0, *left]):
+                    out[c].append(v)
+            yield _frame(out)
+    return run
+
+
+def settled(tagged: DataFrame, states: DataFrame, keys: Sequence[str], threshold: float) -> DataFrame:
+    """Start states as the in-order double fold has them, and what each chunk leaves, for the chunks of keys that span several.
+
+    All chunks are folded at once from the proposed states. A chunk whose state names another match than the chunk before
+    it leaves open is folded again from that; so are all chunks of a match that comes near the threshold in some chunk,
+    in order, until its sums agree to the bit. (A match far from the threshold needs no exact sum.) Proposals are nearly
+    always right, so this ends after two or three rounds; each round settles at least one more chunk of every key.
+    A near match is walked by one task, as the order of its additions asks, holding one chunk at a time.
+    """
+    ids = [*keys, "_sb"]
+    rows = tagged.select(*ids, "_gid", "_score")
+    top = tagged.agg(F.max(F.abs("_score"))).first()[0] or 0.0
+    schema = T.StructType([tagged.schema[c] for c in ids] + [
+        T.StructField("seq", T.IntegerType()), T.StructField("in_start", T.LongType()), T.StructField("in_sum", T.DoubleType()),
+        T.StructField("in_cnt", T.LongType()), T.StructField("near", T.BooleanType()), T.StructField("in_hit", T.BooleanType()),
+        T.StructField("o_start", T.LongType()), T.StructField("o_sum", T.DoubleType()), T.StructField("o_cnt", T.LongType())])
+
+    def match(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        other = right.select(*(F.col(c).alias(f"_s_{c}") for c in ids), *(c for c in right.columns if c not in ids and how == "inner"))
+        joined = left.join(other, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in ids], how)
+        return joined.drop(*(f"_s_{c}" for c in ids))
+
+    def fold(todo: DataFrame) -> DataFrame:
+        return (match(rows, todo, "inner").repartition(*keys, "chain").sortWithinPartitions(*keys, "chain", "seq", "_gid")
+                .mapInPandas(_settle_fn(keys, threshold, top), schema))
+
+    done = materialize(fold(states.withColumn("chain", F.col("_sb"))))
+    by_key, by_match = Window.partitionBy(*keys).orderBy("seq"), Window.partitionBy(*keys, "in_start")
+    while True:
+        seen = done.select(*ids, *STATE_COLS, "near", F.coalesce(F.lag("o_start").over(by_key), F.lit(-1)).alias("p_start"),
+                           F.coalesce(F.lag("o_sum").over(by_key), F.lit(0.0)).alias("p_sum"),
+                           F.coalesce(F.lag("o_cnt").over(by_key), F.lit(0)).alias("p_cnt"))
+        other = F.col("in_start") != F.col("p_start")
+        seen = (seen.withColumn("doubt", F.max("near").over(by_match))
+                .withColumn("off", F.max(other | (F.col("in_sum") != F.col("p_sum"))).over(by_match)))
+        todo = materialize(seen.where(other | (F.col("doubt") & F.col("off"))).select(
+            *ids, "seq", F.col("p_start").alias("in_start"), F.col("p_sum").alias("in_sum"), F.col("p_cnt").alias("in_cnt"),
+            F.when(F.col("p_start") >= 0, F.col("p_start")).otherwise(-2 - F.col("_sb")).alias("chain")))
+        if todo.isEmpty():
+            return done
+        done = materialize(match(done, todo, "left_anti").unionByName(fold(todo)))
 
 
 # ------------------------------------------------------------------ operator
@@ -553,19 +585,21 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
                       score: str = "sentiment_score", text: str = "message_text",
                       threshold: float = DEFAULT_THRESHOLD, separator: str = MESSAGE_SEPARATOR,
                       chunk_rows: int = DEFAULT_CHUNK_ROWS, partitions: int | None = None,
-                      small_chunk: int = SMALL_CHUNK) -> DataFrame:
+                      small_chunk: int = SMALL_CHUNK, settle_rows: int = SETTLE_ROWS) -> DataFrame:
     """One row per match: keys, karen_score_total, trigger_message_count,
     recent_messages, trigger_order (value of ``order[0]`` on the closing row).
 
     ``order`` must be unique within a key (the default Kafka position is);
-    ``chunk_rows`` bounds the rows any single pandas call sees; chunks of at
-    most ``small_chunk`` rows are folded on plain lists instead of numpy.
+    ``chunk_rows`` (or ``settle_rows``, if that is more) bounds the rows any
+    single pandas call sees; chunks of at most ``small_chunk`` rows are
+    summarised on plain lists instead of numpy.
     """
     keys, order = list(keys), list(order)
     spark = df.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shift = max(0, int(chunk_rows - 1).bit_length())
+    settle_shift = max(shift, int(settle_rows - 1).bit_length())
     in_schema = df.schema
     key_fields = [in_schema[c] for c in keys]
     order0_type = in_schema[order[0]].dataType
@@ -580,6 +614,7 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
               .sortWithinPartitions(*keys, *order)
               .withColumn("_gid", F.monotonically_increasing_id())
               .withColumn("_cb", F.shiftright("_gid", shift))
+             .withColumn("_sb", F.shiftright("_gid", settle_shift))
               .withColumn("_order0", F.col(order[0])))
     # Both the summary and the emit branch read these rows: materialise them
     # once so row numbers agree (range bounds are sampled per shuffle) and the
@@ -616,14 +651,25 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
     ])
     resolved = (summaries.repartition(partitions, *keys).sortWithinPartitions(*keys, "_cb")
                 .mapInPandas(_resolve_fn(keys, threshold), state_schema))
+    # The first proposed state of each (key, settle chunk), for keys that have several of them. A key inside one chunk
+    # starts there without an open match, so it has no state row: this side has about two rows a chunk.
+    open_in = F.col("in_kind") == _OPEN
+    first = F.min_by(F.struct(F.when(open_in, F.col("in_start")).otherwise(F.lit(-1)).alias("in_start"),
+                              F.when(open_in, F.col("in_sum") / F.lit(float(SCORE_SCALE))).otherwise(F.lit(0.0)).alias("in_sum"),
+                              F.when(open_in, F.col("in_cnt")).otherwise(F.lit(0)).alias("in_cnt")), "_cb")
+    per_key = Window.partitionBy(*keys)
+    states = (resolved.groupBy(*keys, F.shiftright("_cb", settle_shift - shift).alias("_sb")).agg(first.alias("_in"))
+              .withColumn("_n", F.count("*").over(per_key)).withColumn("seq", F.row_number().over(per_key.orderBy("_sb")))
+              .where("_n > 1").select(*keys, "_sb", "seq", "_in.*"))
+    states = settled(tagged, materialize(states), keys, threshold)
     # Matches that close in a later chunk than the one they start in, by start
     # row id (unique): at most one per chunk, so this side stays small.
-    closing = resolved.filter(F.col("in_hit")).select(F.col("in_start").alias("_closing_start"))
-    resolved = (resolved.join(closing, F.col("out_start") == F.col("_closing_start"), "left")
-                .withColumn("out_closes", F.col("_closing_start").isNotNull()).drop("_closing_start"))
+    closing = states.filter(F.col("in_hit")).select(F.col("in_start").alias("_closing_start"))
+    states = (states.join(closing, F.col("o_start") == F.col("_closing_start"), "left")
+              .withColumn("out_closes", F.col("_closing_start").isNotNull()).drop("_closing_start"))
 
     frag_schema = T.StructType(kfields + [
-        T.StructField("match_gid", T.LongType()), T.StructField("_cb", T.LongType()),
+        T.StructField("match_gid", T.LongType()), T.StructField("_sb", T.LongType()),
         T.StructField("frag_count", T.LongType()), T.StructField("frag_texts", T.StringType()),
         T.StructField("frag_scores", T.ArrayType(T.DoubleType())), T.StructField("is_close", T.BooleanType()),
         T.StructField("t_text", T.StringType()), T.StructField("t_order", order0_type),
@@ -631,22 +677,22 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
     # One state row per chunk joins its rows (null-safe on the keys). AQE
     # broadcasts the state side only when its measured size is small;
     # otherwise both sides shuffle on the chunk id, which keeps chunks whole.
-    st = resolved.select(*[F.col(c).alias(f"_s_{c}") for c in chunk_cols],
-                         "in_kind", "in_sum", "in_start", "out_closes")
-    cond = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in chunk_cols]
-    frags = (tagged.select(*keys, "_cb", "_gid", "_score", "_text", "_order0")
-             .join(st, cond, "left").drop(*[f"_s_{c}" for c in chunk_cols])
-             .sortWithinPartitions(*keys, "_cb", "_gid")
-             .mapInPandas(_per_chunk_stream(chunk_cols, _emit_fn(keys, threshold, separator),
-                                            _emit_small_fn(keys, threshold, separator),
-                                            [*keys, "_cb", "_gid", "_score", "_text", "_order0",
-                                             "in_kind", "in_sum", "in_start", "out_closes"],
-                                            [*keys, *FRAG_COLS], small_rows=small_chunk),
+    ids = [*keys, "_sb"]
+    st = states.select(*[F.col(c).alias(f"_s_{c}") for c in ids], "in_start", "in_sum", "in_cnt", "out_closes")
+    cond = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in ids]
+    frags = (tagged.select(*ids, "_gid", "_score", "_text", "_order0")
+             .join(st, cond, "left").drop(*[f"_s_{c}" for c in ids])
+             .fillna({"in_start": -1, "in_sum": 0.0, "in_cnt": 0, "out_closes": False})
+             .sortWithinPartitions(*ids, "_gid")
+             .mapInPandas(_per_chunk_stream(ids, None, _emit_fn(keys, threshold, separator),
+                                            [*ids, "_gid", "_score", "_text", "_order0",
+                                             "in_start", "in_sum", "in_cnt", "out_closes"],
+                                            [*keys, *FRAG_COLS], small_rows=1 << 62),
                           frag_schema))
 
     # Only fragments of closing matches remain, so each group is one output row.
     matches = (frags.groupBy(*keys, "match_gid").agg(
-        F.array_sort(F.collect_list(F.struct("_cb", "frag_texts", "frag_scores"))).alias("_f"),
+        F.array_sort(F.collect_list(F.struct("_sb", "frag_texts", "frag_scores"))).alias("_f"),
         F.sum("frag_count").alias("trigger_message_count"),
         F.max(F.when(F.col("is_close"), F.struct("t_order", "t_text"))).alias("_t"),
     ).filter(F.col("_t").isNotNull()))
@@ -663,25 +709,20 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
 
 
 def fold_reference(scores: Sequence[float | None], threshold: float = DEFAULT_THRESHOLD):
-    """Plain sequential fold, used by tests as the brute-force definition:
-    decisions on integer decision units, totals as in-order double sums.
+    """Plain sequential fold in doubles, used by tests as the brute-force definition.
 
     Returns a list of (first_index, last_index, total, count).
     """
-    thr = quantize_one(threshold)
-    out, s, sq, n, st = [], 0.0, 0, 0, -1
+    out, s, n, st = [], 0.0, 0, -1
     for i, x in enumerate(scores):
         if x is not None and np.isnan(x):
             x = None
-        xq = 0 if x is None else quantize_one(x)
         if n == 0:
-            if x is not None and xq > thr:
-                s, sq, n, st = x, xq, 1, i
-            continue
-        v = 0.0 if x is None else x
-        if x is not None and sq + xq <= thr:
-            out.append((st, i, s + v, n + 1))
-            s, sq, n, st = 0.0, 0, 0, -1
+            if x is not None and x > threshold:
+                s, n, st = x, 1, i
+        elif x is not None and s + x <= threshold:
+            out.append((st, i, s + x, n + 1))
+            s, n, st = 0.0, 0, -1
         else:
-            s, sq, n = s + v, sq + xq, n + 1
+            s, n = s + (x or 0.0), n + 1
     return out

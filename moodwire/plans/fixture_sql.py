@@ -47,17 +47,14 @@ SEP_SQL = "' \\n '"  # the four characters space, backslash, n, space
 def pattern_sql(sentiments: str, threshold: float = -5.0) -> str:
     """Row-pattern matches as a recursive fold over row_number() per key.
 
-    Decisions use scores rounded half-to-even to 9 decimals as BIGINT units
-    (the matcher's decision arithmetic); totals are in-order DOUBLE sums."""
-    from moodwire.operators.escalation import SCORE_SCALE, quantize_one
-    thr = quantize_one(threshold)
-    units = f"CAST(round_even(sentiment_score * {float(SCORE_SCALE)!r}, 0) AS BIGINT)"
-    start = f"(x IS NOT NULL AND xq > {thr})"
-    r_start = f"(r.x IS NOT NULL AND r.xq > {thr})"
-    close = f"(f.st_n > 0 AND r.x IS NOT NULL AND f.st_q + r.xq <= {thr})"
+    The in-order DOUBLE sum of a match decides and is its total."""
+    thr = f"{float(threshold)!r}::DOUBLE"
+    start = f"(x IS NOT NULL AND x > {thr})"
+    r_start = f"(r.x IS NOT NULL AND r.x > {thr})"
+    close = f"(f.st_n > 0 AND r.x IS NOT NULL AND f.st_sum + r.x <= {thr})"
     return f"""
 WITH RECURSIVE r AS (
-  SELECT customer_id, customer_name, sentiment_score AS x, {units} AS xq, message_text AS txt,
+  SELECT customer_id, customer_name, CAST(sentiment_score AS DOUBLE) AS x, message_text AS txt,
          message_timestamp AS ts,
          row_number() OVER (PARTITION BY customer_id, customer_name
                             ORDER BY message_timestamp, source_partition, source_offset) AS rn
@@ -65,8 +62,7 @@ WITH RECURSIVE r AS (
 ),
 f AS (
   SELECT customer_id, customer_name, rn,
-         CASE WHEN {start} THEN x ELSE 0.0 END AS st_sum,
-         CASE WHEN {start} THEN xq ELSE 0 END AS st_q,
+         CASE WHEN {start} THEN x ELSE 0.0::DOUBLE END AS st_sum,
          CASE WHEN {start} THEN 1 ELSE 0 END AS st_n,
          CASE WHEN {start} THEN txt END AS st_txt,
          CAST(NULL AS DOUBLE) AS e_total, CAST(NULL AS BIGINT) AS e_n,
@@ -77,9 +73,6 @@ f AS (
          CASE WHEN f.st_n = 0 THEN (CASE WHEN {r_start} THEN r.x ELSE 0.0 END)
               WHEN {close} THEN 0.0
               ELSE f.st_sum + coalesce(r.x, 0.0) END,
-         CASE WHEN f.st_n = 0 THEN (CASE WHEN {r_start} THEN r.xq ELSE 0 END)
-              WHEN {close} THEN 0
-              ELSE f.st_q + coalesce(r.xq, 0) END,
          CASE WHEN f.st_n = 0 THEN (CASE WHEN {r_start} THEN 1 ELSE 0 END)
               WHEN {close} THEN 0
               ELSE f.st_n + 1 END,

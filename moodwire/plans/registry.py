@@ -291,6 +291,21 @@ def st_pattern_sparse(spark, sf_dir):
     return escalation_matches(spark, sf_dir, sparse=True)
 
 
+# Scores of one decimal, from the number in events.props: running sums reach the threshold often, to the rounding.
+TIES_SQL = f"""SELECT * REPLACE ((CAST(regexp_extract(message_text, '[0-9]+') AS INTEGER) % 13 - 7) / 10.0::DOUBLE AS sentiment_score)
+FROM ({fx.DENSE_SQL}) d"""
+
+
+def tie_scores(spark, sf_dir):
+    return sentiments(spark, sf_dir).withColumn("sentiment_score", (_k("message_text") % 13 - 7) / F.lit(10.0))
+
+
+@query("st_pattern_ties", f"SELECT * FROM ({fx.pattern_sql(TIES_SQL)}) m")
+def st_pattern_ties(spark, sf_dir):
+    from moodwire.plans.escalation import escalations
+    return escalations(tie_scores(spark, sf_dir))
+
+
 @query("udf_response_prompt", f"""
 SELECT customer_id, trigger_order,
        {fx.response_prompt_sql('customer_name', 'karen_score_total', 'recent_messages')} AS prompt
@@ -658,6 +673,18 @@ def st_pattern_stream(spark, sf_dir):
                          key_cols=("customer_id", "customer_name"))
 
 
+@query("st_pattern_ties_stream", ORACLE["st_pattern_ties"])
+def st_pattern_ties_stream(spark, sf_dir):
+    from moodwire.streaming import replay
+    from moodwire.streaming.state import MATCH_OUTPUT, EscalationProcessor
+
+    def build(st):
+        return (st.groupBy("customer_id", "customer_name")
+                .transformWithStateInPandas(EscalationProcessor(), MATCH_OUTPUT, "Append", "None"))
+    return replay.replay(tie_scores(spark, sf_dir), build, "st_pattern_ties_stream",
+                         key_cols=("customer_id", "customer_name"))
+
+
 @query("w_burst_stream", ORACLE["w_burst_rule"])
 def w_burst_stream(spark, sf_dir):
     from moodwire.streaming import jobs, replay

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from moodwire.functions.text import MESSAGE_SEPARATOR
-from moodwire.operators.escalation import clamp_units, quantize_one
+from moodwire.operators.escalation import ROW_LIMIT_UNITS, SCORE_SCALE
 
 ORDER = ["message_timestamp", "source_partition", "source_offset"]
 
@@ -51,11 +51,11 @@ MATCH_OUTPUT = T.StructType([
 class EscalationProcessor(StatefulProcessor):
     """Row-pattern fold per (customer_id, customer_name).
 
-    State: one value (running double sum for the reported total, running sum
-    in integer decision units, row count) and one list of the open match's
-    non-NULL texts, appended per message instead of rewriting a growing
-    string. The texts are kept whole; nothing is truncated. Decisions use the
-    same integer arithmetic as the batch matcher.
+    State: one value (running double sum, row count) and one list of the open
+    match's non-NULL texts, appended per message instead of rewriting a growing
+    string. The texts are kept whole; nothing is truncated. The in-order double
+    sum decides and is reported, as in the batch matcher; scores out of its
+    range fail alike.
     """
 
     def __init__(self, threshold: float = -5.0, separator: str = MESSAGE_SEPARATOR):
@@ -63,11 +63,11 @@ class EscalationProcessor(StatefulProcessor):
         self.sep = separator
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "s double, q long, n long")
+        self.acc = handle.getValueState("acc", "s double, n long")
         self.texts = handle.getListState("texts", "t string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        thr = quantize_one(self.threshold)
+        thr, limit = self.threshold, (ROW_LIMIT_UNITS + 0.5) / SCORE_SCALE
         cols = _ordered(rows, ["sentiment_score", "message_text", "message_timestamp"])
         if cols is None:
             return
@@ -75,33 +75,34 @@ class EscalationProcessor(StatefulProcessor):
         # only for what changed. ``stored`` says whether the list state holds
         # texts of the open match.
         acc = self.acc.get()
-        s, sq, n = (float(acc[0]), int(acc[1]), int(acc[2])) if acc is not None else (0.0, 0, 0)
+        s, n = (float(acc[0]), int(acc[1])) if acc is not None else (0.0, 0)
         stored = n > 0
         pending: list[str] = []
         out = []
         for x, txt, ts in zip(*cols):
             x = None if x is None or x != x else float(x)
-            xq = 0 if x is None else quantize_one(x)
+            if x is not None and not abs(x) <= limit:
+                raise ValueError(f"score out of range: {x}")
             txt = txt if isinstance(txt, str) else None
             if n == 0:
-                if x is not None and xq > thr:
-                    s, sq, n = x, xq, 1
+                if x is not None and x > thr:
+                    s, n = x, 1
                     pending = [txt] if txt is not None else []
                 continue
-            if x is not None and sq + xq <= thr:
+            if x is not None and s + x <= thr:
                 pre = ([r[0] for r in self.texts.get()] if stored else []) + pending
                 recent = (self.sep.join(pre) + self.sep + txt) if (pre and txt is not None) else None
                 out.append((key[0], key[1], s + x, n + 1, recent, int(ts)))
                 if stored:
                     self.texts.clear()
                     stored = False
-                s, sq, n, pending = 0.0, 0, 0, []
+                s, n, pending = 0.0, 0, []
             else:
-                s, sq, n = s + (x or 0.0), sq + xq, n + 1
+                s, n = s + (x or 0.0), n + 1
                 if txt is not None:
                     pending.append(txt)
         if n > 0:
-            self.acc.update((s, clamp_units(sq), n))
+            self.acc.update((s, n))
             if pending:
                 self.texts.appendList([(t,) for t in pending])
         elif acc is not None:

@@ -155,7 +155,7 @@ def test_hot_key_numpy_and_list_paths_agree(spark):
 
 def test_decimal_ties_decide_the_same_at_any_chunking(spark):
     """Scores with one decimal reach the threshold exactly and often (e.g.
-    -0.7 * 5 - 0.3 * 5). Decisions are made on exact integer sums, so every
+    -0.7 * 5 - 0.3 * 5). Decisions are made on the in-order double sums, so every
     chunking, both chunk paths, the reference fold and the SQL twin agree."""
     import random
 
@@ -182,3 +182,42 @@ def test_decimal_ties_decide_the_same_at_any_chunking(spark):
     got = con.execute(f"SELECT customer_id, customer_name, karen_score_total, trigger_message_count, "
                       f"recent_messages FROM ({pattern_sql('SELECT * FROM src')}) m").fetchall()
     assert sorted(got) == exp
+
+
+def _double_fold(xs):
+    """The rule as written: a double sum added row by row, compared with <= -5.0."""
+    out, total, rows, first = [], None, 0, 0
+    for i, x in enumerate(xs):
+        if total is None:
+            if x > -5.0:
+                total, rows, first = x, 1, i
+            continue
+        total, rows = total + x, rows + 1
+        if total <= -5.0:
+            out.append((first, i, total, rows))
+            total = None
+    return out
+
+
+@pytest.mark.parametrize("settle_rows", [1, 8, 32])
+def test_double_sums_decide_where_matches_cross_chunks(spark, settle_rows):
+    """Start states are settled chunk by chunk, however wrong the proposed ones are, also under a long open run."""
+    import random
+    rnd = random.Random(settle_rows)
+    vals = [-0.7, -0.3, -0.1, 0.1, 0.3]
+    seqs = {("hot", "H"): [rnd.choice(vals) for _ in range(40 * settle_rows)],
+            ("up", "U"): [0.3] * (10 * settle_rows) + [-0.1] * (40 * settle_rows),
+            ("tie", "T"): [-0.7] * 5 + [-0.3] * 5 + [0.1, -0.1, -0.7, -0.3] * 6}
+    exp = sorted((c, n, t, k, " \\n ".join(f"{c}-{i}" for i in range(a, b + 1)))
+                 for (c, n), xs in seqs.items() for a, b, t, k in _double_fold(xs))
+    got = _run(spark, seqs, chunk_rows=settle_rows, settle_rows=settle_rows, partitions=3)
+    assert got == exp and all(r[2] <= -5.0 for r in got)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(-10, 8).map(lambda k: k / 10), max_size=150))
+def test_one_decimal_scores_decide_by_the_double_sum(xs):
+    from moodwire.operators.escalation import walk
+    exp = _double_fold(xs)
+    assert [tuple(r) for r in fold_reference(xs)] == exp
+    assert walk(xs, -5.0)[0] == [(a, b) for a, b, _, _ in exp]

@@ -283,7 +283,7 @@ def test_burst_stream_counts_peers_like_the_batch_frame(spark):
 
 def test_escalation_stream_decides_decimal_ties_like_the_fold(spark):
     """One-decimal scores hit the threshold exactly and often; the stream
-    processor uses the batch matcher's exact decision sums, across batches."""
+    processor decides by the in-order double sum, across batches."""
     import random
 
     from moodwire.operators.escalation import fold_reference
