@@ -10,8 +10,8 @@ Lists are laid out by the first centroid and split into blocks of bounded size,
 vectors is many tasks; queries come in blocks, too, each with the cells that it probes. A block returns its best
 ``k`` per query, and these meet in a window. Only the cell counts (at most CENTROIDS squared) reach the driver.
 
-Null vectors, zero vectors, vectors holding null or non-finite components, rows with null id and vectors of another length
-than the most frequent one (ties: the longer) take no part. Repeated rows count as rows. A query finds all candidates if they are
+Null vectors, zero vectors, vectors holding null or non-finite components, rows with null id and vectors (queries too) of another
+length than the most frequent one among the vectors (ties: the longer) take no part. Repeated rows count as rows, but a repeated query is asked once. A query finds all candidates if they are
 fewer than k. Extra columns are left alone; an empty table gives an empty result.
 """
 
@@ -51,11 +51,13 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 1) -> np.ndarray
     return c
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, vec array<double>) of the rows that take part."""
+def usable(vectors: DataFrame, length: int | None = None) -> DataFrame:
+    """(vec_id, vec array<double>) of the rows that take part; ``length`` is the most frequent one unless it is given."""
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vec"))
     ok = (F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0))
     v = v.where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull()).where(ok)
+    if length is not None:
+        return v.where(F.size("vec") == length)
     top = v.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     return v.where(F.size("vec") == (top["n"] if top else 0))
 
@@ -178,7 +180,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, share: f
     for r in index.groupBy("c1", "c2").agg(F.count("*").alias("n")).collect():
         counts[r["c1"], r["c2"]] = r["n"]
     wanted = max(MIN_CANDIDATES, int(share * total))
-    asked = usable(queries)
+    asked = usable(queries, codes[0].shape[1] + codes[1].shape[1]).distinct()
     n_blocks = max(1, -(-asked.count() // BLOCK))
     chunks = F.element_at(F.array(*(F.lit(max(1, -(-int(n) // BLOCK))) for n in counts.sum(axis=1))), F.col("c1") + 1)
     probes = asked.mapInArrow(_probe_maker(books, spark.sparkContext.broadcast(counts), wanted),

@@ -21,6 +21,8 @@ among sources). Documents without words are never drawn. An empty table gives an
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,7 +33,9 @@ BUDGET = 1.5
 REPEATS = 2
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS = 1 << 16
+#: Output shards: one for each SHARD_WORDS words of the mix, but no fewer than SHARDS.
 SHARDS = 64
+SHARD_WORDS = 1 << 25
 #: Documents that one hash range of a source holds, about.
 RANGE = 20_000
 SEED = 11
@@ -103,13 +107,13 @@ def split(blocks: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFram
     n = blocks.agg(F.sum("blocks")).first()[0] or 0
     if n >= 10 ** 9:
         raise ValueError("the draw counts below 10**9 blocks: raise block_words")
-    subtrees = max(1, min(16, shards))
+    subtrees = max(1, min(shards, max(16, shards // 512)))
     trees = blocks.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(subtrees - 1))))
     return trees.groupBy("tree").applyInPandas(_split_maker(shards, subtrees, seed), "rank long, shard int, first long, n long")
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, repeats: int = REPEATS, shards: int = SHARDS,
-        block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
+        block_words: int = BLOCK_WORDS, seed: int = SEED, shard_words: int = SHARD_WORDS) -> DataFrame:
     """For each distinct (doc_id, source, size) of ``docs`` and its number of copies: source_size, target, and ``draws``, an array
     of (pass, shard, key): one entry for each time the mix takes it; ``key`` orders a shard's documents."""
     rows = docs.groupBy("doc_id", "source", "size").agg(F.count("*").alias("copies"))
@@ -132,6 +136,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, repea
     taken = (near.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
              .withColumn("middle", middle).where((F.col("middle") < F.col("target")) & (F.col("mass") > 0))
              .withColumn("block", F.least(F.floor(F.col("middle") * F.col("blocks") / F.col("target")), F.col("blocks") - 1)))
+    shards = max(shards, math.ceil((goal.agg(F.sum("target")).first()[0] or 0) / shard_words))
     runs = split(goal.select("rank", "blocks"), shards, seed)
     where = runs.select("rank", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("block"))
     key = F.md5(F.concat_ws(":", F.lit(seed), "shard", "pass", "h").cast("binary"))

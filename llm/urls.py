@@ -9,6 +9,8 @@ pages does not differ significantly from their node's are merged into ``*`` as w
 their own. A template's purity is its labelled share of blocked pages, smoothed towards the whole table's
 or one half, if that is less. A template above THRESHOLD is rejected; one without labelled pages is allowed.
 
+The tree has at most DEPTH levels: what follows in a longer path is its last segment, as a whole.
+
 The work is one row per distinct (host, typed path): grouped before anything else, so repeated urls weigh nothing. Levels are
 group-bys and joins; joins on a hot host are salted.
 
@@ -25,6 +27,7 @@ from llm.common import read_table, salted_left_join, staged
 
 ALLOW, BLOCK = "allow", "block"
 RULES = (("com", "/", ALLOW), ("example.com", "/en/", BLOCK), ("www.example.com", "/en/", ALLOW), ("net", "/es/", BLOCK), ("net", "/fr/", BLOCK))
+DEPTH = 16
 #: A node with more children generalises those below SUPPORT of its pages.
 FANOUT = 16
 SUPPORT = 0.05
@@ -59,7 +62,9 @@ def typed(path: str) -> Column:
         kind = (F.when(stem.rlike(r"^[0-9]+$"), "<n>").when(stem.rlike(r"^(?=.*[0-9])[0-9A-Fa-f]{8,}$"), "<x>")
                 .when(stem.rlike(r"^(?=.*[0-9])(?=.*[A-Za-z])[0-9A-Za-z_-]{6,}$"), "<c>").otherwise(stem))
         return F.concat(kind, ext)
-    return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/", -1), one)
+    segs = F.transform(F.split(F.regexp_replace(path, "^/", ""), "/", -1), one)
+    rest = F.array(F.array_join(F.slice(segs, DEPTH, F.size(segs)), "/"))
+    return F.when(F.size(segs) > DEPTH, F.concat(F.slice(segs, 1, DEPTH - 1), rest)).otherwise(segs)
 
 
 def templates(pages: DataFrame) -> DataFrame:

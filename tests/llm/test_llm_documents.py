@@ -287,6 +287,15 @@ def test_mix_totals_and_shards(spark, edge):
     assert sum(v[0] for v in by.values()) == pytest.approx(1.5 * total) and len(shard) == 8
 
 
+def test_mix_shards_grow_with_the_mix(spark):
+    docs = spark.createDataFrame([(i, "ab"[i % 2], 10) for i in range(400)], "doc_id long, source string, size long")
+    few, many = mixing.mix(docs, shards=2, block_words=20), mixing.mix(docs, shards=2, block_words=20, shard_words=100)
+    count = lambda d: len({x["shard"] for r in d.collect() for x in r["draws"]})
+    assert count(few) == 2 and count(many) == 60
+    taken = lambda d: sorted((r["doc_id"], len(r["draws"])) for r in d.collect())
+    assert taken(few) == taken(many)
+
+
 def test_mix_tree_draws_are_disjoint_and_exact(spark):
     blocks = spark.createDataFrame([(i, n) for i, n in enumerate([50, 0, 7, 300, 1])], "rank long, blocks long")
     rows = mixing.split(blocks, shards=10).collect()

@@ -85,6 +85,14 @@ def test_search_edges(spark):
     assert ann.search(df.limit(0), df).count() == 0
 
 
+def test_search_repeated_queries_and_queries_of_another_length(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(0, [1.0, 0.0]), (0, [1.0, 0.0]), (7, [1.0]), (8, [2.0]), (9, [3.0])], df.schema)
+    got = [tuple(r)[:3] for r in ann.search(df, asked).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 1), (0, 2, 2)]
+
+
 def test_walk_is_in_order_of_summed_distance():
     rng = np.random.default_rng(3)
     a, b, n = rng.random(9), rng.random(7), rng.integers(0, 4, (9, 7))
@@ -120,3 +128,12 @@ def test_url_templates_learn_blocked_branches(spark):
     for i, u in enumerate(rows):
         assert got[i]["verdict"] == ("block" if "/bad/" in u else "allow"), (u, got[i])
         assert "<n>" in got[i]["template"] or "*" in got[i]["template"]
+
+
+def test_urls_of_many_segments(spark):
+    """A path longer than the tree is deep ends in one segment; nothing of it is lost."""
+    deep = "http://a.org" + "/s" * 3000
+    rows = [(1, deep), (2, deep + "/t"), (3, "http://a.org/s"), (4, None)]
+    got = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got[1]["path"] == "/s" * 3000 and got[2]["path"].endswith("/s/t") and len(got) == 4
+    assert got[1]["template"] != got[2]["template"] and all(r["verdict"] == "allow" for r in got.values())
