@@ -15,7 +15,10 @@ when ``100 * |A & B| >= percent * |A | B|``; a component's smallest ``doc_id`` n
    component are held against all others by signature, in blocks of bounded size, and only a spanning forest
    of likely links leaves a block. Clusters of that forest are then compared on full sets, again in blocks and
    skipping pairs that are joined already. So a link between different texts is lost only if no band agrees
-   (below 1e-6 at the threshold) or the signature underestimates it by five deviations.
+   (below 1e-6 at the threshold) or the signature underestimates it by five deviations. Rows, bands and the
+   agreement that counts as likely follow from ``percent`` (``banding``, ``likely_at``).
+
+The registered query links at 85 per cent, the pipeline stage at 80.
 
 Null ``doc_id``: the row takes no part, component_id is null and it is kept. Repeated rows of one ``doc_id`` are
 one node. Extra columns are left alone; an empty table gives an empty result.
@@ -24,6 +27,7 @@ one node. Extra columns are left alone; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -32,18 +36,38 @@ from pyspark.sql import functions as F
 
 from llm.common import U64, components, read_table, shingle_sets, slabs, splitmix, staged
 
-ROWS = 5
-BANDS = 25
-WIDTH = ROWS * BANDS
 PERCENT = 85
-#: Signature agreement from which a pair is verified, five deviations under the threshold.
-LIKELY = 0.68
+#: The pipeline stage's threshold.
+STAGE_PERCENT = 80
+#: Chance that no band shows a pair at the threshold.
+MISS = 5e-7
+#: A position's rank has seven bits.
+MAX_WIDTH = 127
 BLOCK = 512
 #: Bits of the filter that keeps untouched documents out of the shuffle of sets (2 MB, whatever the corpus).
 FILTER_BITS = 1 << 24
 _FRAC = 25
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Rows a band and bands: the most rows with which a pair at the threshold is missed with a chance of MISS at most."""
+    share = min(percent, 99) / 100
+    for rows in range(MAX_WIDTH, 0, -1):
+        one = share ** rows
+        if 0 < one < 1 and (bands := math.ceil(math.log(MISS) / math.log1p(-one))) * rows <= MAX_WIDTH:
+            return rows, bands
+    raise ValueError(f"signatures of {MAX_WIDTH} positions cannot show links at {percent} per cent")
+
+
+def likely_at(percent: int) -> float:
+    """Signature agreement from which a pair is verified, five deviations under the threshold, rounded down by a hundredth or more."""
+    share = percent / 100
+    return math.floor(100 * (share - 5 * math.sqrt(share * (1 - share) / math.prod(banding(percent)))) - 1) / 100
+
+
+WIDTH = math.prod(banding(PERCENT))
+
+
 def superminhash(sets: list[np.ndarray], width: int = WIDTH, seed: int = 7) -> np.ndarray:
     """SuperMinHash signatures (one row per set, uint32: 7 bits of rank above 25 random bits); empty sets: all ones."""
     sig = np.full((len(sets), width), 0xFFFFFFFF, dtype=np.uint32)
@@ -83,32 +107,36 @@ def superminhash(sets: list[np.ndarray], width: int = WIDTH, seed: int = 7) -> n
     return sig
 
 
-def _signature_batches(batches):
-    for b in batches:
-        texts = b.column("text").cast(pa.binary()).to_pylist()
-        ids = b.column("doc_id")
-        for i, j in slabs([len(t or b"") for t in texts]) if texts else ():
-            sets = shingle_sets(texts[i:j])
-            sig = superminhash(sets)
-            yield pa.RecordBatch.from_arrays([
-                ids.slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                pa.array([x.tobytes() if len(s) else None for x, s in zip(sig, sets)], pa.binary())],
-                names=["doc_id", "n_shingles", "digest", "sig"])
+def _signature_maker(width: int):
+    def run(batches):
+        for b in batches:
+            texts = b.column("text").cast(pa.binary()).to_pylist()
+            ids = b.column("doc_id")
+            for i, j in slabs([len(t or b"") for t in texts]) if texts else ():
+                sets = shingle_sets(texts[i:j])
+                sig = superminhash(sets, width)
+                yield pa.RecordBatch.from_arrays([
+                    ids.slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+                    pa.array([x.tobytes() if len(s) else None for x, s in zip(sig, sets)], pa.binary())],
+                    names=["doc_id", "n_shingles", "digest", "sig"])
+    return run
 
 
-def _band_batches(batches):
-    for b in batches:
-        if not b.num_rows:
-            continue
-        sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(U64)
-        with np.errstate(over="ignore"):
-            key = np.broadcast_to(np.arange(BANDS, dtype=U64) * U64(0xD1B54A32D192ED03), sig.shape[:2])
-            for k in range(ROWS):
-                key = splitmix(key ^ sig[:, :, k])
-        yield pa.RecordBatch.from_arrays([
-            pa.array(key.reshape(-1).view(np.int64)), pa.array(np.repeat(np.asarray(b.column("rep")), BANDS)),
-            pa.array(np.repeat(np.asarray(b.column("n_shingles")), BANDS))], names=["bucket", "rep", "n"])
+def _band_maker(rows: int, bands: int):
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint32).reshape(-1, bands, rows).astype(U64)
+            with np.errstate(over="ignore"):
+                key = np.broadcast_to(np.arange(bands, dtype=U64) * U64(0xD1B54A32D192ED03), sig.shape[:2])
+                for k in range(rows):
+                    key = splitmix(key ^ sig[:, :, k])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(key.reshape(-1).view(np.int64)), pa.array(np.repeat(np.asarray(b.column("rep")), bands)),
+                pa.array(np.repeat(np.asarray(b.column("n_shingles")), bands))], names=["bucket", "rep", "n"])
+    return run
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -216,7 +244,7 @@ class _Forest:
         return x != y
 
 
-def _block_links(pdf, likely: float, percent: int | None):
+def _block_links(pdf, likely: float, width: int, percent: int | None):
     """Links across components of one block: by signature alone (percent None) or on full sets."""
     import pandas as pd
     a, b = pdf[pdf.side == 0], pdf[pdf.side == 1]
@@ -224,11 +252,11 @@ def _block_links(pdf, likely: float, percent: int | None):
     if len(a) and len(b):
         if percent is None:
             sets = None
-            sa = np.frombuffer(b"".join(a.payload), np.uint32).reshape(len(a), WIDTH)
-            sb = np.frombuffer(b"".join(b.payload), np.uint32).reshape(len(b), WIDTH)
+            sa = np.frombuffer(b"".join(a.payload), np.uint32).reshape(len(a), width)
+            sb = np.frombuffer(b"".join(b.payload), np.uint32).reshape(len(b), width)
         else:
             sets = [[np.frombuffer(x, U64) for x in side.payload] for side in (a, b)]
-            sa, sb = superminhash(sets[0]), superminhash(sets[1])
+            sa, sb = superminhash(sets[0], width), superminhash(sets[1], width)
         ida, idb, ca, cb = a.id.to_numpy(), b.id.to_numpy(), a.comp.to_numpy(), b.comp.to_numpy()
         main = b.ismain.to_numpy()
         uf = _Forest()
@@ -253,10 +281,12 @@ def with_components(reps: DataFrame, comps: DataFrame, col: str = "rep") -> Data
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sigs = staged(docs.mapInArrow(_signature_batches, "doc_id long, n_shingles long, digest binary, sig binary"), "sig")
+    n_rows, n_bands = banding(percent)
+    width, agree = n_rows * n_bands, likely_at(percent)
+    sigs = staged(docs.mapInArrow(_signature_maker(width), "doc_id long, n_shingles long, digest binary, sig binary"), "sig")
     reps = staged(sigs.where("doc_id is not null and digest is not null").groupBy("digest")
                   .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "reps")
-    rows = reps.select("rep", "n_shingles", "sig").mapInArrow(_band_batches, "bucket long, rep long, n long")
+    rows = reps.select("rep", "n_shingles", "sig").mapInArrow(_band_maker(n_rows, n_bands), "bucket long, rep long, n long")
     pivots = rows.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("p"), F.max("rep").alias("last"))
     members = staged(rows.join(pivots.where("p.rep <> last"), "bucket").select(
         "bucket", "rep", "n", F.col("p.rep").alias("pivot"), F.col("p.n").alias("pn")), "members")
@@ -273,7 +303,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     payload = left.join(reps.select("rep", F.col("sig").alias("payload")), "rep").select(
         "bucket", F.col("rep").alias("id"), "comp", "payload")
     likely = staged(_blocks(payload, "bucket").groupBy("bucket", "i", "j")
-                    .applyInPandas(lambda p: _block_links(p, LIKELY, None), "a long, b long").distinct(), "likely")
+                    .applyInPandas(lambda p: _block_links(p, agree, width, None), "a long, b long").distinct(), "likely")
     joined = with_components(likely.select(F.col("a").alias("rep"), "b"), comps).select(F.col("b").alias("rep"), F.col("comp").alias("a"))
     clusters = components(with_components(joined, comps).select("a", F.col("comp").alias("b")))
     # All open members of the components that a cluster joins take part, not only the ends of the forest.
@@ -285,7 +315,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = sets_of(docs, todo.select("doc_id").distinct())
     work = todo.join(sets, "doc_id").select("cluster", F.col("doc_id").alias("id"), "comp", F.col("set").alias("payload"))
     more = _blocks(work, "cluster").groupBy("cluster", "i", "j").applyInPandas(
-        lambda p: _block_links(p, LIKELY, percent), "a long, b long")
+        lambda p: _block_links(p, agree, width, percent), "a long, b long")
     all_links = links.unionByName(more).unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b")))
     comps = components(all_links)
 
@@ -302,7 +332,7 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str | None = None) -> DataFrame:
     """Pipeline stage: one document of each group stays (the smallest doc_id; rows without doc_id all stay)."""
-    found = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    found = near_duplicates(docs, STAGE_PERCENT).where("kept and doc_id is not null").select("doc_id").distinct()
     cols = docs.columns
     return (docs.join(found, "doc_id", "left_semi").select(cols)
             .unionByName(docs.where("doc_id is null").select(cols)))

@@ -92,6 +92,50 @@ def test_near_duplicates_large_family_in_blocks(spark, monkeypatch):
     assert got == {i: find(i) for i in sets}
 
 
+def _families(n, seed=11):
+    """Texts in families whose members differ from the first by edited words: similarities around 0.7 to 0.95."""
+    rnd = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(100)]
+        for k in (0, 1, 2, 2, 3, 3):
+            w = list(base)
+            for at in rnd.sample(range(5, 95), k):
+                w[at] = f"e{rnd.randrange(10**6)}"
+            rows.append((len(rows), " ".join(w)))
+    return rows
+
+
+def test_keep_one_at_the_stage_threshold(spark):
+    """The pipeline stage links at 0.8, also pairs that op10's 0.85 leaves apart."""
+    rows = _families(60)
+    sets = {i: shingles(t) for i, t in rows}
+    like = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in range(a) if a // 6 == b // 6}
+    assert sum(0.8 <= x < 0.85 for x in like.values()) > 30
+    root = dict(zip(sets, sets))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for a in sets:
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], SCHEMA)
+    assert sorted(r["doc_id"] for r in near_dup.keep_one(spark, docs).collect()) == [i for i in sets if find(i) == i]
+
+
+def test_banding_follows_the_threshold():
+    assert near_dup.banding(85) == (5, 25) and near_dup.likely_at(85) == 0.68
+    for percent in range(20, 101):
+        rows, bands = near_dup.banding(percent)
+        assert rows * bands < 128 and (1 - (percent / 100) ** rows) ** bands <= 5e-7 and near_dup.likely_at(percent) < percent / 100
+    with pytest.raises(ValueError):
+        near_dup.banding(5)
+
+
 def test_components_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300) if i % 100 != 99], "a long, b long").repartition(7)
     got = {r["node"]: r["component"] for r in components(links).collect()}
