@@ -7,7 +7,12 @@ payloads of at least MIN_REVISIT bytes the one with the smallest id is the respo
 
 Reading: a reader walks members and, in uncompressed stretches, version lines. Each record is checked (gzip CRC, headers,
 Content-Length, end mark, payload digest). After a failed check it searches for the next member or version line from which
-a record passes, goes on there, and logs the bytes between as a quarantined gap (path, offset, length, reason).
+a record passes, goes on there, and logs the bytes between as a quarantined gap (path, offset, length, reason). Inside a
+member the search goes on over the inflated bytes, so each record that passes is kept; a gap there also has its offset and
+length in them (inner_offset, inner_length), while offset and length are the member's. A member that is cut short or broken
+gives the records of what could be inflated, and a gap from there on without inner_length. What came out of a broken member
+(bad code or CRC) passes only with a payload digest that agrees; a cut-short one's records are checked like plain ones, and
+the one that ends where the inflated bytes end, with nothing behind it, stays in the gap.
 
 Null payload: empty. Null url or id: the header is left out (the id reads back as null). Repeated rows (same id and payload)
 are each a response, as each has the smallest id. Control characters in a url are percent-encoded. Extra columns are left
@@ -35,8 +40,10 @@ RECORDS_PER_FILE = 4000
 DATE = "1970-01-01T00:00:00Z"
 _MAGIC, _VERSION = b"\x1f\x8b\x08", b"WARC/1."
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+_LINE = re.compile(rb"WARC/1\.[01]\r\n")
+BROKEN, CUT = "bad gzip member", "gzip member cut short"
 READ_SCHEMA = ("path string, offset long, length long, reason string, record_type string, page_id long, uri string, "
-               "refers_to long, payload_digest string, payload_bytes long, payload binary")
+               "refers_to long, payload_digest string, payload_bytes long, payload binary, inner_offset long, inner_length long")
 
 
 def record_id(page_id) -> str:
@@ -64,8 +71,9 @@ def member(raw: bytes) -> bytes:
     return z.compress(raw) + z.flush()
 
 
-def _parse(data: bytes, at: int) -> tuple[dict, bytes, int]:
-    """The record that starts at ``at``: headers, block, end. Raises ValueError if a check fails."""
+def _parse(data: bytes, at: int, proof: bool = False) -> tuple[dict, bytes, int]:
+    """The record that starts at ``at``: headers, block, end. Raises ValueError if a check fails, with ``proof`` also if
+    there is no payload digest to check."""
     if not data.startswith(_VERSION, at):
         raise ValueError("no version line")
     end = data.find(b"\r\n\r\n", at)
@@ -87,56 +95,115 @@ def _parse(data: bytes, at: int) -> tuple[dict, bytes, int]:
     if head.get("warc-type") != "revisit" and head.get("warc-payload-digest", "").startswith("sha256:"):
         if hashlib.sha256(block).hexdigest() != head["warc-payload-digest"][7:].lower():
             raise ValueError("payload digest differs")
+    elif proof:
+        raise ValueError("no payload digest to check in a broken member")
     return head, block, stop + 4
 
 
-def _inflate(data: bytes, at: int, window: int = 1 << 16) -> tuple[bytes, int]:
-    """The member at ``at`` and its end; fed in windows, so that what follows is not copied for each member."""
-    z, out, view = zlib.decompressobj(31), [], memoryview(data)
+def _drained(z, piece) -> bytes:
+    """What ``z`` makes of ``piece`` before it fails there."""
+    out = []
+    while len(piece) > 1:
+        half, trial = piece[:len(piece) // 2], z.copy()
+        try:
+            out.append(trial.decompress(half))
+        except zlib.error:
+            piece = half
+        else:
+            z, piece = trial, piece[len(half):]
     try:
-        while at < len(data) and not z.eof:
-            out.append(z.decompress(view[at:at + window]))
-            at += window
-    except zlib.error as e:
-        raise ValueError("bad gzip member") from e
-    if not z.eof:
-        raise ValueError("gzip member cut short")
-    return b"".join(out), min(at, len(data)) - len(z.unused_data)
+        while x := z.decompress(piece, 1):
+            out.append(x)
+            piece = z.unconsumed_tail
+    except zlib.error:
+        pass
+    return b"".join(out)
 
 
-def _step(data: bytes, at: int):
-    """Records of the member or plain record at ``at``, and its end; ValueError if it isn't whole."""
-    if data.startswith(_MAGIC, at):
-        plain, end = _inflate(data, at)
-        found, k = [], 0
-        while k < len(plain):
-            head, block, k = _parse(plain, k)
-            found.append((head, block))
-        return found, end
-    head, block, end = _parse(data, at)
-    return [(head, block)], end
+def _inflate(data: bytes, at: int, window: int = 1 << 16) -> tuple[bytes, int, str]:
+    """What the member at ``at`` holds, its end, and what is wrong with it; fed in windows, so that what follows is not copied
+    for each member."""
+    z, out, view = zlib.decompressobj(31), [], memoryview(data)
+    while at < len(data) and not z.eof:
+        # A failing call loses what it inflated: a copy from before it takes its place.
+        before = z.copy()
+        try:
+            out.append(z.decompress(view[at:at + window]))
+        except zlib.error:
+            out.append(_drained(before, view[at:at + window]))
+            return b"".join(out), len(data), BROKEN
+        at += window
+    if not z.eof:
+        return b"".join(out), len(data), CUT
+    return b"".join(out), min(at, len(data)) - len(z.unused_data), ""
 
 
-def salvage(data: bytes):
-    """Yields ("record", offset, length, headers, block) and ("gap", offset, length, reason), in order, covering all bytes."""
-    at, gap, why = 0, None, ""
-    while at < len(data):
+def _inside(plain: bytes, bad: str) -> list[tuple]:
+    """(headers, block) of the records in a member's inflated bytes and (reason, offset, length) of the gaps between them."""
+    found, at, gap, why = [], 0, None, ""
+    while at < len(plain):
         try:
-            found, end = _step(data, at)
+            head, block, end = _parse(plain, at, bad == BROKEN)
+            if bad == CUT and end == len(plain):
+                raise ValueError(CUT)
         except ValueError as e:
             if gap is None:
                 gap, why = at, str(e)
-            nxt = _START.search(data, at + 1)
-            at = nxt.start() if nxt else len(data)
+            nxt = _LINE.search(plain, at + 1)
+            at = nxt.start() if nxt else len(plain)
             continue
         if gap is not None:
-            yield "gap", gap, at - gap, why
+            found.append((why, gap, at - gap))
             gap = None
-        for head, block in found:
-            yield "record", at, end - at, head, block
+        found.append((head, block))
         at = end
     if gap is not None:
-        yield "gap", gap, len(data) - gap, why
+        found.append((why, gap, len(plain) - gap))
+    return found
+
+
+def _step(data: bytes, at: int) -> tuple[list[tuple], int, str]:
+    """What the member or plain record at ``at`` gives (see _inside), where to go on, and what is wrong if it isn't whole or
+    gives no record."""
+    if not data.startswith(_MAGIC, at):
+        try:
+            head, block, end = _parse(data, at)
+        except ValueError as e:
+            return [], at + 1, str(e)
+        return [(head, block)], end, ""
+    plain, end, bad = _inflate(data, at)
+    found = _inside(plain, bad)
+    any_record = any(len(x) == 2 for x in found)
+    if bad:
+        return [*found, (bad, len(plain), None)] if any_record else [], at + 1, bad
+    return (found, end, "") if any_record or not found else ([], end, found[0][0])
+
+
+def _placed(found: list[tuple], at: int, length: int):
+    for x in found:
+        yield ("record", at, length, *x) if len(x) == 2 else ("gap", at, length, *x)
+
+
+def salvage(data: bytes):
+    """Yields ("record", offset, length, headers, block) and ("gap", offset, length, reason, inner offset, inner length), in
+    order, covering all bytes. The inner values are None in a gap that covers its bytes as a whole; a member that is not
+    whole reaches to the next that gives a record, and its records and gaps all have that offset and length."""
+    at, gap, held = 0, None, []
+    while at < len(data):
+        found, go, bad = _step(data, at)
+        if gap is not None and (found or not bad):
+            yield from _placed(held, gap, at - gap)
+            gap = None
+        if not bad:
+            yield from _placed(found, at, go - at)
+            at = go
+            continue
+        if gap is None:
+            gap, held = at, found or [(bad, None, None)]
+        nxt = _START.search(data, go)
+        at = nxt.start() if nxt else len(data)
+    if gap is not None:
+        yield from _placed(held, gap, len(data) - gap)
 
 
 def _number(text: str | None):
@@ -152,14 +219,14 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
                 size = 0
                 for kind, at, n, *rest in salvage(data.as_py()):
                     if kind == "gap":
-                        rows.append((p.as_py(), at, n, rest[0], None, None, None, None, None, None, None))
+                        rows.append((p.as_py(), at, n, rest[0], None, None, None, None, None, None, None, *rest[1:]))
                     else:
                         head, block = rest
                         revisit = head.get("warc-type") == "revisit"
                         digest = head.get("warc-payload-digest", "").removeprefix("sha256:") if revisit else hashlib.sha256(block).hexdigest()
                         rows.append((p.as_py(), at, n, None, head.get("warc-type"), _number(head.get("x-page-id")), head.get("warc-target-uri"),
                                      _number(head.get("x-refers-to-page-id")), digest,
-                                     _number(head.get("x-payload-length")) if revisit else len(block), block if payloads else None))
+                                     _number(head.get("x-payload-length")) if revisit else len(block), block if payloads else None, None, None))
                         size += len(block) if payloads else 0
                     if len(rows) >= 10_000 or size > 1 << 24:
                         yield pack(rows)
@@ -167,7 +234,8 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield pack(rows)
 
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(),
+             pa.int64(), pa.int64()]
     names = [c.split()[0] for c in READ_SCHEMA.split(", ")]
 
     def pack(rows):

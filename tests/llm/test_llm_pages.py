@@ -60,6 +60,42 @@ def test_salvage_recovers_after_damage():
     assert list(warc.salvage(b"")) == [] and [x[0] for x in warc.salvage(b"junk")] == ["gap"]
 
 
+def test_salvage_inside_a_member_of_many_records(spark, scratch):
+    rng = np.random.default_rng(5)
+    bodies = [rng.integers(0, 256, 3000).astype(np.uint8).tobytes().hex().encode() for _ in range(8)]
+    recs = [_one(i, b) for i, b in enumerate(bodies)]
+    ids = lambda data: [int(x[3]["x-page-id"]) for x in warc.salvage(data) if x[0] == "record"]
+    gaps = lambda data: [x[1:] for x in warc.salvage(data) if x[0] == "gap"]
+    # One bad digest: the records around it stay, and the gap says where it is.
+    wrong = recs[3].replace(bodies[3], bodies[3][::-1])
+    one = warc.member(b"".join([*recs[:3], wrong, *recs[4:]]))
+    data = one + warc.member(recs[0])
+    assert ids(data) == [0, 1, 2, 4, 5, 6, 7, 0]
+    assert gaps(data) == [(0, len(one), "payload digest differs", len(b"".join(recs[:3])), len(wrong))]
+    # Cut short: all that was inflated; the next member is found.
+    whole = warc.member(b"".join(recs))
+    cut = whole[:len(whole) * 6 // 8]
+    assert ids(cut) == [0, 1, 2, 3, 4] or ids(cut) == [0, 1, 2, 3, 4, 5]
+    assert ids(cut + warc.member(recs[7]) + recs[6]) == [*ids(cut), 7, 6]
+    assert {g[:2] for g in gaps(cut + warc.member(recs[7]))} == {(0, len(cut))} and gaps(cut)[-1][2] == "gzip member cut short"
+    # A wrong CRC: records stay whose digest agrees, others are logged.
+    bare = recs[2].replace(b"WARC-Payload-Digest", b"X-Other", 1)
+    crc = bytearray(warc.member(b"".join([*recs[:2], bare, *recs[3:]])))
+    crc[-6] ^= 0xFF
+    assert ids(bytes(crc)) == [0, 1, 3, 4, 5, 6, 7]
+    assert [(g[2], g[3]) for g in gaps(bytes(crc))] == [("no payload digest to check in a broken member", len(recs[0] + recs[1])),
+                                                        ("bad gzip member", len(b"".join(recs)) - len(recs[2]) + len(bare))]
+    # A flipped byte: whatever was inflated before it.
+    flip = bytearray(whole)
+    flip[len(flip) // 2] ^= 0xFF
+    assert ids(bytes(flip))[:3] == [0, 1, 2] and all(bytes(x[4]) in bodies for x in warc.salvage(bytes(flip)) if x[0] == "record")
+    with open(scratch + "/a.warc.gz", "wb") as f:
+        f.write(data)
+    rows = warc.read(spark, scratch).collect()
+    assert [r["page_id"] for r in rows if r["record_type"]] == ids(data)
+    assert [(r["offset"], r["length"], r["reason"], r["inner_offset"], r["inner_length"]) for r in rows if not r["record_type"]] == gaps(data)
+
+
 @pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.1"])
 def test_search_recall_and_scores(spark, sf):
     rows = ann.op8_multi_index(spark, sf).toPandas()
