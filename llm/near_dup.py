@@ -330,9 +330,39 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def _nodes(docs: DataFrame) -> DataFrame:
+    """``docs`` with a long ``_node`` for each distinct (doc_id, text): the doc_id, or for a text without one and for the
+    second and later texts of one id, a number above all ids (an error if the ids leave no room there)."""
+    h = F.unhex(F.sha2(F.coalesce(F.concat(F.lit("t"), F.col("text").cast("string")), F.lit("n")), 256))
+    rows = docs.withColumn("_node", F.col("doc_id").cast("long")).withColumn("_h", h)
+    texts = rows.groupBy("_node").agg(F.min("_h").alias("lo"), F.max("_h").alias("hi"))
+    several = texts.where("_node is not null and lo <> hi").select("_node", "lo")
+    keys = rows.select("_node", "_h")
+    more = (keys.join(several, "_node").where("_h <> lo").drop("lo").unionByName(keys.where("_node is null")).distinct())
+    more = staged(more.withColumn("_n", F.monotonically_increasing_id()), "unnamed")
+    if more.isEmpty():
+        return rows.drop("_h")
+    top = max(rows.agg(F.max("_node")).first()[0] or 0, 0)
+    named = more.select(F.col("_node").alias("_i"), F.col("_h").alias("_t"), (F.lit(top + 1).cast("long") + F.col("_n")).alias("_s"))
+    both = rows.join(named, rows["_node"].eqNullSafe(named["_i"]) & (rows["_h"] == named["_t"]), "left")
+    return both.withColumn("_node", F.coalesce("_s", "_node")).drop("_h", "_i", "_t", "_s")
+
+
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str | None = None) -> DataFrame:
-    """Pipeline stage: one document of each group stays (the smallest doc_id; rows without doc_id all stay)."""
-    found = near_duplicates(docs, STAGE_PERCENT).where("kept and doc_id is not null").select("doc_id").distinct()
+    """Pipeline stage: one row of each group stays, of its smallest doc_id (a row without one only in a group without any).
+
+    Groups link at STAGE_PERCENT. Rows of one doc_id and one text are copies, of which the smallest row stays; other texts of
+    that id, and texts without an id, are documents of their own that come after all ids. An empty or blank text is a group
+    by itself, as it is linked with nothing; its copies without an id are one document, too.
+    """
     cols = docs.columns
-    return (docs.join(found, "doc_id", "left_semi").select(cols)
-            .unionByName(docs.where("doc_id is null").select(cols)))
+    rows = _nodes(docs)
+    found = near_duplicates(rows.select(F.col("_node").alias("doc_id"), "text"), STAGE_PERCENT).where("kept")
+    kept = staged(found.groupBy("doc_id").agg(F.count("*").alias("n")).withColumnRenamed("doc_id", "_node"), "kept")
+    once = rows.join(kept.where("n = 1"), "_node", "left_semi").select(cols)
+    again = kept.where("n > 1").select("_node")
+    if again.isEmpty():
+        return once
+    # Partial minima first, so copies don't meet in one task.
+    copies = rows.join(again, "_node", "left_semi").select("_node", F.struct(*cols).alias("_r"))
+    return once.unionByName(copies.groupBy("_node").agg(F.min("_r").alias("_r")).select("_r.*"))

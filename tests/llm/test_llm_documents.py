@@ -127,6 +127,22 @@ def test_keep_one_at_the_stage_threshold(spark):
     assert sorted(r["doc_id"] for r in near_dup.keep_one(spark, docs).collect()) == [i for i in sets if find(i) == i]
 
 
+def test_keep_one_of_repeated_rows_and_rows_without_id(spark):
+    (_, a), (_, near_a), _, (_, b), _, _, (_, c), (_, near_c), *_ = _families(2, seed=3)
+    other = " ".join(reversed(b.split()))
+    rows = [(5, a, "en", "a", 1)] * 3 + [(5, a, "de", "a", 1), (9, near_a, "en", "a", 1), (7, other, "en", "a", 1), (7, "one two", "en", "a", 1),
+            (8, "", "en", "a", 0), (8, "", "en", "a", 0), (None, a, "en", "a", 1), (None, near_c, "en", "z", 1), (None, "", "en", "a", 0), (None, None, "en", "a", 0)]
+    rows += [(None, c, "en", "a", 1)] * 40 + [(None, None, "en", "a", 0), (None, "", "en", "a", 0)]
+    got = sorted(((r["doc_id"], r["text"], r["lang"]) for r in near_dup.keep_one(spark, spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+    in_c = [r for r in got if r[1] in (c, near_c)]
+    assert len(in_c) == 1 and in_c[0][0] is None
+    assert [r for r in got if r not in in_c] == sorted([(5, a, "de"), (7, other, "en"), (7, "one two", "en"), (8, "", "en"),
+                                                        (None, "", "en"), (None, None, "en")], key=str)
+    plain = spark.createDataFrame([(1, a, "en", "a", 1), (2, other, "en", "a", 1)], SCHEMA)
+    assert sorted(r["doc_id"] for r in near_dup.keep_one(spark, plain.withColumn("extra", F.lit(1))).collect()) == [1, 2]
+    assert near_dup.keep_one(spark, plain.limit(0)).count() == 0
+
+
 def test_banding_follows_the_threshold():
     assert near_dup.banding(85) == (5, 25) and near_dup.likely_at(85) == 0.68
     for percent in range(20, 101):
