@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from llm import ann, bpe, fingerprint, langid, mixing, near_dup, pii, quality, urls, warc
+from llm import ann, bpe, fingerprint, langid, mixing, near_dup, pii, quality, runs, sharding, spelling, urls, warc
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
@@ -15,6 +15,14 @@ QUERIES = {
     "op8_multi_index": ann.op8_multi_index,
     "op9_url_templates": urls.op9_url_templates,
     "op10_minhash_near_dup": near_dup.op10_minhash_near_dup,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_sharding": sharding.op12_sharding,
+    "op13_periodic_runs": runs.op13_periodic_runs,
 }
 
-ORACLE: dict[str, str] = {"op1_mix": mixing.ORACLE_SQL, "op6_warc": warc.ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op1_mix": mixing.ORACLE_SQL,
+    "op6_warc": warc.ORACLE_SQL,
+    "op11_spelling_variants": spelling.ORACLE_SQL,
+    "op12_sharding": sharding.ORACLE_SQL,
+}

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def test_all_registered():
     qs = ent.queries()
     assert set(QUERIES) <= set(qs) and "pipeline" in qs
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
