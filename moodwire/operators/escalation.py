@@ -15,12 +15,13 @@ Execution is built for one key holding a large share of all rows:
 1. ``repartitionByRange(keys, order)`` spreads a hot key over many partitions;
    ``monotonically_increasing_id`` then numbers rows in order, and rows are cut
    into chunks of at most ``chunk_rows`` rows of one key.
-2. Per chunk (bounded pandas group) the prefix sums give, vectorised, the
+2. Per chunk of a key that spans several, the prefix sums give, vectorised, the
    trajectory from a fresh start and, for every place where an incoming open
-   match could close, the state that follows. That summary is small.
-3. Per key, chunk summaries are folded in order by a streaming
-   ``mapInPandas`` pass (only summaries are sequential, not rows), yielding
-   a first state each chunk starts in.
+   match could close, the state that follows. Only the break points of that
+   transition function are kept, where the state changes.
+3. A distributed scan (:mod:`moodwire.operators.scan`) composes these functions
+   within and then across partitions, yielding a first state each chunk
+   starts in; no task reads all chunks of a key.
 4. These states are settled (:func:`settled`): the chunks of keys that span
    several are folded row by row from them, and where what a chunk leaves
    differs from what the next one started in, the next one is folded anew,
@@ -42,6 +43,7 @@ propose states; steps 4 and 5 decide.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -52,6 +54,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodwire.functions.text import MESSAGE_SEPARATOR
+from moodwire.operators.scan import PARTITION_BITS, Transition, same, scan
 from moodwire.session import materialize
 
 DEFAULT_THRESHOLD = -5.0
@@ -343,7 +346,10 @@ def _summary_fn(keys: Sequence[str], threshold: float):
         run_min = np.minimum.accumulate(ch.q)
         prev_min = np.concatenate([[np.iinfo(np.int64).max], run_min[:-1]])
         rl = np.nonzero((ch.q < prev_min) & (ch.q < 0))[0]
+        # Of neighbouring lows that leave the same state only the lowest is kept: between the break points nothing changes.
         after = open_start[rl + 1]
+        last = np.concatenate([after[1:] != after[:-1], [True]]) if len(rl) else np.empty(0, dtype=bool)
+        rl, after = rl[last], after[last]
 
         def state(os_):
             is_open = os_ < m
@@ -390,8 +396,12 @@ def _summary_small_fn(keys: Sequence[str], threshold: float):
         low = float("inf")
         for j, v in enumerate(sq.q):
             if v < low and v < 0:
-                rl_q.append(v)
-                rl.append(state(sq.open_start(j + 1)))
+                after = state(sq.open_start(j + 1))
+                if rl and rl[-1] == after:
+                    rl_q[-1] = v
+                else:
+                    rl_q.append(v)
+                    rl.append(after)
             low = min(low, v)
         for c in keys:
             out[c].append(cols[c][a])
@@ -443,65 +453,54 @@ def _emit_fn(keys: Sequence[str], threshold: float, sep: str):
     return emit
 
 
-def _resolve_fn(keys: Sequence[str], threshold: float):
-    """Streaming fold over chunk summaries sorted by (keys, _cb).
+class Folds(Transition):
+    """What a stretch of rows makes of the match that comes in open (its sum, in decision units, and rows), or of none.
 
-    Per chunk: the state it starts in, whether an incoming open match closes
-    inside it (``in_hit``), and ``out_start``, the start of the match left
-    open at its end as seen by the key's next chunk (-1 when none). The last
-    needs one chunk of lookahead, so each row is held until the next arrives.
+    ``rl_q`` holds, descending, the sums from the stretch's first row at which an incoming match may close, break points
+    only; ``rl_*`` the state then left at the end, ``f_*`` the state left if none comes in. Sums are clamped: they
+    propose states, which :func:`settled` decides.
     """
-    out_cols = list(keys) + ["_cb", "in_kind", "in_sum", "in_cnt", "in_start", "in_hit", "out_start"]
-
-    def resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur_key = object()
-        kind, s, n, start = _RESET, 0, 0, -1     # s: exact sum in decision units
-        thr = quantize_one(threshold)
-        held: list | None = None
-        for pdf in batches:
-            out = {c: [] for c in out_cols}
-
-            def flush(row, out_start):
-                for c, v in zip(out_cols, row + [out_start]):
-                    out[c].append(v)
 
-            kcols = [pdf[c].tolist() for c in keys]
-            for i in range(len(pdf)):
-                k = tuple(col[i] for col in kcols)
-                if k != cur_key:
-                    if held is not None:
-                        flush(held, -1)
-                        held = None
-                    cur_key, kind, s, n, start = k, _RESET, 0, 0, -1
-                elif held is not None:
-                    flush(held, int(start) if kind == _OPEN else -1)
-                    held = None
-                row = list(k) + [int(pdf["_cb"].iat[i]), kind, clamp_units(s), int(n), int(start)]
-                hit_here = False
-                if kind == _RESET:
-                    kind, s, n, start = (int(pdf["f_kind"].iat[i]), int(pdf["f_sum"].iat[i]),
-                                         int(pdf["f_cnt"].iat[i]), int(pdf["f_start"].iat[i]))
-                else:
-                    rlq = np.asarray(pdf["rl_q"].iat[i], dtype="int64")
-                    hit = np.nonzero(rlq <= clamp_units(thr - s))[0]
-                    if len(hit) == 0:
-                        s, n = s + int(pdf["psum"].iat[i]), n + int(pdf["m"].iat[i])
-                    else:
-                        hit_here = True
-                        h = int(hit[0])
-                        kind = int(pdf["rl_kind"].iat[i][h])
-                        s = int(pdf["rl_sum"].iat[i][h])
-                        n = int(pdf["rl_cnt"].iat[i][h])
-                        start = int(pdf["rl_start"].iat[i][h])
-                held = row + [hit_here]
-            yield _frame(out)
-        if held is not None:
-            out = {c: [] for c in out_cols}
-            for c, v in zip(out_cols, held + [-1]):
-                out[c].append(v)
-            yield _frame(out)
-
-    return resolve
+    fields = ("m bigint, psum bigint, f_kind int, f_sum bigint, f_cnt bigint, f_start bigint, rl_q array<bigint>, "
+              "rl_kind array<int>, rl_sum array<bigint>, rl_cnt array<bigint>, rl_start array<bigint>")
+    state = "in_kind int, in_sum bigint, in_cnt bigint, in_start bigint"
+    start = (_RESET, 0, 0, -1)
+
+    def __init__(self, threshold: float):
+        self.thr = quantize_one(threshold)
+
+    def apply(self, state, fn):
+        kind, s, n, start = state
+        if kind == _RESET:
+            return tuple(fn[2:6])
+        k = bisect_left(fn[6], -clamp_units(self.thr - s), key=lambda q: -q)
+        if k < len(fn[6]):
+            return fn[7][k], fn[8][k], fn[9][k], fn[10][k]
+        return kind, clamp_units(s + fn[1]), n + fn[0], start
+
+    def then(self, first, second):
+        shift, lowest = first[1], first[6][-1] if len(first[6]) else 0
+        pieces = [(q, self.apply(st, second)) for q, st in zip(first[6], zip(*first[7:11]))]
+        pieces += [(q + shift, st) for q, st in zip(second[6], zip(*second[7:11])) if q + shift < lowest]
+        pieces = [p for k, p in enumerate(pieces) if k + 1 == len(pieces) or pieces[k + 1][1] != p[1]]
+        lists = [[clamp_units(q) for q, _ in pieces], *([st[i] for _, st in pieces] for i in range(4))]
+        return (first[0] + second[0], clamp_units(shift + second[1]), *self.apply(tuple(first[2:6]), second), *lists)
+
+
+def spanning(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Those chunks (runs of equal keys and ``_cb``) of a sorted partition whose key may go on in another chunk: the
+    partition's first and last key, and keys of several chunks. Frames hold one chunk each."""
+    held, held_first, count = None, False, 0
+    for pdf, bounds in _chunk_frames(batches, [*keys, "_cb"]):
+        ids = [pdf[c].tolist() for c in keys]
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            who = tuple("" if not _is_set(c[a]) else c[a] for c in ids), tuple(_is_set(c[a]) for c in ids)
+            again = held is not None and held[0] == who
+            if held is not None and (held_first or again):
+                yield held[1].iloc[held[2]:held[3]]
+            held_first, held, count = again or count == 0, (who, pdf, a, b), count + 1
+    if held is not None:
+        yield held[1].iloc[held[2]:held[3]]
 
 
 STATE_COLS = ["seq", "in_start", "in_sum", "in_cnt"]
@@ -580,6 +579,27 @@ def settled(tagged: DataFrame, states: DataFrame, keys: Sequence[str], threshold
 
 # ------------------------------------------------------------------ operator
 
+def ordered_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], score: str, text: str, partitions: int) -> DataFrame:
+    """``df``'s keys, ``_score``, ``_text`` and ``_order0``, range-partitioned and numbered (``_gid``) in order, materialised."""
+    rows = df.select(*keys, *order, F.col(score).cast("double").alias("_score"),
+                     F.col(text).cast("string").alias("_text"))
+    rows = rows.withColumn("_score", F.when(F.isnan("_score"), F.lit(None)).otherwise(F.col("_score")))
+    # The range exchange samples its input in a separate job: keep the input
+    # so the upstream (possibly a paid model scorer) is evaluated once.
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = (rows.repartitionByRange(partitions, *keys, *order)
+              .sortWithinPartitions(*keys, *order)
+              .withColumn("_gid", F.monotonically_increasing_id())
+              .withColumn("_order0", F.col(order[0]))
+              .select(*keys, "_gid", "_score", "_text", "_order0"))
+    # Several branches read these rows: materialise them once so row numbers
+    # agree (range bounds are sampled per shuffle) and the upstream scorer
+    # never runs twice.
+    tagged = materialize(tagged)
+    rows.unpersist()
+    return tagged
+
+
 def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "customer_name"),
                       order: Sequence[str] = ("message_timestamp", "source_partition", "source_offset"),
                       score: str = "sentiment_score", text: str = "message_text",
@@ -604,53 +624,29 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
     key_fields = [in_schema[c] for c in keys]
     order0_type = in_schema[order[0]].dataType
 
-    rows = df.select(*keys, *order, F.col(score).cast("double").alias("_score"),
-                     F.col(text).cast("string").alias("_text"))
-    rows = rows.withColumn("_score", F.when(F.isnan("_score"), F.lit(None)).otherwise(F.col("_score")))
-    # The range exchange samples its input in a separate job: keep the input
-    # so the upstream (possibly a paid model scorer) is evaluated once.
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    tagged = (rows.repartitionByRange(partitions, *keys, *order)
-              .sortWithinPartitions(*keys, *order)
-              .withColumn("_gid", F.monotonically_increasing_id())
-              .withColumn("_cb", F.shiftright("_gid", shift))
-             .withColumn("_sb", F.shiftright("_gid", settle_shift))
-              .withColumn("_order0", F.col(order[0])))
-    # Both the summary and the emit branch read these rows: materialise them
-    # once so row numbers agree (range bounds are sampled per shuffle) and the
-    # upstream scorer never runs twice.
-    tagged = materialize(tagged)
-    rows.unpersist()
+    tagged = ordered_rows(df, keys, order, score, text, partitions).withColumns(
+        {"_cb": F.shiftright("_gid", shift), "_sb": F.shiftright("_gid", settle_shift)})
 
     kfields = [T.StructField(f.name, f.dataType) for f in key_fields]
-    summary_schema = T.StructType(kfields + [
-        T.StructField("_cb", T.LongType()), T.StructField("m", T.LongType()),
-        T.StructField("psum", T.LongType()), T.StructField("f_kind", T.IntegerType()),
-        T.StructField("f_sum", T.LongType()), T.StructField("f_cnt", T.LongType()),
-        T.StructField("f_start", T.LongType()),
-        T.StructField("rl_q", T.ArrayType(T.LongType())), T.StructField("rl_kind", T.ArrayType(T.IntegerType())),
-        T.StructField("rl_sum", T.ArrayType(T.LongType())), T.StructField("rl_cnt", T.ArrayType(T.LongType())),
-        T.StructField("rl_start", T.ArrayType(T.LongType())),
-    ])
-    chunk_cols = [*keys, "_cb"]
+    how = Folds(threshold)
+    summary_schema = T.StructType(kfields + [T.StructField("_cb", T.LongType()), *T.StructType.fromDDL(how.fields)])
+    summarize_big, summarize_small = _summary_fn(keys, threshold), _summary_small_fn(keys, threshold)
+    in_cols, out_cols = [*keys, "_cb", "_gid", "_score"], [*keys, *SUMMARY_COLS]
+
+    def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for chunk in spanning(batches, keys):
+            if len(chunk) > small_chunk:
+                yield summarize_big(chunk)[out_cols]
+            else:
+                out = {c: [] for c in out_cols}
+                summarize_small({c: chunk[c].tolist() for c in in_cols}, 0, len(chunk), out)
+                yield _frame(out)
+
     # Every chunk lies inside one range partition, already in order: the
-    # summaries need no shuffle.
-    summaries = (tagged.select(*keys, "_cb", "_gid", "_score")
-                 .sortWithinPartitions(*keys, "_cb", "_gid")
-                 .mapInPandas(_per_chunk_stream(chunk_cols, _summary_fn(keys, threshold),
-                                                _summary_small_fn(keys, threshold),
-                                                [*keys, "_cb", "_gid", "_score"], [*keys, *SUMMARY_COLS],
-                                                small_rows=small_chunk),
-                              summary_schema))
-
-    state_schema = T.StructType(kfields + [
-        T.StructField("_cb", T.LongType()), T.StructField("in_kind", T.IntegerType()),
-        T.StructField("in_sum", T.LongType()), T.StructField("in_cnt", T.LongType()),
-        T.StructField("in_start", T.LongType()), T.StructField("in_hit", T.BooleanType()),
-        T.StructField("out_start", T.LongType()),
-    ])
-    resolved = (summaries.repartition(partitions, *keys).sortWithinPartitions(*keys, "_cb")
-                .mapInPandas(_resolve_fn(keys, threshold), state_schema))
+    # summaries need no shuffle. Most keys lie inside one chunk and have none.
+    summaries = materialize(tagged.select(*in_cols).sortWithinPartitions(*keys, "_cb", "_gid").mapInPandas(summarize, summary_schema))
+    several = summaries.groupBy(*keys).count().where("count > 1").drop("count")
+    resolved = scan(same(summaries, several, keys, "left_semi"), keys, "_cb", how, PARTITION_BITS - shift)
     # The first proposed state of each (key, settle chunk), for keys that have several of them. A key inside one chunk
     # starts there without an open match, so it has no state row: this side has about two rows a chunk.
     open_in = F.col("in_kind") == _OPEN
@@ -661,13 +657,7 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
     states = (resolved.groupBy(*keys, F.shiftright("_cb", settle_shift - shift).alias("_sb")).agg(first.alias("_in"))
               .withColumn("_n", F.count("*").over(per_key)).withColumn("seq", F.row_number().over(per_key.orderBy("_sb")))
               .where("_n > 1").select(*keys, "_sb", "seq", "_in.*"))
-    states = settled(tagged, materialize(states), keys, threshold)
-    # Matches that close in a later chunk than the one they start in, by start
-    # row id (unique): at most one per chunk, so this side stays small.
-    closing = states.filter(F.col("in_hit")).select(F.col("in_start").alias("_closing_start"))
-    states = (states.join(closing, F.col("o_start") == F.col("_closing_start"), "left")
-              .withColumn("out_closes", F.col("_closing_start").isNotNull()).drop("_closing_start"))
-
+    states = materialize(states)
     frag_schema = T.StructType(kfields + [
         T.StructField("match_gid", T.LongType()), T.StructField("_sb", T.LongType()),
         T.StructField("frag_count", T.LongType()), T.StructField("frag_texts", T.StringType()),
@@ -678,15 +668,21 @@ def match_escalations(df: DataFrame, keys: Sequence[str] = ("customer_id", "cust
     # broadcasts the state side only when its measured size is small;
     # otherwise both sides shuffle on the chunk id, which keeps chunks whole.
     ids = [*keys, "_sb"]
-    st = states.select(*[F.col(c).alias(f"_s_{c}") for c in ids], "in_start", "in_sum", "in_cnt", "out_closes")
-    cond = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in ids]
-    frags = (tagged.select(*ids, "_gid", "_score", "_text", "_order0")
-             .join(st, cond, "left").drop(*[f"_s_{c}" for c in ids])
-             .fillna({"in_start": -1, "in_sum": 0.0, "in_cnt": 0, "out_closes": False})
-             .sortWithinPartitions(*ids, "_gid")
+    rows = tagged.select(*ids, "_gid", "_score", "_text", "_order0")
+    fresh = {"in_start": -1, "in_sum": 0.0, "in_cnt": 0, "out_closes": False}
+    if states.isEmpty():
+        rows = rows.withColumns({c: F.lit(v) for c, v in fresh.items()})
+    else:
+        states = settled(tagged, states, keys, threshold)
+        # Matches that close in a later chunk than the one they start in, by start
+        # row id (unique): at most one per chunk, so this side stays small.
+        closing = states.filter(F.col("in_hit")).select(F.col("in_start").alias("_closing_start"))
+        states = (states.join(closing, F.col("o_start") == F.col("_closing_start"), "left")
+                  .withColumn("out_closes", F.col("_closing_start").isNotNull()).drop("_closing_start"))
+        rows = same(rows, states.select(*ids, "in_start", "in_sum", "in_cnt", "out_closes"), ids, "left").fillna(fresh)
+    frags = (rows.sortWithinPartitions(*ids, "_gid")
              .mapInPandas(_per_chunk_stream(ids, None, _emit_fn(keys, threshold, separator),
-                                            [*ids, "_gid", "_score", "_text", "_order0",
-                                             "in_start", "in_sum", "in_cnt", "out_closes"],
+                                            [*ids, "_gid", "_score", "_text", "_order0", *fresh],
                                             [*keys, *FRAG_COLS], small_rows=1 << 62),
                           frag_schema))
 

@@ -3,10 +3,13 @@ sequential fold, and the fixture counts."""
 
 import math
 
+import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from moodwire.operators import escalation as esc
 from moodwire.operators.escalation import fold_reference, match_escalations
 
 SCHEMA = ("customer_id string, customer_name string, message_timestamp long, source_partition int, "
@@ -131,6 +134,7 @@ def test_list_and_numpy_chunk_paths_decide_alike(xs, s_in):
     """The short-chunk list path and the numpy path agree on every start, close
     and trajectory, including for arbitrary (non-grid) doubles."""
     import numpy as np
+import pandas as pd
     from moodwire.operators.escalation import _Chunk, _Seq
     arr = np.array([np.nan if x is None else x for x in xs], dtype="float64")
     ch, sq = _Chunk(arr, -5.0), _Seq(arr.tolist(), -5.0)
@@ -221,3 +225,30 @@ def test_one_decimal_scores_decide_by_the_double_sum(xs):
     exp = _double_fold(xs)
     assert [tuple(r) for r in fold_reference(xs)] == exp
     assert walk(xs, -5.0)[0] == [(a, b) for a, b, _, _ in exp]
+
+
+@pytest.mark.parametrize("low, high", [(-1.0, 0.2), (-2.0, 1.0)])
+def test_transition_keeps_break_points_only(low, high):
+    """A falling chunk of 2^18 rows closes an incoming match at very many places, but leaves few different states."""
+    x = np.random.default_rng(7).uniform(low, high, 1 << 18)
+    one = esc._summary_fn(["k"], -5.0)(pd.DataFrame({"k": "a", "_cb": 0, "_gid": np.arange(len(x)), "_score": x}))
+    assert 0 < len(one["rl_q"].iloc[0]) < 1000
+
+
+def test_composed_transitions_equal_applying_in_turn():
+    rng = np.random.default_rng(8)
+    how = esc.Folds(-5.0)
+    for _ in range(200):
+        parts, at, fns = [rng.integers(-30, 25, rng.integers(1, 40)) / 10.0 for _ in range(3)], 0, []
+        for x in parts:
+            pdf = pd.DataFrame({"k": "a", "_cb": 0, "_gid": at + np.arange(len(x)), "_score": x})
+            fns.append(tuple(esc._summary_fn(["k"], -5.0)(pdf)[esc.SUMMARY_COLS[1:]].iloc[0]))
+            at += len(x)
+        whole = how.then(how.then(fns[0], fns[1]), fns[2])
+        again = how.then(fns[0], how.then(fns[1], fns[2]))
+        for s in [None, *rng.integers(-49, 200, 20)]:
+            state = how.start if s is None else (1, int(s) * 10 ** 8, 3, 10 ** 6)
+            one = state
+            for fn in fns:
+                one = how.apply(one, fn)
+            assert how.apply(state, whole) == one == how.apply(state, again)
