@@ -134,7 +134,6 @@ def test_list_and_numpy_chunk_paths_decide_alike(xs, s_in):
     """The short-chunk list path and the numpy path agree on every start, close
     and trajectory, including for arbitrary (non-grid) doubles."""
     import numpy as np
-import pandas as pd
     from moodwire.operators.escalation import _Chunk, _Seq
     arr = np.array([np.nan if x is None else x for x in xs], dtype="float64")
     ch, sq = _Chunk(arr, -5.0), _Seq(arr.tolist(), -5.0)
