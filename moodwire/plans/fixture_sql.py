@@ -94,6 +94,43 @@ FROM f WHERE e_total IS NOT NULL
 """
 
 
+def pattern_within_sql(sentiments: str, within_ms: int, threshold: float = -5.0) -> str:
+    """Time-bounded matches: every start is followed row by row to its close, then starts are taken in turn.
+
+    Sums are exact decimals of nine places."""
+    thr = f"{threshold}::DECIMAL(38, 9)"
+    same = "{0}.customer_id IS NOT DISTINCT FROM {1}.customer_id AND {0}.customer_name IS NOT DISTINCT FROM {1}.customer_name"
+    return f"""
+WITH RECURSIVE r AS MATERIALIZED (
+  SELECT customer_id, customer_name, CAST(sentiment_score AS DECIMAL(38, 9)) AS x, message_text AS txt, message_timestamp AS ts,
+         row_number() OVER (PARTITION BY customer_id, customer_name
+                            ORDER BY message_timestamp, source_partition, source_offset) AS rn
+  FROM ({sentiments}) src
+),
+f AS (
+  SELECT customer_id, customer_name, rn AS s, ts AS s_ts, rn AS j, x AS total, false AS closed FROM r WHERE x > {thr}
+  UNION ALL
+  SELECT f.customer_id, f.customer_name, f.s, f.s_ts, r.rn, f.total + coalesce(r.x, 0), r.x IS NOT NULL AND f.total + r.x <= {thr}
+  FROM f JOIN r ON {same.format("r", "f")} AND r.rn = f.j + 1 AND r.ts - f.s_ts < {within_ms}
+  WHERE NOT f.closed
+),
+c AS MATERIALIZED (SELECT customer_id, customer_name, s, j AS e, total FROM f WHERE closed),
+n AS MATERIALIZED (
+  SELECT a.customer_id, a.customer_name, a.s, a.e, a.total, min(b.s) AS nxt
+  FROM c a LEFT JOIN c b ON {same.format("a", "b")} AND b.s > a.e GROUP BY ALL),
+p AS (
+  SELECT n.* FROM n JOIN (SELECT customer_id, customer_name, min(s) AS s FROM c GROUP BY ALL) m ON {same.format("n", "m")} AND n.s = m.s
+  UNION ALL
+  SELECT n.* FROM p JOIN n ON {same.format("n", "p")} AND n.s = p.nxt
+)
+SELECT p.customer_id, p.customer_name, CAST(p.total AS DOUBLE) AS karen_score_total, p.e - p.s + 1 AS trigger_message_count,
+       string_agg(r.txt, {SEP_SQL} ORDER BY r.rn) FILTER (r.rn < p.e) || {SEP_SQL} || max(r.txt) FILTER (r.rn = p.e) AS recent_messages,
+       max(r.ts) FILTER (r.rn = p.e) AS trigger_order
+FROM p JOIN r ON {same.format("r", "p")} AND r.rn BETWEEN p.s AND p.e
+GROUP BY p.customer_id, p.customer_name, p.s, p.e, p.total
+"""
+
+
 def response_prompt_sql(name: str, total: str, messages: str) -> str:
     from moodwire.functions.text import RESPONSE_PROMPT_MESSAGE_CHARS as n, RESPONSE_PROMPT_PARTS as p
     q = [x.replace("'", "''") for x in p]

@@ -306,6 +306,15 @@ def st_pattern_ties(spark, sf_dir):
     return escalations(tie_scores(spark, sf_dir))
 
 
+PATTERN_WITHIN_MS = 10 * 86_400_000
+
+
+@query("st_pattern_within", f"SELECT * FROM ({fx.pattern_within_sql(fx.DENSE_SQL, PATTERN_WITHIN_MS)}) m")
+def st_pattern_within(spark, sf_dir):
+    from moodwire.operators.within import match_escalations_within
+    return match_escalations_within(sentiments(spark, sf_dir), PATTERN_WITHIN_MS)
+
+
 @query("udf_response_prompt", f"""
 SELECT customer_id, trigger_order,
        {fx.response_prompt_sql('customer_name', 'karen_score_total', 'recent_messages')} AS prompt
