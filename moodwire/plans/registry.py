@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from moodwire.functions.scoring import DEFAULT_LEXICON, SPARSE_LEXICON, LexiconScorer
 from moodwire.functions.text import SENTIMENT_PROMPT_HEAD, SENTIMENT_PROMPT_TAIL
+from moodwire.operators.burst import VERY_NEGATIVE
 from moodwire.plans import fixture_sql as fx
 from moodwire.plans import sentiment, serving
 from moodwire.sources import fixtures
@@ -694,11 +695,56 @@ def st_pattern_ties_stream(spark, sf_dir):
                          key_cols=("customer_id", "customer_name"))
 
 
+def _very_negative(spark, sf_dir):
+    return sentiments(spark, sf_dir).where(F.col("sentiment_category") == VERY_NEGATIVE)
+
+
+LATE_MS = 3 * DAY
+
+
+def _late(df, by="message_id"):
+    """Rows arrive up to LATE_MS after their time, each by a delay of its own."""
+    return df.withColumn("arrival", F.col("message_timestamp") + F.pmod(F.xxhash64(by), F.lit(LATE_MS)))
+
+
 @query("w_burst_stream", ORACLE["w_burst_rule"])
 def w_burst_stream(spark, sf_dir):
     from moodwire.streaming import jobs, replay
-    return replay.replay(sentiments(spark, sf_dir),
-                         lambda st: jobs.burst_stream(st, k=BURST_K, window_ms=BURST_WINDOW_MS), "w_burst_stream")
+    return replay.replay(_very_negative(spark, sf_dir), lambda st: jobs.burst_stream(st, k=BURST_K, window_ms=BURST_WINDOW_MS),
+                         "w_burst_stream", end_ms=DAY)
+
+
+@query("w_burst_stream_late", ORACLE["w_burst_rule"])
+def w_burst_stream_late(spark, sf_dir):
+    """Rows out of order by up to LATE_MS; the watermark waits as long, and nothing is missed."""
+    from moodwire.streaming import jobs, replay
+    return replay.replay(_late(_very_negative(spark, sf_dir)),
+                         lambda st: jobs.burst_stream(st, k=BURST_K, window_ms=BURST_WINDOW_MS, delay=f"{LATE_MS} milliseconds"),
+                         "w_burst_stream_late", arrival="arrival", end_ms=LATE_MS + DAY)
+
+
+@query("st_pattern_within_stream", ORACLE["st_pattern_within"])
+def st_pattern_within_stream(spark, sf_dir):
+    """Time-bounded matches of rows that arrive out of order by up to LATE_MS."""
+    from moodwire.streaming import jobs, replay
+    return replay.replay(_late(sentiments(spark, sf_dir)),
+                         lambda st: jobs.within_stream(st, PATTERN_WITHIN_MS, delay=f"{LATE_MS} milliseconds"),
+                         "st_pattern_within_stream", key_cols=("customer_id", "customer_name"), arrival="arrival",
+                         end_ms=LATE_MS + PATTERN_WITHIN_MS + DAY)
+
+
+@query("j2_dedup_stream", f"SELECT * FROM ({M_SQL}) m")
+def j2_dedup_stream(spark, sf_dir):
+    """J2 over a topic that repeats a third of its records later on and brings every second customer's ten days late."""
+    from moodwire.streaming import jobs, replay
+    from moodwire.streaming.state import MATCH_OUTPUT, EscalationProcessor
+    rows = sentiments(spark, sf_dir).withColumn("arrival", F.col("message_timestamp") + F.pmod(F.xxhash64("customer_id"), F.lit(2)) * 10 * DAY)
+    again = rows.where(F.pmod(F.xxhash64("message_id"), F.lit(3)) == 0).withColumn("arrival", F.col("arrival") + 5 * DAY)
+
+    def build(st):
+        return (jobs.dedup_stream(st).groupBy("customer_id", "customer_name")
+                .transformWithStateInPandas(EscalationProcessor(), MATCH_OUTPUT, "Append", "None"))
+    return replay.replay(rows.unionByName(again), build, "j2_dedup_stream", key_cols=("customer_id", "customer_name"), arrival="arrival")
 
 
 # ---------------------------------- data preparation: what must hold whatever the draws are

@@ -16,7 +16,7 @@ from moodwire.plans import sentiment
 from moodwire.plans.escalation import respond
 from moodwire.session import keyed_state
 from moodwire.sources import codec
-from moodwire.streaming.state import BURST_OUTPUT, MATCH_OUTPUT, BurstProcessor, EscalationProcessor
+from moodwire.streaming.state import (BURST_OUTPUT, MATCH_OUTPUT, ORDER, BurstProcessor, EscalationProcessor, WithinProcessor)
 
 WATERMARK_DELAY = "5 seconds"
 CHECKPOINT_TRIGGER = "10 seconds"
@@ -136,14 +136,24 @@ def escalation_stream(sentiments: DataFrame, generator: Generator | None = None,
     return respond(matches, generator, model=model, generated_at="now")
 
 
+def within_stream(sentiments: DataFrame, within_ms: int, threshold: float = -5.0, delay: str = WATERMARK_DELAY) -> DataFrame:
+    """Time-bounded matches on a stream, in event-time order; rows are waited for by ``delay``."""
+    keyed_state(sentiments.sparkSession)
+    return (with_event_time(sentiments, delay)
+            .select("customer_id", "customer_name", *ORDER, "sentiment_score", "message_text", "message_ts_ltz")
+            .groupBy("customer_id", "customer_name")
+            .transformWithStateInPandas(WithinProcessor(within_ms, threshold), MATCH_OUTPUT, "Append", "EventTime"))
+
+
 def burst_stream(sentiments: DataFrame, k: int = 5, window_ms: int = 5 * 60_000,
-                 category: str = "F - Very Negative", lateness_ms: int | None = None) -> DataFrame:
+                 category: str = "F - Very Negative", delay: str = WATERMARK_DELAY) -> DataFrame:
+    """The burst rule on a stream, in event-time order; rows are waited for by ``delay``, and a row is reported once the
+    watermark has passed it."""
     keyed_state(sentiments.sparkSession)
-    return (sentiments.filter(F.col("sentiment_category") == category)
-            .select("customer_id", "customer_name", "message_id", "message_timestamp", "source_partition",
-                    "source_offset")
+    return (with_event_time(sentiments, delay).filter(F.col("sentiment_category") == category)
+            .select("customer_id", "customer_name", "message_id", *ORDER, "message_ts_ltz")
             .groupBy("customer_id")
-            .transformWithStateInPandas(BurstProcessor(k, window_ms, lateness_ms), BURST_OUTPUT, "Append", "None"))
+            .transformWithStateInPandas(BurstProcessor(k, window_ms), BURST_OUTPUT, "Append", "EventTime"))
 
 
 def trend_stream(sentiments: DataFrame, grain: str = "1 minute", delay: str = WATERMARK_DELAY) -> DataFrame:
@@ -155,10 +165,18 @@ def trend_stream(sentiments: DataFrame, grain: str = "1 minute", delay: str = WA
             .select(F.unix_millis(F.col("w.start")).alias("bucket_start_ms"), "avg_sentiment", "msgs"))
 
 
-def dedup_stream(sentiments: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """At-least-once sinks can repeat rows: drop repeats of (message_id,
-    model_used) seen within the watermark delay."""
-    return with_event_time(sentiments, delay).dropDuplicatesWithinWatermark(["message_id", "model_used"])
+REPEAT_KEY = ("message_id", "model_used")
+REPEAT_TTL = "7 days"
+
+
+def dedup_stream(rows: DataFrame, keys: tuple[str, ...] = REPEAT_KEY, ttl: str = REPEAT_TTL) -> DataFrame:
+    """At-least-once sinks can repeat rows: each row once, its repeats dropped for ``ttl`` after it came.
+
+    The watermark is on the time of arrival, which never runs backwards: it frees the keys ``ttl`` after their row came, and
+    no row is ever behind it. Rows of any event time pass. The keys are unique per message, so no key is hot."""
+    arrived = "_arrived"
+    return (rows.withColumn(arrived, F.current_timestamp()).withWatermark(arrived, ttl)
+            .dropDuplicatesWithinWatermark(list(keys)).drop(arrived))
 
 
 def start(df: DataFrame, fmt: str, checkpoint: str, name: str, path: str | None = None,

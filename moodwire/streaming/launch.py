@@ -68,16 +68,15 @@ def start_sentiment_job(spark: SparkSession, topics: Topics, checkpoint: str, sc
 
 def start_escalation_job(spark: SparkSession, topics: Topics, checkpoint: str,
                          generator: Generator | None = None, model_filter: str | None = None,
-                         trigger: str | None = jobs.CHECKPOINT_TRIGGER, dedup_delay: str | None = None):
+                         trigger: str | None = jobs.CHECKPOINT_TRIGGER, repeat_ttl: str | None = jobs.REPEAT_TTL):
     """J2: escalations per customer, prompt, generated response.
 
-    ``dedup_delay`` (e.g. "10 minutes") removes records that an at-least-once
-    topic repeats within that delay. It is off by default, since a watermark
-    also drops rows that arrive later than the delay."""
+    Records that an at-least-once topic repeats are removed for ``repeat_ttl``
+    after the first one (None: not at all); late rows are kept."""
     fmt, path, opts = topics.source(jobs.TOPIC_SENTIMENTS)
     scored = jobs.read_sentiment_stream(spark, fmt, path, opts)
-    if dedup_delay is not None:
-        scored = jobs.dedup_stream(scored, dedup_delay).drop("message_ts_ltz")
+    if repeat_ttl is not None:
+        scored = jobs.dedup_stream(scored, ttl=repeat_ttl)
     responses = jobs.escalation_stream(scored, generator, model_filter=model_filter)
     fmt, path, opts = topics.sink(jobs.TOPIC_RESPONSES)
     return jobs.start(responses, fmt, checkpoint, "escalation", path=path, options=opts,
@@ -85,9 +84,9 @@ def start_escalation_job(spark: SparkSession, topics: Topics, checkpoint: str,
 
 
 def start_serving_ingest(spark: SparkSession, topics: Topics, table_root: str, checkpoint_root: str,
-                         trigger: str | None = jobs.CHECKPOINT_TRIGGER, dedup_delay: str | None = None) -> list:
+                         trigger: str | None = jobs.CHECKPOINT_TRIGGER, repeat_ttl: str | None = jobs.REPEAT_TTL) -> list:
     """J3: both result topics into their serving tables (exactly-once file
-    sinks). ``trigger=None`` drains what is there and stops. ``dedup_delay``:
+    sinks). ``trigger=None`` drains what is there and stops. ``repeat_ttl``:
     see :func:`start_escalation_job`; it concerns the scored messages."""
     readers = {jobs.TOPIC_SENTIMENTS: jobs.read_sentiment_stream, jobs.TOPIC_RESPONSES: jobs.read_response_stream}
     started = []
@@ -95,8 +94,8 @@ def start_serving_ingest(spark: SparkSession, topics: Topics, table_root: str, c
         fmt, path, opts = topics.source(topic, starting="earliest")
         rows = readers[topic](spark, fmt, path, opts)
         if topic == jobs.TOPIC_SENTIMENTS:
-            if dedup_delay is not None:
-                rows = jobs.dedup_stream(rows, dedup_delay).drop("message_ts_ltz")
+            if repeat_ttl is not None:
+                rows = jobs.dedup_stream(rows, ttl=repeat_ttl)
             rows = to_serving(rows).drop("message_date")
         started.append(stream_serving(rows, f"{table_root.rstrip('/')}/{table}", SERVING_TIME_COLUMNS[topic],
                                       f"{checkpoint_root.rstrip('/')}/{table}", f"ingest-{table}", trigger))

@@ -47,6 +47,15 @@ def write_slices(df: DataFrame, path: str, time_col: str, key_cols: list[str], s
         part.repartition(partitions, *key_cols).write.mode("append").parquet(path)
 
 
+def write_end(df: DataFrame, path: str, time_col: str, key_cols: list[str], wait_ms: int) -> None:
+    """A last file with one row of a customer of its own, ``wait_ms`` behind all others: it moves the watermark past them."""
+    last = df.agg(F.max(time_col)).first()[0]
+    if last is not None:
+        end = df.limit(1).withColumns({time_col: F.lit(last + wait_ms).cast(df.schema[time_col].dataType),
+                                       **{c: F.lit("end of stream").cast(df.schema[c].dataType) for c in key_cols}})
+        end.select(*df.columns).coalesce(1).write.mode("append").parquet(path)
+
+
 def run_available(stream: DataFrame, name: str, base: str) -> DataFrame:
     """Drain ``stream`` into a Parquet sink (availableNow) and return the sink."""
     out, ckpt = f"{base}/out-{name}", f"{base}/ckpt-{name}"
@@ -57,13 +66,18 @@ def run_available(stream: DataFrame, name: str, base: str) -> DataFrame:
 
 
 def replay(df: DataFrame, build, name: str, time_col: str = "message_timestamp",
-           key_cols: tuple[str, ...] = ("customer_id",), slices: int = 4) -> DataFrame:
-    """Replay ``df`` as a file stream, apply ``build(stream_df)``, return the result."""
+           key_cols: tuple[str, ...] = ("customer_id",), slices: int = 4, arrival: str | None = None, end_ms: int | None = None) -> DataFrame:
+    """Replay ``df`` as a file stream, apply ``build(stream_df)``, return the result.
+
+    Rows arrive in order of ``arrival`` (default: ``time_col``). With ``end_ms``, a row of the customer "end of stream"
+    comes last, so much later than all others; event-time streams then report everything before it."""
     spark = df.sparkSession
     keyed_state(spark)
     base = scratch_path(spark)
     src = f"{base}/src"
-    write_slices(df, src, time_col, list(key_cols), slices)
+    write_slices(df, src, arrival or time_col, list(key_cols), slices)
+    if end_ms is not None:
+        write_end(df, src, time_col, list(key_cols), end_ms)
     # About one slice per micro-batch: bounded batches, never a key's whole history at once.
     per_batch = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", str(per_batch)).parquet(src)

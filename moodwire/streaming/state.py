@@ -1,9 +1,10 @@
 """Keyed stateful processors for Structured Streaming.
 
-Both run under ``groupBy(keys).transformWithStateInPandas`` on the RocksDB
+All run under ``groupBy(keys).transformWithStateInPandas`` on the RocksDB
 state store, so per-key state spills to disk and is checkpointed with the
-query. Within a micro-batch a key's rows are taken in (timestamp, partition,
-offset) order; batches are taken in arrival order.
+query. The unbounded matcher takes a key's rows of a micro-batch in (timestamp,
+partition, offset) order and batches in arrival order; processors derived from
+:class:`EventTimeProcessor` take all rows in that order, by the watermark.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from moodwire.functions.text import MESSAGE_SEPARATOR
-from moodwire.operators.escalation import ROW_LIMIT_UNITS, SCORE_SCALE
+from moodwire.operators.escalation import ROW_LIMIT_UNITS, SCORE_SCALE, quantize, quantize_one
+from moodwire.operators.within import closes
 
 ORDER = ["message_timestamp", "source_partition", "source_offset"]
 
@@ -123,46 +125,150 @@ BURST_OUTPUT = T.StructType([
 ])
 
 
-class BurstProcessor(StatefulProcessor):
-    """k matching messages within ``window_ms`` per customer.
+class EventTimeProcessor(StatefulProcessor):
+    """Rows of a key in event-time order, whatever order they arrive in.
 
-    State is the sorted list of timestamps of the last window and the stated
-    lateness before it (default: one more window), so it is bounded by the
-    traffic of that span, never by history. A late row is tested against the
-    window that ends at its own time, not against rows after it.
+    Arriving rows are appended to a reorder buffer. When the watermark has passed rows, no earlier ones can follow: a timer
+    releases them in (timestamp, partition, offset) order to :meth:`advance`, so results are those of the batch operator over the
+    same rows. Rows behind the watermark are late by the stream's own definition and are dropped by the engine before they
+    get here; the delay of the watermark says how long rows are waited for. Runs under ``timeMode="EventTime"``.
     """
 
-    def __init__(self, k: int = 5, window_ms: int = 5 * 60_000, lateness_ms: int | None = None):
-        self.k = k
-        self.window_ms = window_ms
-        self.lateness_ms = window_ms if lateness_ms is None else lateness_ms
+    #: Columns kept of each row, the first three being :data:`ORDER`, with their DDL types.
+    columns: dict[str, str] = {}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.times = handle.getListState("times", "ts long")
+        self.handle = handle
+        self.pending = handle.getListState("pending", ", ".join(f"c{i} {t}" for i, t in enumerate(self.columns.values())))
+        self.open_state(handle)
+
+    def open_state(self, handle: StatefulProcessorHandle) -> None:
+        raise NotImplementedError
+
+    def advance(self, key, rows: list[tuple], now: int) -> tuple[list[tuple], int | None]:
+        """Take released ``rows`` (all up to time ``now``, in order); results, and when to be called again (None: never)."""
+        raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        cols = _ordered(rows, ["message_id", "customer_name", "message_timestamp"])
+        cols = _ordered(rows, list(self.columns))
         if cols is None:
             return
-        held = [int(r[0]) for r in self.times.get()]
-        out = []
-        rows_ = list(zip(cols[0], cols[1], [int(t) for t in cols[2]]))
-        i = 0
-        while i < len(rows_):
-            # Rows sharing a timestamp are peers: each one's window includes all
-            # of them, as the batch frame's CURRENT ROW does.
-            ts, j = rows_[i][2], i
-            while j < len(rows_) and rows_[j][2] == ts:
-                bisect.insort(held, ts)
-                j += 1
-            count = bisect.bisect_right(held, ts) - bisect.bisect_left(held, ts - self.window_ms)
-            if count >= self.k:
-                out.extend((key[0], name, mid, ts, count) for mid, name, _ in rows_[i:j])
-            i = j
-        del held[:bisect.bisect_left(held, held[-1] - self.window_ms - self.lateness_ms)]
-        self.times.put([(t,) for t in held])
+        came = [tuple(None if v is None or v != v else v for v in r) for r in zip(*cols)]
+        self.pending.appendList(came)
+        self.handle.registerTimer(int(came[0][0]))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        held = [tuple(r) for r in self.pending.get()]
+        due = sorted((r for r in held if r[0] <= now), key=lambda r: tuple((v is None, v or 0) for v in r[:3]))
+        if due:
+            rest = [r for r in held if r[0] > now]
+            if rest:
+                self.pending.put(rest)
+                self.handle.registerTimer(int(min(r[0] for r in rest)))
+            else:
+                self.pending.clear()
+        out, again = self.advance(key, due, now)
+        if again is not None:
+            self.handle.registerTimer(int(max(again, now + 1)))
         if out:
-            yield pd.DataFrame(out, columns=[f.name for f in BURST_OUTPUT.fields])
+            yield pd.DataFrame(out, columns=self.output_columns)
 
     def close(self) -> None:
         pass
+
+
+class BurstProcessor(EventTimeProcessor):
+    """k matching messages within ``window_ms`` per customer, counted like the batch frame: a row's window ends at its own
+    time and holds its peers.
+
+    State beside the buffer is the ordered timestamps of one window, appended to and cut when rows leave it; a timer
+    frees a customer who has been quiet for a window.
+    """
+
+    columns = {"message_timestamp": "long", "source_partition": "int", "source_offset": "long", "message_id": "string",
+               "customer_name": "string"}
+    output_columns = [f.name for f in BURST_OUTPUT.fields]
+
+    def __init__(self, k: int = 5, window_ms: int = 5 * 60_000):
+        self.k = k
+        self.window_ms = window_ms
+
+    def open_state(self, handle: StatefulProcessorHandle) -> None:
+        self.times = handle.getListState("times", "ts long")
+
+    def advance(self, key, rows, now):
+        held = [int(r[0]) for r in self.times.get()] if self.times.exists() else []
+        before, out, i = len(held), [], 0
+        while i < len(rows):
+            ts, j = rows[i][0], i
+            while j < len(rows) and rows[j][0] == ts:
+                held.append(ts)
+                j += 1
+            count = len(held) - bisect.bisect_left(held, ts - self.window_ms)
+            if count >= self.k:
+                out.extend((key[0], r[4], r[3], ts, count) for r in rows[i:j])
+            i = j
+        # A row that is still to come is later than ``now``.
+        gone = bisect.bisect_left(held, now + 1 - self.window_ms)
+        if gone >= len(held):
+            self.times.clear()
+            return out, None
+        if gone:
+            self.times.put([(t,) for t in held[gone:]])
+        elif len(held) > before:
+            self.times.appendList([(t,) for t in held[before:]])
+        return out, held[-1] + self.window_ms
+
+
+class WithinProcessor(EventTimeProcessor):
+    """Time-bounded row-pattern matches per (customer_id, customer_name): the stream form of
+    :func:`moodwire.operators.within.match_escalations_within`.
+
+    State beside the buffer is the rows from the first start on that has neither closed nor expired. Its expiry is a
+    timer, so a later start that has closed meanwhile is reported even if the customer never writes again.
+    """
+
+    columns = {"message_timestamp": "long", "source_partition": "int", "source_offset": "long", "sentiment_score": "double",
+               "message_text": "string"}
+    output_columns = [f.name for f in MATCH_OUTPUT.fields]
+
+    def __init__(self, within_ms: int, threshold: float = -5.0, separator: str = MESSAGE_SEPARATOR):
+        self.within_ms = within_ms
+        self.threshold = threshold
+        self.sep = separator
+
+    def open_state(self, handle: StatefulProcessorHandle) -> None:
+        self.rows = handle.getListState("rows", "ts long, x double, t string")
+
+    def advance(self, key, rows, now):
+        came = [(int(r[0]), r[3], r[4]) for r in rows]
+        stored = [tuple(r) for r in self.rows.get()] if self.rows.exists() else []
+        held = stored + came
+        if not held:
+            return [], None
+        x = np.array([np.nan if r[1] is None else r[1] for r in held], dtype="float64")
+        thr, units = quantize_one(self.threshold), quantize(x)
+        p, starts, ends = closes(units, ~np.isnan(x) & (units > thr), thr)
+        out, at, again, keep = [], 0, None, len(held)
+        for s, e in zip(starts.tolist(), ends.tolist()):
+            if s < at:
+                continue
+            if e < len(held):
+                if held[e][0] - held[s][0] < self.within_ms:
+                    pre, last = [r[2] for r in held[s:e] if r[2] is not None], held[e][2]
+                    text = self.sep.join([*pre, last]) if pre and last is not None else None
+                    out.append((key[0], key[1], float(p[e + 1] - p[s]) / SCORE_SCALE, e - s + 1, text, held[e][0]))
+                    at = e + 1
+            elif now + 1 - held[s][0] < self.within_ms:
+                again, keep = held[s][0] + self.within_ms, s
+                break
+        if keep:
+            if keep < len(held):
+                self.rows.put(held[keep:])
+            elif stored:
+                self.rows.clear()
+        elif came:
+            self.rows.appendList(came)
+        return out, again

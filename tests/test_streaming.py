@@ -72,6 +72,9 @@ def test_burst_stream_equals_batch(spark):
     for i, p in enumerate(parts):
         _write(src, i, p)
     k, w = 3, 24 * 3_600_000
+    end = dict(json.loads(parts[-1][0]), customer_id="end of stream", message_timestamp=4_000_000_000_000,
+               sentiment_category="F - Very Negative")
+    _write(src, 9, [json.dumps(end)])            # moves the watermark past all rows
     stream = jobs.burst_stream(jobs.read_sentiment_stream(spark, "text", src, {"maxFilesPerTrigger": "1"}), k, w)
     q = stream.writeStream.format("memory").queryName("burst_mem").option("checkpointLocation", ckpt).start()
     q.processAllAvailable()
@@ -186,11 +189,13 @@ def test_dedup_stream_drops_repeats(spark):
     s, parts = _slices(spark, src, 2)
     _write(src, 0, parts[0])
     _write(src, 1, parts[0][:50] + parts[1])     # at-least-once repeats
+    old = dict(json.loads(parts[0][0]), message_id="from long ago", message_timestamp=1_000)
+    _write(src, 2, [json.dumps(old)] * 2)        # late by years, and repeated
     st = jobs.dedup_stream(jobs.read_sentiment_stream(spark, "text", src, {"maxFilesPerTrigger": "1"}))
     q = st.writeStream.format("memory").queryName("dedup_mem").option("checkpointLocation", ckpt).start()
     q.processAllAvailable()
     q.stop()
-    assert spark.sql("SELECT count(*) FROM dedup_mem").first()[0] == s.count()
+    assert spark.sql("SELECT count(*) FROM dedup_mem").first()[0] == s.count() + 1
 
 
 def _burst_brute(rows, k, w):
@@ -276,7 +281,7 @@ def test_burst_stream_counts_peers_like_the_batch_frame(spark):
                                      "message_timestamp long, sentiment_category string, source_partition int, "
                                      "source_offset long")
     batch = sorted(tuple(r) for r in burst_rule(df, k=3, window_ms=300).collect())
-    stream = replay.replay(df, lambda st: jobs.burst_stream(st, k=3, window_ms=300), "burst_peers", slices=1)
+    stream = replay.replay(df, lambda st: jobs.burst_stream(st, k=3, window_ms=300), "burst_peers", slices=1, end_ms=60_000)
     assert sorted(tuple(r) for r in stream.collect()) == batch
     assert len(batch) == 9
 
@@ -316,8 +321,8 @@ def test_j1_has_no_sink_shuffle_unless_asked(spark):
     assert sorted(r.message_id for r in spread.collect()) == sorted(r.message_id for r in plain.collect())
 
 
-def test_serving_ingest_removes_repeats_on_request(spark, scratch):
-    """A topic that repeats every record gives each message once when asked to."""
+def test_serving_ingest_removes_repeats(spark, scratch):
+    """A topic that repeats every record gives each message once, unless told otherwise."""
     from moodwire.streaming import launch
     topics = launch.Topics(root=os.path.join(scratch, "topics"))
     batch = registry.sentiments(spark, SF).limit(200)
@@ -325,9 +330,9 @@ def test_serving_ingest_removes_repeats_on_request(spark, scratch):
     for topic, content in ((jobs.TOPIC_SENTIMENTS, lines + lines), (jobs.TOPIC_RESPONSES, [])):
         os.makedirs(os.path.join(scratch, "topics", topic))
         _write(os.path.join(scratch, "topics", topic), 0, content)
-    for name, delay, want in (("twice", None, 2 * len(lines)), ("once", "10 minutes", len(lines))):
+    for name, more, want in (("twice", {"repeat_ttl": None}, 2 * len(lines)), ("once", {}, len(lines))):
         tables = os.path.join(scratch, name)
-        for q in launch.start_serving_ingest(spark, topics, tables, os.path.join(scratch, f"c-{name}"), trigger=None, dedup_delay=delay):
+        for q in launch.start_serving_ingest(spark, topics, tables, os.path.join(scratch, f"c-{name}"), trigger=None, **more):
             q.awaitTermination()
         launch.register_serving_tables(spark, tables, recreate=True)
         assert spark.table("sentiments_rt").count() == want
