@@ -30,6 +30,10 @@ from llm.spelling import crc32_sql
 SHARDS = 40
 #: Bytes that a row takes beside its text.
 OVERHEAD = 16
+#: Bytes that one task sorts and numbers, about.
+PARTITION_BYTES = 128 << 20
+#: Shards whose first rows are sent to all tasks (two numbers each); beyond, they are joined by a shuffle.
+FIRSTS = 1 << 18
 
 
 def text_size(text: Column, overhead: int = OVERHEAD) -> Column:
@@ -55,7 +59,9 @@ def placed(df: DataFrame, shards: int, size: Column, order: list[Column], partit
     ``order`` may leave ties; ties are dealt over partitions and shards as they come.
     """
     spark = df.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        all_bytes = df.agg(F.sum(size.cast("long"))).first()[0] or 0
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), all_bytes // PARTITION_BYTES)
     keys = [f"k{i}" for i in range(len(order))]
     rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), F.coalesce(size.cast("long"), F.lit(0)).alias("size"),
                      *(c.alias(k) for c, k in zip(order, keys)), F.monotonically_increasing_id().alias("tie"))
@@ -80,7 +86,7 @@ def placed(df: DataFrame, shards: int, size: Column, order: list[Column], partit
         shard = F.expr(f"cast((rows + at) * {shards} div {max(1, all_rows)} as int)")
     out = staged(ordered.join(F.broadcast(offset), "part").select("row", shard.alias("shard"), (F.col("rows") + F.col("at")).alias("at")), "shards")
     firsts = out.groupBy("shard").agg(F.min("at").alias("first"))
-    return out.join(firsts, "shard").select("row", "shard", (F.col("at") - F.col("first")).alias("slot"))
+    return out.join(F.broadcast(firsts) if shards <= FIRSTS else firsts, "shard").select("row", "shard", (F.col("at") - F.col("first")).alias("slot"))
 
 
 def sharded(df: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", overhead: int = OVERHEAD) -> DataFrame:
