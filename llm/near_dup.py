@@ -31,6 +31,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,7 +72,7 @@ WIDTH = math.prod(banding(PERCENT))
 def superminhash(sets: list[np.ndarray], width: int = WIDTH, seed: int = 7) -> np.ndarray:
     """SuperMinHash signatures (one row per set, uint32: 7 bits of rank above 25 random bits); empty sets: all ones."""
     sig = np.full((len(sets), width), 0xFFFFFFFF, dtype=np.uint32)
-    for i, j in slabs([len(s) for s in sets], 1 << 17) if sets else ():
+    for i, j in slabs([len(s) for s in sets], 1 << 16) if sets else ():
         sizes = np.array([len(s) for s in sets[i:j]])
         if not sizes.sum():
             continue
@@ -107,13 +108,16 @@ def superminhash(sets: list[np.ndarray], width: int = WIDTH, seed: int = 7) -> n
     return sig
 
 
+def _lengths(texts: pa.Array) -> list[int]:
+    return pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+
+
 def _signature_maker(width: int):
     def run(batches):
         for b in batches:
-            texts = b.column("text").cast(pa.binary()).to_pylist()
-            ids = b.column("doc_id")
-            for i, j in slabs([len(t or b"") for t in texts]) if texts else ():
-                sets = shingle_sets(texts[i:j])
+            texts, ids = b.column("text").cast(pa.binary()), b.column("doc_id")
+            for i, j in slabs(_lengths(texts)) if len(texts) else ():
+                sets = shingle_sets(texts.slice(i, j - i).to_pylist())
                 sig = superminhash(sets, width)
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()),
@@ -163,10 +167,10 @@ def _set_maker(bits: np.ndarray | None):
                 hit = np.flatnonzero(bits[(h >> U64(3)).astype(np.intp)] >> (h & U64(7)).astype(np.uint8) & 1)
                 b = b.take(pa.array(hit))
                 ids = ids[hit]
-            texts = b.column("text").cast(pa.binary()).to_pylist()
-            for i, j in slabs([len(t or b"") for t in texts]) if texts else ():
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j], pa.int64()),
-                                                  pa.array([s.tobytes() for s in shingle_sets(texts[i:j])], pa.binary())],
+            texts = b.column("text").cast(pa.binary())
+            for i, j in slabs(_lengths(texts)) if len(texts) else ():
+                sets = shingle_sets(texts.slice(i, j - i).to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                                                  names=["doc_id", "set"])
     return run
 
@@ -190,11 +194,18 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return sets.join(ids, "doc_id", "left_semi")
 
 
+def _views(sets: pa.BinaryArray) -> list[np.ndarray]:
+    """Sets of a column without nulls, as views on its buffer."""
+    _, offsets, data = sets.buffers()
+    at = np.frombuffer(offsets, np.int32)[sets.offset:sets.offset + len(sets) + 1]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    return [raw[i:j].view(U64) for i, j in zip(at[:-1], at[1:])]
+
+
 def _verify_maker(percent: int):
     def run(batches):
         for b in batches:
-            ok = [linked(np.frombuffer(x, U64), np.frombuffer(y, U64), percent)
-                  for x, y in zip(b.column("set_a").to_pylist(), b.column("set_b").to_pylist())]
+            ok = [linked(x, y, percent) for x, y in zip(_views(b.column("set_a")), _views(b.column("set_b")))]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
     return run
 
@@ -300,8 +311,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     left = with_components(members.select("bucket", "rep"), comps)
     open_ = left.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
     left = staged(left.join(open_, "bucket", "left_semi"), "open")
-    payload = left.join(reps.select("rep", F.col("sig").alias("payload")), "rep").select(
-        "bucket", F.col("rep").alias("id"), "comp", "payload")
+    payload = staged(left.join(reps.select("rep", F.col("sig").alias("payload")), "rep").select(
+        "bucket", F.col("rep").alias("id"), "comp", "payload"), "payload")
     likely = staged(_blocks(payload, "bucket").groupBy("bucket", "i", "j")
                     .applyInPandas(lambda p: _block_links(p, agree, width, None), "a long, b long").distinct(), "likely")
     joined = with_components(likely.select(F.col("a").alias("rep"), "b"), comps).select(F.col("b").alias("rep"), F.col("comp").alias("a"))
@@ -313,9 +324,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     todo = staged(in_cluster.join(busy, "cluster", "left_semi").select(
         "cluster", F.col("rep").alias("doc_id"), F.col("c0").alias("comp")), "todo")
     sets = sets_of(docs, todo.select("doc_id").distinct())
-    work = todo.join(sets, "doc_id").select("cluster", F.col("doc_id").alias("id"), "comp", F.col("set").alias("payload"))
-    more = _blocks(work, "cluster").groupBy("cluster", "i", "j").applyInPandas(
-        lambda p: _block_links(p, agree, width, percent), "a long, b long")
+    work = staged(todo.join(sets, "doc_id").select("cluster", F.col("doc_id").alias("id"), "comp", F.col("set").alias("payload")), "work")
+    more = staged(_blocks(work, "cluster").groupBy("cluster", "i", "j").applyInPandas(
+        lambda p: _block_links(p, agree, width, percent), "a long, b long"), "more")
     all_links = links.unionByName(more).unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b")))
     comps = components(all_links)
 
