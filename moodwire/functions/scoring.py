@@ -46,6 +46,9 @@ RETRY_WAIT_MIN_S = 4
 RETRY_WAIT_MAX_S = 10
 # --------------------------------------------------------------------------
 
+#: Tokens that one model call may hold, padding included.
+MODEL_BATCH_TOKENS = 32 * MODEL_MAX_TOKENS_INPUT
+
 # Default lexicon of the native scorer: word -> weight. It is a stand-in for a
 # model and is sized for the event-message fixture; pass your own for prose.
 DEFAULT_LEXICON = {
@@ -95,6 +98,16 @@ class LexiconScorer(Scorer):
         clamped = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), total))
         return F.when(tx.is_blank_py(text), F.lit(0.0)).otherwise(clamped)
 
+    def sql(self, text: str) -> str:
+        """The same expression as SQL text over the SQL expression ``text``."""
+        def quoted(v: str) -> str:
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        weights = ", ".join(f"{quoted(w)}, {float(x)!r}D" for w, x in sorted(self.lexicon.items()))
+        total = (f"aggregate(transform(split(lower({text}), {quoted('[^' + chr(92) + 'p{L}]+')}), "
+                 f"w -> coalesce(element_at(map({weights}), w), 0.0D)), 0.0D, (acc, v) -> acc + v)")
+        return (f"CASE WHEN {text} IS NULL OR NOT rlike({text}, {quoted(tx.NON_BLANK_RE)}) THEN 0.0D "
+                f"ELSE greatest(-1.0D, least(1.0D, {total})) END")
+
 
 def retry_call(fn: Callable[[], object], attempts: int = RETRY_ATTEMPTS,
                wait_min: float = RETRY_WAIT_MIN_S, wait_max: float = RETRY_WAIT_MAX_S,
@@ -143,24 +156,53 @@ def call_all(fn: Callable, items: list, concurrency: int, key: str) -> list:
     return list(pool.map(fn, items))
 
 
+def packed(lengths: Sequence[int], budget: int) -> list[list[int]]:
+    """Indices in packs of like length: a pack's size times its longest stays within ``budget`` (one item always fits)."""
+    out: list[list[int]] = []
+    for i in sorted(range(len(lengths)), key=lambda i: lengths[i]):
+        if out and (len(out[-1]) + 1) * lengths[i] <= budget:
+            out[-1].append(i)
+        else:
+            out.append([i])
+    return out
+
+
 class ClassifierScorer(Scorer):
     """Batched 5-class classifier.
 
     ``factory()`` returns an object with ``predict(texts: list[str]) -> list[int]``
     (class indices). ``on_error``: ``"fail"`` re-raises (the local scorer
     fails the job), ``"neutral"`` scores the failing rows 0.0 one by one.
+
+    A model that also has ``token_lengths(texts, max_tokens) -> list[int]`` is
+    called as ``predict(texts, max_tokens=...)``: its own tokenizer cuts at
+    ``max_tokens`` tokens (texts are never cut by characters here), and calls
+    are packed by token length, so that padding a call's texts to its longest
+    takes at most ``batch_tokens`` tokens.
     """
 
     def __init__(self, factory: Callable[[], object], model_name: str = CLASSIFIER_MODEL_DEFAULT,
-                 on_error: str = "fail", cache_key: str | None = None):
+                 on_error: str = "fail", cache_key: str | None = None, max_tokens: int = MODEL_MAX_TOKENS_INPUT,
+                 batch_tokens: int = MODEL_BATCH_TOKENS):
         self.factory = factory
+        self.max_tokens = max_tokens
+        self.batch_tokens = batch_tokens
         self.model_name = model_name
         self.on_error = on_error
         self.cache_key = cache_key or f"clf:{model_name}:{uuid.uuid4().hex}"
 
     def _udf(self):
         factory, on_error, key = self.factory, self.on_error, self.cache_key
-        scores = list(tx.CLASS_SCORES)
+        scores, max_tokens, batch_tokens = list(tx.CLASS_SCORES), self.max_tokens, self.batch_tokens
+
+        def predict(model, texts: list[str]) -> list:
+            if not hasattr(model, "token_lengths"):
+                return list(model.predict(texts))
+            out: list = [None] * len(texts)
+            for pack in packed(model.token_lengths(texts, max_tokens), batch_tokens):
+                for i, v in zip(pack, model.predict([texts[i] for i in pack], max_tokens=max_tokens)):
+                    out[i] = v
+            return out
 
         def to_score(i) -> float:
             return scores[i] if i is not None and 0 <= i < len(scores) else 0.0
@@ -174,7 +216,7 @@ class ClassifierScorer(Scorer):
                 todo = texts[live].tolist()
                 if todo:
                     try:
-                        idx = model.predict(todo)
+                        idx = predict(model, todo)
                         out[live] = [to_score(i) for i in idx]
                     except Exception:
                         if on_error != "neutral":
@@ -182,7 +224,7 @@ class ClassifierScorer(Scorer):
                         vals = []
                         for t in todo:
                             try:
-                                vals.append(to_score(model.predict([t])[0]))
+                                vals.append(to_score(predict(model, [t])[0]))
                             except Exception:  # noqa: BLE001
                                 vals.append(0.0)
                         out[live] = vals
@@ -241,11 +283,15 @@ class ChatModelScorer(Scorer):
 
 
 def register(spark, name: str, scorer: Scorer) -> None:
-    """Bind a scorer to one SQL function name (drop-in swap of models)."""
+    """Bind a scorer to one SQL function name (drop-in swap of models): queries that call ``name(text)`` stay as they are.
+
+    Native scorers become SQL functions with an expression body, so they stay inside the plan; model scorers are
+    registered as vectorised functions. Binding a name again replaces what it stood for."""
+    spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
     if isinstance(scorer, LexiconScorer):
-        # Native scorers are expressions; expose them through a SQL macro-like view.
-        raise TypeError("native scorers are used as Columns; register model scorers only")
-    spark.udf.register(name, scorer._udf())  # type: ignore[attr-defined]
+        spark.sql(f"CREATE TEMPORARY FUNCTION {name}(text STRING) RETURNS DOUBLE RETURN {scorer.sql('text')}")
+    else:
+        spark.udf.register(name, scorer._udf())  # type: ignore[attr-defined]
 
 
 class LengthClassifier:

@@ -658,6 +658,66 @@ def snk_serving_table(spark, sf_dir):
         F.count(F.lit(1)).alias("msgs"), F.round(F.avg("sentiment_score"), DIGITS).alias("avg_sentiment"))
 
 
+@query("snk_serving_compacted", ORACLE["snk_serving_table"])
+def snk_serving_compacted(spark, sf_dir):
+    """The serving table appended to in two parts of many small files, packed in between and once more behind."""
+    from moodwire import schemas
+    from moodwire.plans.sentiment import to_serving
+    from moodwire.sources import segments
+    from moodwire.sources.sinks import DATE_COL
+    from moodwire.streaming.replay import scratch_path
+    root = scratch_path(spark, "segments")
+    rows = to_serving(sentiments(spark, sf_dir)).select(schemas.SENTIMENTS_SERVING.names)
+    for half in (0, 1):
+        segments.append(rows.where(F.pmod(F.xxhash64("message_id"), F.lit(2)) == half), root, "message_timestamp", ("parts", half))
+        segments.compact(spark, root, schemas.SENTIMENTS_SERVING)
+    return segments.read(spark, root, schemas.SENTIMENTS_SERVING).groupBy(DATE_COL).agg(
+        F.count(F.lit(1)).alias("msgs"), F.round(F.avg("sentiment_score"), DIGITS).alias("avg_sentiment"))
+
+
+@query("m_rollup_days", S + f"""
+SELECT message_timestamp // {DAY} * {DAY} AS bucket_ms, COUNT(*) AS msgs,
+       CAST(SUM(CAST(sentiment_score AS DECIMAL(28, 9))) AS DOUBLE) / COUNT(sentiment_score) AS avg_sentiment,
+       MIN(sentiment_score) AS min_sentiment, MAX(sentiment_score) AS max_sentiment,
+       COUNT(*) FILTER (sentiment_category = 'F - Very Negative') AS very_negative,
+       COUNT(DISTINCT customer_id) AS customers_exact, true AS estimate_within_bound
+FROM s GROUP BY 1""")
+def m_rollup_days(spark, sf_dir):
+    """Hourly rollups by model and country, stored, merged to days of all models and countries; averages are not rounded."""
+    from moodwire.plans import rollup
+    from moodwire.streaming.replay import scratch_path
+    s, path, by = sentiments(spark, sf_dir), scratch_path(spark, "rollup"), ("model_used", "ip_country")
+    rollup.sentiment_rollup(s, HOUR, by).write.parquet(path)
+    days = rollup.rollup_metrics(rollup.merge_rollup(spark.read.parquet(path), DAY, ()), ())
+    exact = s.groupBy((F.floor(F.col("message_timestamp") / DAY) * DAY).cast("long").alias("bucket_ms")).agg(
+        F.countDistinct("customer_id").alias("customers_exact"))
+    near = F.abs(F.col("unique_customers") - F.col("customers_exact")) <= F.greatest(F.lit(1.0), F.col("customers_exact") * rollup.ERROR_BOUND)
+    return days.join(exact, "bucket_ms").withColumn("estimate_within_bound", near).drop("unique_customers")
+
+
+_SQL_NAME_QUERY = "SELECT conv_id, turn, {0}(text) AS score, '{1}' AS model FROM conversations_for_scoring"
+
+
+@query("udf_register_swap", """
+SELECT conv_id, turn, CASE length(text) % 5 WHEN 0 THEN -0.8 WHEN 1 THEN -0.4 WHEN 2 THEN 0.0
+                      WHEN 3 THEN 0.4 ELSE 0.8 END::DOUBLE AS score, 'classifier' AS model FROM conversations
+UNION ALL
+SELECT conv_id, turn, CASE WHEN regexp_matches(text, '\\S') THEN greatest(-1.0, least(1.0,
+         coalesce(list_sum(list_transform(regexp_split_to_array(lower(text), '[^\\p{L}]+'),
+           lambda w: CASE w WHEN 'the' THEN -0.25 WHEN 'and' THEN 0.125 WHEN 'of' THEN 0.5 ELSE 0.0 END)), 0.0))) ELSE 0.0 END::DOUBLE,
+       'lexicon' FROM conversations""")
+def udf_register_swap(spark, sf_dir):
+    """One SQL text, one function name, bound to the native lexicon and then to the batched classifier."""
+    from moodwire.functions.scoring import ClassifierScorer, LengthClassifier, register
+    fixtures.table(spark, sf_dir, "conversations").createOrReplaceTempView("conversations_for_scoring")
+    name, out = "score_sentiment", []
+    for model, scorer in (("lexicon", LexiconScorer({"the": -0.25, "and": 0.125, "of": 0.5})),
+                          ("classifier", ClassifierScorer(LengthClassifier, cache_key="registry:length"))):
+        register(spark, name, scorer)
+        out.append(spark.sql(_SQL_NAME_QUERY.format(name, model)))
+    return out[0].unionByName(out[1])
+
+
 # ------------------------------------------- streaming jobs over a replayed table
 
 
