@@ -807,6 +807,71 @@ def j2_dedup_stream(spark, sf_dir):
     return replay.replay(rows.unionByName(again), build, "j2_dedup_stream", key_cols=("customer_id", "customer_name"), arrival="arrival")
 
 
+# ----------------------------------------- the three jobs over folder topics of JSON lines
+
+
+def _topics(spark, sf_dir, jobs_to_run: int):
+    """Messages as JSON lines in a folder topic, each fifth record cut short on top, and the first ``jobs_to_run`` of J1, J2, J3
+    started by topic name. Before J2, a third of the scored records is in its topic twice. Returns (topics, table folder)."""
+    from moodwire.sources import codec
+    from moodwire.streaming import jobs, launch
+    from moodwire.streaming.replay import scratch_path
+    base = scratch_path(spark, "topics")
+    topics = launch.Topics(root=f"{base}/topics")
+    m = fixtures.messages(spark, sf_dir)
+    lines = codec.encode_json(m.drop("kafka_timestamp"))
+    broken = lines.where(F.pmod(F.xxhash64("value"), F.lit(5)) == 0).select(F.expr("substring(value, 1, length(value) - 2)").alias("value"))
+    lines.unionByName(broken).write.text(f"{topics.root}/{jobs.TOPIC_MESSAGES}")
+
+    def drain(query):
+        query.processAllAvailable()
+        query.stop()
+    drain(launch.start_sentiment_job(spark, topics, f"{base}/c1", dense_scorer(), trigger=None))
+    if jobs_to_run > 1:
+        scored = f"{topics.root}/{jobs.TOPIC_SENTIMENTS}"
+        again = spark.read.text(scored).where(F.pmod(F.xxhash64("value"), F.lit(3)) == 0)
+        again.write.text(f"{base}/again")
+        spark.read.text(f"{base}/again").write.mode("append").text(f"{base}/topics2/{jobs.TOPIC_SENTIMENTS}")
+        spark.read.text(scored).write.mode("append").text(f"{base}/topics2/{jobs.TOPIC_SENTIMENTS}")
+        topics = launch.Topics(root=f"{base}/topics2")
+        drain(launch.start_escalation_job(spark, topics, f"{base}/c2", trigger=None))
+    if jobs_to_run > 2:
+        for q in launch.start_serving_ingest(spark, topics, f"{base}/tables", f"{base}/c3", trigger=None):
+            q.awaitTermination()
+    return topics, f"{base}/tables"
+
+
+@query("src_messages", S + "SELECT message_id, customer_id, customer_name, message_timestamp, message_text, ip_country, sentiment_score, "
+                           "sentiment_category, model_used, source_partition, source_offset FROM s")
+def src_messages(spark, sf_dir):
+    """J1 from the message topic to the topic of scored messages; records that do not parse are dropped."""
+    from moodwire.sources import codec
+    from moodwire.streaming import jobs
+    topics, _ = _topics(spark, sf_dir, 1)
+    return codec.decode_sentiments(spark.read.text(f"{topics.root}/{jobs.TOPIC_SENTIMENTS}")).drop("processing_timestamp")
+
+
+@query("j3_topics", ORACLE["m_sentiments_by_country"])
+def j3_topics(spark, sf_dir):
+    """J1, J2 and J3 over topics; the ready-made metrics from the serving table that J3 filled, repeats removed."""
+    from moodwire import schemas
+    from moodwire.streaming import jobs, launch
+    _, tables = _topics(spark, sf_dir, 3)
+    path = f"{tables}/{launch.SERVING_TABLES[jobs.TOPIC_SENTIMENTS]}"
+    return serving.metrics(spark.read.schema(schemas.SENTIMENTS_SERVING).parquet(path), _SM, by=["ip_country"], digits=DIGITS)
+
+
+@query("st_chain", f"""SELECT customer_id, customer_name, karen_score_total, trigger_message_count, recent_messages FROM ({M_SQL}) m""")
+def st_chain(spark, sf_dir):
+    """The responses' serving table behind the three jobs: one row per escalation."""
+    from moodwire import schemas
+    from moodwire.streaming import jobs, launch
+    _, tables = _topics(spark, sf_dir, 3)
+    path = f"{tables}/{launch.SERVING_TABLES[jobs.TOPIC_RESPONSES]}"
+    return spark.read.schema(schemas.ESCALATION_RESPONSES).parquet(path).select(
+        "customer_id", "customer_name", "karen_score_total", "trigger_message_count", "recent_messages")
+
+
 # ---------------------------------- data preparation: what must hold whatever the draws are
 
 

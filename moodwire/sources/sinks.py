@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moodwire.functions.text import epoch_ms_to_utc
 from moodwire.sources.codec import JSON_WRITE_OPTS
@@ -44,11 +45,17 @@ def stream_serving(df: DataFrame, path: str, ts_ms_col: str, checkpoint: str, na
     return w.start(path)
 
 
-def recreate_table(spark: SparkSession, name: str, path: str, recreate: bool = False) -> None:
+def recreate_table(spark: SparkSession, name: str, path: str, recreate: bool = False, schema: T.StructType | None = None) -> None:
     """Register a serving table over ``path``; ``recreate`` drops it first.
-    An existing table is not an error."""
+    An existing table is not an error. With a declared ``schema`` (the table is
+    then partitioned by day) nothing is read from files, so it can be
+    registered and queried before any data lands."""
     if recreate:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    if schema is None:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    else:
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}, {DATE_COL} DATE) USING parquet PARTITIONED BY ({DATE_COL}) LOCATION '{path}'")
     if DATE_COL in spark.table(name).columns:
         spark.sql(f"MSCK REPAIR TABLE {name}")  # register existing day partitions

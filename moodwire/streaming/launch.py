@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+from moodwire import schemas
 from moodwire.functions.generation import Generator
 from moodwire.functions.scoring import LexiconScorer, Scorer
 from moodwire.plans.sentiment import to_serving
@@ -31,6 +32,7 @@ from moodwire.streaming import jobs
 SERVING_TABLES = {jobs.TOPIC_SENTIMENTS: "sentiments_rt", jobs.TOPIC_RESPONSES: "karen_rebuttals_rt"}
 SERVING_TIME_COLUMNS = {jobs.TOPIC_SENTIMENTS: "message_timestamp", jobs.TOPIC_RESPONSES: "generated_timestamp"}
 # --------------------------------------------------------------------------
+SERVING_SCHEMAS = {jobs.TOPIC_SENTIMENTS: schemas.SENTIMENTS_SERVING, jobs.TOPIC_RESPONSES: schemas.ESCALATION_RESPONSES}
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,8 @@ class Topics:
 
     bootstrap: str | None = None
     root: str | None = None
+    #: Most records (Kafka) or files (folder topics) of one micro-batch; a backlog is worked off in several.
+    max_per_batch: int | None = None
 
     def __post_init__(self):
         if (self.bootstrap is None) == (self.root is None):
@@ -46,8 +50,10 @@ class Topics:
 
     def source(self, topic: str, starting: str = "latest"):
         if self.bootstrap:
-            return "kafka", None, jobs.kafka_source_options(self.bootstrap, topic, starting=starting)
-        return "text", f"{self.root.rstrip('/')}/{topic}", {}
+            return "kafka", None, jobs.kafka_source_options(self.bootstrap, topic, starting=starting,
+                                                            max_offsets_per_trigger=self.max_per_batch)
+        paced = {} if self.max_per_batch is None else {"maxFilesPerTrigger": str(self.max_per_batch)}
+        return "text", f"{self.root.rstrip('/')}/{topic}", paced
 
     def sink(self, topic: str):
         if self.bootstrap:
@@ -103,6 +109,6 @@ def start_serving_ingest(spark: SparkSession, topics: Topics, table_root: str, c
 
 
 def register_serving_tables(spark: SparkSession, table_root: str, recreate: bool = False) -> None:
-    """Catalog entries for the serving tables over their folders."""
-    for table in SERVING_TABLES.values():
-        recreate_table(spark, table, f"{table_root.rstrip('/')}/{table}", recreate=recreate)
+    """Catalog entries for the serving tables over their folders, with their declared columns."""
+    for topic, table in SERVING_TABLES.items():
+        recreate_table(spark, table, f"{table_root.rstrip('/')}/{table}", recreate, SERVING_SCHEMAS[topic])
