@@ -9,7 +9,7 @@ pages does not differ significantly from their node's are merged into ``*`` as w
 their own. A template's purity is its labelled share of blocked pages, smoothed towards the whole table's
 or one half, if that is less. A template above THRESHOLD is rejected; one without labelled pages is allowed.
 
-The tree has at most DEPTH levels: what follows in a longer path is its last segment, as a whole.
+The tree is as deep as paths branch: rounds of work go from branching to branching, however long the paths are.
 
 The work is one row per distinct (host, typed path): grouped before anything else, so repeated urls weigh nothing. Levels are
 group-bys and joins; joins on a hot host are salted.
@@ -20,6 +20,8 @@ extra columns are left alone; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +29,6 @@ from llm.common import read_table, salted_left_join, staged
 
 ALLOW, BLOCK = "allow", "block"
 RULES = (("com", "/", ALLOW), ("example.com", "/en/", BLOCK), ("www.example.com", "/en/", ALLOW), ("net", "/es/", BLOCK), ("net", "/fr/", BLOCK))
-DEPTH = 16
 #: A node with more children generalises those below SUPPORT of its pages.
 FANOUT = 16
 SUPPORT = 0.05
@@ -62,9 +63,7 @@ def typed(path: str) -> Column:
         kind = (F.when(stem.rlike(r"^[0-9]+$"), "<n>").when(stem.rlike(r"^(?=.*[0-9])[0-9A-Fa-f]{8,}$"), "<x>")
                 .when(stem.rlike(r"^(?=.*[0-9])(?=.*[A-Za-z])[0-9A-Za-z_-]{6,}$"), "<c>").otherwise(stem))
         return F.concat(kind, ext)
-    segs = F.transform(F.split(F.regexp_replace(path, "^/", ""), "/", -1), one)
-    rest = F.array(F.array_join(F.slice(segs, DEPTH, F.size(segs)), "/"))
-    return F.when(F.size(segs) > DEPTH, F.concat(F.slice(segs, 1, DEPTH - 1), rest)).otherwise(segs)
+    return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/", -1), one)
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -72,10 +71,19 @@ def templates(pages: DataFrame) -> DataFrame:
     paths = (pages.withColumn("segs", typed("path")).withColumn("key", F.array_join("segs", "/"))
              .groupBy("host", "key").agg(F.first("segs").alias("segs"), F.count("*").alias("n"),
                                          F.count("label").alias("lab"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad")))
-    tree = staged(paths.withColumn("template", F.lit("")), "tree")
-    depth = tree.agg(F.max(F.size("segs"))).first()[0] or 0
-    for level in range(depth):
-        here = tree.withColumn("seg", F.get("segs", F.lit(level)))
+    # What all paths below a node go on with is taken at once, as nothing branches there; so a round ends at a branching
+    # (or where a path ends), and a path that is alone ends in its first one.
+    tree, done = staged(paths.withColumns({"template": F.lit(""), "at": F.lit(0)}), "tree"), []
+    while not tree.isEmpty():
+        rest = F.slice("segs", F.col("at") + 1, F.size("segs"))
+        ends = tree.groupBy("host", "template").agg(F.min(rest).alias("lo"), F.max(rest).alias("hi"))
+        differ = F.array_position(F.zip_with("lo", "hi", lambda x, y: F.coalesce(x == y, F.lit(False))), False)
+        ends = ends.select("host", "template", F.when(differ > 0, differ - 1).otherwise(F.size("lo")).cast("int").alias("common"))
+        tree = salted_left_join(tree, ends, ["host", "template"], F.col("key"))
+        shared = F.when(F.col("common") > 0, F.concat(F.lit("/"), F.array_join(F.slice("segs", F.col("at") + 1, F.col("common")), "/")))
+        tree = tree.withColumn("template", F.concat("template", F.coalesce(shared, F.lit("")))).withColumn(
+            "at", F.col("at") + F.col("common")).drop("common")
+        here = tree.withColumn("seg", F.get("segs", F.col("at")))
         child = here.where("seg is not null").groupBy("host", "template", "seg").agg(*(F.sum(c).alias(c) for c in ("n", "lab", "bad")))
         node = child.groupBy("host", "template").agg(F.sum("n").alias("n_"), F.sum("lab").alias("lab_"), F.sum("bad").alias("bad_"), F.count("*").alias("kids"))
         both = salted_left_join(child, node, ["host", "template"], F.col("seg"))
@@ -86,8 +94,10 @@ def templates(pages: DataFrame) -> DataFrame:
         turned = both.withColumn("star", (F.col("kids") > 1) & (rare | (alike & (F.col("lab") > 0)))).select("host", "template", "seg", "star")
         tree = salted_left_join(here, turned, ["host", "template", "seg"], F.col("key"))
         step = F.concat("template", F.lit("/"), F.when(F.col("star"), "*").otherwise(F.col("seg")))
-        tree = tree.withColumn("template", F.coalesce(step, "template")).drop("seg", "star")
-        tree = staged(tree, "tree") if level % 3 == 2 or level == depth - 1 else tree
+        tree = staged(tree.withColumn("template", F.coalesce(step, "template")).withColumn("at", F.col("at") + 1).drop("seg", "star"), "tree")
+        done.append(tree.where("at >= size(segs)"))
+        tree = tree.where("at < size(segs)")
+    tree = reduce(DataFrame.unionByName, done, tree)
     total = tree.agg(F.sum("bad").alias("bad"), F.sum("lab").alias("lab")).first()
     base = min(0.5, (total["bad"] or 0) / max(1, total["lab"] or 0))
     purity = tree.groupBy("host", "template").agg(

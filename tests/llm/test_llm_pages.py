@@ -167,9 +167,21 @@ def test_url_templates_learn_blocked_branches(spark):
 
 
 def test_urls_of_many_segments(spark):
-    """A path longer than the tree is deep ends in one segment; nothing of it is lost."""
+    """A path of thousands of segments is one branch; nothing of it is lost."""
     deep = "http://a.org" + "/s" * 3000
     rows = [(1, deep), (2, deep + "/t"), (3, "http://a.org/s"), (4, None)]
     got = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
     assert got[1]["path"] == "/s" * 3000 and got[2]["path"].endswith("/s/t") and len(got) == 4
     assert got[1]["template"] != got[2]["template"] and all(r["verdict"] == "allow" for r in got.values())
+
+
+def test_url_tree_generalises_and_judges_deep_segments(spark):
+    """Twenty segments; the eighteenth tells blocked pages from others, the last one varies."""
+    rules = [("h.org", "/" + "/".join("abcdefghijklmnopq") + "/bad/x1/known", urls.BLOCK),
+             ("h.org", "/" + "/".join("abcdefghijklmnopq") + "/good/x1/known", urls.ALLOW)]
+    front = "http://h.org/" + "/".join("abcdefghijklmnopq")
+    rows = [(k * 1000 + i, f"{front}/{word}/x1/{'known' if i < 60 else 'p'}{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}")
+            for k, word in enumerate(("bad", "good")) for i in range(100)]
+    got = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules=rules).collect()}
+    assert {got[i]["verdict"] for i in range(100)} == {"block"} and {got[1000 + i]["verdict"] for i in range(100)} == {"allow"}
+    assert got[99]["template"].split("/")[18] == "bad" and got[99]["template"].endswith("/*") and got[99]["rule"] is None
