@@ -25,9 +25,8 @@ from llm.common import U64, read_table, slabs, splitmix
 BUCKETS = 1 << 16
 DIM = 16
 NGRAMS = (1, 2, 3, 4)
-#: Labelled rows per language that training may see, and languages (the most frequent) that are learned.
+#: Labelled rows per language that training may see; all languages are learned.
 SAMPLE = 600
-LANGUAGES = 256
 EPOCHS = 12
 #: An answer is rejected below the probability that this share of correct calibration answers reaches.
 KEEP = 0.99
@@ -111,14 +110,13 @@ def learn(labelled: DataFrame) -> dict:
     """A model from (doc_id, text, label). The sample is drawn by hash: a share first, then the exact smallest, so that
     no language's rows are sorted in one task."""
     rows = labelled.where("label is not null and text is not null").withColumn("h", F.xxhash64(F.col("doc_id"), F.col("text")))
-    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "label").limit(LANGUAGES).collect()}
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return {"labels": [], "scores": np.zeros((BUCKETS, 0)), "temperature": 1.0, "reject": 0.0}
     labels = sorted(sizes)
     share = F.create_map(*(x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, 2 * SAMPLE / n)))))
     # The mean of a hash that is uniform over 64 bits: rows beyond twice the sample's share never leave their task.
-    some = rows.where(F.col("label").isin(labels)).where((F.col("h") / F.lit(2.0 ** 64) + 0.5) <= F.element_at(share, F.col("label")))
+    some = rows.where((F.col("h") / F.lit(2.0 ** 64) + 0.5) <= F.element_at(share, F.col("label")))
     from pyspark.sql import Window
     some = some.withColumn("_k", F.row_number().over(Window.partitionBy("label").orderBy("h", "doc_id"))).where(F.col("_k") <= SAMPLE)
     got = some.select("label", "h", "text").mapInArrow(_feature_batches, "label string, h long, b binary, w binary").toArrow().to_pylist()
@@ -135,7 +133,7 @@ def learn(labelled: DataFrame) -> dict:
 
 def predict(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """``df`` without its text and with lang_pred, score (calibrated probability) and rejected (below the cut)."""
-    shared = df.sparkSession.sparkContext.broadcast(model)  # BUCKETS x at most LANGUAGES numbers
+    shared = df.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers for each label
     names = [c for c in df.columns if c not in (text_col, "lang_pred", "score", "rejected")]
     frame = df.select(*names, F.col(text_col).cast("string").alias("_text"),
                       F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letter"))

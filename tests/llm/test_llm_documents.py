@@ -372,3 +372,17 @@ def test_mix_edges(spark, edge):
     out = mixing.mixed(spark, edge)
     assert out.columns == edge.columns and out.where("text is null or trim(text) = ''").count() == 0
     assert mixing.mixed(spark, edge.limit(0)).count() == 0
+
+
+def test_every_label_is_learned(spark):
+    """Three hundred languages, each with letters of its own: all can be predicted."""
+    rnd = random.Random(11)
+    rows = []
+    for k in range(300):
+        signs = [chr(0x4E00 + 20 * k + i) for i in range(20)]
+        rows += [(k * 100 + i, " ".join("".join(rnd.choice(signs) for _ in range(5)) for _ in range(30)), f"lang{k:03}") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    model = langid.learn(df)
+    got = langid.predict(df, model).collect()
+    assert len(model["labels"]) == 300
+    assert sum(r["lang_pred"] == r["label"] for r in got) >= 0.99 * len(rows), sum(r["lang_pred"] == r["label"] for r in got)
