@@ -24,6 +24,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     return df.select(*cols) if cols else df
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def staged(df: DataFrame, kind: str) -> DataFrame:
     """Write ``df`` once into the shared checkpoint folder and read it back (cuts the lineage)."""
     path = scratch_path(df.sparkSession, f"llm-{kind}")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import U64, read_table, slabs, splitmix
+from llm.common import U64, read_table, slabs, splitmix, unused
 
 BUCKETS = 1 << 16
 DIM = 16
@@ -135,14 +135,15 @@ def predict(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """``df`` without its text and with lang_pred, score (calibrated probability) and rejected (below the cut)."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers for each label
     names = [c for c in df.columns if c not in (text_col, "lang_pred", "score", "rejected")]
-    frame = df.select(*names, F.col(text_col).cast("string").alias("_text"),
-                      F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
+    text, letters = unused(df, "_text"), unused(df, "_letter")
+    frame = df.select(*(F.col(f"`{c}`") for c in names), F.col(text_col).cast("string").alias(text),
+                      F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias(letters))
 
     def run(batches):
         m = shared.value
         scores, labels = m["scores"], m["labels"]
         for b in batches:
-            texts, letter = b.column("_text").cast(pa.binary()).to_pylist(), b.column("_letter").to_pylist()
+            texts, letter = b.column(text).cast(pa.binary()).to_pylist(), b.column(letters).to_pylist()
             for i, j in slabs([len(t or b"") for t in texts]) if texts else ():
                 lang, score = [], []
                 for t, ok in zip(texts[i:j], letter[i:j]):
@@ -166,7 +167,7 @@ def predict(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
                                                   pa.array([x == UNDETERMINED or s < m["reject"] for x, s in zip(lang, score)], pa.bool_())],
                                                  names=[*names, "lang_pred", "score", "rejected"])
 
-    schema = df.select(*names).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    schema = df.select(*(F.col(f"`{c}`") for c in names)).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     return frame.mapInArrow(run, schema)
 
 

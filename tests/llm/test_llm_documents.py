@@ -383,6 +383,7 @@ def test_every_label_is_learned(spark):
         rows += [(k * 100 + i, " ".join("".join(rnd.choice(signs) for _ in range(5)) for _ in range(30)), f"lang{k:03}") for i in range(12)]
     df = spark.createDataFrame(rows, "doc_id long, text string, label string")
     model = langid.learn(df)
-    got = langid.predict(df, model).collect()
-    assert len(model["labels"]) == 300
+    clash = df.withColumns({"_text": F.lit("x"), "_letter": F.lit(1), "a.b": F.lit(2)})
+    got = langid.predict(clash, model).collect()
+    assert len(model["labels"]) == 300 and {(r["_text"], r["_letter"], r["a.b"]) for r in got} == {("x", 1, 2)}
     assert sum(r["lang_pred"] == r["label"] for r in got) >= 0.99 * len(rows), sum(r["lang_pred"] == r["label"] for r in got)
