@@ -19,7 +19,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodwire.functions.scoring import CALL_TIMEOUT_S, _worker_model, call_all, retry_call
+from moodwire.functions.scoring import CALL_TIMEOUT_S, _worker_model, call_all, require_key, retry_call
 
 # --- fixed values that must equal the reference's -------------------------
 RESPONSE_MODEL_DEFAULT = "gpt-4o"
@@ -63,12 +63,14 @@ class ChatModelGenerator(Generator):
 
     Blank prompt -> ``No prompt provided``; NULL/empty model -> the default
     model; each call is retried, then the call-failure text is returned.
-    ``concurrency`` bounds the calls in flight per Python worker.
+    ``concurrency`` bounds the calls in flight per Python worker;
+    ``key_variable``: see :class:`moodwire.functions.scoring.ChatModelScorer`.
     """
 
     def __init__(self, factory: Callable[[], object], default_model: str = RESPONSE_MODEL_DEFAULT,
                  sleep: Callable[[float], None] = time.sleep, cache_key: str | None = None,
-                 concurrency: int = 1):
+                 concurrency: int = 1, key_variable: str | None = None):
+        require_key(key_variable)
         self.factory = factory
         self.default_model = default_model
         self.sleep = sleep

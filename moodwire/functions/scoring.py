@@ -20,6 +20,7 @@ model call in every scorer.
 from __future__ import annotations
 
 import logging
+import os
 import time
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -124,6 +125,12 @@ def retry_call(fn: Callable[[], object], attempts: int = RETRY_ATTEMPTS,
     raise last  # type: ignore[misc]
 
 
+def require_key(variable: str | None) -> None:
+    """Fail where a job is built if the key its client needs is not set."""
+    if variable is not None and not os.environ.get(variable, "").strip():
+        raise ValueError(f"environment variable {variable} is not set")
+
+
 def parse_reply(reply: str | None) -> float:
     """Python-side twin of :func:`moodwire.functions.text.parse_score`."""
     try:
@@ -241,12 +248,15 @@ class ChatModelScorer(Scorer):
 
     Each non-blank text becomes one prompt; the reply is parsed and clamped.
     Calls are retried; a final error scores 0.0. ``concurrency`` bounds the
-    calls in flight per Python worker (1 = one at a time).
+    calls in flight per Python worker (1 = one at a time). ``key_variable``
+    names the environment variable the client takes its key from: a missing
+    key fails on the driver, before any job starts.
     """
 
     def __init__(self, factory: Callable[[], object], model_name: str = CHAT_MODEL_DEFAULT,
                  sleep: Callable[[float], None] = time.sleep, cache_key: str | None = None,
-                 concurrency: int = 1):
+                 concurrency: int = 1, key_variable: str | None = None):
+        require_key(key_variable)
         self.factory = factory
         self.model_name = model_name
         self.sleep = sleep

@@ -4,9 +4,7 @@ A row fires when its customer has ``>= k`` rows of the category with a
 timestamp in ``[t - window, t]`` (the SQL frame ``RANGE BETWEEN window
 PRECEDING AND CURRENT ROW``, peers included).
 
-Two plans, same result:
-
-``method="ranks"`` (default) never groups a customer. The count is a rank
+No task groups a customer. The count is a rank
 difference, ``#rows <= t`` minus ``#rows < t - window``. Each row becomes a
 data entry plus two probes (one at ``t - window`` sorting before equal
 timestamps, one at ``t`` sorting after them). A global range sort on
@@ -15,10 +13,6 @@ many partitions; one vectorised pass counts data entries before each probe
 inside its partition, and a small table of per-(customer, partition) totals
 turns those into global counts. The pass output is checkpointed once, so
 totals and probes come from the same partitioning.
-
-``method="buckets"`` is a window function per (customer, time bucket of width
-``>= window``), each row also sent as context to the next bucket. One shuffle,
-but a customer whose rows fall in one bucket is one task.
 """
 
 from __future__ import annotations
@@ -42,18 +36,12 @@ _NO_KEY = object()
 
 
 def burst_rule(sentiments: DataFrame, k: int = 5, window_ms: int = 5 * 60_000,
-               bucket_ms: int | None = None, key: str = "customer_id",
-               category: str = VERY_NEGATIVE, method: str = "ranks",
-               partitions: int | None = None) -> DataFrame:
+               key: str = "customer_id", category: str = VERY_NEGATIVE, partitions: int | None = None) -> DataFrame:
     """Rows (key, customer_name, message_id, message_timestamp, burst_count)
     at which the customer has ``>= k`` rows of ``category`` within the last
     ``window_ms`` (both ends inclusive)."""
     rows = sentiments.filter(F.col("sentiment_category") == category).select(
         key, "customer_name", "message_id", "message_timestamp")
-    if method == "buckets":
-        return _by_buckets(rows, k, window_ms, bucket_ms, key)
-    if method != "ranks":
-        raise ValueError(f"unknown method {method!r}")
     return _by_ranks(rows, k, window_ms, key, partitions)
 
 
@@ -176,19 +164,3 @@ def _by_ranks(rows: DataFrame, k: int, window_ms: int, key: str, partitions: int
         F.col("_t").alias("message_timestamp"), "burst_count",
         F.explode(F.sequence(F.lit(1), F.col("_mult").cast("int"))).alias("_dup"),
     ).drop("_dup").withColumn("message_timestamp", F.col("message_timestamp").cast(sch["message_timestamp"].dataType))
-
-
-# ---------------------------------------------------------------- buckets plan
-
-def _by_buckets(rows: DataFrame, k: int, window_ms: int, bucket_ms: int | None, key: str) -> DataFrame:
-    width = max(int(bucket_ms or window_ms), int(window_ms))
-    b = F.floor(F.col("message_timestamp") / F.lit(width))
-    copies = F.array(F.struct(b.alias("_b"), F.lit(True).alias("_own")),
-                     F.struct((b + 1).alias("_b"), F.lit(False).alias("_own")))
-    base = (rows.select(key, "customer_name", "message_id", "message_timestamp", F.explode(copies).alias("_c"))
-            .select(key, "customer_name", "message_id", "message_timestamp", "_c._b", "_c._own"))
-    w = (Window.partitionBy(key, "_b").orderBy("message_timestamp")
-         .rangeBetween(-int(window_ms), Window.currentRow))
-    counted = base.withColumn("burst_count", F.count(F.lit(1)).over(w))
-    return counted.filter(F.col("_own") & (F.col("burst_count") >= k)).select(
-        key, "customer_name", "message_id", "message_timestamp", "burst_count")

@@ -17,7 +17,6 @@ from moodwire.session import materialize
 
 # Row bounds under which a lookup side is broadcast (checked before use).
 TEMPLATE_BROADCAST_ROWS = 100_000
-UPSAMPLE_BROADCAST_ROWS = 100_000
 
 # --- fixed values that must equal the reference's -------------------------
 KAREN_MESSAGES = (30, 40)      # messages per escalation-prone user (inclusive)
@@ -143,11 +142,8 @@ def upsample(messages: DataFrame, target: int, seed: int = 42) -> DataFrame:
     idx = dense_index(messages, "_row")
     picks = (messages.sparkSession.range(extra).withColumnRenamed("id", "_copy")
              .withColumn("_row", draw(F.lit(n), seed, F.col("_copy"))))
-    # With few source rows each row is drawn many times (a hot join key): the
-    # counted set is then small enough to broadcast; otherwise draws spread
-    # uniformly over many keys and a shuffle join is balanced.
-    if n <= UPSAMPLE_BROADCAST_ROWS:
-        idx = F.broadcast(idx)
+    # Draws spread evenly over the rows, so a shuffle join is balanced; a set
+    # that is small in bytes the planner broadcasts by itself.
     dup = picks.join(idx, "_row")
     rid = F.concat_ws(":", F.lit(str(seed)), F.col("_copy").cast("string"))
     dup = dup.withColumn("message_id", hash_uuid(rid, F.lit("copy"))).withColumn(

@@ -545,6 +545,23 @@ def udf_generate(spark, sf_dir):
     return m.select("customer_id", "trigger_order", gen.generate(prompt, F.lit("gpt-4o")).alias("rebuttal_text"))
 
 
+@query("udf_generate_once", ORACLE["udf_generate"])
+def udf_generate_once(spark, sf_dir):
+    """The same responses through a ledger of calls: every match comes twice, and half of the prompts were asked before."""
+    from moodwire.functions.generation import ChatModelGenerator, EchoChatClient
+    from moodwire.functions.ledger import ask_once
+    from moodwire.functions.text import response_prompt
+    from moodwire.streaming.replay import scratch_path
+    gen, ledger = ChatModelGenerator(EchoChatClient, cache_key="registry:echo"), scratch_path(spark, "ledger")
+    prompt = response_prompt(F.col("customer_name"), F.col("karen_score_total"), F.col("recent_messages"))
+    m = escalation_matches(spark, sf_dir).select("customer_id", "trigger_order", prompt.alias("prompt"))
+
+    def ask(rows):
+        return ask_once(rows, "prompt", "rebuttal_text", lambda p: gen.generate(p, F.lit("gpt-4o")), "gpt-4o", ledger)
+    ask(m.where(F.pmod(F.xxhash64("customer_id"), F.lit(2)) == 0))
+    return ask(m.unionByName(m)).select("customer_id", "trigger_order", "rebuttal_text").distinct()
+
+
 # ----------------------------------------------------------- data preparation (rows-only)
 
 

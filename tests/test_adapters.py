@@ -113,3 +113,49 @@ def test_generator_calls_overlap_and_keep_order(spark):
     got = [r[0] for r in df.select(gen.generate(F.col("p"))).collect()]
     assert [g.split("|")[0] for g in got] == [p for (p,) in prompts]
     assert max(int(g.split("|")[1]) for g in got) > 1
+
+
+class CountingClient:
+    """Writes down each call; the prompt "poison" fails until a flag file lies there."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def complete(self, system, user, **kw):
+        import os
+        if "poison" in user and not os.path.exists(f"{self.folder}/healed"):
+            raise KeyboardInterrupt("worker lost")
+        with open(f"{self.folder}/calls", "a") as f:
+            f.write(user + "\n")
+        return "re: " + user
+
+
+def test_ledger_pays_each_call_once_also_after_a_lost_job(spark, scratch):
+    from moodwire.functions.generation import ChatModelGenerator
+    from moodwire.functions.ledger import ask_once
+    gen = ChatModelGenerator(lambda: CountingClient(scratch), sleep=lambda s: None, cache_key=f"count:{scratch}")
+    texts = [f"p{i % 40}" for i in range(400)] + ["poison"] * 3
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, prompt string").withColumn("answer", F.lit("old"))
+
+    def ask(rows):
+        return ask_once(rows, "prompt", "answer", lambda p: gen.generate(p), "m", f"{scratch}/ledger", calls_per_task=1)
+    with pytest.raises(Exception):
+        ask(df)
+    open(f"{scratch}/healed", "w").close()
+    got = {r["i"]: r["answer"] for r in ask(df).collect()}
+    assert got == {i: "re: " + t for i, t in enumerate(texts)}
+    calls = open(f"{scratch}/calls").read().split()
+    assert sorted(set(calls)) == sorted(set(texts)) and len(calls) <= len(set(texts)) + 8
+    before = len(calls)
+    assert ask(df).where("answer is null").count() == 0 and len(open(f"{scratch}/calls").read().split()) == before
+
+
+def test_missing_key_fails_where_the_job_is_built(monkeypatch):
+    from moodwire.functions.generation import ChatModelGenerator
+    from moodwire.functions.scoring import ChatModelScorer
+    monkeypatch.delenv("SOME_API_KEY", raising=False)
+    for cls in (ChatModelScorer, ChatModelGenerator):
+        with pytest.raises(ValueError):
+            cls(object, key_variable="SOME_API_KEY")
+    monkeypatch.setenv("SOME_API_KEY", "x")
+    assert ChatModelScorer(object, key_variable="SOME_API_KEY").concurrency == 1

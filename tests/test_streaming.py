@@ -5,7 +5,6 @@ import json
 import os
 import tempfile
 
-import pytest
 from pyspark.sql import functions as F
 
 from moodwire.plans import registry
@@ -212,8 +211,7 @@ def _nulls_first(row):
     return tuple((x is not None, x if x is not None else 0) for x in row)
 
 
-@pytest.mark.parametrize("method", ["ranks", "buckets"])
-def test_burst_rule_equals_brute_force_with_hot_key_ties_and_duplicates(spark, method):
+def test_burst_rule_equals_brute_force_with_hot_key_ties_and_duplicates(spark):
     import random
     from moodwire.operators.burst import VERY_NEGATIVE, burst_rule
     rnd = random.Random(5)
@@ -229,7 +227,7 @@ def test_burst_rule_equals_brute_force_with_hot_key_ties_and_duplicates(spark, m
     df = spark.createDataFrame([(c, n, m, t, VERY_NEGATIVE) for c, n, m, t in rows],
                                "customer_id string, customer_name string, message_id string, "
                                "message_timestamp long, sentiment_category string")
-    got = sorted((tuple(r) for r in burst_rule(df, k=2, window_ms=300, method=method, partitions=8).collect()),
+    got = sorted((tuple(r) for r in burst_rule(df, k=2, window_ms=300, partitions=8).collect()),
                  key=_nulls_first)
     assert got == _burst_brute(rows, 2, 300)
 
