@@ -142,6 +142,11 @@ def splitter(pattern: str):
     return words
 
 
+def _own(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A copy with memory of its own: columns of a received batch keep all of it, texts too."""
+    return batch.take(pa.array(np.arange(batch.num_rows)))
+
+
 def _cut_maker(pattern: str, text_col: str, buckets: int, chunk_chars: int):
     """Texts to chunk rows (chunk, bucket, blob): bucket >= 0 holds words, -1 the documents."""
     def run(batches):
@@ -190,11 +195,11 @@ def _cut_maker(pattern: str, text_col: str, buckets: int, chunk_chars: int):
                 codes.append(np.fromiter((number.setdefault(w, len(number)) for w in split(text)), np.uint32))
                 chars += len(text)
                 if chars >= chunk_chars:
-                    held.append(rest.slice(i, j + 1 - i))
+                    held.append(_own(rest.slice(i, j + 1 - i)))
                     yield flush()
                     number, codes, held, chars, i = {}, [], [], 0, j + 1
             if i < b.num_rows:
-                held.append(rest.slice(i))
+                held.append(_own(rest.slice(i)))
         if held:
             yield flush()
     return run
@@ -265,12 +270,22 @@ def _bucketed(chunks: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
+def _piped(*steps):
+    """Batch functions one after another in one Python worker: each mapInArrow of a chain would hold a worker of its own."""
+    def run(batches):
+        for step in steps:
+            batches = step(batches)
+        return batches
+    return run
+
+
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", out_col: str = "token_ids",
-           buckets: int = BUCKETS, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+           buckets: int = BUCKETS, chunk_chars: int = CHUNK_CHARS, then: tuple = (), schema: str | T.StructType | None = None) -> DataFrame:
     """``df`` without its text and with ``out_col`` array<int>: the ids that the rank file gives each whole text.
 
     Special tokens do not exist here: their strings are ordinary text. ``buckets`` bounds the words that one task
     merges (all distinct words / buckets); raise it with the corpus. The ranks are broadcast: a vocabulary's size.
+    ``then``: batch functions that take the encoded batches in turn in the same worker; ``schema`` is what they give.
     """
     spark = df.sparkSession
     if text_col != out_col and out_col in df.columns:
@@ -284,8 +299,8 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str =
     ids = words.mapInArrow(_merge_maker(spark.sparkContext.broadcast(ranks)), "chunk long, bucket int, blob binary")
     parts = ids.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "blob")).alias("parts"))  # at most ``buckets`` a chunk
     back = chunks.where("bucket < 0").join(parts, "chunk", "left").select("blob", "parts")
-    schema = T.StructType([*rest, T.StructField(out_col, T.ArrayType(T.IntegerType()))])
-    return back.mapInArrow(_rejoin_maker([f.name for f in rest], out_col), schema)
+    encoded = T.StructType([*rest, T.StructField(out_col, T.ArrayType(T.IntegerType()))])
+    return back.mapInArrow(_piped(_rejoin_maker([f.name for f in rest], out_col), *then), schema or encoded)
 
 
 def _decode_maker(tokens, ids_col: str, out_col: str):
@@ -305,8 +320,8 @@ def _decode_maker(tokens, ids_col: str, out_col: str):
     return run
 
 
-def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
-    """``df`` with ``out_col`` binary: each id joined with its token's bytes, in order (null ids: empty).
+def decoder(spark: SparkSession, ranks: dict[bytes, int], ids_col: str = "token_ids", out_col: str = "decoded"):
+    """The batch function of :func:`decode`.
 
     The token-byte table is broadcast (its size is the vocabulary's) and joined by position in Arrow batches.
     """
@@ -315,8 +330,13 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "token_ids", o
     for token, rank in ranks.items():
         by_id[rank] = token
     table = (np.array([len(t) for t in by_id], np.int64), np.frombuffer(b"".join(by_id), np.uint8))
+    return _decode_maker(spark.sparkContext.broadcast(table), ids_col, out_col)
+
+
+def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
+    """``df`` with ``out_col`` binary: each id joined with its token's bytes, in order (null ids: empty)."""
     schema = T.StructType([*(f for f in df.schema.fields if f.name != out_col), T.StructField(out_col, T.BinaryType())])
-    return df.mapInArrow(_decode_maker(df.sparkSession.sparkContext.broadcast(table), ids_col, out_col), schema)
+    return df.mapInArrow(decoder(df.sparkSession, ranks, ids_col, out_col), schema)
 
 
 def _digest_batches(batches):
@@ -333,8 +353,9 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every whole document, decode the ids, and return the digests of both."""
     import public_tokenizers
     ranks = load_ranks(public_tokenizers.path(VOCABULARY))
-    ids = encode(read_table(spark, sf_dir, "documents", "doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return decode(ids, ranks).mapInArrow(_digest_batches, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encode(read_table(spark, sf_dir, "documents", "doc_id", "text"), ranks, public_tokenizers.PATTERN,
+                  then=(decoder(spark, ranks), _digest_batches),
+                  schema="doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str | None = None) -> DataFrame:

@@ -387,3 +387,24 @@ def test_every_label_is_learned(spark):
     got = langid.predict(clash, model).collect()
     assert len(model["labels"]) == 300 and {(r["_text"], r["_letter"], r["a.b"]) for r in got} == {("x", 1, 2)}
     assert sum(r["lang_pred"] == r["label"] for r in got) >= 0.99 * len(rows), sum(r["lang_pred"] == r["label"] for r in got)
+
+
+def test_bpe_query_needs_one_worker_behind_the_join(spark, tmp_path):
+    """Rejoining, decoding and digesting run in one Python worker; kept columns do not keep the texts they came with."""
+    import pyarrow as pa
+    from llm import bpe
+    rows = [(i, None if i == 3 else ("word %d \u00e9 " % i) * i) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = bpe.op2_byte_bpe(spark, str(tmp_path))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
+    got = {r.doc_id: r.decoded_sha256 for r in out.collect()}
+    assert got == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in rows}
+    sink = pa.BufferOutputStream()
+    batch = pa.record_batch([pa.array(range(100)), pa.array(["x" * 10_000] * 100)], names=["doc_id", "text"])
+    with pa.ipc.new_stream(sink, batch.schema) as w:
+        w.write_batch(batch)
+    before = pa.total_allocated_bytes()
+    received = pa.ipc.open_stream(sink.getvalue().to_pybytes()).read_next_batch()
+    own = bpe._own(received.select(["doc_id"]))
+    assert own.column(0).to_pylist() == list(range(100)) and pa.total_allocated_bytes() - before < 100_000
+    assert own.column(0).buffers()[1].address != received.column(0).buffers()[1].address
