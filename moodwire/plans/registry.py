@@ -751,24 +751,16 @@ def j1_stream(spark, sf_dir):
 @query("st_pattern_stream", f"SELECT * FROM ({M_SQL}) m")
 def st_pattern_stream(spark, sf_dir):
     from moodwire.streaming import replay
-    from moodwire.streaming.state import MATCH_OUTPUT, EscalationProcessor
-
-    def build(st):
-        return (st.groupBy("customer_id", "customer_name")
-                .transformWithStateInPandas(EscalationProcessor(), MATCH_OUTPUT, "Append", "None"))
-    return replay.replay(sentiments(spark, sf_dir), build, "st_pattern_stream",
+    from moodwire.streaming.state import match_stream
+    return replay.replay(sentiments(spark, sf_dir), match_stream, "st_pattern_stream",
                          key_cols=("customer_id", "customer_name"))
 
 
 @query("st_pattern_ties_stream", ORACLE["st_pattern_ties"])
 def st_pattern_ties_stream(spark, sf_dir):
     from moodwire.streaming import replay
-    from moodwire.streaming.state import MATCH_OUTPUT, EscalationProcessor
-
-    def build(st):
-        return (st.groupBy("customer_id", "customer_name")
-                .transformWithStateInPandas(EscalationProcessor(), MATCH_OUTPUT, "Append", "None"))
-    return replay.replay(tie_scores(spark, sf_dir), build, "st_pattern_ties_stream",
+    from moodwire.streaming.state import match_stream
+    return replay.replay(tie_scores(spark, sf_dir), match_stream, "st_pattern_ties_stream",
                          key_cols=("customer_id", "customer_name"))
 
 
@@ -814,14 +806,10 @@ def st_pattern_within_stream(spark, sf_dir):
 def j2_dedup_stream(spark, sf_dir):
     """J2 over a topic that repeats a third of its records later on and brings every second customer's ten days late."""
     from moodwire.streaming import jobs, replay
-    from moodwire.streaming.state import MATCH_OUTPUT, EscalationProcessor
+    from moodwire.streaming.state import match_stream
     rows = sentiments(spark, sf_dir).withColumn("arrival", F.col("message_timestamp") + F.pmod(F.xxhash64("customer_id"), F.lit(2)) * 10 * DAY)
     again = rows.where(F.pmod(F.xxhash64("message_id"), F.lit(3)) == 0).withColumn("arrival", F.col("arrival") + 5 * DAY)
-
-    def build(st):
-        return (jobs.dedup_stream(st).groupBy("customer_id", "customer_name")
-                .transformWithStateInPandas(EscalationProcessor(), MATCH_OUTPUT, "Append", "None"))
-    return replay.replay(rows.unionByName(again), build, "j2_dedup_stream", key_cols=("customer_id", "customer_name"), arrival="arrival")
+    return replay.replay(rows.unionByName(again), lambda st: match_stream(jobs.dedup_stream(st)), "j2_dedup_stream", key_cols=("customer_id", "customer_name"), arrival="arrival")
 
 
 # ----------------------------------------- the three jobs over folder topics of JSON lines

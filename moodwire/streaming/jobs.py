@@ -16,7 +16,7 @@ from moodwire.plans import sentiment
 from moodwire.plans.escalation import respond
 from moodwire.session import keyed_state
 from moodwire.sources import codec
-from moodwire.streaming.state import (BURST_OUTPUT, MATCH_OUTPUT, ORDER, BurstProcessor, EscalationProcessor, WithinProcessor)
+from moodwire.streaming.state import BURST_OUTPUT, MATCH_OUTPUT, BurstProcessor, WithinProcessor, event_time_stream, match_stream
 
 WATERMARK_DELAY = "5 seconds"
 CHECKPOINT_TRIGGER = "10 seconds"
@@ -125,24 +125,18 @@ def sentiment_stream(messages: DataFrame, scorer: Scorer | None = None,
 def escalation_stream(sentiments: DataFrame, generator: Generator | None = None,
                       threshold: float = -5.0, model: str = RESPONSE_MODEL_DEFAULT,
                       model_filter: str | None = None) -> DataFrame:
-    """J2 on a stream: one hash shuffle on the customer key into the stateful fold."""
+    """J2 on a stream: one hash shuffle on the customer's bucket into the stateful fold."""
     keyed_state(sentiments.sparkSession)
     if model_filter is not None:
         sentiments = sentiments.filter(F.col("model_used") == model_filter)
-    matches = (sentiments.select("customer_id", "customer_name", "message_timestamp", "source_partition",
-                                 "source_offset", "sentiment_score", "message_text")
-               .groupBy("customer_id", "customer_name")
-               .transformWithStateInPandas(EscalationProcessor(threshold), MATCH_OUTPUT, "Append", "None"))
+    matches = match_stream(sentiments, threshold)
     return respond(matches, generator, model=model, generated_at="now")
 
 
 def within_stream(sentiments: DataFrame, within_ms: int, threshold: float = -5.0, delay: str = WATERMARK_DELAY) -> DataFrame:
     """Time-bounded matches on a stream, in event-time order; rows are waited for by ``delay``."""
     keyed_state(sentiments.sparkSession)
-    return (with_event_time(sentiments, delay)
-            .select("customer_id", "customer_name", *ORDER, "sentiment_score", "message_text", "message_ts_ltz")
-            .groupBy("customer_id", "customer_name")
-            .transformWithStateInPandas(WithinProcessor(within_ms, threshold), MATCH_OUTPUT, "Append", "EventTime"))
+    return event_time_stream(with_event_time(sentiments, delay), WithinProcessor(within_ms, threshold), MATCH_OUTPUT, "message_ts_ltz")
 
 
 def burst_stream(sentiments: DataFrame, k: int = 5, window_ms: int = 5 * 60_000,
@@ -150,10 +144,8 @@ def burst_stream(sentiments: DataFrame, k: int = 5, window_ms: int = 5 * 60_000,
     """The burst rule on a stream, in event-time order; rows are waited for by ``delay``, and a row is reported once the
     watermark has passed it."""
     keyed_state(sentiments.sparkSession)
-    return (with_event_time(sentiments, delay).filter(F.col("sentiment_category") == category)
-            .select("customer_id", "customer_name", "message_id", *ORDER, "message_ts_ltz")
-            .groupBy("customer_id")
-            .transformWithStateInPandas(BurstProcessor(k, window_ms), BURST_OUTPUT, "Append", "EventTime"))
+    rows = with_event_time(sentiments, delay).filter(F.col("sentiment_category") == category)
+    return event_time_stream(rows, BurstProcessor(k, window_ms), BURST_OUTPUT, "message_ts_ltz")
 
 
 def trend_stream(sentiments: DataFrame, grain: str = "1 minute", delay: str = WATERMARK_DELAY) -> DataFrame:
