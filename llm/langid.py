@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import U64, read_table, slabs, splitmix, unused
+from llm.common import U64, read_table, slabs, splitmix
 
 BUCKETS = 1 << 16
 DIM = 16
@@ -135,8 +135,9 @@ def predict(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """``df`` without its text and with lang_pred, score (calibrated probability) and rejected (below the cut)."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers for each label
     names = [c for c in df.columns if c not in (text_col, "lang_pred", "score", "rejected")]
-    text, letters = unused(df, "_text"), unused(df, "_letter")
-    frame = df.select(*(F.col(f"`{c}`") for c in names), F.col(text_col).cast("string").alias(text),
+    text, letters = "_text", "_letter"
+    # Carried columns are numbered meanwhile: mapInArrow looks its input up by name, and a name may hold a dot.
+    frame = df.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)), F.col(text_col).cast("string").alias(text),
                       F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias(letters))
 
     def run(batches):
@@ -162,7 +163,7 @@ def predict(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
                     p /= p.sum()
                     lang.append(labels[int(p.argmax())])
                     score.append(float(p.max()))
-                rest = [b.column(c).slice(i, j - i) for c in names]
+                rest = [b.column(k).slice(i, j - i) for k in range(len(names))]
                 yield pa.RecordBatch.from_arrays([*rest, pa.array(lang, pa.string()), pa.array(score, pa.float64()),
                                                   pa.array([x == UNDETERMINED or s < m["reject"] for x, s in zip(lang, score)], pa.bool_())],
                                                  names=[*names, "lang_pred", "score", "rejected"])
