@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import read_table, slabs
+from llm.common import read_table, slabs, small_batches
 from moodwire.streaming.replay import scratch_path
 
 CHUNK_CHARS = 6_000_000
@@ -288,6 +288,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str =
     ``then``: batch functions that take the encoded batches in turn in the same worker; ``schema`` is what they give.
     """
     spark = df.sparkSession
+    small_batches(spark)
     if text_col != out_col and out_col in df.columns:
         df = df.drop(out_col)
     df = df.withColumn(text_col, F.col(text_col).cast("string"))

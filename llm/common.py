@@ -14,6 +14,8 @@ from moodwire.streaming.replay import scratch_path
 U64 = np.uint64
 #: Bytes of text that a vectorised kernel works on at once; a longer document goes through it in pieces.
 SLAB = 1 << 20
+#: Bytes of an Arrow batch. Spark's own bound, 10,000 rows or 64 MB, is held several times over by both sides of each task.
+BATCH_BYTES = 4 << 20
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 _SHINGLE_MULT = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
                           0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=U64)
@@ -32,6 +34,13 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by BATCH_BYTES, unless it has a bound of its own; a larger row is a batch."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def staged(df: DataFrame, kind: str) -> DataFrame:
     """Write ``df`` once into the shared checkpoint folder and read it back (cuts the lineage)."""
     path = scratch_path(df.sparkSession, f"llm-{kind}")

@@ -328,6 +328,35 @@ def test_quality_edges(spark, edge):
     assert quality.accepted(spark, edge).columns == edge.columns
 
 
+def test_quality_stage_sends_texts_once(spark, edge, capsys):
+    """Only the text goes to Python, in batches bounded by bytes; columns with any name stay as they are."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.unset(key)
+    try:
+        docs = edge.withColumn("a.b", F.lit(1)).withColumn("Quality", F.lit("q")).withColumn("keep", F.lit("k"))
+        kept = quality.accepted(spark, docs)
+        assert int(spark.conf.get(key)) <= 8 << 20
+        assert kept.columns == docs.columns and {(r["Quality"], r["keep"], r["a.b"]) for r in kept.collect()} <= {("q", "k", 1)}
+        model = quality.learn(docs)
+        good = {r["doc_id"] for r in quality.score(edge, model).where("keep").collect()}
+        assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(
+            str(r["doc_id"]) for r in edge.collect() if r["doc_id"] in good)
+        kept.explain()
+        plan = capsys.readouterr().out
+        assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
+        sizes = docs.sparkSession.range(0, 3000, 1, 1).select(F.repeat(F.lit("word "), 1000).alias("t")).mapInArrow(
+            lambda bs: (b.slice(0, 1).set_column(0, "t", [str(b.nbytes)]) for b in bs), "t string").collect()
+        assert len(sizes) > 1 and max(int(r["t"]) for r in sizes) < 8 << 20
+        spark.conf.set(key, "123456")
+        quality.score(edge, model)
+        assert spark.conf.get(key) == "123456"
+    finally:
+        spark.conf.unset(key)
+        if before is not None:
+            spark.conf.set(key, before)
+
+
 def test_mix_totals_and_shards(spark, edge):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source", mixing.words("text").alias("size"))
     rows = mixing.mix(docs, shards=8, block_words=500).collect()
